@@ -1,0 +1,182 @@
+"""Stand-in inputs derived from the driver's test tables.
+
+The test tables hold no line-feeding data, so these views only reshape
+them into the raw schemas the jobs expect (workbook exports, per-car
+demand files, assembly snapshots).  They do none of the jobs' work: the
+cleaning, joining and merging all run in ``linefeed.plans`` on top.
+
+The SQL text is valid in both Spark SQL and DuckDB.  Spark runs it with
+``spark.sql(text, part=<DataFrame>)``; the DuckDB oracle substitutes the
+plain table names (``{part}`` -> ``part``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linefeed.schemas import FX4PD_POSITIONS, PK05_HEADERS, PKMC_HEADERS
+
+PKMC_RAW_SQL = """
+SELECT CASE p_partkey % 4 WHEN 0 THEN 'p.' || CAST(p_partkey AS STRING)
+                          WHEN 1 THEN ' P ' || CAST(p_partkey AS STRING) || ' '
+                          WHEN 2 THEN 'p#' || CAST(p_partkey AS STRING)
+                          ELSE 'P' || CAST(p_partkey AS STRING) END AS partnumber,
+       CASE WHEN p_partkey % 11 = 0 THEN 'SEM AREA'
+            ELSE 'LB P' || CAST(p_partkey % 50 + 1 AS STRING) || 'A' END AS supply_area,
+       CAST(p_partkey * 10 AS STRING) AS num_reg_circ,
+       CASE WHEN p_partkey % 6 = 0 THEN 'B02' ELSE 'B01' END AS deposit_type,
+       p_type AS deposit_position, p_brand AS container, p_name AS description,
+       'N' || CAST(p_size AS STRING) AS pack_standard,
+       CAST(p_size AS BIGINT) AS qty_per_box,
+       CASE p_partkey % 5 WHEN 0 THEN 'MAX: 12' WHEN 1 THEN 'max 5' WHEN 2 THEN '8'
+                          WHEN 3 THEN 'n/a' END AS qty_max_box
+FROM {part}
+"""
+
+PK05_RAW_SQL = """
+SELECT 'LB P' || CAST(s_suppkey % 50 + 1 AS STRING) || 'A' AS supply_area,
+       CASE WHEN s_suppkey % 5 = 0 THEN 'LB02' ELSE 'LB01' END AS deposit,
+       s_name AS responsible, 'DP' || CAST(s_nationkey AS STRING) AS discharge_point,
+       CASE WHEN s_suppkey % 4 = 3 THEN 'sem takt'
+            ELSE 'LINHA T' || CAST(s_nationkey AS STRING) || ' X' END AS description,
+       s_suppkey
+FROM {supplier}
+"""
+
+# Columns 0, 1, 5 and 6 are the ones the job keeps; 2-4 are carried filler.
+FX4PD_RAW_SQL = """
+SELECT '38' || '1' || lpad(CAST(l_orderkey AS STRING), 7, '0') AS knr_fx4pd,
+       ' P' || CAST(l_partkey AS STRING) AS partnumber,
+       CAST(l_suppkey AS STRING) AS supplier,
+       CAST(l_linenumber AS STRING) AS line,
+       l_returnflag AS flag,
+       CASE WHEN l_linenumber = 7 THEN 'abc'
+            ELSE ' ' || CAST(CAST(l_quantity AS INT) AS STRING) || '.5' END AS qty_usage,
+       CASE WHEN l_linenumber % 2 = 0 THEN 'ST' ELSE CAST(l_linenumber AS STRING) END AS qty_unit
+FROM {lineitem}
+"""
+
+# Expected vehicle positions; Spark folds these into snapshot JSON documents
+# (linefeed.plans.assembly.snapshot_documents) and the job parses them back.
+ASSEMBLY_FLAT_SQL = """
+SELECT lpad(CAST(o_orderkey AS STRING), 7, '0') AS knr, o_orderpriority AS model,
+       o_orderkey AS lfdnr_sequence, '38' AS werk, '1' AS spj,
+       CASE WHEN o_custkey % 6 = 5 THEN 'reception'
+            ELSE 'lane_' || CAST(o_custkey % 6 AS STRING) END AS lane,
+       'T' || CAST(o_custkey % 25 AS STRING) AS takt,
+       o_orderkey AS slot_no
+FROM {orders}
+"""
+
+# Current line-side stock per control cycle (lives only in the stored table).
+STOCK_SQL = """
+SELECT 'P' || CAST(p_partkey AS STRING) AS partnumber,
+       CASE WHEN p_partkey % 11 = 0 THEN 'SEM AREA'
+            ELSE 'LB P' || CAST(p_partkey % 50 + 1 AS STRING) || 'A' END AS supply_area,
+       CAST((p_partkey * 37) % 200 AS DOUBLE) AS lb_balance
+FROM {part}
+"""
+
+# Transfer orders for the open-order selection.
+TRANSFER_ORDERS_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS order_no,
+       CASE WHEN o_custkey % 3 = 0 THEN 'BRK' ELSE 'ANC' END AS warehouse,
+       CASE WHEN o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%' THEN 'B01'
+            ELSE 'B02' END AS storage_type,
+       o_orderstatus = 'O' AS is_open,
+       CAST(o_orderdate AS DATE) AS created
+FROM {orders}
+"""
+
+FIXTURE_SQL = {
+    "pkmc_raw": (PKMC_RAW_SQL, ("part",)),
+    "pk05_raw": (PK05_RAW_SQL, ("supplier",)),
+    "fx4pd_raw": (FX4PD_RAW_SQL, ("lineitem",)),
+    "assembly_flat": (ASSEMBLY_FLAT_SQL, ("orders",)),
+    "stock": (STOCK_SQL, ("part",)),
+    "transfer_orders": (TRANSFER_ORDERS_SQL, ("orders",)),
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Run one fixture view in Spark over the parquet tables of ``sf_dir``."""
+    text, tables = FIXTURE_SQL[name]
+    frames = {t: read_table(spark, sf_dir, t) for t in tables}
+    return spark.sql(text, **frames)
+
+
+def duck(name: str) -> str:
+    """The same fixture text for DuckDB (plain table names)."""
+    text, tables = FIXTURE_SQL[name]
+    return text.format(**{t: t for t in tables})
+
+
+def pkmc_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PKMC export with its original (Portuguese) headers."""
+    raw = fixture(spark, sf_dir, "pkmc_raw")
+    back = {v: k for k, v in PKMC_HEADERS.items()}
+    return raw.select([F.col(c).alias(back[c]) for c in raw.columns])
+
+
+def pk05_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PK05 export with its original headers."""
+    raw = fixture(spark, sf_dir, "pk05_raw")
+    back = {v: k for k, v in PK05_HEADERS.items()}
+    return raw.select([F.col(c).alias(back[c]) for c in raw.columns if c in back])
+
+
+def fx4pd_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX4PD export: seven columns, headers irrelevant (taken by position)."""
+    raw = fixture(spark, sf_dir, "fx4pd_raw")
+    assert {raw.columns[i] for i in FX4PD_POSITIONS} == set(FX4PD_POSITIONS.values())
+    return raw.toDF("Fahrzeug", "Sachnummer", "Lieferant", "Position", "Kennz", "Menge", "Einheit")
+
+
+CARS_PER_SNAPSHOT = 256
+
+
+def _json_object(entries: F.Column) -> F.Column:
+    """``{k1: v1, ...}`` text from an array of ``'"k":<json>'`` fragments."""
+    return F.concat(F.lit("{"), F.array_join(F.array_sort(entries), ","), F.lit("}"))
+
+
+def assembly_snapshots(spark: SparkSession, sf_dir: str,
+                       cars_per_snapshot: int = CARS_PER_SNAPSHOT) -> DataFrame:
+    """Assembly-line snapshot documents (one JSON text per row, column ``value``).
+
+    Positions of ``assembly_flat`` are folded into documents of at most
+    ``cars_per_snapshot`` cars: ``{lane: {fb: {slot: {CAR, LANE, TACT}}}}``.
+    Line slots carry ``LANE``; reception slots leave it out.  Every feeder
+    also holds one slot with an empty ``CAR``, and every document a
+    non-lane ``meta`` key, as live snapshots do.
+    """
+    flat = fixture(spark, sf_dir, "assembly_flat")
+    car = F.to_json(F.struct(F.col("knr").alias("KNR"), F.col("model").alias("MODELL"),
+                             F.col("lfdnr_sequence").alias("LFDNR"),
+                             F.col("werk").alias("WERK"), F.col("spj").alias("SPJ")))
+    with_lane = F.to_json(F.struct(F.lit(0).alias("CAR"), F.col("lane").alias("LANE"),
+                                   F.col("takt").alias("TACT")))
+    without_lane = F.to_json(F.struct(F.lit(0).alias("CAR"), F.col("takt").alias("TACT")))
+    slot = F.when(F.col("lane") == "reception", without_lane).otherwise(with_lane)
+    slot = F.regexp_replace(slot, '^\\{"CAR":0', "")
+    slots = flat.select(
+        (F.col("slot_no") / F.lit(cars_per_snapshot)).cast("bigint").alias("doc_id"),
+        F.col("lane"), F.lit("fb1").alias("fb"),
+        F.concat(F.lit('"s'), F.col("slot_no").cast("string"), F.lit('":{"CAR":'), car,
+                 slot).alias("entry"))
+    empty = F.lit('"s_empty":{"CAR":{}}')
+    fbs = (slots.groupBy("doc_id", "lane", "fb")
+                .agg(_json_object(F.array_append(F.collect_list("entry"), empty)).alias("fb_json")))
+    lanes = (fbs.groupBy("doc_id", "lane")
+                .agg(_json_object(F.collect_list(
+                    F.concat(F.lit('"'), F.col("fb"), F.lit('":'), F.col("fb_json")))).alias("lane_json")))
+    docs = (lanes.groupBy("doc_id")
+                 .agg(_json_object(F.array_append(
+                     F.collect_list(F.concat(F.lit('"'), F.col("lane"), F.lit('":'), F.col("lane_json"))),
+                     F.concat(F.lit('"meta":'), F.col("doc_id").cast("string")))).alias("value")))
+    return docs
