@@ -61,6 +61,11 @@ def last_per_key(df: DataFrame, keys: str | Sequence[str],
     return picked.select(*[_c(c) for c in df.columns]).unionByName(unkeyed)
 
 
+def _order_only(order_by, target: DataFrame) -> list[str]:
+    """Order columns the target lacks: used to pick the last row, never written."""
+    return [o for o in (order_by or []) if isinstance(o, str) and o not in target.columns]
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
            order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """K1: ``INSERT ... ON DUPLICATE KEY UPDATE`` on every source column.
@@ -69,17 +74,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     * target-only columns keep their value on a match, NULL on insert;
     * target rows without a source key stay unchanged;
     * several source rows per key: the last one in ``order_by`` wins
-      (without ``order_by`` the source must not repeat a key);
+      (without ``order_by`` the source must not repeat a key); order
+      columns the target lacks (e.g. a load timestamp) only rank rows;
     * a source row with a NULL key is always inserted.
     """
     keys = _as_list(keys)
-    unknown = [c for c in source.columns if c not in target.columns]
+    order_only = _order_only(order_by, target)
+    unknown = [c for c in source.columns if c not in target.columns and c not in order_only]
     if unknown:
         raise ValueError(f"source columns not in target: {unknown}")
     missing = [k for k in keys if k not in source.columns or k not in target.columns]
     if missing:
         raise ValueError(f"key columns missing: {missing}")
     src = last_per_key(source, keys, order_by) if order_by else source
+    src = src.drop(*order_only)
+    source = src
     src = src.withColumn(_SRC, F.lit(True))
     tgt = target.withColumn(_TGT, F.lit(True))
     cond = None
@@ -110,7 +119,8 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
         raise ValueError(f"key column '{key}' does not exist in the source")
     if key not in target.columns:
         raise ValueError(f"key column '{key}' does not exist in the target")
-    set_cols = [c for c in source.columns if c != key]
+    order_only = _order_only(order_by, target)
+    set_cols = [c for c in source.columns if c != key and c not in order_only]
     if not set_cols:
         raise ValueError("source has no column to update besides the key")
     unknown = [c for c in set_cols if c not in target.columns]
@@ -118,7 +128,7 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
         raise ValueError(f"source columns not in target: {unknown}")
     src = source.filter(_c(key).isNotNull())
     src = last_per_key(src, [key], order_by) if order_by else src
-    src = src.withColumn(_SRC, F.lit(True))
+    src = src.drop(*order_only).withColumn(_SRC, F.lit(True))
     joined = target.alias("t").join(src.alias("s"), F.col(f"t.`{key}`") == F.col(f"s.`{key}`"),
                                     "left")
     matched = F.col(f"s.{_SRC}").isNotNull()

@@ -155,3 +155,104 @@ SELECT {PKMC_COLS.replace('partnumber,', 'k.partnumber,', 1)},
          AS lb_balance
 FROM pkmc_t k LEFT JOIN consumed c ON c.partnumber = k.partnumber"""),
 }
+
+_CUTOFF = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+def _last_state(where: str) -> str:
+    return f"""
+  SELECT user_id, event_id AS last_event_id, ts AS last_ts, event_type AS last_type,
+         value AS last_value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM events WHERE {where}) WHERE rn = 1"""
+
+
+_SPOOL = """
+spool AS (
+  SELECT CAST(ts AS DATE) AS list_day, event_id AS idx,
+         CASE WHEN event_type = 'view' THEN '   '
+              ELSE upper(event_type) || '_' || CAST(user_id AS VARCHAR) END AS name,
+         strftime(ts, '%H:%M:%S') AS hour
+  FROM events),
+starts AS (SELECT list_day, min(idx) AS s FROM spool WHERE trim(name) <> '' GROUP BY list_day),
+present AS (SELECT DISTINCT list_day, idx FROM spool),
+ends AS (
+  SELECT p.list_day, min(p.idx) AS e FROM present p JOIN starts st ON st.list_day = p.list_day
+  WHERE p.idx >= st.s AND NOT EXISTS (
+    SELECT 1 FROM present q WHERE q.list_day = p.list_day AND q.idx = p.idx + 1)
+  GROUP BY p.list_day),
+hits AS (
+  SELECT r.* FROM spool r JOIN starts st ON st.list_day = r.list_day
+                          JOIN ends en ON en.list_day = r.list_day
+  WHERE r.idx BETWEEN st.s AND en.e AND contains(lower(r.name), 'purchase'))"""
+
+ORACLE.update({
+    "restock_one_call": with_ctes(["restock"], """
+SELECT partnumber, num_reg_circ, array_to_string(list_sort(list_distinct(list(takt))), ',') AS takt,
+       rack, min(lb_balance) AS lb_balance, min(total_theoretical_qty) AS total_theoretical_qty,
+       min(qty_for_restock) AS qty_for_restock, min(qty_per_box) AS qty_per_box,
+       min(qty_max_box) AS qty_max_box,
+       min(total_theoretical_qty) - min(lb_balance) AS qty_for_request,
+       CAST(floor((min(total_theoretical_qty) - min(lb_balance))
+                  / nullif(CAST(min(qty_per_box) AS DOUBLE), 0)) AS BIGINT) AS qty_boxes_to_request
+FROM restock GROUP BY partnumber, num_reg_circ, rack"""),
+    "fx4pd_preview": with_ctes(["fx4pd"], """
+SELECT * FROM fx4pd
+ORDER BY knr_fx4pd NULLS FIRST, partnumber NULLS FIRST, qty_usage NULLS FIRST, qty_unit NULLS FIRST
+LIMIT 5000"""),
+    "forecast_preview": with_ctes(["forecast"], """
+SELECT * FROM forecast
+ORDER BY knr_fx4pd NULLS FIRST, partnumber NULLS FIRST, qty_usage NULLS FIRST, qty_unit NULLS FIRST,
+         num_reg_circ NULLS FIRST, takt NULLS FIRST, rack NULLS FIRST, lb_balance NULLS FIRST,
+         total_theoretical_qty NULLS FIRST, qty_for_restock NULLS FIRST, qty_per_box NULLS FIRST,
+         qty_max_box NULLS FIRST
+LIMIT 5000"""),
+    "row_counts": with_ctes(["forecast", "assembly"], """
+SELECT 'fx4pd' AS table_name, count(*) AS rows FROM fx4pd
+UNION ALL SELECT 'forecast', count(*) FROM forecast
+UNION ALL SELECT 'pkmc', count(*) FROM pkmc
+UNION ALL SELECT 'pk05', count(*) FROM pk05
+UNION ALL SELECT 'assembly_line', count(*) FROM assembly"""),
+    "last_event_per_user": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""",
+    "upsert_user_state": f"""
+WITH stored_last AS ({_last_state(f"ts < {_CUTOFF}")}),
+stored AS (
+  SELECT s.*, f.first_seen FROM stored_last s
+  JOIN (SELECT user_id, min(ts) AS first_seen FROM events WHERE ts < {_CUTOFF} GROUP BY user_id) f
+    ON f.user_id = s.user_id),
+src AS ({_last_state(f"ts >= {_CUTOFF}")})
+SELECT COALESCE(s.user_id, t.user_id) AS user_id,
+       CASE WHEN s.user_id IS NOT NULL THEN s.last_event_id ELSE t.last_event_id END AS last_event_id,
+       CASE WHEN s.user_id IS NOT NULL THEN s.last_ts ELSE t.last_ts END AS last_ts,
+       CASE WHEN s.user_id IS NOT NULL THEN s.last_type ELSE t.last_type END AS last_type,
+       CASE WHEN s.user_id IS NOT NULL THEN s.last_value ELSE t.last_value END AS last_value,
+       t.first_seen
+FROM stored t FULL OUTER JOIN src s ON s.user_id = t.user_id""",
+    "update_customer_balance": """
+WITH latest AS (
+  SELECT c_custkey, c_acctbal FROM (
+    SELECT o_custkey AS c_custkey, o_totalprice AS c_acctbal,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders WHERE o_custkey IS NOT NULL) WHERE rn = 1)
+SELECT c.c_custkey, c.c_name, c.c_nationkey,
+       CASE WHEN l.c_custkey IS NOT NULL THEN l.c_acctbal ELSE c.c_acctbal END AS c_acctbal,
+       c.c_mktsegment
+FROM customer c LEFT JOIN latest l ON l.c_custkey = c.c_custkey""",
+    "first_match": f"""
+WITH {_SPOOL.strip()}
+SELECT list_day, idx AS "index", lower(name) AS name, hour FROM (
+  SELECT *, row_number() OVER (PARTITION BY list_day ORDER BY idx) AS rn FROM hits) WHERE rn = 1""",
+    "pending_orders": f"""
+WITH transfer_orders AS ({X.duck('transfer_orders')})
+SELECT *, strftime(created, '%d.%m.%Y') AS created_text FROM transfer_orders
+WHERE warehouse = 'ANC' AND storage_type = 'B01' AND is_open
+  AND created BETWEEN DATE '1996-06-01' AND DATE '1996-06-30'""",
+})
+ORACLE["fx4pd_csv"] = ORACLE["fx4pd_clean"]
+ORACLE["pkmc_xlsx"] = ORACLE["pkmc_clean"]
+ORACLE["assembly_files"] = ORACLE["assembly_flatten"]
+ORACLE["assembly_stream_upsert"] = ORACLE["assembly_flatten"]
+ORACLE["consume_once_stream"] = ORACLE["consume_apply_sum"]

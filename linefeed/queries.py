@@ -11,9 +11,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from linefeed import fixtures as X
+from linefeed.operators.merge import last_per_key, update_by_key, upsert
+from linefeed.operators.ordered import first_match_in_list
 from linefeed.plans import cleaning, consumption, forecast, restock
 from linefeed.plans.assembly import assembly_records
+from linefeed.plans.sinks import VersionedTable, count_rows
+from linefeed.plans.transfer import pending_orders
+from linefeed.schemas import FX4PD_POSITIONS, PKMC_HEADERS, PKMC_RAW
+from linefeed.session import staging_path
+from linefeed.sources.loader import load_table
+from linefeed.sources.snapshots import read_snapshots, stream_snapshots
+from linefeed.streaming.ingest import car_positions, consume_once_stream, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +108,142 @@ def q_consume_apply_last(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          assembly_line(spark, sf_dir), mode="last")
 
 
+def q_restock_one_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + P9-P11 with the copies of a part over repeated areas folded (D15 option)."""
+    return restock.restock_candidates(pkmc_table(spark, sf_dir), pk05_clean(spark, sf_dir),
+                                      one_call_per_part=True)
+
+
+def q_fx4pd_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL9: first 5000 cleaned demand rows in a fixed order (L1)."""
+    return forecast.preview_sorted(fx4pd_clean(spark, sf_dir),
+                                   ["knr_fx4pd", "partnumber", "qty_usage", "qty_unit"], 5000)
+
+
+def q_forecast_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL9: first 5000 forecast rows in a fixed order (J1 -> L1)."""
+    df = forecast_table(spark, sf_dir)
+    return forecast.preview_sorted(df, df.columns, 5000)
+
+
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/K6: rows of every table the pipelines write."""
+    parts = [count_rows(fx4pd_clean(spark, sf_dir), "fx4pd"),
+             count_rows(forecast_table(spark, sf_dir), "forecast"),
+             count_rows(pkmc_clean(spark, sf_dir), "pkmc"),
+             count_rows(pk05_clean(spark, sf_dir), "pk05"),
+             count_rows(assembly_line(spark, sf_dir), "assembly_line")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# Cut-off between the stored state and the new load in the merge queries.
+STATE_CUTOFF = "2024-01-16 00:00:00"
+EVENT_STATE = {"event_id": "last_event_id", "ts": "last_ts", "event_type": "last_type",
+               "value": "last_value"}
+
+
+def _event_state(events: DataFrame) -> DataFrame:
+    return events.select("user_id", *[F.col(k).alias(v) for k, v in EVENT_STATE.items()])
+
+
+def q_last_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the last event of every user, ordered by (ts, event_id)."""
+    return last_per_key(X.read_table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
+
+
+def q_upsert_user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: per-user state stored at the cut-off, upserted with the later events.
+
+    The stored table keeps the last event before the cut-off plus a
+    target-only ``first_seen``; the later events are the new load (several
+    rows per user, the last by (ts, event_id) wins; unseen users insert).
+    """
+    events = X.read_table(spark, sf_dir, "events")
+    cutoff = F.lit(STATE_CUTOFF).cast("timestamp")
+    before, after = events.filter(F.col("ts") < cutoff), events.filter(F.col("ts") >= cutoff)
+    stored = last_per_key(_event_state(before), ["user_id"], ["last_ts", "last_event_id"]).join(
+        before.groupBy("user_id").agg(F.min("ts").alias("first_seen")), "user_id")
+    return upsert(stored, _event_state(after), ["user_id"], order_by=["last_ts", "last_event_id"])
+
+
+def q_update_customer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: each customer's balance set from their latest order (by date, key)."""
+    customers = X.read_table(spark, sf_dir, "customer")
+    orders = X.read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"),
+        "o_orderdate", "o_orderkey")
+    return update_by_key(customers, orders, "c_custkey", order_by=["o_orderdate", "o_orderkey"])
+
+
+def spool_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in spool lists: one list per day of events, rows in event order."""
+    ev = X.read_table(spark, sf_dir, "events")
+    name = F.when(F.col("event_type") == "view", F.lit("   ")) \
+        .otherwise(F.concat(F.upper("event_type"), F.lit("_"), F.col("user_id").cast("string")))
+    return ev.select(F.to_date("ts").alias("list_day"), F.col("event_id").alias("idx"),
+                     name.alias("name"), F.date_format("ts", "HH:mm:ss").alias("hour"))
+
+
+def q_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: per list, the first row named like 'purchase' after the blank head."""
+    return first_match_in_list(spool_lists(spark, sf_dir), "list_day", "idx", "name",
+                               "purchase", extra=["hour"])
+
+
+def q_pending_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open ANC/B01 transfer orders created in June 1996 (+F15 date text)."""
+    return pending_orders(X.fixture(spark, sf_dir, "transfer_orders"), "1996-06-01", "1996-06-30")
+
+
+def q_fx4pd_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1/S4 + PL3: the demand export landed as CSV, loaded by suffix, cleaned."""
+    path = X.land_csv(X.fx4pd_file(spark, sf_dir), staging_path(spark, "fx4pd-csv"))
+    return cleaning.clean_fx4pd(load_table(spark, path))
+
+
+def q_pkmc_xlsx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1/S2 + PL1: the control-cycle export landed as .xlsx workbooks, read, cleaned."""
+    from pyspark.sql import types as T
+    folder = staging_path(spark, "pkmc-xlsx")
+    X.write_workbooks(X.pkmc_workbook(spark, sf_dir), folder)
+    schema = T.StructType([T.StructField(h, f.dataType, True)
+                           for h, f in zip(PKMC_HEADERS, PKMC_RAW.fields)])
+    return cleaning.clean_pkmc(load_table(spark, folder + "/part-*.xlsx", schema))
+
+
+def q_assembly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + PL4: snapshot documents landed as text files, read and flattened."""
+    folder = X.land_snapshots(X.assembly_snapshots(spark, sf_dir), staging_path(spark, "snapshots"))
+    return assembly_records(read_snapshots(spark, folder))
+
+
+def q_assembly_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2: landed snapshots streamed file by file, each batch upserted by car."""
+    from linefeed.schemas import ASSEMBLY_LINE
+    base = staging_path(spark, "assembly-stream")
+    X.land_snapshots(X.assembly_snapshots(spark, sf_dir), f"{base}/landing")
+    positions = car_positions(stream_snapshots(spark, f"{base}/landing", max_files_per_trigger=1))
+    table = VersionedTable(spark, f"{base}/assembly_line", "assembly_line")
+    empty = spark.createDataFrame([], ASSEMBLY_LINE)
+    return upsert_stream(positions, table, ["knr"], ["snapshot_ts"], empty, f"{base}/checkpoint")
+
+
+def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every snapshot landed twice; each car x station is consumed once."""
+    base = staging_path(spark, "consume-stream")
+    docs = X.assembly_snapshots(spark, sf_dir)
+    X.land_snapshots(docs, f"{base}/landing/first")
+    X.land_snapshots(docs, f"{base}/landing/again")
+    table = VersionedTable(spark, f"{base}/pkmc", "pkmc")
+    table.commit(pkmc_table(spark, sf_dir), version=0)
+    snapshots = stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=2)
+    return consume_once_stream(car_positions(snapshots), forecast_table(spark, sf_dir),
+                               fx4pd_clean(spark, sf_dir), table, f"{base}/checkpoint")
+
+
 QUERIES: dict[str, Query] = {
     "pkmc_clean": pkmc_clean,
     "pk05_clean": pk05_clean,
@@ -111,4 +258,18 @@ QUERIES: dict[str, Query] = {
     "consume_rows": q_consume_rows,
     "consume_apply_sum": q_consume_apply_sum,
     "consume_apply_last": q_consume_apply_last,
+    "restock_one_call": q_restock_one_call,
+    "fx4pd_preview": q_fx4pd_preview,
+    "forecast_preview": q_forecast_preview,
+    "row_counts": q_row_counts,
+    "last_event_per_user": q_last_event_per_user,
+    "upsert_user_state": q_upsert_user_state,
+    "update_customer_balance": q_update_customer_balance,
+    "first_match": q_first_match,
+    "pending_orders": q_pending_orders,
+    "fx4pd_csv": q_fx4pd_csv,
+    "pkmc_xlsx": q_pkmc_xlsx,
+    "assembly_files": q_assembly_files,
+    "assembly_stream_upsert": q_assembly_stream_upsert,
+    "consume_once_stream": q_consume_once_stream,
 }
