@@ -48,7 +48,8 @@ def with_dense_index(df: DataFrame, order_by: Sequence[str | Column] | None = No
     parts = sorted(counts)
     starts = [0] + list(accumulate(counts[p] for p in parts))[:-1]
     offsets = F.create_map(*[x for p, s in zip(parts, starts)
-                             for x in (F.lit(p), F.lit(s).cast(T.LongType()))])
+                             for x in (F.lit(p), F.lit(s))]).cast(
+        T.MapType(T.LongType(), T.LongType()))
     pos = F.col("__mid") - F.shiftleft(part, _POS_BITS)
     index = (F.coalesce(offsets[part], F.lit(0).cast(T.LongType())) + pos).alias(name)
     return tagged.select(index, *[F.col(f"`{c}`") for c in df.columns])
