@@ -40,7 +40,12 @@ def with_dense_index(df: DataFrame, order_by: Sequence[str | Column] | None = No
     ensure_checkpoint_dir(spark)
     order = _order_columns(df, order_by)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # identical rows share one sort key; a per-row tie-breaker lets the range
+    # partitioner split even a run of duplicates holding a third of the rows
+    tie = F.col("__tie").asc()
+    ranged = (df.withColumn("__tie", F.monotonically_increasing_id())
+                .repartitionByRange(n, *order, tie).sortWithinPartitions(*order, tie)
+                .drop("__tie"))
     tagged = ranged.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     part = F.shiftright(F.col("__mid"), _POS_BITS)
     counts = {r["p"]: r["n"] for r in

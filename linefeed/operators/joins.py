@@ -1,10 +1,13 @@
 """Joins against dimension tables whose size is checked before broadcasting.
 
-A dimension (supply areas, control cycles) is broadcast only after a
-bounded check proves it small: at most ``max_rows + 1`` rows are read,
-and their byte size is summed.  Beyond the bound the join is left to a
-shuffle (sort-merge), where AQE coalesces partitions and splits skewed
-ones, so a hot key on the fact side never lands whole in one task.
+A dimension (supply areas, control cycles, cars on the line) is broadcast
+only after a bounded check proves it small: at most ``max_rows + 1`` of
+its rows are materialized once (checkpointed into the shared checkpoint
+folder), counted and their bytes summed.  If the bound holds, exactly that
+materialized copy is broadcast, so the dimension is computed once.
+Beyond the bound the join is left to a shuffle (sort-merge), where AQE
+coalesces partitions and splits skewed ones, so a hot key on the fact
+side never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linefeed.session import ensure_checkpoint_dir
+
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -51,6 +56,22 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return rows <= max_rows and size <= max_bytes
 
 
+def bounded_copy(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                 max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame | None:
+    """The whole of ``dim``, materialized, if it has <= max_rows rows and <= max_bytes bytes.
+
+    At most ``max_rows + 1`` rows are computed and written, so the check
+    costs no more than the bound however large ``dim`` is.  Returns None
+    when the bound does not hold.
+    """
+    ensure_checkpoint_dir(dim.sparkSession)
+    copy = dim.limit(max_rows + 1).checkpoint(eager=True)
+    probe = copy.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim.schema)).alias("b")).first()
+    if probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes:
+        return copy
+    return None
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
                    how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS,
                    max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -58,6 +79,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         # the build side of a broadcast join must be the non-preserved side
         return fact.join(dim, on, how)
-    if fits_broadcast(dim, max_rows, max_bytes):
-        return fact.join(F.broadcast(dim), on, how)
+    small = bounded_copy(dim, max_rows, max_bytes)
+    if small is not None:
+        return fact.join(F.broadcast(small), on, how)
     return fact.join(dim, on, how)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _TABLE_NAME = re.compile(r"^[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*$")
-_SRC, _TGT = "__in_source", "__in_target"
+_SRC = "__in_source"
 
 
 def _c(name: str) -> Column:
@@ -48,9 +48,7 @@ def last_per_key(df: DataFrame, keys: str | Sequence[str],
     value_cols = [c for c in df.columns if c not in keys]
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
     rank = F.struct(*order, *[_c(c) for c in value_cols])
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | _c(k).isNull()
+    null_key = _any_null(df, keys)
     keyed, unkeyed = df.filter(~null_key), df.filter(null_key)
     if not value_cols:
         picked = keyed.select(*[_c(k) for k in keys]).distinct()
@@ -61,6 +59,13 @@ def last_per_key(df: DataFrame, keys: str | Sequence[str],
     return picked.select(*[_c(c) for c in df.columns]).unionByName(unkeyed)
 
 
+def _any_null(df: DataFrame, keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | _c(k).isNull()
+    return cond
+
+
 def _order_only(order_by, target: DataFrame) -> list[str]:
     """Order columns the target lacks: used to pick the last row, never written."""
     return [o for o in (order_by or []) if isinstance(o, str) and o not in target.columns]
@@ -88,22 +93,27 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
         raise ValueError(f"key columns missing: {missing}")
     src = last_per_key(source, keys, order_by) if order_by else source
     src = src.drop(*order_only)
-    source = src
-    src = src.withColumn(_SRC, F.lit(True))
-    tgt = target.withColumn(_TGT, F.lit(True))
-    cond = None
-    for k in keys:
-        eq = tgt[k] == src[k]
-        cond = eq if cond is None else cond & eq
-    joined = tgt.alias("t").join(src.alias("s"), cond, "full_outer")
+    source_cols = src.columns
+    # NULL keys never match; keep them out of the join so they cannot pile up
+    # in the one shuffle partition that NULL hashes to
+    src_null, tgt_null = _any_null(src, keys), _any_null(target, keys)
+    src_keyed, src_unkeyed = src.filter(~src_null), src.filter(src_null)
+    tgt_keyed, tgt_unkeyed = target.filter(~tgt_null), target.filter(tgt_null)
+    s_side = src_keyed.withColumn(_SRC, F.lit(True))
+    joined = tgt_keyed.alias("t").join(s_side.alias("s"), keys, "full_outer")
     matched = F.col(f"s.{_SRC}").isNotNull()
     out = []
     for c in target.columns:
-        if c in source.columns:
+        if c in keys:
+            out.append(_c(c))
+        elif c in source_cols:
             out.append(F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c))
         else:
             out.append(F.col(f"t.`{c}`").alias(c))
-    return joined.select(*out)
+    inserted_unkeyed = src_unkeyed.select(
+        *[_c(c) if c in source_cols else F.lit(None).cast(target.schema[c].dataType).alias(c)
+          for c in target.columns])
+    return joined.select(*out).unionByName(tgt_unkeyed).unionByName(inserted_unkeyed)
 
 
 def update_by_key(target: DataFrame, source: DataFrame, key: str,
@@ -129,8 +139,10 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
     src = source.filter(_c(key).isNotNull())
     src = last_per_key(src, [key], order_by) if order_by else src
     src = src.drop(*order_only).withColumn(_SRC, F.lit(True))
-    joined = target.alias("t").join(src.alias("s"), F.col(f"t.`{key}`") == F.col(f"s.`{key}`"),
-                                    "left")
+    # target rows with a NULL key match nothing: route them around the join
+    tgt_keyed, tgt_unkeyed = target.filter(_c(key).isNotNull()), target.filter(_c(key).isNull())
+    joined = tgt_keyed.alias("t").join(src.alias("s"), F.col(f"t.`{key}`") == F.col(f"s.`{key}`"),
+                                       "left")
     matched = F.col(f"s.{_SRC}").isNotNull()
     out = []
     for c in target.columns:
@@ -138,4 +150,4 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
             out.append(F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c))
         else:
             out.append(F.col(f"t.`{c}`").alias(c))
-    return joined.select(*out)
+    return joined.select(*out).unionByName(tgt_unkeyed)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.functions import columns as C
+from linefeed.operators.joins import join_dimension
 
 PREVIEW_DEFAULT, PREVIEW_MAX = 5000, 100_000
 
@@ -37,15 +38,16 @@ def first_match_in_list(rows: DataFrame, group: str, idx: str, name: str, patter
     present = rows.select(group, idx).distinct()
     successor = present.select(group, (F.col(idx) - F.lit(1)).alias(idx),
                                F.lit(True).alias("__has_next"))
-    # first position at or after the start whose successor is missing = end of the run
-    ends = (present.join(start, group)
+    # first position at or after the start whose successor is missing = end of the run;
+    # the per-list bounds (one row per list) join back as size-checked dimensions
+    ends = (join_dimension(present, start, group)
                    .filter(F.col(idx) >= F.col("__start"))
                    .join(successor, [group, idx], "left")
                    .filter(F.col("__has_next").isNull())
                    .groupBy(group).agg(F.min(idx).alias("__end")))
-    hits = (rows.join(start, group).join(ends, group)
-                .filter((F.col(idx) >= F.col("__start")) & (F.col(idx) <= F.col("__end"))
-                        & C.contains_ci(name, pattern)))
+    bounds = start.join(ends, group)
+    hits = (join_dimension(rows.filter(C.contains_ci(name, pattern)), bounds, group)
+                .filter((F.col(idx) >= F.col("__start")) & (F.col(idx) <= F.col("__end"))))
     first = (hits.groupBy(group)
                  .agg(F.min_by(F.struct(F.col(idx).alias("index"),
                                         F.lower(F.col(name)).alias("name"),

@@ -239,9 +239,13 @@ def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.land_snapshots(docs, f"{base}/landing/again")
     table = VersionedTable(spark, f"{base}/pkmc", "pkmc")
     table.commit(pkmc_table(spark, sf_dir), version=0)
+    # the forecast and demand tables are stored tables, written once by PL5/PL3
+    forecast_path, fx4pd_path = f"{base}/forecast", f"{base}/fx4pd"
+    forecast_table(spark, sf_dir).write.parquet(forecast_path)
+    fx4pd_clean(spark, sf_dir).write.parquet(fx4pd_path)
     snapshots = stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=2)
-    return consume_once_stream(car_positions(snapshots), forecast_table(spark, sf_dir),
-                               fx4pd_clean(spark, sf_dir), table, f"{base}/checkpoint")
+    return consume_once_stream(car_positions(snapshots), spark.read.parquet(forecast_path),
+                               spark.read.parquet(fx4pd_path), table, f"{base}/checkpoint")
 
 
 QUERIES: dict[str, Query] = {

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of collected DataFrames are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

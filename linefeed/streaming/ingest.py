@@ -56,9 +56,13 @@ def upsert_stream(positions: DataFrame, table: VersionedTable, keys: Sequence[st
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if table.version() is not None and table.version() >= batch_id + 1:
             return  # replayed batch, already committed
-        current = table.current()
-        target = current if current is not None else empty
-        table.commit(upsert(target, batch, keys, order_by), version=batch_id + 1)
+        batch = batch.persist()  # one micro-batch, read by several actions
+        try:
+            current = table.current()
+            target = current if current is not None else empty
+            table.commit(upsert(target, batch, keys, order_by), version=batch_id + 1)
+        finally:
+            batch.unpersist()
 
     _run(positions, merge_batch, checkpoint, timeout_s)
     result = table.current()
@@ -83,7 +87,7 @@ def consume_once_stream(positions: DataFrame, forecast: DataFrame, fx4pd: DataFr
     def consume_batch(batch: DataFrame, batch_id: int) -> None:
         if table.version() is not None and table.version() >= batch_id + 1:
             return
-        seen = batch.select("knr_fx4pd", "takt").distinct()
+        seen = batch.select("knr_fx4pd", "takt").distinct().persist()
         present = (join_dimension(forecast.select("knr_fx4pd", "takt", "partnumber"), seen,
                                   ["knr_fx4pd", "takt"])
                    .select("knr_fx4pd", "partnumber").distinct())
@@ -101,7 +105,10 @@ def consume_once_stream(positions: DataFrame, forecast: DataFrame, fx4pd: DataFr
                                              F.col("lb_balance") - F.col("consumed"))
                                        .otherwise(F.col("lb_balance")))
                           .select(*current.columns))
-        table.commit(updated, version=batch_id + 1)
+        try:
+            table.commit(updated, version=batch_id + 1)
+        finally:
+            seen.unpersist()
 
     _run(sightings, consume_batch, checkpoint, timeout_s)
     return table.current()
