@@ -83,3 +83,23 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     if small is not None:
         return fact.join(F.broadcast(small), on, how)
     return fact.join(dim, on, how)
+
+
+def prepare_keys(df: DataFrame, keys: Sequence[str], normalize=None,
+                 collation: str | None = None) -> DataFrame:
+    """Rewrite join keys in place: an optional normalizer (e.g. F2), then a collation.
+
+    ``collation="UTF8_LCASE"`` makes key equality case-insensitive, the
+    way a case-insensitive database collation compares; the join then
+    hashes on the collation key, so it still shuffles or broadcasts as usual.
+    """
+    out = df
+    for k in keys:
+        c = F.col(k)
+        if normalize is not None:
+            c = normalize(c)
+        if collation:
+            c = F.collate(c, collation)
+        if normalize is not None or collation:
+            out = out.withColumn(k, c)
+    return out

@@ -256,3 +256,13 @@ ORACLE["pkmc_xlsx"] = ORACLE["pkmc_clean"]
 ORACLE["assembly_files"] = ORACLE["assembly_flatten"]
 ORACLE["assembly_stream_upsert"] = ORACLE["assembly_flatten"]
 ORACLE["consume_once_stream"] = ORACLE["consume_apply_sum"]
+
+ORACLE["restock_rejects"] = with_ctes(["restock"], "SELECT * FROM restock WHERE qty_boxes_to_request IS NULL")
+ORACLE["forecast_normalized"] = with_ctes(["fx4pd", "pkmc_t", "pk05"], f"""
+SELECT upper(regexp_replace(f.partnumber, '{PART_CHARS}', '', 'g')) AS partnumber,
+       f.knr_fx4pd, f.qty_usage, f.qty_unit, k.num_reg_circ, a.takt, k.rack, k.lb_balance,
+       k.total_theoretical_qty, k.qty_for_restock, k.qty_per_box, k.qty_max_box
+FROM fx4pd f
+JOIN pkmc_t k ON upper(regexp_replace(k.partnumber, '{PART_CHARS}', '', 'g'))
+               = upper(regexp_replace(f.partnumber, '{PART_CHARS}', '', 'g'))
+JOIN pk05 a ON a.supply_area = k.supply_area""")

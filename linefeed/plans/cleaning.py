@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linefeed.functions import columns as C
 from linefeed.operators.index import with_dense_index
@@ -28,9 +29,15 @@ def filter_pkmc(df: DataFrame) -> DataFrame:
 
 
 def clean_pkmc_columns(df: DataFrame) -> DataFrame:
-    """F1 on ``qty_max_box``, F2 on ``partnumber`` (both replaced in place)."""
-    return df.withColumns({"qty_max_box": C.box_count("qty_max_box"),
-                           "partnumber": C.part_number("partnumber")})
+    """F1 on ``qty_max_box``, F2 on ``partnumber`` (both replaced in place).
+
+    A ``qty_max_box`` that already arrives numeric is cast, not digit-scanned:
+    the digits of ``12.0`` would read as 120.
+    """
+    numeric = isinstance(df.schema["qty_max_box"].dataType, T.NumericType)
+    max_box = (F.coalesce(F.col("qty_max_box").try_cast(T.LongType()), F.lit(0).cast(T.LongType()))
+               if numeric else C.box_count("qty_max_box"))
+    return df.withColumns({"qty_max_box": max_box, "partnumber": C.part_number("partnumber")})
 
 
 def derive_pkmc_columns(df: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.functions.columns import RECEPTION
-from linefeed.operators.joins import join_dimension
+from linefeed.functions import columns as C
+from linefeed.operators.joins import join_dimension, prepare_keys
 from linefeed.operators.ordered import preview
 from linefeed.schemas import FORECAST_COLUMNS
 
@@ -22,15 +23,26 @@ def with_stock(pkmc: DataFrame, stock: DataFrame) -> DataFrame:
                      ["partnumber", "supply_area"], "left")
 
 
-def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame) -> DataFrame:
+def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys: bool = False,
+             key_collation: str | None = None) -> DataFrame:
     """Demand per car x control cycle x station.
 
     ``fx4pd ⋈ pkmc ON partnumber ⋈ pk05 ON supply_area`` with bag
     semantics (a part stored in two areas, or an area listed twice,
-    repeats the demand row).  ``pk05`` and ``pkmc`` are dimension tables:
+    repeats the demand row).  Part numbers are joined as stored by default;
+    ``normalize_keys`` applies the control-cycle normalization (F2) to the
+    demand side too, ``key_collation`` (e.g. ``UTF8_LCASE``) compares keys
+    under a collation.  ``pk05`` and ``pkmc`` are dimension tables:
     each is broadcast only if its size check passes, else shuffled, where
     AQE splits a hot part or area across tasks.
     """
+    if normalize_keys:
+        fx4pd = prepare_keys(fx4pd, ["partnumber"], C.part_number)
+        pkmc = prepare_keys(pkmc, ["partnumber"], C.part_number)
+    if key_collation:
+        fx4pd = prepare_keys(fx4pd, ["partnumber"], collation=key_collation)
+        pkmc = prepare_keys(pkmc, ["partnumber", "supply_area"], collation=key_collation)
+        pk05 = prepare_keys(pk05, ["supply_area"], collation=key_collation)
     cycles = pkmc.select("partnumber", "supply_area", "num_reg_circ", "rack", "lb_balance",
                          "total_theoretical_qty", "qty_for_restock", "qty_per_box", "qty_max_box")
     stations = pk05.select("supply_area", "takt")

@@ -114,6 +114,17 @@ def q_restock_one_call(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       one_call_per_part=True)
 
 
+def q_restock_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restock candidates without a defined box count (no call, listed for correction)."""
+    return restock.restock_rejects(q_restock_candidates(spark, sf_dir))
+
+
+def q_forecast_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with both sides' part numbers normalized (D6 option)."""
+    return forecast.forecast(fx4pd_clean(spark, sf_dir), pkmc_table(spark, sf_dir),
+                             pk05_clean(spark, sf_dir), normalize_keys=True)
+
+
 def q_fx4pd_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL9: first 5000 cleaned demand rows in a fixed order (L1)."""
     return forecast.preview_sorted(fx4pd_clean(spark, sf_dir),
@@ -263,6 +274,8 @@ QUERIES: dict[str, Query] = {
     "consume_apply_sum": q_consume_apply_sum,
     "consume_apply_last": q_consume_apply_last,
     "restock_one_call": q_restock_one_call,
+    "restock_rejects": q_restock_rejects,
+    "forecast_normalized": q_forecast_normalized,
     "fx4pd_preview": q_fx4pd_preview,
     "forecast_preview": q_forecast_preview,
     "row_counts": q_row_counts,

@@ -82,3 +82,24 @@ def test_dense_index_is_partition_independent(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b and [r[0] for r in a] == list(range(len(a)))
+
+
+def test_forecast_key_collation(spark):
+    from linefeed.plans.forecast import forecast
+    fx = spark.createDataFrame([("K1", "p1", 1.0, 1)], "knr_fx4pd string, partnumber string, "
+                               "qty_usage double, qty_unit int")
+    pkmc = spark.createDataFrame([("P1", "LB P1A", "10", "P1A", 5.0, 10, 5, 5, 2)],
+                                 "partnumber string, supply_area string, num_reg_circ string, "
+                                 "rack string, lb_balance double, total_theoretical_qty long, "
+                                 "qty_for_restock long, qty_per_box long, qty_max_box long")
+    pk05 = spark.createDataFrame([("lb p1a", "T1")], "supply_area string, takt string")
+    assert forecast(fx, pkmc, pk05).count() == 0
+    assert forecast(fx, pkmc, pk05, key_collation="UTF8_LCASE").count() == 1
+    assert forecast(fx, pkmc, pk05.withColumn("supply_area", F.upper("supply_area")),
+                    normalize_keys=True).count() == 1
+
+
+def test_numeric_box_count_is_cast(spark):
+    from linefeed.plans.cleaning import clean_pkmc_columns
+    df = spark.createDataFrame([("p1", 12.0)], "partnumber string, qty_max_box double")
+    assert clean_pkmc_columns(df).first()["qty_max_box"] == 12
