@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linefeed.operators.joins import MAX_BROADCAST_ROWS, bounded_copy, join_dimension
+
 _TABLE_NAME = re.compile(r"^[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*$")
 _SRC = "__in_source"
 
@@ -72,7 +74,8 @@ def _order_only(order_by, target: DataFrame) -> list[str]:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
-           order_by: Sequence[str | Column] | None = None) -> DataFrame:
+           order_by: Sequence[str | Column] | None = None,
+           broadcast_max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """K1: ``INSERT ... ON DUPLICATE KEY UPDATE`` on every source column.
 
     * a matched key takes all source columns, NULLs included;
@@ -82,6 +85,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
       (without ``order_by`` the source must not repeat a key); order
       columns the target lacks (e.g. a load timestamp) only rank rows;
     * a source row with a NULL key is always inserted.
+
+    Plan: when the deduplicated source passes the broadcast size check (the
+    usual case: a load is small next to its table), the target is never
+    shuffled: one broadcast left join over the target applies the matches,
+    and a key-only semi join finds which source keys are new.  Otherwise
+    both sides meet in one shuffled full outer join.
     """
     keys = _as_list(keys)
     order_only = _order_only(order_by, target)
@@ -94,26 +103,45 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     src = last_per_key(source, keys, order_by) if order_by else source
     src = src.drop(*order_only)
     source_cols = src.columns
+    values = [c for c in source_cols if c not in keys]
     # NULL keys never match; keep them out of the join so they cannot pile up
     # in the one shuffle partition that NULL hashes to
     src_null, tgt_null = _any_null(src, keys), _any_null(target, keys)
     src_keyed, src_unkeyed = src.filter(~src_null), src.filter(src_null)
     tgt_keyed, tgt_unkeyed = target.filter(~tgt_null), target.filter(tgt_null)
-    s_side = src_keyed.withColumn(_SRC, F.lit(True))
-    joined = tgt_keyed.alias("t").join(s_side.alias("s"), keys, "full_outer")
-    matched = F.col(f"s.{_SRC}").isNotNull()
-    out = []
-    for c in target.columns:
-        if c in keys:
-            out.append(_c(c))
-        elif c in source_cols:
-            out.append(F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c))
-        else:
-            out.append(F.col(f"t.`{c}`").alias(c))
-    inserted_unkeyed = src_unkeyed.select(
-        *[_c(c) if c in source_cols else F.lit(None).cast(target.schema[c].dataType).alias(c)
-          for c in target.columns])
-    return joined.select(*out).unionByName(tgt_unkeyed).unionByName(inserted_unkeyed)
+    s_side = src_keyed.select(*[_c(k) for k in keys], *[_c(c).alias(_SRC + c) for c in values],
+                              F.lit(True).alias(_SRC))
+    matched = F.col(_SRC).isNotNull()
+
+    def merged_columns():
+        out = []
+        for c in target.columns:
+            if c in keys:
+                out.append(_c(c))
+            elif c in values:
+                out.append(F.when(matched, _c(_SRC + c)).otherwise(_c(c)).alias(c))
+            else:
+                out.append(_c(c))
+        return out
+
+    def as_inserted(df: DataFrame) -> DataFrame:
+        return df.select(*[(_c(c) if c in keys else _c(_SRC + c).alias(c)) if c in source_cols
+                           else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                           for c in target.columns])
+
+    small = bounded_copy(s_side, max_rows=broadcast_max_rows)
+    if small is not None:
+        updated = tgt_keyed.join(F.broadcast(small), keys, "left").select(*merged_columns())
+        hit = tgt_keyed.select(*keys).join(F.broadcast(small.select(*keys)), keys, "left_semi")
+        inserted = as_inserted(small.join(hit, keys, "left_anti"))
+        merged = updated.unionByName(inserted)
+    else:
+        joined = tgt_keyed.join(s_side, keys, "full_outer")
+        merged = joined.select(*merged_columns())
+    unkeyed = src_unkeyed.select(*[_c(c) if c in source_cols
+                                   else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                                   for c in target.columns])
+    return merged.unionByName(tgt_unkeyed).unionByName(unkeyed)
 
 
 def update_by_key(target: DataFrame, source: DataFrame, key: str,
@@ -138,16 +166,18 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
         raise ValueError(f"source columns not in target: {unknown}")
     src = source.filter(_c(key).isNotNull())
     src = last_per_key(src, [key], order_by) if order_by else src
-    src = src.drop(*order_only).withColumn(_SRC, F.lit(True))
+    # one row per key after the dedup: a dimension of the target, broadcast when
+    # its size check passes, shuffled (AQE splits hot target keys) otherwise
+    src = src.select(_c(key), *[_c(c).alias(_SRC + c) for c in set_cols],
+                     F.lit(True).alias(_SRC))
     # target rows with a NULL key match nothing: route them around the join
     tgt_keyed, tgt_unkeyed = target.filter(_c(key).isNotNull()), target.filter(_c(key).isNull())
-    joined = tgt_keyed.alias("t").join(src.alias("s"), F.col(f"t.`{key}`") == F.col(f"s.`{key}`"),
-                                       "left")
-    matched = F.col(f"s.{_SRC}").isNotNull()
+    joined = join_dimension(tgt_keyed, src, key, "left")
+    matched = F.col(_SRC).isNotNull()
     out = []
     for c in target.columns:
         if c in set_cols:
-            out.append(F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c))
+            out.append(F.when(matched, _c(_SRC + c)).otherwise(_c(c)).alias(c))
         else:
-            out.append(F.col(f"t.`{c}`").alias(c))
+            out.append(_c(c))
     return joined.select(*out).unionByName(tgt_unkeyed)

@@ -19,8 +19,8 @@ def with_stock(pkmc: DataFrame, stock: DataFrame) -> DataFrame:
     it is attached by control cycle (part, supply area); a cycle without a
     stock row has a NULL balance.
     """
-    return pkmc.join(stock.select("partnumber", "supply_area", "lb_balance"),
-                     ["partnumber", "supply_area"], "left")
+    return join_dimension(pkmc, stock.select("partnumber", "supply_area", "lb_balance"),
+                          ["partnumber", "supply_area"], "left")
 
 
 def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys: bool = False,

@@ -16,7 +16,8 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_upsert_rules(spark):
+@pytest.mark.parametrize("bmax", [0, 100])
+def test_upsert_rules(spark, bmax):
     target = spark.createDataFrame([("x", 1, "t1", 9.0), ("y", 2, "t2", 8.0), ("z", 3, "t3", 7.0)],
                                    TARGET)
     source = spark.createDataFrame([("x", None, "s1", 1),     # match, NULL overwrites
@@ -24,7 +25,7 @@ def test_upsert_rules(spark):
                                     ("n", 5, "s5", 1),         # new key
                                     (None, 6, "s6", 1)],       # NULL key: inserted
                                    SOURCE)
-    got = rows(upsert(target, source, ["k"], order_by=["ord"]))
+    got = rows(upsert(target, source, ["k"], order_by=["ord"], broadcast_max_rows=bmax))
     assert got == sorted([("x", None, "s1", 9.0), ("y", 21, "new", 8.0), ("z", 3, "t3", 7.0),
                           ("n", 5, "s5", None), (None, 6, "s6", None)], key=repr)
 
