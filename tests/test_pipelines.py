@@ -44,9 +44,11 @@ def test_core_plans_have_no_python(spark, sf_small):
 
 
 def test_dimension_joins_broadcast(spark, sf_small):
+    # the dimensions are materialized by their size check; the fact side meets
+    # them in a broadcast join and is never shuffled
     plan = plan_text(Q.forecast_table(spark, sf_small))
-    assert plan.count("BroadcastHashJoin") >= 3
-    assert "SortMergeJoin" not in plan
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
 def test_filters_reach_the_scan(spark, sf_small):
