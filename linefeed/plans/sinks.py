@@ -17,6 +17,19 @@ from linefeed.operators.merge import check_table_name
 POINTER = "_current"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Materialize ``df`` once as a table in the shared checkpoint folder.
+
+    Used where one plan reads the same intermediate table several times
+    (as the source system re-reads its stored tables): later readers scan
+    the stored copy instead of recomputing it, and lineage is cut, so an
+    executor loss never reruns the upstream pipeline.
+    """
+    from linefeed.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def count_rows(df: DataFrame, table: str) -> DataFrame:
     """A1: ``(table_name, rows)`` of a frame, as a one-row aggregate (partial per task)."""
     return df.agg(F.count(F.lit(1)).alias("rows")).select(

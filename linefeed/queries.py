@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from linefeed import fixtures as X
@@ -18,7 +17,7 @@ from linefeed.operators.merge import last_per_key, update_by_key, upsert
 from linefeed.operators.ordered import first_match_in_list
 from linefeed.plans import cleaning, consumption, forecast, restock
 from linefeed.plans.assembly import assembly_records
-from linefeed.plans.sinks import VersionedTable, count_rows
+from linefeed.plans.sinks import VersionedTable, count_rows, stored
 from linefeed.plans.transfer import pending_orders
 from linefeed.schemas import FX4PD_POSITIONS, PKMC_HEADERS, PKMC_RAW
 from linefeed.session import staging_path
@@ -62,6 +61,37 @@ def forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                              pk05_clean(spark, sf_dir))
 
 
+class Inputs:
+    """The tables one query reads, each built once; tables read by several
+    steps of the query are stored (materialized) on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: tuple[str, ...] = ()):
+        self.spark, self.sf_dir, self.store = spark, sf_dir, set(store)
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._built:
+            df = build()
+            self._built[name] = stored(df) if name in self.store else df
+        return self._built[name]
+
+    def pkmc(self) -> DataFrame:
+        return self._get("pkmc", lambda: pkmc_table(self.spark, self.sf_dir))
+
+    def pk05(self) -> DataFrame:
+        return self._get("pk05", lambda: pk05_clean(self.spark, self.sf_dir))
+
+    def fx4pd(self) -> DataFrame:
+        return self._get("fx4pd", lambda: fx4pd_clean(self.spark, self.sf_dir))
+
+    def assembly(self) -> DataFrame:
+        return self._get("assembly", lambda: assembly_line(self.spark, self.sf_dir))
+
+    def forecast(self) -> DataFrame:
+        return self._get("forecast", lambda: forecast.forecast(self.fx4pd(), self.pkmc(),
+                                                               self.pk05()))
+
+
 # --- registered queries -----------------------------------------------------
 
 def q_pkmc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,21 +121,21 @@ def q_reception_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_consume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL6 rows: J2 + P12 + P13."""
-    return consumption.consumption_rows(forecast_table(spark, sf_dir),
-                                        assembly_line(spark, sf_dir), pkmc_table(spark, sf_dir))
+    t = Inputs(spark, sf_dir, store=("pkmc",))
+    return consumption.consumption_rows(t.forecast(), t.assembly(), t.pkmc())
 
 
 def q_consume_apply_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL6 + K2, summed usage per part."""
-    return consumption.apply_consumption(pkmc_table(spark, sf_dir), forecast_table(spark, sf_dir),
-                                         assembly_line(spark, sf_dir), fx4pd_clean(spark, sf_dir),
+    t = Inputs(spark, sf_dir, store=("pkmc", "fx4pd", "assembly"))
+    return consumption.apply_consumption(t.pkmc(), t.forecast(), t.assembly(), t.fx4pd(),
                                          mode="sum")
 
 
 def q_consume_apply_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL6 + K2, last written row per part wins."""
-    return consumption.apply_consumption(pkmc_table(spark, sf_dir), forecast_table(spark, sf_dir),
-                                         assembly_line(spark, sf_dir), mode="last")
+    t = Inputs(spark, sf_dir, store=("pkmc",))
+    return consumption.apply_consumption(t.pkmc(), t.forecast(), t.assembly(), mode="last")
 
 
 def q_restock_one_call(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,11 +169,12 @@ def q_forecast_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1/K6: rows of every table the pipelines write."""
-    parts = [count_rows(fx4pd_clean(spark, sf_dir), "fx4pd"),
-             count_rows(forecast_table(spark, sf_dir), "forecast"),
-             count_rows(pkmc_clean(spark, sf_dir), "pkmc"),
-             count_rows(pk05_clean(spark, sf_dir), "pk05"),
-             count_rows(assembly_line(spark, sf_dir), "assembly_line")]
+    t = Inputs(spark, sf_dir, store=("fx4pd", "pkmc", "pk05"))
+    parts = [count_rows(t.fx4pd(), "fx4pd"),
+             count_rows(t.forecast(), "forecast"),
+             count_rows(t.pkmc(), "pkmc"),
+             count_rows(t.pk05(), "pk05"),
+             count_rows(t.assembly(), "assembly_line")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -236,7 +267,7 @@ def q_assembly_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linefeed.schemas import ASSEMBLY_LINE
     base = staging_path(spark, "assembly-stream")
     X.land_snapshots(X.assembly_snapshots(spark, sf_dir), f"{base}/landing")
-    positions = car_positions(stream_snapshots(spark, f"{base}/landing", max_files_per_trigger=1))
+    positions = car_positions(stream_snapshots(spark, f"{base}/landing", max_files_per_trigger=2))
     table = VersionedTable(spark, f"{base}/assembly_line", "assembly_line")
     empty = spark.createDataFrame([], ASSEMBLY_LINE)
     return upsert_stream(positions, table, ["knr"], ["snapshot_ts"], empty, f"{base}/checkpoint")
@@ -245,16 +276,19 @@ def q_assembly_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every snapshot landed twice; each car x station is consumed once."""
     base = staging_path(spark, "consume-stream")
-    docs = X.assembly_snapshots(spark, sf_dir)
+    docs = stored(X.assembly_snapshots(spark, sf_dir))
     X.land_snapshots(docs, f"{base}/landing/first")
     X.land_snapshots(docs, f"{base}/landing/again")
+    t = Inputs(spark, sf_dir, store=("pkmc", "fx4pd"))
     table = VersionedTable(spark, f"{base}/pkmc", "pkmc")
-    table.commit(pkmc_table(spark, sf_dir), version=0)
-    # the forecast and demand tables are stored tables, written once by PL5/PL3
+    table.commit(t.pkmc(), version=0)
+    # the forecast and demand tables are stored tables (written by PL5/PL3);
+    # the stream reads only these columns of them
     forecast_path, fx4pd_path = f"{base}/forecast", f"{base}/fx4pd"
-    forecast_table(spark, sf_dir).write.parquet(forecast_path)
-    fx4pd_clean(spark, sf_dir).write.parquet(fx4pd_path)
-    snapshots = stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=2)
+    t.forecast().select("knr_fx4pd", "takt", "partnumber").write.parquet(forecast_path)
+    t.fx4pd().select("knr_fx4pd", "partnumber", "qty_usage").write.parquet(fx4pd_path)
+    # 4 files per landing, 4 per trigger: the second landing arrives in later batches
+    snapshots = stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=4)
     return consume_once_stream(car_positions(snapshots), spark.read.parquet(forecast_path),
                                spark.read.parquet(fx4pd_path), table, f"{base}/checkpoint")
 

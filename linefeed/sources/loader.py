@@ -14,14 +14,20 @@ PARQUET_SUFFIXES = (".parquet",)
 CSV_SUFFIXES = (".csv", ".txt")
 
 
+SPREAD_MAX = 64
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least one partition per core.
+    """Give a scan with too few splits one partition per core (at most 64).
 
-    A file written as a single row group is read by one task however many
-    cores exist; a round-robin repartition spreads it.  Scans that already
-    have enough splits (every large input) are returned unchanged.
+    A file written as a single row group (or an unsplittable file) is read
+    by one task however many cores exist; a round-robin repartition spreads
+    it.  Such an input is at most one split (~128 MB), so 64 parts are
+    plenty even on a large cluster; scans that already have enough splits
+    (every large input) are returned unchanged.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or min(cores, SPREAD_MAX)
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)

@@ -81,3 +81,21 @@ def test_observed_write_and_versions(spark):
     assert table.version() == 1 and table.current().count() == 3
     table.commit(table.current().union(spark.range(3, 4)))
     assert table.version() == 2 and table.current().count() == 4
+
+
+def test_raw_snapshot_pass_through(spark):
+    from linefeed.sources.snapshots import raw_snapshots
+    d = scratch()
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('{"lane_1": {}}\n{"reception": {}}\n')
+    raw = raw_snapshots(read_snapshots(spark, d))
+    assert raw.columns == ["value"]
+    assert sorted(r[0] for r in raw.collect()) == ['{"lane_1": {}}', '{"reception": {}}']
+
+
+def test_spread_only_when_needed(spark):
+    from linefeed.sources.loader import spread
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 64)
+    many = spark.range(0, 100, numPartitions=64)
+    assert spread(many) is many
