@@ -94,7 +94,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
               properties: Mapping[str, str] | None = None) -> DataFrame:
     """S7 for an external database: a range-partitioned parallel read.
 
-    The reference fetches a whole query result into one process; here the
+    The source system fetches a whole query result into one process; here the
     table is split into ``num_partitions`` ranges of ``partition_column``,
     each read by its own task.
     """
