@@ -101,14 +101,12 @@ def test_spread_only_when_needed(spark):
     assert spread(many) is many
 
 
-def test_excel_header_schema_and_chunks(spark, monkeypatch):
-    import linefeed.sources.excel as XL
+def test_excel_header_schema_and_chunks(spark):
     d = scratch()
     rows = [(f"p{i}", i) for i in range(25)]
     with open(os.path.join(d, "big.xlsx"), "wb") as f:
         f.write(X.workbook_bytes(["Material", "Quantidade Kanban"], rows))
-    monkeypatch.setattr(XL, "CHUNK_ROWS", 10)   # several pandas chunks per workbook
-    df = read_excel(spark, d)
+    df = read_excel(spark, d, chunk_rows=10)   # three pandas chunks for one workbook
     assert df.columns == ["Material", "Quantidade Kanban"]
     got = sorted((r[0], r[1]) for r in df.collect())
     assert got == sorted((f"p{i}", str(i)) for i in range(25))
