@@ -19,7 +19,7 @@ from linefeed.plans import cleaning, consumption, forecast, restock
 from linefeed.plans.assembly import assembly_records
 from linefeed.plans.sinks import VersionedTable, count_rows, stored
 from linefeed.plans.transfer import pending_orders
-from linefeed.schemas import FX4PD_POSITIONS, PKMC_HEADERS, PKMC_RAW
+from linefeed.schemas import PKMC_HEADERS, PKMC_RAW
 from linefeed.session import staging_path
 from linefeed.sources.loader import load_table
 from linefeed.sources.snapshots import read_snapshots, stream_snapshots
