@@ -74,15 +74,42 @@ def bounded_copy(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
                    how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Equi-join ``fact`` with ``dim``; broadcast ``dim`` only if it is proven small."""
+                   max_bytes: int = MAX_BROADCAST_BYTES,
+                   range_prune: Sequence[str] = ()) -> DataFrame:
+    """Equi-join ``fact`` with ``dim``; broadcast ``dim`` only if it is proven small.
+
+    ``range_prune`` names join keys whose [min, max] on the small side is
+    applied to ``fact`` as a filter before an inner or semi join (rows
+    outside the range cannot match).  On a stored table laid out by that
+    key, parquet skips every row group outside the range.
+    """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         # the build side of a broadcast join must be the non-preserved side
         return fact.join(dim, on, how)
     small = bounded_copy(dim, max_rows, max_bytes)
-    if small is not None:
-        return fact.join(F.broadcast(small), on, how)
-    return fact.join(dim, on, how)
+    if small is None:
+        return fact.join(dim, on, how)
+    if range_prune and how in ("inner", "left_semi"):
+        fact = fact.filter(key_range(small, range_prune))
+    return fact.join(F.broadcast(small), on, how)
+
+
+def key_range(small: DataFrame, cols: Sequence[str]) -> F.Column:
+    """``lo <= col <= hi`` for each column, from the min/max of a small frame.
+
+    Only the two bounds per column reach the driver.  An empty frame gives
+    a predicate that is always false.
+    """
+    aggs = [f(F.col(c)).alias(f"{n}_{i}") for i, c in enumerate(cols)
+            for n, f in (("lo", F.min), ("hi", F.max))]
+    bounds = small.agg(*aggs).first()
+    cond = F.lit(True)
+    for i, c in enumerate(cols):
+        lo, hi = bounds[f"lo_{i}"], bounds[f"hi_{i}"]
+        if lo is None:
+            return F.lit(False)
+        cond = cond & F.col(c).between(F.lit(lo), F.lit(hi))
+    return cond
 
 
 def prepare_keys(df: DataFrame, keys: Sequence[str], normalize=None,

@@ -50,6 +50,19 @@ def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys:
     return join_dimension(fx4pd, cycle_station, "partnumber").select(*FORECAST_COLUMNS)
 
 
+def store_by_car(df: DataFrame, path: str, files: int | None = None) -> str:
+    """Write a per-car table (forecast, demand) laid out by ``knr_fx4pd``.
+
+    Rows are range-partitioned and sorted by the car key, so every file and
+    row group covers a narrow key range and a filter on a band of cars
+    (the cars now on the line) skips the rest from parquet statistics.
+    """
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, "knr_fx4pd").sortWithinPartitions("knr_fx4pd")
+       .write.parquet(path))
+    return path
+
+
 def reception_buffer(assembly_line: DataFrame) -> DataFrame:
     """Cars waiting in reception."""
     return (assembly_line.filter(F.col("lane") == RECEPTION)

@@ -285,8 +285,8 @@ def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the forecast and demand tables are stored tables (written by PL5/PL3);
     # the stream reads only these columns of them
     forecast_path, fx4pd_path = f"{base}/forecast", f"{base}/fx4pd"
-    t.forecast().select("knr_fx4pd", "takt", "partnumber").write.parquet(forecast_path)
-    t.fx4pd().select("knr_fx4pd", "partnumber", "qty_usage").write.parquet(fx4pd_path)
+    forecast.store_by_car(t.forecast().select("knr_fx4pd", "takt", "partnumber"), forecast_path)
+    forecast.store_by_car(t.fx4pd().select("knr_fx4pd", "partnumber", "qty_usage"), fx4pd_path)
     # 4 files per landing, 4 per trigger: the second landing arrives in later batches
     snapshots = stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=4)
     return consume_once_stream(car_positions(snapshots), spark.read.parquet(forecast_path),

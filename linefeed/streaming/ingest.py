@@ -89,11 +89,11 @@ def consume_once_stream(positions: DataFrame, forecast: DataFrame, fx4pd: DataFr
             return
         seen = batch.select("knr_fx4pd", "takt").distinct().persist()
         present = (join_dimension(forecast.select("knr_fx4pd", "takt", "partnumber"), seen,
-                                  ["knr_fx4pd", "takt"])
+                                  ["knr_fx4pd", "takt"], range_prune=["knr_fx4pd"])
                    .select("knr_fx4pd", "partnumber").distinct())
         cars = seen.select("knr_fx4pd").distinct()
         demand = join_dimension(fx4pd.select("knr_fx4pd", "partnumber", "qty_usage"), cars,
-                                "knr_fx4pd", "left_semi")
+                                "knr_fx4pd", "left_semi", range_prune=["knr_fx4pd"])
         usage = (demand.groupBy("knr_fx4pd", "partnumber")
                        .agg(F.sum(F.coalesce(F.col("qty_usage"), F.lit(0.0))).alias("usage")))
         consumed = (present.join(usage, ["knr_fx4pd", "partnumber"])

@@ -105,3 +105,19 @@ def test_numeric_box_count_is_cast(spark):
     from linefeed.plans.cleaning import clean_pkmc_columns
     df = spark.createDataFrame([("p1", 12.0)], "partnumber string, qty_max_box double")
     assert clean_pkmc_columns(df).first()["qty_max_box"] == 12
+
+
+def test_car_band_reaches_stored_forecast_scan(spark, sf_small):
+    from linefeed.operators.joins import join_dimension
+    from linefeed.plans.forecast import store_by_car
+    from linefeed.session import staging_path
+    path = store_by_car(Q.forecast_table(spark, sf_small).select("knr_fx4pd", "takt", "partnumber"),
+                        staging_path(spark, "fc-by-car"))
+    stored_fc = spark.read.parquet(path)
+    cars = Q.assembly_line(spark, sf_small).select("knr_fx4pd", "takt") \
+        .filter(F.col("knr_fx4pd").between("3810000100", "3810000300"))
+    joined = join_dimension(stored_fc, cars, ["knr_fx4pd", "takt"], range_prune=["knr_fx4pd"])
+    plan = plan_text(joined)
+    assert "GreaterThanOrEqual(knr_fx4pd" in plan and "LessThanOrEqual(knr_fx4pd" in plan
+    full = stored_fc.join(cars, ["knr_fx4pd", "takt"])
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, full.collect()))
