@@ -12,12 +12,18 @@ plain table names (``{part}`` -> ``part``).
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefeed.schemas import FX4PD_POSITIONS, PK05_HEADERS, PKMC_HEADERS
 from linefeed.sources.loader import spread
 
+# the workbook writer runs in Python workers: ship this module's code by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PKMC_RAW_SQL = """
 SELECT CASE p_partkey % 4 WHEN 0 THEN 'p.' || CAST(p_partkey AS STRING)
                           WHEN 1 THEN ' P ' || CAST(p_partkey AS STRING) || ' '
