@@ -32,9 +32,12 @@ def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys:
     repeats the demand row).  Part numbers are joined as stored by default;
     ``normalize_keys`` applies the control-cycle normalization (F2) to the
     demand side too, ``key_collation`` (e.g. ``UTF8_LCASE``) compares keys
-    under a collation.  ``pk05`` and ``pkmc`` are dimension tables:
-    each is broadcast only if its size check passes, else shuffled, where
-    AQE splits a hot part or area across tasks.
+    under a collation.
+
+    Join order: demand meets the control cycles first (the one join that
+    may have to shuffle when the cycles outgrow the broadcast bound; AQE
+    then splits a hot part), and the supply areas join last as a broadcast,
+    so the fan-out to stations happens after any shuffle, never before it.
     """
     if normalize_keys:
         fx4pd = prepare_keys(fx4pd, ["partnumber"], C.part_number)
@@ -46,8 +49,8 @@ def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys:
     cycles = pkmc.select("partnumber", "supply_area", "num_reg_circ", "rack", "lb_balance",
                          "total_theoretical_qty", "qty_for_restock", "qty_per_box", "qty_max_box")
     stations = pk05.select("supply_area", "takt")
-    cycle_station = join_dimension(cycles, stations, "supply_area")
-    return join_dimension(fx4pd, cycle_station, "partnumber").select(*FORECAST_COLUMNS)
+    demand_cycles = join_dimension(fx4pd, cycles, "partnumber")
+    return join_dimension(demand_cycles, stations, "supply_area").select(*FORECAST_COLUMNS)
 
 
 def store_by_car(df: DataFrame, path: str, files: int | None = None) -> str:
