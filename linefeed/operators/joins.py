@@ -22,6 +22,15 @@ from linefeed.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# session settings that override the bounds (e.g. 0 forces every shuffle path)
+ROWS_CONF = "spark.linefeed.broadcast.maxRows"
+BYTES_CONF = "spark.linefeed.broadcast.maxBytes"
+
+
+def _bounds(spark, max_rows: int | None, max_bytes: int | None) -> tuple[int, int]:
+    rows = max_rows if max_rows is not None else int(spark.conf.get(ROWS_CONF, str(MAX_BROADCAST_ROWS)))
+    size = max_bytes if max_bytes is not None else int(spark.conf.get(BYTES_CONF, str(MAX_BROADCAST_BYTES)))
+    return rows, size
 
 
 _FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
@@ -43,21 +52,22 @@ def _row_bytes(schema: T.StructType) -> F.Column:
     return total
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None,
+                   max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
     The check reads at most ``max_rows + 1`` rows, so its cost is bounded
     by the limit rather than by the table.
     """
+    max_rows, max_bytes = _bounds(df.sparkSession, max_rows, max_bytes)
     probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
                                        F.sum(_row_bytes(df.schema)).alias("b")).first()
     rows, size = probe["n"], probe["b"] or 0
     return rows <= max_rows and size <= max_bytes
 
 
-def bounded_copy(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                 max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame | None:
+def bounded_copy(dim: DataFrame, max_rows: int | None = None,
+                 max_bytes: int | None = None) -> DataFrame | None:
     """The whole of ``dim``, materialized, if it has <= max_rows rows and <= max_bytes bytes.
 
     At most ``max_rows + 1`` rows are computed and written, so the check
@@ -65,6 +75,9 @@ def bounded_copy(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     when the bound does not hold.
     """
     ensure_checkpoint_dir(dim.sparkSession)
+    max_rows, max_bytes = _bounds(dim.sparkSession, max_rows, max_bytes)
+    if max_rows <= 0:
+        return None
     copy = dim.limit(max_rows + 1).checkpoint(eager=True)
     probe = copy.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim.schema)).alias("b")).first()
     if probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes:
@@ -73,8 +86,8 @@ def bounded_copy(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
-                   how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES,
+                   how: str = "inner", max_rows: int | None = None,
+                   max_bytes: int | None = None,
                    range_prune: Sequence[str] = ()) -> DataFrame:
     """Equi-join ``fact`` with ``dim``; broadcast ``dim`` only if it is proven small.
 

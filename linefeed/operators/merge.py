@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefeed.operators.joins import MAX_BROADCAST_ROWS, bounded_copy, join_dimension
+from linefeed.operators.joins import bounded_copy, join_dimension
 
 _TABLE_NAME = re.compile(r"^[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*$")
 _SRC = "__in_source"
@@ -75,7 +75,7 @@ def _order_only(order_by, target: DataFrame) -> list[str]:
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
            order_by: Sequence[str | Column] | None = None,
-           broadcast_max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           broadcast_max_rows: int | None = None) -> DataFrame:
     """K1: ``INSERT ... ON DUPLICATE KEY UPDATE`` on every source column.
 
     * a matched key takes all source columns, NULLs included;

@@ -10,8 +10,16 @@ from tests.harness import compare, duck_connection
 
 
 def main(names: list[str], sf_dir: str = "/root/testdata/sf0.01") -> int:
+    import os
+
     import __spark_entry__ as E
     spark = build_session()
+    if os.environ.get("LINEFEED_NO_BROADCAST"):
+        # exercise every shuffle fallback: no dimension passes the size check and
+        # Spark's own planner may not broadcast either
+        spark.conf.set("spark.linefeed.broadcast.maxRows", "0")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con = duck_connection(sf_dir)
     queries, oracle = E.queries(), E.oracle_sql()
     bad = 0
