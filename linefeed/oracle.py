@@ -266,3 +266,4 @@ FROM fx4pd f
 JOIN pkmc_t k ON upper(regexp_replace(k.partnumber, '{PART_CHARS}', '', 'g'))
                = upper(regexp_replace(f.partnumber, '{PART_CHARS}', '', 'g'))
 JOIN pk05 a ON a.supply_area = k.supply_area""")
+ORACLE["store_consume"] = ORACLE["consume_apply_sum"]

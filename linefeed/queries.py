@@ -293,6 +293,30 @@ def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                                spark.read.parquet(fx4pd_path), table, f"{base}/checkpoint")
 
 
+def q_store_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: landed exports and snapshots -> load jobs -> stored tables -> consumption.
+
+    Workbooks, the demand CSV and the snapshots are landed as files, loaded
+    by the jobs of ``linefeed.plans.jobs`` into a versioned table store,
+    the stock balances are set (K2), and consumption runs on the stored
+    tables; the result is the final control-cycle table.
+    """
+    from linefeed.plans import jobs
+    base = staging_path(spark, "store")
+    X.write_workbooks(X.pkmc_workbook(spark, sf_dir), f"{base}/in/pkmc.xlsx")
+    X.write_workbooks(X.pk05_workbook(spark, sf_dir), f"{base}/in/pk05.xlsx")
+    X.land_csv(X.fx4pd_file(spark, sf_dir), f"{base}/in/fx4pd")
+    X.land_snapshots(X.assembly_snapshots(spark, sf_dir), f"{base}/in/snapshots")
+    store, at = jobs.TableStore(spark, f"{base}/tables"), {"base": base}
+    jobs.load_pkmc(store, "{base}/in/pkmc.xlsx", at)
+    jobs.set_balances(store, X.fixture(spark, sf_dir, "stock").select("partnumber", "lb_balance"))
+    jobs.load_pk05(store, "{base}/in/pk05.xlsx", at)
+    jobs.load_forecast(store, "{base}/in/fx4pd/export.csv", at)
+    jobs.load_assembly(store, f"{base}/in/snapshots")
+    jobs.consume(store, mode="sum")
+    return store.read("pkmc").drop("id")
+
+
 QUERIES: dict[str, Query] = {
     "pkmc_clean": pkmc_clean,
     "pk05_clean": pk05_clean,
@@ -323,4 +347,5 @@ QUERIES: dict[str, Query] = {
     "assembly_files": q_assembly_files,
     "assembly_stream_upsert": q_assembly_stream_upsert,
     "consume_once_stream": q_consume_once_stream,
+    "store_consume": q_store_consume,
 }
