@@ -15,6 +15,24 @@ CSV_SUFFIXES = (".csv", ".txt")
 
 
 SPREAD_MAX = 64
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files behind a scan (None when unknown or many files)."""
+    files = df.inputFiles()
+    if not files or len(files) > SPREAD_MAX:
+        return None
+    try:
+        import pyarrow.fs as pafs
+        total = 0
+        for uri in files:
+            path = "/" + uri[len("file:"):].lstrip("/") if uri.startswith("file:") else uri
+            fs, p = pafs.FileSystem.from_uri(path)
+            total += fs.get_file_info(p).size or 0
+        return total
+    except Exception:  # file system without a pyarrow client: size unknown
+        return None
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -23,13 +41,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A file written as a single row group (or an unsplittable file) is read
     by one task however many cores exist; a round-robin repartition spreads
     it.  Such an input is at most one split (~128 MB), so 64 parts are
-    plenty even on a large cluster; scans that already have enough splits
-    (every large input) are returned unchanged.
+    plenty even on a large cluster.  Scans that already have enough splits
+    (every large input) and inputs under 1 MiB (a shuffle would cost more
+    than it saves) are returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     target = min_partitions or min(cores, SPREAD_MAX)
     if df.rdd.getNumPartitions() >= target:
         return df
+    size = _input_bytes(df)
+    if size is not None and size < SPREAD_MIN_BYTES:
+        return df
     return df.repartition(target)
 
 

@@ -93,12 +93,14 @@ def test_raw_snapshot_pass_through(spark):
     assert sorted(r[0] for r in raw.collect()) == ['{"lane_1": {}}', '{"reception": {}}']
 
 
-def test_spread_only_when_needed(spark):
+def test_spread_only_when_needed(spark, sf_small):
     from linefeed.sources.loader import spread
     one = spark.range(0, 100, numPartitions=1)
     assert spread(one).rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 64)
     many = spark.range(0, 100, numPartitions=64)
     assert spread(many) is many
+    tiny = spark.read.parquet(f"{sf_small}/region.parquet")
+    assert spread(tiny) is tiny                     # a few KB: not worth a shuffle
 
 
 def test_excel_header_schema_and_chunks(spark):
