@@ -301,7 +301,8 @@ def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = ROWS_PE
 def land_csv(df: DataFrame, folder: str) -> str:
     """Land ``df`` as a header CSV export; returns the ``.csv`` path to read."""
     path = folder.rstrip("/") + "/export.csv"
-    df.write.option("header", True).mode("overwrite").csv(path)
+    (df.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).mode("overwrite").csv(path))
     return path
 
 
