@@ -29,9 +29,35 @@ def repeat_rows(df: DataFrame, count: str | Column, index_name: str = "call_no")
               .withColumn(index_name, F.explode(F.sequence(F.lit(1).cast(T.LongType()), n))))
 
 
-def _object_entries(json_text: Column) -> Column:
-    """Entries of a JSON object as a string map; NULL if the text is not an object."""
-    return F.from_json(json_text, STRING_MAP)
+def _entries(json_text: Column) -> Column:
+    """Entries (key, value) of a JSON object in document order; NULL if not an object."""
+    return F.map_entries(F.from_json(json_text, STRING_MAP))
+
+
+def _last_wins(entries: Column) -> Column:
+    """Drop every entry whose key appears again later in the same object.
+
+    JSON parsers of the source system keep the last value of a repeated
+    key; a parsed map keeps every copy.  ``entries`` must be a column
+    reference (computed in an earlier projection), so the pairwise scan
+    never re-parses the object.  Objects without repeated keys (the norm)
+    pass through after one hashing pass.
+    """
+    n = F.size(entries)
+    unique = F.size(F.array_distinct(entries["key"])) == n
+    scanned = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, n),
+                                                        lambda later: later["key"] == e["key"]))
+    return F.when(unique, entries).otherwise(scanned)
+
+
+def _last_value(entries: Column, key: str) -> Column:
+    """Value of the last entry named ``key`` (NULL when absent or not an object)."""
+    return F.try_element_at(F.filter(entries, lambda x: x["key"] == F.lit(key)),
+                            F.lit(-1))["value"]
+
+
+def _has_key(entries: Column, key: str) -> Column:
+    return F.exists(entries, lambda x: x["key"] == F.lit(key))
 
 
 def flatten_snapshots(docs: DataFrame, text_col: str = "value",
@@ -43,25 +69,32 @@ def flatten_snapshots(docs: DataFrame, text_col: str = "value",
     slots that are objects with a non-empty ``CAR`` object.  ``lane`` is the
     slot's ``LANE`` when that key is present (even if null), else the lane key.
     Each level is parsed as ``map<string,string>``, so a non-object value at
-    one place drops that branch only, never the whole document.
+    one place drops that branch only, never the whole document; a key
+    repeated within one object keeps its last value.
     """
     keep = list(keep or [])
-    lanes = (docs.select(*keep, F.explode(_object_entries(F.col(text_col)))
-                         .alias("lane_key", "lane_json"))
-                 .filter(F.col("lane_key").startswith(LANE_PREFIX)
-                         | F.col("lane_key").startswith(RECEPTION)))
-    fbs = lanes.select(*keep, "lane_key",
-                       F.explode(_object_entries(F.col("lane_json"))).alias("fb_key", "fb_json"))
-    slots = fbs.select(*keep, "lane_key", "fb_key",
-                       F.explode(_object_entries(F.col("fb_json"))).alias("slot_key", "slot_json"))
-    parsed = slots.select(*keep, "lane_key", "fb_key", "slot_key",
-                          _object_entries(F.col("slot_json")).alias("slot"))
-    with_car = parsed.select(*keep, "lane_key", "fb_key", "slot_key", "slot",
-                             _object_entries(F.col("slot")[SLOT_CAR]).alias("car"))
-    cars = with_car.filter(F.size(F.col("car")) > 0)
-    lane = F.when(F.map_contains_key(F.col("slot"), SLOT_LANE), F.col("slot")[SLOT_LANE]) \
+    e = F.col("__entries")
+
+    def level(df: DataFrame, carried: list[str], text: str, key: str, value: str) -> DataFrame:
+        parsed = df.select(*carried, _entries(F.col(text)).alias("__entries"))
+        return parsed.select(*carried, F.inline(_last_wins(e)).alias(key, value))
+
+    lanes = (level(docs, keep, text_col, "lane_key", "lane_json")
+             .filter(F.col("lane_key").startswith(LANE_PREFIX)
+                     | F.col("lane_key").startswith(RECEPTION)))
+    fbs = level(lanes, keep + ["lane_key"], "lane_json", "fb_key", "fb_json")
+    slots = level(fbs, keep + ["lane_key", "fb_key"], "fb_json", "slot_key", "slot_json")
+    # slot and car objects are only read field by field: the last value of a
+    # key is a linear scan of the entries, no de-duplicated map is needed
+    slot = F.col("__slot")
+    car = F.col("__car")
+    parsed = (slots.select(*keep, "lane_key", _entries(F.col("slot_json")).alias("__slot"))
+                   .select(*keep, "lane_key", "__slot",
+                           _entries(_last_value(slot, SLOT_CAR)).alias("__car")))
+    cars = parsed.filter(F.size(car) > 0)
+    lane = F.when(_has_key(slot, SLOT_LANE), _last_value(slot, SLOT_LANE)) \
         .otherwise(F.col("lane_key"))
     return cars.select(*keep,
-                       *[F.col("car")[k].alias(v) for k, v in CAR_FIELDS.items()],
+                       *[_last_value(car, k).alias(v) for k, v in CAR_FIELDS.items()],
                        lane.alias("lane"),
-                       F.col("slot")[SLOT_TACT].alias("takt"))
+                       _last_value(slot, SLOT_TACT).alias("takt"))

@@ -119,3 +119,11 @@ def test_join_dimension_broadcasts_only_small_sides(spark):
     assert fits_broadcast(dim, max_rows=10) and not fits_broadcast(dim, max_rows=9)
     big = join_dimension(fact, dim, "k", max_rows=5)
     assert big.count() == small.count() == 1000
+
+
+def test_flatten_repeated_keys_last_wins(spark):
+    doc = ('{"lane_1": {"fb": {"s": {"CAR": {"KNR": "1"}, "TACT": "T1"}}}, '
+           '"lane_1": {"fb": {"s": {"CAR": {"KNR": "2", "KNR": "3"}, "TACT": "T1", "TACT": "T9"}}}}')
+    assert json.loads(doc)["lane_1"]["fb"]["s"]["TACT"] == "T9"   # Python's reading
+    rows = flatten_snapshots(spark.createDataFrame([(doc,)], "value string")).collect()
+    assert [(r.knr, r.takt) for r in rows] == [("3", "T9")]
