@@ -243,11 +243,12 @@ SELECT c.c_custkey, c.c_name, c.c_nationkey,
 FROM customer c LEFT JOIN latest l ON l.c_custkey = c.c_custkey""",
     "first_match": f"""
 WITH {_SPOOL.strip()}
-SELECT list_day, idx AS "index", lower(name) AS name, hour FROM (
+SELECT strftime(list_day, '%Y-%m-%d') AS list_day, idx AS "index", lower(name) AS name, hour FROM (
   SELECT *, row_number() OVER (PARTITION BY list_day ORDER BY idx) AS rn FROM hits) WHERE rn = 1""",
     "pending_orders": f"""
 WITH transfer_orders AS ({X.duck('transfer_orders')})
-SELECT *, strftime(created, '%d.%m.%Y') AS created_text FROM transfer_orders
+SELECT order_no, warehouse, storage_type, is_open, strftime(created, '%Y-%m-%d') AS created,
+       strftime(created, '%d.%m.%Y') AS created_text FROM transfer_orders
 WHERE warehouse = 'ANC' AND storage_type = 'B01' AND is_open
   AND created BETWEEN DATE '1996-06-01' AND DATE '1996-06-30'""",
 })

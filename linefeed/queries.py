@@ -230,14 +230,22 @@ def spool_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2: per list, the first row named like 'purchase' after the blank head."""
-    return first_match_in_list(spool_lists(spark, sf_dir), "list_day", "idx", "name",
-                               "purchase", extra=["hour"])
+    """L2: per list, the first row named like 'purchase' after the blank head.
+
+    The list day is reported as ISO text (``yyyy-MM-dd``).
+    """
+    found = first_match_in_list(spool_lists(spark, sf_dir), "list_day", "idx", "name",
+                                "purchase", extra=["hour"])
+    return found.withColumn("list_day", F.date_format("list_day", "yyyy-MM-dd"))
 
 
 def q_pending_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open ANC/B01 transfer orders created in June 1996 (+F15 date text)."""
-    return pending_orders(X.fixture(spark, sf_dir, "transfer_orders"), "1996-06-01", "1996-06-30")
+    """Open ANC/B01 transfer orders created in June 1996 (+F15 date text).
+
+    ``created`` is reported as ISO text (``yyyy-MM-dd``) next to the F15 form.
+    """
+    found = pending_orders(X.fixture(spark, sf_dir, "transfer_orders"), "1996-06-01", "1996-06-30")
+    return found.withColumn("created", F.date_format("created", "yyyy-MM-dd"))
 
 
 def q_fx4pd_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
