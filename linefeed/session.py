@@ -30,6 +30,34 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for the production cluster (~100 TB, ~1000 executors).  Shuffles
+# start from many partitions and AQE coalesces them to ~256 MB each, so a
+# 100 TB shuffle never runs with partitions that do not fit an executor;
+# skew splitting starts at 512 MB; scans read 512 MB splits; the dedup state
+# of the consume-once stream lives in RocksDB; stragglers are re-launched.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if not k.startswith("spark.ui.")},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.speculation": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Apply the runtime-settable part of ``CLUSTER_CONF`` where the cluster left it unset."""
+    for key, value in CLUSTER_CONF.items():
+        if key == "spark.speculation":
+            continue  # a context setting: pass it at submit time
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", app: str = "linefeed",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session with the defaults above (tests and benchmarks)."""
