@@ -1,13 +1,12 @@
 """Joins against dimension tables whose size is checked before broadcasting.
 
-A dimension (supply areas, control cycles, cars on the line) is broadcast
-only after a bounded check proves it small: at most ``max_rows + 1`` of
-its rows are materialized once (checkpointed into the shared checkpoint
-folder), counted and their bytes summed.  If the bound holds, exactly that
-materialized copy is broadcast, so the dimension is computed once.
-Beyond the bound the join is left to a shuffle (sort-merge), where AQE
-coalesces partitions and splits skewed ones, so a hot key on the fact
-side never lands whole in one task.
+A dimension (supply areas, control cycles, cars on the line) is
+materialized once into the shared checkpoint folder, in parallel, and its
+rows and bytes are counted from that copy.  Only if both stay within the
+bounds is the copy broadcast; beyond them the same copy is joined by a
+shuffle (sort-merge), where AQE coalesces partitions and splits skewed
+ones, so a hot key on the fact side never lands whole in one task.
+Either way the dimension is computed once.
 """
 
 from __future__ import annotations
@@ -54,35 +53,36 @@ def _row_bytes(schema: T.StructType) -> F.Column:
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None,
                    max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
-
-    The check reads at most ``max_rows + 1`` rows, so its cost is bounded
-    by the limit rather than by the table.
-    """
-    max_rows, max_bytes = _bounds(df.sparkSession, max_rows, max_bytes)
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.sum(_row_bytes(df.schema)).alias("b")).first()
-    rows, size = probe["n"], probe["b"] or 0
-    return rows <= max_rows and size <= max_bytes
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    return measured_copy(df, max_rows, max_bytes)[1]
 
 
-def bounded_copy(dim: DataFrame, max_rows: int | None = None,
-                 max_bytes: int | None = None) -> DataFrame | None:
-    """The whole of ``dim``, materialized, if it has <= max_rows rows and <= max_bytes bytes.
+def measured_copy(dim: DataFrame, max_rows: int | None = None,
+                  max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Materialize ``dim`` once and tell whether it is small enough to broadcast.
 
-    At most ``max_rows + 1`` rows are computed and written, so the check
-    costs no more than the bound however large ``dim`` is.  Returns None
-    when the bound does not hold.
+    The copy is checkpointed into the shared checkpoint folder with the
+    dimension's own partitioning (every task writes its part in parallel;
+    nothing funnels through one task), then its rows and bytes are summed
+    from the copy.  Either way the caller joins this copy, so the
+    dimension's upstream plan runs exactly once, and an executor lost later
+    never recomputes it.  With ``max_rows <= 0`` (broadcasts disabled) the
+    dimension is returned as it is.
     """
-    ensure_checkpoint_dir(dim.sparkSession)
     max_rows, max_bytes = _bounds(dim.sparkSession, max_rows, max_bytes)
     if max_rows <= 0:
-        return None
-    copy = dim.limit(max_rows + 1).checkpoint(eager=True)
+        return dim, False
+    ensure_checkpoint_dir(dim.sparkSession)
+    copy = dim.checkpoint(eager=True)
     probe = copy.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim.schema)).alias("b")).first()
-    if probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes:
-        return copy
-    return None
+    return copy, probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
+
+
+def bounded_copy(dim: DataFrame, max_rows: int | None = None,
+                 max_bytes: int | None = None) -> DataFrame | None:
+    """The materialized ``dim`` if it passes the broadcast bounds, else None."""
+    copy, small = measured_copy(dim, max_rows, max_bytes)
+    return copy if small else None
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
@@ -99,12 +99,12 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         # the build side of a broadcast join must be the non-preserved side
         return fact.join(dim, on, how)
-    small = bounded_copy(dim, max_rows, max_bytes)
-    if small is None:
-        return fact.join(dim, on, how)
+    copy, small = measured_copy(dim, max_rows, max_bytes)
+    if not small:
+        return fact.join(copy, on, how)
     if range_prune and how in ("inner", "left_semi"):
-        fact = fact.filter(key_range(small, range_prune))
-    return fact.join(F.broadcast(small), on, how)
+        fact = fact.filter(key_range(copy, range_prune))
+    return fact.join(F.broadcast(copy), on, how)
 
 
 def key_range(small: DataFrame, cols: Sequence[str]) -> F.Column:

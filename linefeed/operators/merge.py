@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefeed.operators.joins import bounded_copy, join_dimension
+from linefeed.operators.joins import join_dimension, measured_copy
 
 _TABLE_NAME = re.compile(r"^[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*$")
 _SRC = "__in_source"
@@ -129,14 +129,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                            else F.lit(None).cast(target.schema[c].dataType).alias(c)
                            for c in target.columns])
 
-    small = bounded_copy(s_side, max_rows=broadcast_max_rows)
-    if small is not None:
+    materialized, fits = measured_copy(s_side, max_rows=broadcast_max_rows)
+    if fits:
+        small = materialized
         updated = tgt_keyed.join(F.broadcast(small), keys, "left").select(*merged_columns())
         hit = tgt_keyed.select(*keys).join(F.broadcast(small.select(*keys)), keys, "left_semi")
         inserted = as_inserted(small.join(hit, keys, "left_anti"))
         merged = updated.unionByName(inserted)
     else:
-        joined = tgt_keyed.join(s_side, keys, "full_outer")
+        joined = tgt_keyed.join(materialized, keys, "full_outer")
         merged = joined.select(*merged_columns())
     unkeyed = src_unkeyed.select(*[_c(c) if c in source_cols
                                    else F.lit(None).cast(target.schema[c].dataType).alias(c)

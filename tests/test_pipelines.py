@@ -123,9 +123,11 @@ def test_car_band_reaches_stored_forecast_scan(spark, sf_small):
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, full.collect()))
 
 
-@pytest.fixture()
-def no_broadcast(spark):
-    keys = {"spark.linefeed.broadcast.maxRows": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+@pytest.fixture(params=["0", "1"], ids=["raw-dimension", "materialized-dimension"])
+def no_broadcast(spark, request):
+    # 0: no size check at all; 1: every dimension is materialized, measured, too big
+    keys = {"spark.linefeed.broadcast.maxRows": request.param,
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
