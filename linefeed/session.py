@@ -68,7 +68,8 @@ def build_session(master: str = "local[*]", app: str = "linefeed",
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -77,9 +78,22 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only in local mode."""
-    sc = spark.sparkContext
+    """Return the shared checkpoint folder, creating a local one only in local mode.
+
+    On Spark Connect the server's ``spark.checkpoint.dir`` is used as it is.
+    """
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get(CHECKPOINT_CONF, None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -97,4 +111,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set; staging needs a shared folder")
     return f"{base}/linefeed-staging/{name}-{uuid.uuid4().hex[:12]}"

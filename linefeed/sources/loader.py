@@ -45,9 +45,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (every large input) and inputs under 1 MiB (a shuffle would cost more
     than it saves) are returned unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect exposes no RDDs: leave the scan as planned
+        return df
     target = min_partitions or min(cores, SPREAD_MAX)
-    if df.rdd.getNumPartitions() >= target:
+    if splits >= target:
         return df
     size = _input_bytes(df)
     if size is not None and size < SPREAD_MIN_BYTES:
