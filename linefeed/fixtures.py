@@ -160,7 +160,8 @@ def assembly_snapshots(spark: SparkSession, sf_dir: str,
     ``cars_per_snapshot`` cars: ``{lane: {fb: {slot: {CAR, LANE, TACT}}}}``.
     Line slots carry ``LANE``; reception slots leave it out.  Every feeder
     also holds one slot with an empty ``CAR``, and every document a
-    non-lane ``meta`` key, as live snapshots do.
+    non-lane ``meta`` key, as in the documented snapshot shape
+    (FIXTURES.md §1.4).
     """
     flat = fixture(spark, sf_dir, "assembly_flat")
     car = F.to_json(F.struct(F.col("knr").alias("KNR"), F.col("model").alias("MODELL"),
