@@ -47,7 +47,12 @@ def write_observed(df: DataFrame, path: str, table: str, mode: str = "errorifexi
 
 
 class VersionedTable:
-    """A parquet table whose versions live in ``<root>/v=<n>`` behind a pointer file."""
+    """A parquet table whose versions live in ``<root>/v=<n>`` behind a pointer file.
+
+    The pointer is read and moved with ``pyarrow.fs`` (local, S3, GCS, HDFS
+    with libhdfs; write-then-rename); on a file system pyarrow cannot open
+    it is read and written through Spark instead.
+    """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.root, self.name = spark, root.rstrip("/"), check_table_name(name)
@@ -62,16 +67,32 @@ class VersionedTable:
     def version(self) -> int | None:
         """The committed version from the one-line pointer file (None before the first)."""
         import pyarrow.fs as pafs
-        fs, base = self._fs()
+        try:
+            fs, base = self._fs()
+        except Exception:  # a file system pyarrow has no client for: read it with Spark
+            return self._spark_version()
         path = f"{base}/{POINTER}"
         if fs.get_file_info(path).type == pafs.FileType.NotFound:
             return None
         with fs.open_input_stream(path) as f:
             return int(f.read().decode().strip())
 
+    def _spark_version(self) -> int | None:
+        from pyspark.errors import AnalysisException
+        try:
+            row = self.spark.read.text(f"{self.root}/{POINTER}").first()
+        except AnalysisException:  # no pointer yet
+            return None
+        return int(row["value"]) if row else None
+
     def _point_to(self, version: int) -> None:
         """Move the pointer: write a temporary file, then rename it over the pointer."""
-        fs, base = self._fs()
+        try:
+            fs, base = self._fs()
+        except Exception:  # no pyarrow client: Spark writes the one-line pointer
+            (self.spark.createDataFrame([(str(version),)], "value string").coalesce(1)
+                 .write.mode("overwrite").text(f"{self.root}/{POINTER}"))
+            return
         fs.create_dir(base, recursive=True)
         tmp = f"{base}/{POINTER}.tmp"
         with fs.open_output_stream(tmp) as f:
