@@ -78,13 +78,6 @@ def measured_copy(dim: DataFrame, max_rows: int | None = None,
     return copy, probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
 
 
-def bounded_copy(dim: DataFrame, max_rows: int | None = None,
-                 max_bytes: int | None = None) -> DataFrame | None:
-    """The materialized ``dim`` if it passes the broadcast bounds, else None."""
-    copy, small = measured_copy(dim, max_rows, max_bytes)
-    return copy if small else None
-
-
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
                    how: str = "inner", max_rows: int | None = None,
                    max_bytes: int | None = None,

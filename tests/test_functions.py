@@ -93,3 +93,7 @@ def test_blank_and_contains(spark):
 def test_upper_sharp_s(spark, text):
     # Spark upper-cases ß to SS (DuckDB gives ẞ, so oracle data avoids it)
     assert one_col(spark, [text], C.part_number) == ["SS"]
+
+
+def test_fill_null(spark):
+    assert one_col(spark, [None, "x"], lambda c: C.fill_null(c, "-")) == ["-", "x"]

@@ -125,3 +125,26 @@ def test_versioned_table_without_pyarrow_client(spark):
     table.commit(spark.range(3))
     table.commit(spark.range(5))
     assert table.version() == 1 and table.current().count() == 5
+
+
+def test_select_sql_over_frames(spark):
+    from linefeed.sources.loader import select_sql
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    got = select_sql(spark, "SELECT v FROM {t} WHERE k > 1", t=df).collect()
+    assert [r.v for r in got] == ["b"]
+
+
+def test_cluster_conf_only_fills_unset_keys(spark):
+    from linefeed.session import CLUSTER_CONF, apply_cluster_conf
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        apply_cluster_conf(spark)
+        assert spark.conf.get(key) == CLUSTER_CONF[key]
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"   # already set: kept
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
