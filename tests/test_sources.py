@@ -137,14 +137,15 @@ def test_select_sql_over_frames(spark):
 def test_cluster_conf_only_fills_unset_keys(spark):
     from linefeed.session import CLUSTER_CONF, apply_cluster_conf
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    old = spark.conf.get(key, None)
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF if k != "spark.speculation"}
     try:
         spark.conf.unset(key)
         apply_cluster_conf(spark)
         assert spark.conf.get(key) == CLUSTER_CONF[key]
         assert spark.conf.get("spark.sql.shuffle.partitions") == "8"   # already set: kept
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    finally:   # leave the shared test session as it was
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
