@@ -50,10 +50,14 @@ CLUSTER_CONF = {
 
 
 def apply_cluster_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of ``CLUSTER_CONF`` where the cluster left it unset."""
+    """Apply the runtime-settable part of ``CLUSTER_CONF`` where the cluster left it unset.
+
+    Static settings (speculation, the checkpoint cleaner) belong on the
+    submit command line; they are skipped here.
+    """
     for key, value in CLUSTER_CONF.items():
-        if key == "spark.speculation":
-            continue  # a context setting: pass it at submit time
+        if not spark.conf.isModifiable(key):
+            continue
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
 
