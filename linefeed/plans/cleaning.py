@@ -41,10 +41,14 @@ def clean_pkmc_columns(df: DataFrame) -> DataFrame:
 
 
 def derive_pkmc_columns(df: DataFrame) -> DataFrame:
-    """P7, P8, F3 then P6 (rows without a rack are dropped)."""
+    """P7, P8, F3 then P6 (rows without a rack are dropped).
+
+    A product beyond 64 bits gives NULL for that row instead of failing the
+    whole load under ANSI arithmetic.
+    """
     per_box, max_box = F.col("qty_per_box"), F.col("qty_max_box")
-    return (df.withColumns({"total_theoretical_qty": per_box * max_box,
-                            "qty_for_restock": per_box * (max_box - F.lit(1)),
+    return (df.withColumns({"total_theoretical_qty": F.try_multiply(per_box, max_box),
+                            "qty_for_restock": F.try_multiply(per_box, max_box - F.lit(1)),
                             "rack": C.rack("supply_area")})
               .na.drop(subset=["rack"]))
 

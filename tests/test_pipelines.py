@@ -150,3 +150,11 @@ def test_shuffle_paths_match_oracle(spark, duck, sf_small, no_broadcast, name):
     assert r["schema_match"] and r["rows_match"] and r["hash_match"], r
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_pkmc_quantities_never_fail_on_overflow(spark):
+    from linefeed.plans.cleaning import derive_pkmc_columns
+    df = spark.createDataFrame([(10 ** 12, 10 ** 10, "LB P1A"), (6, 4, "LB P2A")],
+                               "qty_per_box long, qty_max_box long, supply_area string")
+    got = [(r.total_theoretical_qty, r.qty_for_restock) for r in derive_pkmc_columns(df).collect()]
+    assert got == [(None, None), (24, 18)]
