@@ -106,8 +106,9 @@ FIXTURE_SQL = {
 }
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    """One driver table (``sf_dir`` may be a str or a path object)."""
+    return spread(spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet"))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
