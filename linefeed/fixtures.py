@@ -37,7 +37,8 @@ SELECT CASE p_partkey % 4 WHEN 0 THEN 'p.' || CAST(p_partkey AS STRING)
        'N' || CAST(p_size AS STRING) AS pack_standard,
        CAST(p_size AS BIGINT) AS qty_per_box,
        CASE p_partkey % 5 WHEN 0 THEN 'MAX: 12' WHEN 1 THEN 'max 5' WHEN 2 THEN '8'
-                          WHEN 3 THEN 'n/a' END AS qty_max_box
+                          WHEN 3 THEN 'n/a' END AS qty_max_box,
+       p_partkey
 FROM {part}
 """
 
@@ -124,11 +125,16 @@ def duck(name: str) -> str:
     return text.format(**{t: t for t in tables})
 
 
-def pkmc_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PKMC export with its original (Portuguese) headers."""
+def pkmc_workbook(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+    """PKMC export with its original (Portuguese) headers.
+
+    ``with_key`` also returns ``p_partkey``, the line order of the export
+    when it is landed with ``write_workbooks(..., order_by=["p_partkey"])``.
+    """
     raw = fixture(spark, sf_dir, "pkmc_raw")
     back = {v: k for k, v in PKMC_HEADERS.items()}
-    return raw.select([F.col(c).alias(back[c]) for c in raw.columns])
+    return raw.select([F.col(c).alias(back[c]) for c in raw.columns if c in back]
+                      + ([F.col("p_partkey")] if with_key else []))
 
 
 def pk05_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,13 +275,20 @@ def workbook_bytes(header: list[str], rows: list[tuple]) -> bytes:
     return buf.getvalue()
 
 
-def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = ROWS_PER_WORKBOOK) -> int:
-    """Land ``df`` as .xlsx workbooks (one per partition); returns the rows written."""
+def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = ROWS_PER_WORKBOOK,
+                    order_by: list[str] | None = None) -> int:
+    """Land ``df`` as .xlsx workbooks (one per partition); returns the rows written.
+
+    With ``order_by`` the lines are laid out in that order across
+    ``part-00000.xlsx``, ``part-00001.xlsx``, ... and within each sheet;
+    the order columns themselves are not written.
+    """
     import math
 
     import pandas as pd
 
-    header = list(df.columns)
+    order_by = list(order_by or [])
+    header = [c for c in df.columns if c not in order_by]
     n = df.count()
     parts = max(1, math.ceil(n / rows_per_workbook))
     folder = folder.rstrip("/")
@@ -295,8 +308,13 @@ def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = ROWS_PE
             out.write(workbook_bytes(header, rows))
         yield pd.DataFrame({"file": [name], "rows": [len(rows)]})
 
-    plain = df.toDF(*[f"c{i}" for i in range(len(header))])  # headers may hold dots
-    written = plain.repartition(parts).mapInPandas(write, "file string, rows bigint")
+    if order_by:
+        arranged = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+    else:
+        arranged = df.repartition(parts)
+    plain = arranged.select(*[F.col(f"`{c}`") for c in header]) \
+        .toDF(*[f"c{i}" for i in range(len(header))])  # headers may hold dots
+    written = plain.mapInPandas(write, "file string, rows bigint")
     return int(written.agg(F.sum("rows")).first()[0] or 0)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +13,18 @@ def quoted(name: str) -> F.Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def select_renamed(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Keep only the mapped columns, renamed, in mapping order."""
-    missing = [k for k in mapping if k not in df.columns]
+def select_renamed(df: DataFrame, mapping: Mapping[str, str],
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Keep only the mapped columns, renamed, in mapping order.
+
+    ``keep`` names columns carried along unchanged after them (e.g. the
+    source file and row of a workbook line).
+    """
+    missing = [k for k in list(mapping) + list(keep) if k not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}")
-    return df.select([quoted(src).alias(dst) for src, dst in mapping.items()])
+    return df.select([quoted(src).alias(dst) for src, dst in mapping.items()]
+                     + [quoted(k) for k in keep])
 
 
 def select_positions(df: DataFrame, positions: Mapping[int, str]) -> DataFrame:

@@ -26,7 +26,8 @@ pkmc_b01 AS (
   SELECT upper(regexp_replace(partnumber, '{PART_CHARS}', '', 'g')) AS partnumber,
          supply_area, num_reg_circ, deposit_type, deposit_position, container, description,
          pack_standard, qty_per_box,
-         COALESCE(TRY_CAST(regexp_replace(qty_max_box, '\D+', '', 'g') AS BIGINT), 0) AS qty_max_box
+         COALESCE(TRY_CAST(regexp_replace(qty_max_box, '\D+', '', 'g') AS BIGINT), 0) AS qty_max_box,
+         p_partkey
   FROM pkmc_raw WHERE deposit_type = 'B01'),
 pkmc AS (
   SELECT *, qty_per_box * qty_max_box AS total_theoretical_qty,
@@ -268,3 +269,5 @@ JOIN pkmc_t k ON upper(regexp_replace(k.partnumber, '{PART_CHARS}', '', 'g'))
                = upper(regexp_replace(f.partnumber, '{PART_CHARS}', '', 'g'))
 JOIN pk05 a ON a.supply_area = k.supply_area""")
 ORACLE["store_consume"] = ORACLE["consume_apply_sum"]
+ORACLE["pkmc_file_order_index"] = with_ctes(["pkmc"], f"""
+SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS id, {PKMC_COLS} FROM pkmc""")

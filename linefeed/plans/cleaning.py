@@ -18,9 +18,9 @@ PK05_LINE_DEPOSIT = "LB01"
 TAKT_PREFIX = "T"
 
 
-def rename_pkmc(df: DataFrame) -> DataFrame:
-    """P1a."""
-    return select_renamed(df, PKMC_HEADERS)
+def rename_pkmc(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """P1a (``keep``: extra columns carried along, e.g. source file and row)."""
+    return select_renamed(df, PKMC_HEADERS, keep)
 
 
 def filter_pkmc(df: DataFrame) -> DataFrame:
@@ -53,16 +53,22 @@ def derive_pkmc_columns(df: DataFrame) -> DataFrame:
               .na.drop(subset=["rack"]))
 
 
-def clean_pkmc(workbook: DataFrame) -> DataFrame:
+def clean_pkmc(workbook: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """PL1 without the index: rename, keep B01, clean, derive, drop rack-less rows."""
-    return (workbook.transform(rename_pkmc)
+    return (rename_pkmc(workbook, keep)
                     .transform(filter_pkmc)
                     .transform(clean_pkmc_columns)
                     .transform(derive_pkmc_columns))
 
 
 def index_pkmc(clean: DataFrame, order_by: Sequence[str] = ("partnumber", "supply_area")) -> DataFrame:
-    """W1 after all filtering: ids are dense."""
+    """W1 after all filtering: ids are dense.
+
+    By default ids follow the business key (stable when the export is
+    re-sorted); ``order_by=("_file", "_row")`` on a workbook read with
+    ``path_col="_file", row_col="_row"`` numbers the rows in file order, as
+    a positional row index does.
+    """
     return with_dense_index(clean, order_by)
 
 

@@ -264,6 +264,25 @@ def q_pkmc_xlsx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_pkmc(load_table(spark, folder + "/part-*.xlsx", schema))
 
 
+def q_pkmc_file_order_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL1 with W1 in file order: ids follow (workbook, sheet row), as a positional index does.
+
+    The export is landed in part-key order over several workbooks; the
+    reader tags each line with its workbook and row, the cleaning carries
+    both along, and the dense index numbers the surviving lines in that order.
+    """
+    from pyspark.sql import types as T
+    from linefeed.sources.excel import read_excel
+    folder = staging_path(spark, "pkmc-ordered")
+    X.write_workbooks(X.pkmc_workbook(spark, sf_dir, with_key=True), folder,
+                      rows_per_workbook=5000, order_by=["p_partkey"])
+    schema = T.StructType([T.StructField(h, f.dataType, True)
+                           for h, f in zip(PKMC_HEADERS, PKMC_RAW.fields)])
+    raw = read_excel(spark, folder, schema, path_col="_file", row_col="_row")
+    clean = cleaning.clean_pkmc(raw, keep=["_file", "_row"])
+    return cleaning.index_pkmc(clean, order_by=["_file", "_row"]).drop("_file", "_row")
+
+
 def q_assembly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 + PL4: snapshot documents landed as text files, read and flattened."""
     folder = X.land_snapshots(X.assembly_snapshots(spark, sf_dir), staging_path(spark, "snapshots"))
@@ -352,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "pending_orders": q_pending_orders,
     "fx4pd_csv": q_fx4pd_csv,
     "pkmc_xlsx": q_pkmc_xlsx,
+    "pkmc_file_order_index": q_pkmc_file_order_index,
     "assembly_files": q_assembly_files,
     "assembly_stream_upsert": q_assembly_stream_upsert,
     "consume_once_stream": q_consume_once_stream,

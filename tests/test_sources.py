@@ -149,3 +149,21 @@ def test_cluster_conf_only_fills_unset_keys(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_excel_file_order_index_across_workbooks(spark, sf_small):
+    from pyspark.sql import types as T
+    from linefeed.plans import cleaning
+    from linefeed.schemas import PKMC_HEADERS, PKMC_RAW
+    d = scratch()
+    X.write_workbooks(X.pkmc_workbook(spark, sf_small, with_key=True), d,
+                      rows_per_workbook=60, order_by=["p_partkey"])
+    schema = T.StructType([T.StructField(h, f.dataType, True)
+                           for h, f in zip(PKMC_HEADERS, PKMC_RAW.fields)])
+    raw = read_excel(spark, d, schema, path_col="_file", row_col="_row")
+    assert raw.select("_file").distinct().count() >= 3
+    clean = cleaning.clean_pkmc(raw, keep=["_file", "_row"])
+    ids = cleaning.index_pkmc(clean, order_by=["_file", "_row"])
+    got = [r.num_reg_circ for r in ids.orderBy("id").collect()]
+    # num_reg_circ is 10 x part key: file order must be ascending part key
+    assert [int(x) for x in got] == sorted(int(x) for x in got)
