@@ -72,9 +72,9 @@ def index_pkmc(clean: DataFrame, order_by: Sequence[str] = ("partnumber", "suppl
     return with_dense_index(clean, order_by)
 
 
-def rename_pk05(df: DataFrame) -> DataFrame:
-    """P1b."""
-    return select_renamed(df, PK05_HEADERS)
+def rename_pk05(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """P1b (``keep``: extra columns carried along, e.g. source file and row)."""
+    return select_renamed(df, PK05_HEADERS, keep)
 
 
 def derive_pk05_columns(df: DataFrame) -> DataFrame:
@@ -96,10 +96,16 @@ def clean_pk05(workbook: DataFrame) -> DataFrame:
                     .transform(filter_pk05))
 
 
-def index_pk05(workbook: DataFrame, order_by: Sequence[str] = ("supply_area",)) -> DataFrame:
-    """PL2 with W1 *before* the filter, so ids keep the gaps of dropped rows."""
-    derived = workbook.transform(rename_pk05).transform(derive_pk05_columns)
-    return with_dense_index(derived, order_by).transform(filter_pk05)
+def index_pk05(workbook: DataFrame, order_by: Sequence[str] = ("supply_area",),
+               keep: Sequence[str] = ()) -> DataFrame:
+    """PL2 with W1 *before* the filter, so ids keep the gaps of dropped rows.
+
+    ``keep=("_file", "_row")`` with ``order_by=("_file", "_row")`` numbers
+    the lines in file order (the columns are dropped afterwards).
+    """
+    derived = rename_pk05(workbook, keep).transform(derive_pk05_columns)
+    indexed = with_dense_index(derived, order_by).transform(filter_pk05)
+    return indexed.drop(*keep)
 
 
 def select_fx4pd(df: DataFrame) -> DataFrame:
