@@ -13,6 +13,11 @@
 
 All runs use ``trigger(availableNow=True)`` and a checkpoint folder under
 the shared checkpoint location; they stop when the landed files are done.
+
+A table and its stream checkpoint belong together: batch ids restart at 0
+on a new checkpoint, and those batches would be taken for replays of the
+versions already in the table.  A new checkpoint therefore needs a new
+table folder (or a table rebuilt from the landed files).
 """
 
 from __future__ import annotations
