@@ -64,6 +64,35 @@ class VersionedTable:
             root = "/" + root[len("file:"):].lstrip("/")
         return pafs.FileSystem.from_uri(root)
 
+    def read_note(self, name: str) -> str | None:
+        """A one-line note stored next to the versions (None if absent)."""
+        import pyarrow.fs as pafs
+        try:
+            fs, base = self._fs()
+        except Exception:
+            from pyspark.errors import AnalysisException
+            try:
+                row = self.spark.read.text(f"{self.root}/{name}").first()
+            except AnalysisException:
+                return None
+            return row["value"] if row else None
+        path = f"{base}/{name}"
+        if fs.get_file_info(path).type == pafs.FileType.NotFound:
+            return None
+        with fs.open_input_stream(path) as f:
+            return f.read().decode()
+
+    def write_note(self, name: str, text: str) -> None:
+        try:
+            fs, base = self._fs()
+        except Exception:
+            (self.spark.createDataFrame([(text,)], "value string").coalesce(1)
+                 .write.mode("overwrite").text(f"{self.root}/{name}"))
+            return
+        fs.create_dir(base, recursive=True)
+        with fs.open_output_stream(f"{base}/{name}") as f:
+            f.write(text.encode())
+
     def version(self) -> int | None:
         """The committed version from the one-line pointer file (None before the first)."""
         import pyarrow.fs as pafs

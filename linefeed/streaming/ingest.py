@@ -16,8 +16,8 @@ the shared checkpoint location; they stop when the landed files are done.
 
 A table and its stream checkpoint belong together: batch ids restart at 0
 on a new checkpoint, and those batches would be taken for replays of the
-versions already in the table.  A new checkpoint therefore needs a new
-table folder (or a table rebuilt from the landed files).
+versions already in the table.  The table therefore records the checkpoint
+that feeds it, and a stream started on another checkpoint is refused.
 """
 
 from __future__ import annotations
@@ -35,6 +35,19 @@ from linefeed.plans.sinks import VersionedTable
 DEFAULT_TIMEOUT_S = 600
 
 
+FED_BY = "_fed_by_checkpoint"
+
+
+def _bind(table: VersionedTable, checkpoint: str) -> None:
+    """Pair ``table`` with the stream checkpoint that versions it (refuse another one)."""
+    bound = table.read_note(FED_BY)
+    if bound is None:
+        table.write_note(FED_BY, checkpoint)
+    elif bound != checkpoint:
+        raise ValueError(f"table {table.name} is fed by the stream checkpoint {bound}; "
+                         f"a stream on {checkpoint} would skip its first batches")
+
+
 def _run(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
          timeout_s: int) -> None:
     query = (stream.writeStream.foreachBatch(handler)
@@ -69,6 +82,7 @@ def upsert_stream(positions: DataFrame, table: VersionedTable, keys: Sequence[st
         finally:
             batch.unpersist()
 
+    _bind(table, checkpoint)
     _run(positions, merge_batch, checkpoint, timeout_s)
     result = table.current()
     return result if result is not None else empty
@@ -115,5 +129,6 @@ def consume_once_stream(positions: DataFrame, forecast: DataFrame, fx4pd: DataFr
         finally:
             seen.unpersist()
 
+    _bind(table, checkpoint)
     _run(sightings, consume_batch, checkpoint, timeout_s)
     return table.current()
