@@ -51,7 +51,9 @@ class VersionedTable:
 
     The pointer is read and moved with ``pyarrow.fs`` (local, S3, GCS, HDFS
     with libhdfs; write-then-rename); on a file system pyarrow cannot open
-    it is read and written through Spark instead.
+    it is read and written through Spark instead.  One writer at a time per
+    table (a job or a stream); readers may run at any time and always see
+    a complete version.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
