@@ -167,3 +167,15 @@ def test_excel_file_order_index_across_workbooks(spark, sf_small):
     got = [r.num_reg_circ for r in ids.orderBy("id").collect()]
     # num_reg_circ is 10 x part key: file order must be ascending part key
     assert [int(x) for x in got] == sorted(int(x) for x in got)
+
+
+def test_excel_type_inference(spark):
+    d = scratch()
+    with open(os.path.join(d, "w.xlsx"), "wb") as f:
+        f.write(X.workbook_bytes(["part", "qty", "ratio", "note"],
+                                 [("p1", 3, 1.5, "x"), ("p2", 4, 2, None), ("p3", None, 0.25, "7")]))
+    inferred = read_excel(spark, d, infer_rows=10000)
+    assert [f.dataType.simpleString() for f in inferred.schema.fields] == \
+        ["string", "bigint", "double", "string"]
+    assert sorted(tuple(r) for r in inferred.collect())[0] == ("p1", 3, 1.5, "x")
+    assert all(f.dataType.simpleString() == "string" for f in read_excel(spark, d).schema.fields)
