@@ -11,16 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linefeed import fixtures as X
 from linefeed.operators.merge import last_per_key, update_by_key, upsert
 from linefeed.operators.ordered import first_match_in_list
-from linefeed.plans import cleaning, consumption, forecast, restock
+from linefeed.plans import cleaning, consumption, forecast, jobs, restock
 from linefeed.plans.assembly import assembly_records
 from linefeed.plans.sinks import VersionedTable, count_rows, stored
 from linefeed.plans.transfer import pending_orders
-from linefeed.schemas import PKMC_HEADERS, PKMC_RAW
+from linefeed.schemas import ASSEMBLY_LINE, PKMC_HEADERS, PKMC_RAW
 from linefeed.session import staging_path
+from linefeed.sources.excel import read_excel
 from linefeed.sources.loader import load_table
 from linefeed.sources.snapshots import read_snapshots, stream_snapshots
 from linefeed.streaming.ingest import car_positions, consume_once_stream, upsert_stream
@@ -256,7 +258,6 @@ def q_fx4pd_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_pkmc_xlsx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/S2 + PL1: the control-cycle export landed as .xlsx workbooks, read, cleaned."""
-    from pyspark.sql import types as T
     folder = staging_path(spark, "pkmc-xlsx")
     X.write_workbooks(X.pkmc_workbook(spark, sf_dir), folder)
     schema = T.StructType([T.StructField(h, f.dataType, True)
@@ -271,8 +272,6 @@ def q_pkmc_file_order_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     reader tags each line with its workbook and row, the cleaning carries
     both along, and the dense index numbers the surviving lines in that order.
     """
-    from pyspark.sql import types as T
-    from linefeed.sources.excel import read_excel
     folder = staging_path(spark, "pkmc-ordered")
     X.write_workbooks(X.pkmc_workbook(spark, sf_dir, with_key=True), folder,
                       rows_per_workbook=5000, order_by=["p_partkey"])
@@ -291,7 +290,6 @@ def q_assembly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_assembly_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 + T2: landed snapshots streamed file by file, each batch upserted by car."""
-    from linefeed.schemas import ASSEMBLY_LINE
     base = staging_path(spark, "assembly-stream")
     X.land_snapshots(X.assembly_snapshots(spark, sf_dir), f"{base}/landing")
     positions = car_positions(stream_snapshots(spark, f"{base}/landing", max_files_per_trigger=2))
@@ -328,7 +326,6 @@ def q_store_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     the stock balances are set (K2), and consumption runs on the stored
     tables; the result is the final control-cycle table.
     """
-    from linefeed.plans import jobs
     base = staging_path(spark, "store")
     X.write_workbooks(X.pkmc_workbook(spark, sf_dir), f"{base}/in/pkmc.xlsx")
     X.write_workbooks(X.pk05_workbook(spark, sf_dir), f"{base}/in/pk05.xlsx")
