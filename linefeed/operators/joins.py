@@ -27,9 +27,12 @@ BYTES_CONF = "spark.linefeed.broadcast.maxBytes"
 
 
 def _bounds(spark, max_rows: int | None, max_bytes: int | None) -> tuple[int, int]:
-    rows = max_rows if max_rows is not None else int(spark.conf.get(ROWS_CONF, str(MAX_BROADCAST_ROWS)))
-    size = max_bytes if max_bytes is not None else int(spark.conf.get(BYTES_CONF, str(MAX_BROADCAST_BYTES)))
-    return rows, size
+    """Explicit bounds win; otherwise the session's overrides, else the defaults."""
+    if max_rows is None:
+        max_rows = int(spark.conf.get(ROWS_CONF, str(MAX_BROADCAST_ROWS)))
+    if max_bytes is None:
+        max_bytes = int(spark.conf.get(BYTES_CONF, str(MAX_BROADCAST_BYTES)))
+    return max_rows, max_bytes
 
 
 _FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
