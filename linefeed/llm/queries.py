@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefeed.llm import bpe, toxicity
+from linefeed.llm import bpe, ngram_join, repeats, toxicity
 from linefeed.llm.common import table
 
 #: Where the vocabulary of operator 3 lies; a parameter of the operator.
@@ -39,7 +39,19 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: shingle count and component of every document, five words and 80 percent."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: what is left of every document without 50-byte strings that earlier ones have."""
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op7_ngram_join": op7_ngram_join,
+    "op9_suffix_array": op9_suffix_array,
 }
