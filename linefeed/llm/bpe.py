@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linefeed.llm.common import ship
+from linefeed.llm.common import ship, slices
 
 #: Fixed value: the split pattern of this family of vocabularies.  Its
 #: alternatives exclude one another by their first characters, so the most
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared.value)
         for batch in batches:
-            for part in _slices(batch, text_col):
+            for part in slices(batch, text_col):
                 ids = [vocabulary.encode(t or "") for t in part.column(text_col).to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
@@ -262,15 +262,6 @@ def decode(tokens: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_c
     return tokens.mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, text_col: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``most`` bytes of text together, at least one row each."""
-    sizes = np.array([len(t) if t else 0 for t in batch.column(text_col).to_pylist()], dtype=np.int64)
-    group = np.cumsum(sizes) // most
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if len(sizes) else []
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        yield batch.slice(a, b - a)
-
-
 def token_digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """Per document: token count, and SHA-256 of the ids written in decimal and of the text decoded from them."""
     ids = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), vocabulary_path)

@@ -11,8 +11,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,15 @@ def parts_for(spark: SparkSession, at_least: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), at_least)
 
 
+def slices(batch: pa.RecordBatch, text_col: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``most`` bytes of text together, at least one row each."""
+    sizes = np.array([len(t) if t else 0 for t in batch.column(text_col).to_pylist()], dtype=np.int64)
+    group = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if len(sizes) else []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 # --- hashing of words, inside tasks -------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -73,55 +85,31 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_WORD_BASE))
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> np.ndarray:
-    """Powers of the base modulo 2**64, grown to at least n (doubling, so rarely)."""
-    have = _POWERS.get("p")
-    if have is None or len(have) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
-        p = np.full(size, np.uint64(_WORD_BASE), dtype=np.uint64)
-        p[0] = 1
-        with np.errstate(over="ignore"):
-            have = _POWERS["p"] = np.cumprod(p, dtype=np.uint64)
-    return have
-
-
-def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end offsets of the words (runs free of ASCII white space) of a byte array."""
-    if not len(data):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    word = ~_SPACE[data]
-    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-    if word[0]:
-        edge = np.concatenate(([0], edge))
-    if word[-1]:
-        edge = np.concatenate((edge, [len(data)]))
-    return edge[0::2], edge[1::2]
-
-
-def word_hashes(text: str, lower: bool = True) -> np.ndarray:
-    """64-bit hashes of a text's words, in order (A-Z lower-cased first).
-
-    The words' bytes are read off one running byte sum, so a very long
-    word costs its length and nothing more.
-    """
-    raw = text.encode("utf-8", "surrogatepass")
-    data = np.frombuffer(raw.lower() if lower else raw, dtype=np.uint8)
-    start, end = word_bounds(data)
-    if not len(start):
-        return np.empty(0, np.uint64)
-    # each word's own polynomial: byte codes times the power of the place in the word
-    place = np.arange(len(data), dtype=np.int64)
-    place -= np.repeat(start, np.diff(np.concatenate((start, [len(data)])))) if start[0] == 0 else \
-        np.repeat(np.concatenate(([0], start)), np.diff(np.concatenate(([0], start, [len(data)]))))
-    terms = _BYTE_CODE[data]
-    terms *= _powers(int(place.max()) + 1)[place]
-    terms[_SPACE[data]] = 0
-    return mix(np.add.reduceat(terms, start) + (end - start).astype(np.uint64))
+
+
+class _Codes(dict):
+    """64-bit hashes of words (bytes), remembered; bounded, and emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 300_000:
+            self.clear()
+        code = xxhash.xxh64_intdigest(word)
+        if len(word) <= 40:
+            self[word] = code
+        return code
+
+
+_CODES = _Codes()
+
+
+def codes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, in order."""
+    return np.fromiter(map(_CODES.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of a text's words, the runs free of ASCII white space, in order; A-Z lower-cased."""
+    return codes(text.encode("utf-8", "surrogatepass").lower().split())
 
 
 def shingles(words: np.ndarray, size: int = 5) -> np.ndarray:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefeed.llm import bpe, ngram_join, repeats, toxicity
+from linefeed.llm import bpe, decontaminate, ngram_join, repeats, templates, toxicity
 from linefeed.llm.common import table
 
 #: Where the vocabulary of operator 3 lies; a parameter of the operator.
@@ -25,6 +25,11 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: every document and benchmark item found in it, with the edits between them."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: toxicity score of every document; the lexicon is learned from rows that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -39,6 +44,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: what is left of every document without lines of recurring templates, as a digest."""
+    cleaned = templates.drop_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "dropped_lines",
+                          F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("kept_lines"),
+                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7: shingle count and component of every document, five words and 80 percent."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -50,8 +63,10 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op4_line_dedup": op4_line_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op9_suffix_array": op9_suffix_array,
 }

@@ -283,6 +283,20 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
     return _features(texts(docs, id_col, text_col), lexicon, ["doc_id"]).select("doc_id", "score", "n_hits")
 
 
+def without_toxic(docs: DataFrame, lexicon: Lexicon, limit: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows that score ``limit`` or more."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((lexicon.weights, lexicon.exceptions, lexicon.curve))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = Lexicon(*shared.value)
+        for batch in batches:
+            fine = [lex.score(t or "") < limit for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array(fine, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a row is kept out of training: crc32 of its id as text is a multiple of five."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
