@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefeed.llm import bpe, decontaminate, ngram_join, repeats, templates, toxicity
+from linefeed.llm import (bpe, chat, decontaminate, licenses, ngram_join, pii, quality, repeats, templates,
+                          toxicity)
 from linefeed.llm.common import table
 
 #: Where the vocabulary of operator 3 lies; a parameter of the operator.
@@ -52,21 +53,45 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: base counts and verdict of every document."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: every license notice found in a document, with its coverage."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7: shingle count and component of every document, five words and 80 percent."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: every conversation rendered from every participant's side, as digests and spans."""
+    return chat.rotation_digest(table(spark, sf_dir, "conversations"))
+
+
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9: what is left of every document without 50-byte strings that earlier ones have."""
     return repeats.repeats_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: personal data in every document, base spans and those the field adds."""
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality": op5_quality,
+    "op6_license_scan": op6_license_scan,
     "op7_ngram_join": op7_ngram_join,
+    "op8_chat": op8_chat,
     "op9_suffix_array": op9_suffix_array,
+    "op10_pii": op10_pii,
 }
