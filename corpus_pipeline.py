@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefeed.llm import bpe, decontaminate, ngram_join, templates, toxicity
-from linefeed.llm.common import table
+from linefeed.llm.common import fresh, named, table
 from linefeed.llm.queries import vocabulary_path
 from linefeed.session import staging_path
 
@@ -28,13 +28,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` is counted anew where a line went.
     """
-    cleaned = templates.drop_lines(docs)
-    emptied = (F.col("dropped_lines") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    dropped = fresh("dropped_lines", docs.columns)
+    cleaned = templates.drop_lines(docs, count_col=dropped)
+    emptied = (F.col(dropped) > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     cleaned = cleaned.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("dropped_lines") > 0, F.length("text").cast(
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cleaned.select(docs.columns)
+    return cleaned.select(*map(named, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linefeed.llm.common import ship, slices
+from linefeed.llm.common import named, ship, slices
 
 #: Fixed value: the split pattern of this family of vocabularies.  Its
 #: alternatives exclude one another by their first characters, so the most
@@ -213,13 +213,11 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
     """``docs`` with its text column replaced by ``ids_col``, the token ids of the whole text.
 
     A null or empty text has no tokens.  All other columns are kept as
-    they are, so ``ids_col`` must not be one of them (ValueError); one
+    they are, but one that is named like ``ids_col`` gives way to it; one
     row comes out per row, repeated rows too.  One task holds a batch of
     rows at a time, at least one whole text.
     """
-    rest = [c for c in docs.columns if c != text_col]
-    if ids_col in rest:
-        raise ValueError(f"{ids_col} is a column already")
+    rest = [c for c in docs.columns if c.lower() not in (text_col.lower(), ids_col.lower())]
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
@@ -234,17 +232,17 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), column], names=[*rest, ids_col])
 
-    return docs.select(*rest, text_col).mapInArrow(run, schema)
+    return docs.select(*map(named, rest), named(text_col)).mapInArrow(run, schema)
 
 
 def decode(tokens: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``tokens`` with a column ``text_col`` added: the text its ids stand for.
 
     Bytes that are not UTF-8 become U+FFFD; special tokens are written
-    out.  Null ids count as none; a null or unknown id raises.
+    out.  Null ids count as none; a null or unknown id raises.  A column
+    that is named like ``text_col`` gives way to it.
     """
-    if text_col in tokens.columns:
-        raise ValueError(f"{text_col} is a column already")
+    tokens = tokens.select(*(named(c) for c in tokens.columns if c.lower() != text_col.lower()))
     ship(tokens.sparkSession)
     shared = tokens.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     schema = T.StructType([*tokens.schema.fields, T.StructField(text_col, T.StringType())])
@@ -253,9 +251,10 @@ def decode(tokens: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_c
         vocabulary = _vocabulary(shared.value)
         for batch in batches:
             column = batch.column(ids_col)
-            ends = column.offsets.to_numpy()
-            flat = column.values.to_numpy()
-            texts = [vocabulary.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+            null = column.is_null().to_pylist()
+            texts = ["" if n else vocabulary.decode(flat[a:b])
+                     for a, b, n in zip(ends[:-1], ends[1:], null, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, text_col])
 

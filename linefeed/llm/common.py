@@ -47,8 +47,21 @@ def ship(spark: SparkSession) -> None:
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone; a null text becomes the empty text."""
     ship(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(named(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(named(text_col), F.lit("")).alias("text"))
+
+
+def named(column: str):
+    """A column by its name, whatever characters are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, or one like it that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefeed.llm.common import _M1, _WORD_BASE, codes, mix, ship, slices
+from linefeed.llm.common import _M1, _WORD_BASE, codes, mix, named, ship, slices
 
 #: Part of an item's words that may be edited, and the recall wanted at that distance.
 EDITS, RECALL = 0.2, 0.99
@@ -208,7 +208,7 @@ def fewest_edits(item: list, text: list) -> tuple[int, int]:
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", edits: float = EDITS,
                 recall: float = RECALL, block_items: int = BLOCK_ITEMS, least_words: int = 5) -> Iterator[Items]:
     """The items in blocks of bounded size; items of fewer than ``least_words`` words are no benchmark text."""
-    rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where(
+    rows = items.select(named(id_col).cast("long").alias("i"), named(text_col).alias("t")).where(
         F.col("i").isNotNull() & F.col("t").isNotNull())
     count = rows.count()
     blocks = max(1, -(-count // block_items))
@@ -245,7 +245,7 @@ def leaks(docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: float
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(_LEAK.names, r, strict=True)) for r in rows], schema=_LEAK)
 
-        found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        found = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text")).mapInArrow(
             run, "doc_id long, item_id long, edits int, first_word int, end_word int")
         out = found if out is None else out.unionAll(found)
     return out

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linefeed.llm import fingerprints as fp
-from linefeed.llm.common import mix, saved, ship
+from linefeed.llm.common import named, saved, ship
 
 #: Leading words of a leaf, and of a leaf with very many texts.
 DEPTH, DEEPER = 3, 8
@@ -90,7 +90,11 @@ class _Chunk:
         self.ids, self.texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
         copy = np.array([k == 0 for k in side.column("kind").to_pylist()], dtype=bool)
         told = side.filter(pa.array(copy))
-        self.first = dict(zip(told.column("doc_id").to_pylist(), told.column("first").to_pylist(), strict=True))
+        first = {(i, h): f for i, h, f in zip(*(told.column(c).to_pylist() for c in ("doc_id", "h", "first")),
+                                              strict=True)}
+        #: The smallest id with the same text, and whether that is the row's own (or the id is null).
+        self.holder = [first.get((i, h), i) for i, h in zip(self.ids, table.column("h").to_pylist(), strict=True)]
+        self.counts = [i is not None and i == f for i, f in zip(self.ids, self.holder, strict=True)]
         self.rest = side.filter(pa.array(~copy))
         self.lines = []
         for text in self.texts:
@@ -101,14 +105,14 @@ class _Chunk:
             self.lines.append(lines)
 
     def tally(self) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves of the texts that are no copies, and in how many of them each is."""
-        leaves, owner = [], []
-        for k, lines in enumerate(self.lines):
-            if self.ids[k] is not None and self.ids[k] not in self.first:
-                own = {x[0] for x in lines if x}
-                leaves.extend(own)
-                owner.extend([k] * len(own))
-        return fp.tally(np.array(leaves, np.uint64), np.array(owner, np.int64))
+        """All leaves, and in how many texts each is; copies and rows without an id count for none."""
+        leaves = [{x[0] for x in lines if x} for lines in self.lines]
+        every = np.unique(np.array([x for own in leaves for x in own], np.uint64) >> np.uint64(64 - fp.KEPT_BITS))
+        owner = [(x, k) for k, own in enumerate(leaves) if self.counts[k] for x in own]
+        cut, n = fp.tally(np.array([x for x, _ in owner], np.uint64), np.array([k for _, k in owner], np.int64))
+        docs = np.zeros(len(every), np.int64)
+        docs[np.searchsorted(every, cut)] = n
+        return every, docs
 
     def recurring(self, answer: pa.Table, buckets: int, least_docs: int):
         """Row, line number, leaf and words of each line whose leaf has enough texts."""
@@ -125,33 +129,34 @@ class _Chunk:
 
 def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int = LEAST_WORDS,
                similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text",
-               chunk_bytes: int = fp.CHUNK_BYTES) -> DataFrame:
-    """``docs``, every column and row, with ``text_col`` cleaned and a column ``dropped_lines`` added.
+               count_col: str = "dropped_lines", chunk_bytes: int = fp.CHUNK_BYTES) -> DataFrame:
+    """``docs``, every column and row, with ``text_col`` cleaned and a column ``count_col`` added.
 
     A null text stays null.  A row with a null id keeps its lines and
     counts for no template.  Copies of a text count once.  Rows of one
     id and different texts count once too.  ``least_docs`` is at most
-    255.  A column named ``dropped_lines`` may not exist yet.
+    255.  A column that is named like ``count_col`` gives way to it.
     """
-    if "dropped_lines" in docs.columns or not 2 <= least_docs <= fp.MOST:
-        raise ValueError("dropped_lines is a column already, or least_docs is not from 2 to 255")
+    if not 2 <= least_docs <= fp.MOST:
+        raise ValueError("least_docs is from 2 to 255")
+    docs = docs.select(*(named(c) for c in docs.columns if c.lower() != count_col.lower()))
     spark = docs.sparkSession
     ship(spark)
-    key = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text"))
-    marks = saved(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(key).cast("long").alias("n"),
+    key = F.coalesce(named(text_col), F.lit(""))
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), named(id_col).cast("long").alias("doc_id"),
+                       named(text_col).alias("text"))
+    marks = saved(docs.select(named(id_col).cast("long").alias("doc_id"), F.octet_length(key).cast("long").alias("n"),
                               F.xxhash64(key).alias("h"), F.unhex(F.sha2(key, 256)).alias("digest")))
     total = marks.agg(F.sum("n")).first()[0] or 0
     n_chunks = max(1, -(-int(total) // chunk_bytes))
     buckets = fp.buckets_for(total / 20)
     n_bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // (32 << 20)))
     chunk = F.pmod(F.xxhash64(F.col("doc_id"), F.col("h")), F.lit(n_chunks)).cast("int")
-    dealt = rows.withColumn("h", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).withColumn("chunk", chunk).drop("h")
+    dealt = rows.withColumn("h", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).withColumn("chunk", chunk)
     first = marks.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
     empty = F.lit(None).cast("binary")
     side = (marks.join(first, "digest").where("doc_id > first").select(
-        chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id", "first",
+        chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id", "h", "first",
         empty.alias("items")).distinct())
 
     def first_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -161,8 +166,9 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
         own = _Chunk(left, right, least_words)
         held: dict[tuple[int, str], set[int]] = {}
         for k, _, leaf_, line in own.recurring(own.rest, buckets, least_docs):
-            if own.ids[k] is not None and own.ids[k] not in own.first:
-                held.setdefault((leaf_, line), set()).add(own.ids[k])
+            ids = held.setdefault((leaf_, line), set())
+            if own.counts[k]:
+                ids.add(own.ids[k])
         # the smallest few ids of a line say all: whether there are enough, and which is first
         return pa.table({
             "bin": pa.array([leaf_ % n_bins for leaf_, _ in held], pa.int32()),
@@ -216,8 +222,7 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
             names = np.frombuffer(data, np.uint64, len(data) // 16)
             drop.update(zip(names.tolist(), np.frombuffer(data, np.int64)[len(names):].tolist(), strict=True))
         texts, dropped = [], []
-        for i, text, lines in zip(own.ids, own.texts, own.lines, strict=True):
-            holder = own.first.get(i, i)
+        for i, holder, text, lines in zip(own.ids, own.holder, own.texts, own.lines, strict=True):
             keep = [not x or i is None or drop.get(_hash(" ".join(x[1])), holder) == holder for x in lines] \
                 if drop else [True] * len(lines)
             dropped.append(len(keep) - sum(keep))
@@ -233,14 +238,14 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
     told = lines.groupBy("bin").applyInArrow(cluster, fp.ANSWER)
     side = side.where("kind = 0").unionAll(_as_side(told, 2))
     done = dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(last_pass, out_type)
-    return done.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
-                         for c in docs.columns), "dropped_lines")
+    return done.select(*(F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+                         for c in docs.columns), F.col("dropped_lines").alias(count_col))
 
 
 def _as_side(answers: DataFrame, kind: int) -> DataFrame:
     none = F.lit(None).cast("long")
-    return answers.select("chunk", "bucket", F.lit(kind).alias("kind"), none.alias("doc_id"), none.alias("first"),
-                          "items")
+    return answers.select("chunk", "bucket", F.lit(kind).alias("kind"), none.alias("doc_id"), none.alias("h"),
+                          none.alias("first"), "items")
 
 
 def brute_force(rows: list[tuple], least_docs: int = LEAST_DOCS, least_words: int = LEAST_WORDS,

@@ -45,9 +45,10 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@":
 #: At most so many lexicon entries, learned from at most so many labelled rows
 #: (those with the smallest hashes of their ids).
 MOST_ENTRIES, LEARN_ROWS = 4000, 40_000
-#: A word or beginning becomes an entry if this many toxic training documents hold it
-#: and its weight, a log-likelihood ratio, is at least this.
-LEAST_DOCS, LEAST_WEIGHT = 3, 1.5
+#: A word or beginning becomes an entry if this many toxic training documents hold it, its
+#: weight, a log-likelihood ratio, is at least this, and chance would not find it so
+#: unevenly spread: its evidence in nats exceeds the log of the number of candidates by this.
+LEAST_DOCS, LEAST_WEIGHT, EVIDENCE = 3, 1.5, 2.0
 #: Lengths of the word beginnings that may become entries.
 PREFIXES = (4, 5, 6, 7, 8)
 
@@ -220,8 +221,11 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), text_col: str =
              .groupBy("pattern").agg(F.sum("clean").alias("clean")).collect()}
     weights = {}
     for p, t in candidates.items():
-        w = math.log((t + 0.1) / (toxic + 1) * (n - toxic + 1) / (clean.get(p, 0) + 0.5))
-        if w >= LEAST_WEIGHT and t >= 4 * clean.get(p, 0):
+        c = clean.get(p, 0)
+        w = math.log((t + 0.1) / (toxic + 1) * (n - toxic + 1) / (c + 0.5))
+        share = (t + c) / n
+        evidence = t * math.log(t / (toxic * share)) + (c * math.log(c / ((n - toxic) * share)) if c else 0.0)
+        if w >= LEAST_WEIGHT and evidence >= math.log(len(candidates)) + EVIDENCE:
             weights[p] = round(w, 4)
     best = sorted(weights.items(), key=lambda x: (-candidates[x[0]] * x[1], x[0]))[:MOST_ENTRIES]
     lexicon = Lexicon(dict(best), exceptions)
