@@ -24,7 +24,7 @@ from linefeed.llm.common import texts
 
 #: Bytes of text per chunk, and fingerprints per bucket, aimed at.  A larger
 #: corpus with larger executors takes larger values of both.
-CHUNK_BYTES, BUCKET_ITEMS = 4 << 20, 2_000_000
+CHUNK_BYTES, BUCKET_ITEMS = 2 << 20, 1_000_000
 #: Fingerprints keep so many bits between chunk and bucket; what two different
 #: ones share by chance only looks shared until the texts are compared.
 KEPT_BITS = 48

@@ -27,11 +27,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.llm import fingerprints as fp
-from linefeed.llm.common import _BYTE_CODE, _M1, _M2, _WORD_BASE, mix, saved, texts
+from linefeed.llm.common import _BYTE_CODE, _M1, _M2, mix, saved, texts
 from linefeed.llm.suffixes import Suffixes
 
 #: Length of the strings whose hashes choose the minimiser.
@@ -39,9 +40,10 @@ GRAM = 24
 #: A minimiser in more documents than this sends its windows one by one.
 HOT_DOCS = 200
 #: Bytes of cut-out strings per bucket, aimed at.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+#: Windows whose minimisers are found at once.
+SLAB = 1 << 19
 
-_SIDE = "chunk int, bucket int, kind int, doc_id long, items binary"
 _NONE = np.iinfo(np.int64).max
 
 
@@ -58,52 +60,51 @@ class _Chunk:
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
         self.data = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
-        self.taken = np.array([i is not None and i not in copies for i in self.ids], dtype=bool)
+        names = table.column("h").to_pylist()
+        self.copy = [(ids[i], names[i]) in copies for i in rows]
+        self.taken = np.array([i is not None and not c for i, c in zip(self.ids, self.copy, strict=True)], dtype=bool)
         self._windows()
 
     def _windows(self) -> None:
-        n, size = len(self.data), self.size
-        count = n - size + 1
-        empty = np.empty(0, np.int64)
-        if count <= 0:
-            self.run_start, self.run_end, self.run_key, self.run_doc = empty, empty, empty.astype(np.uint64), empty
-            return
+        """Runs of windows with one minimiser, found slab by slab so that long texts need no more memory."""
+        parts = [self._runs(at, min(len(self.data) - self.size + 1, at + SLAB))
+                 for at in range(0, len(self.data) - self.size + 1, SLAB)]
+        kinds = (np.int64, np.int64, np.uint64, np.int64)
+        self.run_start, self.run_end, self.run_key, self.run_doc = (
+            np.concatenate([np.empty(0, kind), *(p[i] for p in parts)]) for i, kind in enumerate(kinds))
+
+    def _runs(self, first: int, last: int) -> tuple:
+        size = self.size
+        count, grams = last - first, size - GRAM + 1
+        data = self.data[first:last + size - 1]
         # hashes of 1, 2, 4, 8, 16 and then 24 bytes
-        h = _BYTE_CODE[self.data]
+        h = _BYTE_CODE[data]
         for width in (1, 2, 4):
             h = h[:-width] * _M1 + h[width:]
         eight = h
         h = (eight[:-8] ^ (eight[:-8] >> np.uint64(29))) * _M2 + eight[8:]
-        h = mix(h[:n - GRAM + 1] * _M1 + eight[16:16 + n - GRAM + 1])
+        h = mix(h[:len(data) - GRAM + 1] * _M1 + eight[16:16 + len(data) - GRAM + 1])
         # smallest of the grams inside each window
-        grams = size - GRAM + 1
         low, width = h, 1
         while width * 2 <= grams:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
         if width < grams:
             low = np.minimum(low[:count], low[grams - width:grams - width + count])
-        low = low[:count]
-        doc = np.repeat(np.arange(len(self.ends)), np.maximum(0, self.ends - self.starts - size + 1))
         # windows that lie in one document, of documents that take part
-        starts = np.repeat(self.starts - np.concatenate(([0], np.cumsum(
-            np.maximum(0, self.ends - self.starts - size + 1))[:-1])), np.maximum(
-            0, self.ends - self.starts - size + 1)) + np.arange(len(doc))
-        keep = self.taken[doc]
-        at, doc = starts[keep], doc[keep]
-        key = low[at]
+        at = np.arange(first, last)
+        doc = np.searchsorted(self.ends, at, side="right")
+        keep = self.taken[doc] & (at + size <= self.ends[doc])
+        at, doc, key = at[keep], doc[keep], low[:count][keep]
         if not len(at):
-            self.run_start, self.run_end, self.run_key, self.run_doc = empty, empty, empty.astype(np.uint64), empty
-            return
+            return at, at, key, doc
         new = np.ones(len(at), dtype=bool)
         new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
         begin = np.flatnonzero(new)
         place = np.arange(len(at)) - np.repeat(begin, np.diff(np.concatenate((begin, [len(at)]))))
         new |= place % grams == 0  # no run is longer than the windows one gram can lie in
         begin = np.flatnonzero(new)
-        self.run_start = at[begin]
-        self.run_end = at[np.concatenate((begin[1:], [len(at)])) - 1] + size
-        self.run_key, self.run_doc = key[begin], doc[begin]
+        return at[begin], at[np.concatenate((begin[1:], [len(at)])) - 1] + size, key[begin], doc[begin]
 
     def tally(self) -> tuple[np.ndarray, np.ndarray]:
         return fp.tally(self.run_key, np.array([_NONE if i is None else i for i in self.ids],
@@ -146,17 +147,10 @@ class _Chunk:
         self.piece_doc = ids[doc[head]]
 
     def _names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of strings of the array, read off one running sum."""
-        n = len(self.data)
-        with np.errstate(over="ignore"):
-            base = np.full(n + 1, np.uint64(_WORD_BASE))
-            base[0] = 1
-            power = np.cumprod(base, dtype=np.uint64)
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_CODE[self.data] * power[:n],
-                                                                     dtype=np.uint64)))
-            base[1:] = np.uint64(pow(_WORD_BASE, -1, 1 << 64))
-            back = np.cumprod(base, dtype=np.uint64)
-            return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+        """64-bit hashes of strings of the array."""
+        raw = self.data.tobytes()
+        return np.fromiter((xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)),
+                           np.uint64, len(start))
 
     def sent(self, chunk: int) -> pa.Table:
         edge = np.flatnonzero(np.concatenate(([True], self.bucket[1:] != self.bucket[:-1], [True]))) \
@@ -225,7 +219,8 @@ def _smallest(table: pa.Table, size: int) -> pa.Table:
 def _split(side: pa.Table) -> tuple[set, pa.Table, pa.Table]:
     """Copies, answers about minimisers and answers about windows, out of a chunk's other side."""
     kind = np.array(side.column("kind").to_pylist(), dtype=np.int64)
-    copies = set(side.filter(pa.array(kind == 0)).column("doc_id").to_pylist())
+    told = side.filter(pa.array(kind == 0))
+    copies = set(zip(told.column("doc_id").to_pylist(), told.column("h").to_pylist(), strict=True))
     return copies, side.filter(pa.array(kind == 1)), side.filter(pa.array(kind == 2))
 
 
@@ -245,10 +240,11 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                               F.xxhash64("text").alias("h"), F.unhex(F.sha2("text", 256)).alias("digest")))
     total = marks.agg(F.sum("n")).first()[0] or 0
     dealt, n_chunks = fp.dealt(base, total, chunk_bytes=chunk_bytes)
+    dealt = dealt.withColumn("h", F.xxhash64("text"))
     first = marks.where(F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("least"))
     chunk = F.pmod(F.xxhash64(F.col("doc_id"), F.col("h")), F.lit(n_chunks)).cast("int")
     copies = (marks.where(F.col("n") >= size).join(first, "digest").where("doc_id > least")
-              .select(chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id",
+              .select(chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id", "h",
                       F.lit(None).cast("binary").alias("items")).distinct())
     by_gram = fp.buckets_for(total * 2 / (size - GRAM + 2))
     by_bytes = max(1, -(-total * 5 // BUCKET_BYTES))
@@ -270,7 +266,6 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
     def last_pass(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return _spans_table([], [], [], [])
-        gone = _split(right)[0]
         chunk, windows = cut_out(left, right)
         answer = dict(zip(windows.column("bucket").to_pylist(), windows.column("items").to_pylist(), strict=True))
         least = np.frombuffer(b"".join(answer[b] for b in sorted(answer)), np.int64)
@@ -287,7 +282,7 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
         covered = np.cumsum(cover)[:-1] > 0
         starts, ends = [], []
         for i, (a, b) in enumerate(zip(chunk.starts.tolist(), chunk.ends.tolist(), strict=True)):
-            if chunk.ids[i] in gone and b - a >= size:
+            if chunk.copy[i]:
                 starts.append([0])
                 ends.append([b - a])
                 continue
@@ -314,7 +309,7 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
 
 def _as_side(answers: DataFrame, kind: int) -> DataFrame:
     return answers.select("chunk", "bucket", F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("doc_id"),
-                          "items")
+                          F.lit(None).cast("long").alias("h"), "items")
 
 
 def _spans_table(ids: list, texts_: list, starts: list, ends: list) -> pa.Table:
