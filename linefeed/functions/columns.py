@@ -109,8 +109,8 @@ def floor_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 
 def is_blank(c: ColumnOrName) -> Column:
-    """NULL or only whitespace."""
-    return F.coalesce(F.trim(_col(c)) == F.lit(""), F.lit(True))
+    """NULL or only white space, of any script (tab, no-break space and so on)."""
+    return F.coalesce(~_col(c).rlike(r"(?U)\S"), F.lit(True))
 
 
 def contains_ci(c: ColumnOrName, needle: str) -> Column:

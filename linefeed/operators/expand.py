@@ -17,16 +17,31 @@ CAR_FIELDS = {"KNR": "knr", "MODELL": "model", "LFDNR": "lfdnr_sequence", "WERK"
 SLOT_CAR, SLOT_LANE, SLOT_TACT = "CAR", "LANE", "TACT"
 
 
-def repeat_rows(df: DataFrame, count: str | Column, index_name: str = "call_no") -> DataFrame:
+# Repetitions one array holds at most; a row with more is expanded chunk by chunk.
+CHUNK = 100_000
+
+
+def repeat_rows(df: DataFrame, count: str | Column, index_name: str = "call_no",
+                chunk: int = CHUNK, spread: bool = False) -> DataFrame:
     """Emit each row ``count`` times, numbered 1..count; count < 1 or NULL -> no row.
 
     ``sequence(1, 0)`` would count down to ``[1, 0]``, so rows with fewer
-    than one repetition are filtered before the explode.
+    than one repetition are filtered before the explode.  The expansion has
+    two levels, the starts of the chunks and the numbers within a chunk, so
+    no array is longer than ``chunk`` however large one count is.  With
+    ``spread`` the chunks are dealt over all tasks between the two levels
+    (one shuffle of the unexpanded rows), for inputs with a few huge counts.
     """
-    n = F.col(count) if isinstance(count, str) else count
-    n = n.cast(T.LongType())
-    return (df.filter(n >= 1)
-              .withColumn(index_name, F.explode(F.sequence(F.lit(1).cast(T.LongType()), n))))
+    one = F.lit(1).cast(T.LongType())
+    step = F.lit(chunk).cast(T.LongType())
+    n = (F.col(count) if isinstance(count, str) else count).cast(T.LongType())
+    starts = (df.withColumn("__n", n).filter(F.col("__n") >= 1)
+                .withColumn("__start", F.explode(F.sequence(one, F.col("__n"), step))))
+    if spread:
+        starts = starts.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    last = F.least(F.col("__start") + step - 1, F.col("__n"))
+    return (starts.withColumn(index_name, F.explode(F.sequence(F.col("__start"), last)))
+                  .drop("__n", "__start"))
 
 
 def _entries(json_text: Column) -> Column:
@@ -39,14 +54,21 @@ def _last_wins(entries: Column) -> Column:
 
     JSON parsers of the source system keep the last value of a repeated
     key; a parsed map keeps every copy.  ``entries`` must be a column
-    reference (computed in an earlier projection), so the pairwise scan
-    never re-parses the object.  Objects without repeated keys (the norm)
-    pass through after one hashing pass.
+    reference (computed in an earlier projection), so nothing is parsed
+    twice.  Objects without repeated keys (the norm) pass through after one
+    hashing pass; the others are sorted by key and position once, and an
+    entry stays if its neighbour has another key.
     """
     n = F.size(entries)
     unique = F.size(F.array_distinct(entries["key"])) == n
-    scanned = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, n),
-                                                        lambda later: later["key"] == e["key"]))
+    placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(
+        e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
+    # the sorted array is bound by a one-element transform, so it is sorted once
+    kept = F.flatten(F.transform(F.array(placed), lambda p: F.filter(
+        p, lambda e, i: (i == F.size(p) - 1) | (F.get(p, i + 1)["key"] != e["key"]))))
+    in_order = F.array_sort(F.transform(kept, lambda e: F.struct(
+        e["at"].alias("at"), e["key"].alias("key"), e["value"].alias("value"))))
+    scanned = F.transform(in_order, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     return F.when(unique, entries).otherwise(scanned)
 
 

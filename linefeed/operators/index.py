@@ -48,13 +48,24 @@ def with_dense_index(df: DataFrame, order_by: Sequence[str | Column] | None = No
                 .drop("__tie"))
     tagged = ranged.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     part = F.shiftright(F.col("__mid"), _POS_BITS)
-    counts = {r["p"]: r["n"] for r in
-              tagged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = sorted(counts)
-    starts = [0] + list(accumulate(counts[p] for p in parts))[:-1]
-    offsets = F.create_map(*[x for p, s in zip(parts, starts)
-                             for x in (F.lit(p), F.lit(s))]).cast(
-        T.MapType(T.LongType(), T.LongType()))
+    counts = sorted((r["p"], r["n"]) for r in
+                    tagged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = [0, *accumulate(c for _, c in counts)]
+    offsets = [(p, start) for (p, _), start in zip(counts, starts)]
+    numbered = number_rows(tagged, offsets, name)
+    return numbered.select(F.col(f"`{name}`"), *[F.col(f"`{c}`") for c in df.columns])
+
+
+def number_rows(tagged: DataFrame, offsets: Sequence[tuple[int, int]], name: str) -> DataFrame:
+    """Add ``name``: the offset of the row's partition plus its position (``__mid``).
+
+    The offsets are a table of one row per range partition, whose number the
+    session's shuffle partitions bound, so it is broadcast; a row's offset is
+    one hash lookup, however many partitions there are.
+    """
+    part = F.shiftright(F.col("__mid"), _POS_BITS)
+    starts = tagged.sparkSession.createDataFrame(list(offsets), "__part long, __start long")
     pos = F.col("__mid") - F.shiftleft(part, _POS_BITS)
-    index = (F.coalesce(offsets[part], F.lit(0).cast(T.LongType())) + pos).alias(name)
-    return tagged.select(index, *[F.col(f"`{c}`") for c in df.columns])
+    # an empty frame has no partitions and no offsets: nothing to join
+    return (tagged.join(F.broadcast(starts), part == F.col("__part"), "left")
+                  .withColumn(name, F.coalesce(F.col("__start"), F.lit(0).cast(T.LongType())) + pos))

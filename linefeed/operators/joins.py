@@ -1,23 +1,23 @@
 """Joins against dimension tables whose size is checked before broadcasting.
 
-A dimension (supply areas, control cycles, cars on the line) is
-materialized once into the shared checkpoint folder, in parallel, and its
-rows and bytes are counted from that copy.  Only if both stay within the
-bounds is the copy broadcast; beyond them the same copy is joined by a
-shuffle (sort-merge), where AQE coalesces partitions and splits skewed
-ones, so a hot key on the fact side never lands whole in one task.
-Either way the dimension is computed once.
+A dimension (supply areas, control cycles, cars on the line) that the
+optimizer does not already place far above the bounds is written once as
+Parquet into the shared folder, in parallel, and its rows and bytes are
+counted during the write.  Only if both stay within the bounds is the copy
+broadcast; beyond them it is joined by a shuffle (sort-merge), where AQE
+coalesces partitions and splits skewed ones, so a hot key on the fact side
+never lands whole in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linefeed.session import ensure_checkpoint_dir
+from linefeed.session import staging_path
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -60,24 +60,44 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None,
     return measured_copy(df, max_rows, max_bytes)[1]
 
 
+# A plan the optimizer takes for this many times the byte bound is joined by
+# shuffle as it is: copying it first would cost a full write and read.
+FAR_ABOVE = 16
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's estimate of a plan's size; None where the session cannot tell (Connect)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return None
+
+
 def measured_copy(dim: DataFrame, max_rows: int | None = None,
                   max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialize ``dim`` once and tell whether it is small enough to broadcast.
-
-    The copy is checkpointed into the shared checkpoint folder with the
-    dimension's own partitioning (every task writes its part in parallel;
-    nothing funnels through one task), then its rows and bytes are summed
-    from the copy.  Either way the caller joins this copy, so the
-    dimension's upstream plan runs exactly once, and an executor lost later
-    never recomputes it.  With ``max_rows <= 0`` (broadcasts disabled) the
-    dimension is returned as it is.
+    """``dim``, or a copy of it, and whether it is small enough to broadcast.
+
+    A side the optimizer estimates far above the byte bound is returned as
+    it is, without running anything.  Any other is written once as Parquet
+    into the shared folder, every task its part; rows and bytes are counted
+    during the write, and the caller joins the copy, so the dimension's
+    upstream plan runs once and later scans read only the columns they
+    need.  With ``max_rows <= 0`` (broadcasts disabled) the dimension is
+    returned as it is.
     """
-    max_rows, max_bytes = _bounds(dim.sparkSession, max_rows, max_bytes)
+    spark = dim.sparkSession
+    max_rows, max_bytes = _bounds(spark, max_rows, max_bytes)
     if max_rows <= 0:
         return dim, False
-    ensure_checkpoint_dir(dim.sparkSession)
-    copy = dim.checkpoint(eager=True)
-    probe = copy.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim.schema)).alias("b")).first()
+    estimate = estimated_bytes(dim)
+    if estimate is not None and estimate > FAR_ABOVE * max_bytes:
+        return dim, False
+    obs = Observation()
+    path = staging_path(spark, "dimension")
+    (dim.observe(obs, F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim.schema)).alias("b"))
+        .write.parquet(path))
+    probe = obs.get
+    copy = spark.read.schema(dim.schema).parquet(path)
     return copy, probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
 
 

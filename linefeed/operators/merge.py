@@ -73,18 +73,32 @@ def _order_only(order_by, target: DataFrame) -> list[str]:
     return [o for o in (order_by or []) if isinstance(o, str) and o not in target.columns]
 
 
+def one_per_key(source: DataFrame, keys: Sequence[str],
+                order_by: Sequence[str | Column] | None) -> DataFrame:
+    """The last row per key in ``order_by``, or in the order of all other columns."""
+    rest = [c for c in source.columns if c not in keys]
+    if not order_by and not rest:
+        null_key = _any_null(source, keys)
+        return source.filter(~null_key).distinct().unionByName(source.filter(null_key))
+    return last_per_key(source, keys, order_by or [_c(c) for c in rest])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
            order_by: Sequence[str | Column] | None = None,
-           broadcast_max_rows: int | None = None) -> DataFrame:
+           broadcast_max_rows: int | None = None, null_keys: str = "insert") -> DataFrame:
     """K1: ``INSERT ... ON DUPLICATE KEY UPDATE`` on every source column.
 
     * a matched key takes all source columns, NULLs included;
     * target-only columns keep their value on a match, NULL on insert;
     * target rows without a source key stay unchanged;
-    * several source rows per key: the last one in ``order_by`` wins
-      (without ``order_by`` the source must not repeat a key); order
-      columns the target lacks (e.g. a load timestamp) only rank rows;
-    * a source row with a NULL key is always inserted.
+    * several source rows per key: the last one in ``order_by`` wins, or,
+      without ``order_by``, the last in the order of all their columns, so
+      the result has one row per key whatever the source repeats; order
+      columns the target lacks (e.g. a file's line number) only rank rows;
+    * order columns the target has (e.g. a snapshot time) also protect it:
+      a source row that ranks before the stored one changes nothing;
+    * a source row with a NULL key is inserted (``null_keys="insert"``),
+      left out (``"skip"``) or refused (``"error"``, one small job).
 
     Plan: when the deduplicated source passes the broadcast size check (the
     usual case: a load is small next to its table), the target is never
@@ -100,8 +114,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     missing = [k for k in keys if k not in source.columns or k not in target.columns]
     if missing:
         raise ValueError(f"key columns missing: {missing}")
-    src = last_per_key(source, keys, order_by) if order_by else source
-    src = src.drop(*order_only)
+    if null_keys not in ("insert", "skip", "error"):
+        raise ValueError("null_keys must be insert, skip or error")
+    if null_keys != "insert":
+        without = source.filter(_any_null(source, keys))
+        if null_keys == "error" and without.limit(1).count():
+            raise ValueError(f"source rows with a NULL in the key {keys}")
+        source = source.filter(~_any_null(source, keys))
+    src = one_per_key(source, keys, order_by).drop(*order_only)
+    # stored order columns: only a source row that does not rank before the stored one applies
+    ranks = [o for o in (order_by or []) if isinstance(o, str) and o in target.columns and o not in keys]
     source_cols = src.columns
     values = [c for c in source_cols if c not in keys]
     # NULL keys never match; keep them out of the join so they cannot pile up
@@ -112,6 +134,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     s_side = src_keyed.select(*[_c(k) for k in keys], *[_c(c).alias(_SRC + c) for c in values],
                               F.lit(True).alias(_SRC))
     matched = F.col(_SRC).isNotNull()
+    if ranks:
+        stored = F.struct(*[_c(o) for o in ranks])
+        matched = matched & (F.struct(*[_c(_SRC + o) for o in ranks]) >= stored)
 
     def merged_columns():
         out = []
@@ -137,6 +162,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
         inserted = as_inserted(small.join(hit, keys, "left_anti"))
         merged = updated.unionByName(inserted)
     else:
+        # a source key the target lacks has all-NULL order columns, which rank first
         joined = tgt_keyed.join(materialized, keys, "full_outer")
         merged = joined.select(*merged_columns())
     unkeyed = src_unkeyed.select(*[_c(c) if c in source_cols
@@ -152,7 +178,7 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
     Every target row with a matching key is updated (one source row may
     hit many); unknown and NULL keys change nothing; nothing is inserted,
     so the target keeps its row count.  The last source row per key in
-    ``order_by`` wins.
+    ``order_by`` wins, or, without it, in the order of all source columns.
     """
     if key not in source.columns:
         raise ValueError(f"key column '{key}' does not exist in the source")
@@ -166,7 +192,7 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
     if unknown:
         raise ValueError(f"source columns not in target: {unknown}")
     src = source.filter(_c(key).isNotNull())
-    src = last_per_key(src, [key], order_by) if order_by else src
+    src = one_per_key(src, [key], order_by)
     # one row per key after the dedup: a dimension of the target, broadcast when
     # its size check passes, shuffled (AQE splits hot target keys) otherwise
     src = src.select(_c(key), *[_c(c).alias(_SRC + c) for c in set_cols],

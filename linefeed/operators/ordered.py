@@ -29,28 +29,27 @@ def first_match_in_list(rows: DataFrame, group: str, idx: str, name: str, patter
     The list is read the way a screen list is walked: leading blank rows
     are skipped, reading starts at the first non-blank row and stops at
     the first missing position (``idx`` gap).  A group without non-blank
-    rows yields nothing.  Everything is aggregations and an equi-join on
-    (group, idx), so a long list is spread over many tasks.
+    rows yields nothing.
+
+    The first match after the start is reached exactly if no position
+    between the two is missing, that is, if the distinct positions between
+    them are as many as their distance plus one.  So three aggregations by
+    group do (start, match, count); their results have one row per group
+    and join back as size-checked dimensions, and a long list is spread
+    over many tasks.
     """
     extra = list(extra or [])
     start = (rows.filter(~C.is_blank(name))
                  .groupBy(group).agg(F.min(idx).alias("__start")))
-    present = rows.select(group, idx).distinct()
-    successor = present.select(group, (F.col(idx) - F.lit(1)).alias(idx),
-                               F.lit(True).alias("__has_next"))
-    # first position at or after the start whose successor is missing = end of the run;
-    # the per-list bounds (one row per list) join back as size-checked dimensions
-    ends = (join_dimension(present, start, group)
-                   .filter(F.col(idx) >= F.col("__start"))
-                   .join(successor, [group, idx], "left")
-                   .filter(F.col("__has_next").isNull())
-                   .groupBy(group).agg(F.min(idx).alias("__end")))
-    bounds = start.join(ends, group)
-    hits = (join_dimension(rows.filter(C.contains_ci(name, pattern)), bounds, group)
-                .filter((F.col(idx) >= F.col("__start")) & (F.col(idx) <= F.col("__end"))))
-    first = (hits.groupBy(group)
-                 .agg(F.min_by(F.struct(F.col(idx).alias("index"),
-                                        F.lower(F.col(name)).alias("name"),
-                                        *[F.col(c) for c in extra]), F.col(idx)).alias("__m"))
-                 .select(group, "__m.*"))
-    return first
+    hit = F.struct(F.col(idx).alias("index"), F.lower(F.col(name)).alias("name"),
+                   *[F.col(c) for c in extra])
+    match = (join_dimension(rows.filter(C.contains_ci(name, pattern)), start, group)
+             .filter(F.col(idx) >= F.col("__start"))
+             .groupBy(group).agg(F.min("__start").alias("__start"), F.min_by(hit, F.col(idx)).alias("__m")))
+    between = (join_dimension(rows.select(group, idx), match, group)
+               .filter(F.col(idx).between(F.col("__start"), F.col("__m.index")))
+               .select(group, idx, "__start", "__m").groupBy(group)
+               .agg(F.countDistinct(idx).alias("__n"), F.first("__start").alias("__start"),
+                    F.first("__m").alias("__m")))
+    return (between.filter(F.col("__n") == F.col("__m.index") - F.col("__start") + 1)
+                   .select(group, "__m.*"))

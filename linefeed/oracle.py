@@ -171,11 +171,12 @@ def _last_state(where: str) -> str:
 _SPOOL = """
 spool AS (
   SELECT CAST(ts AS DATE) AS list_day, event_id AS idx,
-         CASE WHEN event_type = 'view' THEN '   '
+         CASE WHEN event_type = 'view' THEN list_extract(['   ', chr(9), chr(160)], CAST(event_id % 3 + 1 AS BIGINT))
               ELSE upper(event_type) || '_' || CAST(user_id AS VARCHAR) END AS name,
          strftime(ts, '%H:%M:%S') AS hour
   FROM events),
-starts AS (SELECT list_day, min(idx) AS s FROM spool WHERE trim(name) <> '' GROUP BY list_day),
+starts AS (SELECT list_day, min(idx) AS s FROM spool WHERE trim(name, ' ' || chr(9) || chr(160)) <> ''
+           GROUP BY list_day),
 present AS (SELECT DISTINCT list_day, idx FROM spool),
 ends AS (
   SELECT p.list_day, min(p.idx) AS e FROM present p JOIN starts st ON st.list_day = p.list_day
@@ -271,3 +272,29 @@ JOIN pk05 a ON a.supply_area = k.supply_area""")
 ORACLE["store_consume"] = ORACLE["consume_apply_sum"]
 ORACLE["pkmc_file_order_index"] = with_ctes(["pkmc"], f"""
 SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS id, {PKMC_COLS} FROM pkmc""")
+
+# lines that share a part (its last two characters) and area: the last line of the export wins
+_SHARED = CTE["pkmc"].replace("pkmc_raw AS (", "pkmc_src AS (", 1).replace("pkmc_b01 AS (", r"""
+pkmc_raw AS (SELECT * REPLACE (right(regexp_replace(partnumber, '\W', '', 'g'), 2) AS partnumber) FROM pkmc_src),
+pkmc_b01 AS (""".strip() + "\n", 1)
+ORACLE["pkmc_reload"] = f"""
+WITH {_SHARED.strip()}
+SELECT {PKMC_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY partnumber, supply_area ORDER BY p_partkey DESC) AS rn FROM pkmc)
+WHERE rn = 1"""
+ORACLE["set_balances"] = with_ctes(["pkmc_t"], f"""
+SELECT {', '.join('k.' + c.strip() for c in PKMC_COLS.split(','))}, b.lb_balance
+FROM pkmc k LEFT JOIN (SELECT partnumber, max(lb_balance) AS lb_balance FROM stock GROUP BY partnumber) b
+  ON b.partnumber = k.partnumber""")
+ORACLE["write_result"] = with_ctes(["fx4pd"], """
+SELECT 'fx4pd' AS table_name, count(*) AS "rows"
+FROM (SELECT DISTINCT knr_fx4pd, partnumber FROM fx4pd), range(2) GROUP BY range""")
+ORACLE["parquet_scan"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000"
+ORACLE["sql_select"] = """
+SELECT n_name, count(*) AS customers, max(c_acctbal) AS highest
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY n_name"""
+ORACLE["forecast_collated"] = with_ctes(["fx4pd", "pkmc_t", "pk05"], """
+SELECT upper(f.partnumber) AS partnumber, f.knr_fx4pd, f.qty_usage, f.qty_unit, k.num_reg_circ, a.takt, k.rack,
+       k.lb_balance, k.total_theoretical_qty, k.qty_for_restock, k.qty_per_box, k.qty_max_box
+FROM fx4pd f JOIN pkmc_t k ON lower(k.partnumber) = lower(f.partnumber)
+JOIN pk05 a ON a.supply_area = k.supply_area""")

@@ -96,16 +96,17 @@ def clean_pk05(workbook: DataFrame) -> DataFrame:
                     .transform(filter_pk05))
 
 
-def index_pk05(workbook: DataFrame, order_by: Sequence[str] = ("supply_area",),
-               keep: Sequence[str] = ()) -> DataFrame:
+def index_pk05(workbook: DataFrame, order_by: Sequence[str] | None = None,
+               keep: Sequence[str] = (), drop_kept: bool = True) -> DataFrame:
     """PL2 with W1 *before* the filter, so ids keep the gaps of dropped rows.
 
     ``keep=("_file", "_row")`` with ``order_by=("_file", "_row")`` numbers
-    the lines in file order (the columns are dropped afterwards).
+    the lines in file order (the columns are dropped afterwards unless
+    ``drop_kept`` is false).  The default order is the supply area.
     """
     derived = rename_pk05(workbook, keep).transform(derive_pk05_columns)
-    indexed = with_dense_index(derived, order_by).transform(filter_pk05)
-    return indexed.drop(*keep)
+    indexed = with_dense_index(derived, order_by or ("supply_area",)).transform(filter_pk05)
+    return indexed.drop(*keep) if drop_kept else indexed
 
 
 def select_fx4pd(df: DataFrame) -> DataFrame:

@@ -53,6 +53,12 @@ def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys:
     return join_dimension(demand_cycles, stations, "supply_area").select(*FORECAST_COLUMNS)
 
 
+def by_car(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Range-partitioned and sorted by the car key, the layout in which per-car tables are stored."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, "knr_fx4pd").sortWithinPartitions("knr_fx4pd")
+
+
 def store_by_car(df: DataFrame, path: str, files: int | None = None) -> str:
     """Write a per-car table (forecast, demand) laid out by ``knr_fx4pd``.
 
@@ -60,9 +66,7 @@ def store_by_car(df: DataFrame, path: str, files: int | None = None) -> str:
     row group covers a narrow key range and a filter on a band of cars
     (the cars now on the line) skips the rest from parquet statistics.
     """
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, "knr_fx4pd").sortWithinPartitions("knr_fx4pd")
-       .write.parquet(path))
+    by_car(df, files).write.parquet(path)
     return path
 
 

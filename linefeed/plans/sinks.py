@@ -5,12 +5,19 @@ over the folder being read is unsafe, so every write goes to a new
 version folder and only then is the table's pointer moved.  A crash
 between the two leaves the previous version current.  The row count of
 a write is observed during the write itself (no second scan).
+
+A stream does not rewrite its table per batch: :class:`Batches` appends
+each batch's rows under ``batch=<id>`` (a replayed batch overwrites its
+own folder), readers combine them with the table's current version, and a
+separate compaction folds them into a new version.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linefeed.operators.merge import check_table_name
 
@@ -46,101 +53,137 @@ def write_observed(df: DataFrame, path: str, table: str, mode: str = "errorifexi
     return df.sparkSession.createDataFrame([(table, int(rows))], "table_name string, rows bigint")
 
 
+def counted_source(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """``rows`` with K6's source row count observed while they are read."""
+    obs = Observation("source_rows")
+    return rows.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 class VersionedTable:
     """A parquet table whose versions live in ``<root>/v=<n>`` behind a pointer file.
 
-    The pointer is read and moved with ``pyarrow.fs`` (local, S3, GCS, HDFS
-    with libhdfs; write-then-rename); on a file system pyarrow cannot open
-    it is read and written through Spark instead.  One writer at a time per
-    table (a job or a stream); readers may run at any time and always see
-    a complete version.
+    Small files (the pointer, notes) are read and written with Hadoop's file
+    system of the session: a temporary file is renamed into place, so a
+    reader sees the old or the new content.  One writer at a time per table
+    (a job or a stream); readers may run at any time and always see a
+    complete version.  A commit keeps the version before it for readers that
+    still use it and removes older ones.
     """
 
+    KEPT_VERSIONS = 2
+
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.root, self.name = spark, root.rstrip("/"), check_table_name(name)
 
-    def _fs(self):
-        import pyarrow.fs as pafs
-        root = self.root
-        if root.startswith("file:"):
-            root = "/" + root[len("file:"):].lstrip("/")
-        return pafs.FileSystem.from_uri(root)
+    def _hadoop(self, name: str):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path, jvm
 
     def read_note(self, name: str) -> str | None:
         """A one-line note stored next to the versions (None if absent)."""
-        import pyarrow.fs as pafs
-        try:
-            fs, base = self._fs()
-        except Exception:
-            from pyspark.errors import AnalysisException
-            try:
-                row = self.spark.read.text(f"{self.root}/{name}").first()
-            except AnalysisException:
-                return None
-            return row["value"] if row else None
-        path = f"{base}/{name}"
-        if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        fs, path, jvm = self._hadoop(name)
+        if not fs.exists(path):
             return None
-        with fs.open_input_stream(path) as f:
-            return f.read().decode()
+        stream = fs.open(path)
+        try:
+            return str(jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream).decode())
+        finally:
+            stream.close()
 
     def write_note(self, name: str, text: str) -> None:
+        """Write a note: a temporary file first, then renamed over the old one."""
+        fs, path, jvm = self._hadoop(name)
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}.tmp")
+        out = fs.create(tmp, True)
         try:
-            fs, base = self._fs()
-        except Exception:
-            (self.spark.createDataFrame([(text,)], "value string").coalesce(1)
-                 .write.mode("overwrite").text(f"{self.root}/{name}"))
-            return
-        fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/{name}") as f:
-            f.write(text.encode())
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            path.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(context.makeQualified(tmp), context.makeQualified(path), options)
 
     def version(self) -> int | None:
         """The committed version from the one-line pointer file (None before the first)."""
-        import pyarrow.fs as pafs
-        try:
-            fs, base = self._fs()
-        except Exception:  # a file system pyarrow has no client for: read it with Spark
-            return self._spark_version()
-        path = f"{base}/{POINTER}"
-        if fs.get_file_info(path).type == pafs.FileType.NotFound:
-            return None
-        with fs.open_input_stream(path) as f:
-            return int(f.read().decode().strip())
-
-    def _spark_version(self) -> int | None:
-        from pyspark.errors import AnalysisException
-        try:
-            row = self.spark.read.text(f"{self.root}/{POINTER}").first()
-        except AnalysisException:  # no pointer yet
-            return None
-        return int(row["value"]) if row else None
-
-    def _point_to(self, version: int) -> None:
-        """Move the pointer: write a temporary file, then rename it over the pointer."""
-        try:
-            fs, base = self._fs()
-        except Exception:  # no pyarrow client: Spark writes the one-line pointer
-            (self.spark.createDataFrame([(str(version),)], "value string").coalesce(1)
-                 .write.mode("overwrite").text(f"{self.root}/{POINTER}"))
-            return
-        fs.create_dir(base, recursive=True)
-        tmp = f"{base}/{POINTER}.tmp"
-        with fs.open_output_stream(tmp) as f:
-            f.write(str(version).encode())
-        fs.move(tmp, f"{base}/{POINTER}")
+        text = self.read_note(POINTER)
+        return None if text is None else int(text.strip())
 
     def current(self) -> DataFrame | None:
         v = self.version()
         return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
 
-    def commit(self, df: DataFrame, version: int | None = None) -> DataFrame:
-        """Write ``df`` as the next version (or ``version``), then move the pointer."""
+    def commit(self, df: DataFrame, version: int | None = None,
+               source: Observation | None = None, folded: int | None = None) -> DataFrame:
+        """Write ``df`` as the next version (or ``version``), then move the pointer.
+
+        Returns K6's ``(table_name, rows)``: the rows of ``source``, if given
+        (what the merge was asked to write), else those of the whole table.
+        ``folded`` notes the last appended batch that ``df`` includes.
+        """
         current = self.version()
         new = version if version is not None else (current + 1 if current is not None else 0)
         if current is not None and new <= current:
             # replaying an already committed batch: nothing to do (idempotent)
             return self.spark.createDataFrame([(self.name, 0)], "table_name string, rows bigint")
+        before = self.folded()
         metrics = write_observed(df, f"{self.root}/v={new}", self.name, mode="overwrite")
-        self._point_to(new)
-        return metrics
+        self.write_note(f"{FOLDED}{new}", str(before if folded is None else folded))
+        self.write_note(POINTER, str(new))
+        self._expire(new)
+        if source is None:
+            return metrics
+        return self.spark.createDataFrame([(self.name, int(source.get.get("rows", 0)))],
+                                          "table_name string, rows bigint")
+
+    def folded(self) -> int:
+        """The last appended batch included in the current version (-1: none)."""
+        v = self.version()
+        note = self.read_note(f"{FOLDED}{v}") if v is not None else None
+        return int(note) if note else -1
+
+    def _expire(self, newest: int) -> None:
+        fs, path, jvm = self._hadoop("")
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            for prefix in ("v=", FOLDED):
+                number = name.removeprefix(prefix)
+                if name.startswith(prefix) and number.isdigit() and int(number) <= newest - self.KEPT_VERSIONS:
+                    fs.delete(status.getPath(), True)
+
+
+FOLDED = "_folded_"
+
+
+class Batches:
+    """Rows that a stream appends beside a table, one folder per micro-batch."""
+
+    def __init__(self, table: VersionedTable, name: str):
+        self.table, self.path = table, f"{table.root}/{name}"
+
+    def append(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Write a batch; written again, it replaces itself.  Returns the rows written."""
+        path = f"{self.path}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.table.spark.read.schema(rows.schema).parquet(path)
+
+    def read(self, schema: T.StructType, after: int = -1, before: int | None = None) -> DataFrame:
+        """All batches after one and before another, with their number in ``batch``."""
+        spark = self.table.spark
+        full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        try:
+            rows = spark.read.schema(full).option("basePath", self.path).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = spark.createDataFrame([], full)
+        rows = rows.filter(F.col("batch") > after)
+        return rows if before is None else rows.filter(F.col("batch") < before)
+
+    def last(self) -> int:
+        """The largest batch number present (-1: none)."""
+        found = self.read(T.StructType([])).agg(F.max("batch")).first()[0]
+        return -1 if found is None else int(found)

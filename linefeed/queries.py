@@ -23,7 +23,7 @@ from linefeed.plans.transfer import pending_orders
 from linefeed.schemas import ASSEMBLY_LINE, PKMC_HEADERS, PKMC_RAW
 from linefeed.session import staging_path
 from linefeed.sources.excel import read_excel
-from linefeed.sources.loader import load_table
+from linefeed.sources.loader import load_table, select_sql
 from linefeed.sources.snapshots import read_snapshots, stream_snapshots
 from linefeed.streaming.ingest import car_positions, consume_once_stream, upsert_stream
 
@@ -225,7 +225,10 @@ def q_update_customer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spool_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in spool lists: one list per day of events, rows in event order."""
     ev = X.read_table(spark, sf_dir, "events")
-    name = F.when(F.col("event_type") == "view", F.lit("   ")) \
+    # blank names of every kind: spaces, a tab, a no-break space
+    blank = F.element_at(F.array(F.lit("   "), F.lit("\t"), F.lit("\u00a0")),
+                         (F.col("event_id") % 3 + 1).cast("int"))
+    name = F.when(F.col("event_type") == "view", blank) \
         .otherwise(F.concat(F.upper("event_type"), F.lit("_"), F.col("user_id").cast("string")))
     return ev.select(F.to_date("ts").alias("list_day"), F.col("event_id").alias("idx"),
                      name.alias("name"), F.date_format("ts", "HH:mm:ss").alias("hour"))
@@ -294,12 +297,19 @@ def q_assembly_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.land_snapshots(X.assembly_snapshots(spark, sf_dir), f"{base}/landing")
     positions = car_positions(stream_snapshots(spark, f"{base}/landing", max_files_per_trigger=2))
     table = VersionedTable(spark, f"{base}/assembly_line", "assembly_line")
-    empty = spark.createDataFrame([], ASSEMBLY_LINE)
-    return upsert_stream(positions, table, ["knr"], ["snapshot_ts"], empty, f"{base}/checkpoint")
+    empty = positions_table(spark, positions)
+    line = upsert_stream(positions, table, ["knr"], ["snapshot_ts", "snapshot_pos"], empty, f"{base}/checkpoint")
+    return line.drop("snapshot_ts", "snapshot_pos")
+
+
+def positions_table(spark: SparkSession, positions: DataFrame) -> DataFrame:
+    """An empty ``assembly_line`` that stores each position's snapshot time and place."""
+    kept = [positions.schema[c] for c in ("snapshot_ts", "snapshot_pos")]
+    return spark.createDataFrame([], T.StructType([*ASSEMBLY_LINE.fields, *kept]))
 
 
 def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every snapshot landed twice; each car x station is consumed once."""
+    """Every snapshot landed twice; each car, station and part is consumed once."""
     base = staging_path(spark, "consume-stream")
     docs = stored(X.assembly_snapshots(spark, sf_dir))
     X.land_snapshots(docs, f"{base}/landing/first")
@@ -341,6 +351,73 @@ def q_store_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("pkmc").drop("id")
 
 
+def q_pkmc_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 in the load job: a workbook with several lines per part and area, loaded twice.
+
+    The part number is cut to its group, so lines share a key; the last line
+    of the workbook wins and a reload changes nothing.  Line order is the
+    order of the part key, which the ids follow.
+    """
+    base = staging_path(spark, "reload")
+    lines = X.pkmc_workbook(spark, sf_dir, with_key=True)
+    part, area = (h for h, n in PKMC_HEADERS.items() if n in ("partnumber", "supply_area"))
+    shared = lines.withColumn(part, F.substring(F.regexp_replace(F.col(f"`{part}`"), r"\W", ""), -2, 2))
+    X.write_workbooks(shared, f"{base}/pkmc.xlsx", rows_per_workbook=5000, order_by=["p_partkey"])
+    store = jobs.TableStore(spark, f"{base}/tables")
+    for _ in range(2):
+        jobs.load_pkmc(store, "{base}/pkmc.xlsx", {"base": base}, keys=("partnumber", "supply_area"),
+                       file_order=True)
+    return store.read("pkmc").drop("id", "lb_balance")
+
+
+def q_set_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 in the balance job: a count that lists parts several times; the largest count is last.
+
+    The control cycles are loaded from workbooks; the counts name each
+    cycle's part, so a part in several areas repeats.
+    """
+    base = staging_path(spark, "balances")
+    X.write_workbooks(X.pkmc_workbook(spark, sf_dir), f"{base}/pkmc.xlsx")
+    store = jobs.TableStore(spark, f"{base}/tables")
+    jobs.load_pkmc(store, "{base}/pkmc.xlsx", {"base": base})
+    counts = X.fixture(spark, sf_dir, "stock").select("partnumber", "lb_balance")
+    jobs.set_balances(store, counts.unionByName(counts.withColumn("lb_balance", F.col("lb_balance") - 1)),
+                      order_by=["lb_balance"])
+    return store.read("pkmc").drop("id")
+
+
+def q_write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: what the demand job reports, the source rows of a first load and of a reload."""
+    base = staging_path(spark, "write-result")
+    X.land_csv(X.fx4pd_file(spark, sf_dir), f"{base}/in")
+    store = jobs.TableStore(spark, f"{base}/tables")
+    out = [jobs.load_fx4pd(store, "{base}/in/export.csv", {"base": base}) for _ in range(2)]
+    return out[0].unionByName(out[1])
+
+
+def q_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Parquet table loaded by its suffix; two columns of some rows are read."""
+    orders = load_table(spark, f"{sf_dir}/orders.parquet")
+    return orders.filter(F.col("o_totalprice") > 100_000).select("o_orderkey", "o_totalprice")
+
+
+def q_sql_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SELECT over named frames."""
+    return select_sql(spark, SELECT_SQL, **{n: X.read_table(spark, sf_dir, n) for n in ("nation", "customer")})
+
+
+SELECT_SQL = """SELECT n_name, count(*) AS customers, max(c_acctbal) AS highest
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY n_name"""
+
+
+def q_forecast_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with keys compared regardless of case (D7 option): the demand's part numbers come in lower case."""
+    demand = fx4pd_clean(spark, sf_dir).withColumn("partnumber", F.lower("partnumber"))
+    found = forecast.forecast(demand, pkmc_table(spark, sf_dir), pk05_clean(spark, sf_dir),
+                              key_collation="UTF8_LCASE")
+    return found.withColumn("partnumber", F.upper(F.collate("partnumber", "UTF8_BINARY")))
+
+
 QUERIES: dict[str, Query] = {
     "pkmc_clean": pkmc_clean,
     "pk05_clean": pk05_clean,
@@ -373,4 +450,10 @@ QUERIES: dict[str, Query] = {
     "assembly_stream_upsert": q_assembly_stream_upsert,
     "consume_once_stream": q_consume_once_stream,
     "store_consume": q_store_consume,
+    "pkmc_reload": q_pkmc_reload,
+    "set_balances": q_set_balances,
+    "write_result": q_write_result,
+    "parquet_scan": q_parquet_scan,
+    "sql_select": q_sql_select,
+    "forecast_collated": q_forecast_collated,
 }

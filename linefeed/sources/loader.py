@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Suffixes the source system accepts, per reader.
-EXCEL_SUFFIXES = (".xlsx", ".xls", ".xlsm")
+EXCEL_SUFFIXES = (".xlsx", ".xlsm")
+LEGACY_SUFFIX = ".xls"
 PARQUET_SUFFIXES = (".parquet",)
 CSV_SUFFIXES = (".csv", ".txt")
 
@@ -73,6 +74,14 @@ def suffix_of(path: str) -> str:
     return "." + base.rsplit(".", 1)[-1].lower() if "." in base else ""
 
 
+def is_workbook(path: str) -> bool:
+    """Whether a path names a workbook; a legacy binary one cannot be decoded here and raises."""
+    ext = suffix_of(path)
+    if ext == LEGACY_SUFFIX:
+        raise ValueError(f"legacy .xls workbooks cannot be read, save as .xlsx: {path}")
+    return ext in EXCEL_SUFFIXES
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Header line, comma separated, ragged lines cut or null-filled, bad UTF-8 replaced.
 
@@ -88,12 +97,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Choose the reader by file suffix (case-insensitive).
 
-    ``.xlsx/.xls/.xlsm`` -> Excel (first sheet), ``.parquet`` -> parquet
+    ``.xlsx/.xlsm`` -> Excel (first sheet), ``.parquet`` -> parquet
     (filters and projections reach the scan), ``.csv/.txt`` -> CSV.
-    Any other suffix raises ``ValueError``.
+    Any other suffix raises ``ValueError``, also the legacy ``.xls``.
     """
     ext = suffix_of(path)
-    if ext in EXCEL_SUFFIXES:
+    if is_workbook(path):
         from linefeed.sources.excel import read_excel
         return read_excel(spark, path, schema)
     if ext in PARQUET_SUFFIXES:

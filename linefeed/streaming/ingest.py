@@ -1,22 +1,25 @@
 """Snapshot ingest as Structured Streaming.
 
 * T1 ``stream_snapshots`` (sources) -> car positions per micro-batch.
-* T2 ``upsert_stream``: every micro-batch is merged into a versioned
-  table with K1; the table version is ``batch_id + 1``, so a batch the
-  engine replays after a failure finds its version committed and is
-  skipped (exactly-once effect on the table).
-* T3 ``consume_once_stream``: car x station sightings are de-duplicated
-  within a watermark, so a snapshot landed twice (or a car seen at the
-  same station in consecutive polls) is consumed once; each batch then
-  decrements the stored control-cycle table.  The watermark bounds the
-  dedup state and must exceed the longest stay of a car at one station.
+* T2 ``upsert_stream``: every micro-batch appends its last row per key;
+  the table is its current version with these rows applied, and
+  ``compact`` folds them in.  What a batch writes follows the batch, not
+  the table, and the newest snapshot of a key wins across batches.
+* T3 ``consume_once_stream``: the (car, station) pairs already seen are
+  kept as a table, so a pair is consumed once, however often, however late
+  and in whatever batches it arrives; there is no watermark behind which
+  data could be lost.  A batch appends what its new pairs consume to a
+  ledger; balances are the stored table minus the ledger.
+
+A batch the engine replays after a failure overwrites its own folders and
+reads only earlier ones, so replays have no effect.
 
 All runs use ``trigger(availableNow=True)`` and a checkpoint folder under
 the shared checkpoint location; they stop when the landed files are done.
 
 A table and its stream checkpoint belong together: batch ids restart at 0
-on a new checkpoint, and those batches would be taken for replays of the
-versions already in the table.  The table therefore records the checkpoint
+on a new checkpoint, and those batches would overwrite the ones already
+beside the table.  The table therefore records the checkpoint
 that feeds it, and a stream started on another checkpoint is refused.
 """
 
@@ -26,11 +29,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from linefeed.operators.joins import join_dimension
-from linefeed.operators.merge import upsert
+from linefeed.operators.merge import one_per_key
 from linefeed.plans.assembly import assembly_records
-from linefeed.plans.sinks import VersionedTable
+from linefeed.plans.consumption import station_usage, subtract
+from linefeed.plans.sinks import Batches, VersionedTable
+from linefeed.sources.snapshots import placed
 
 DEFAULT_TIMEOUT_S = 600
 
@@ -62,73 +67,85 @@ def _run(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoin
 
 
 def car_positions(snapshots: DataFrame) -> DataFrame:
-    """Car positions of streamed snapshot documents, with their snapshot time."""
-    return assembly_records(snapshots, "value", keep=["snapshot_ts"])
+    """Car positions of streamed snapshot documents, with their snapshot's time and place."""
+    return assembly_records(snapshots, "value", keep=["snapshot_ts", "snapshot_pos"])
 
 
 def upsert_stream(positions: DataFrame, table: VersionedTable, keys: Sequence[str],
                   order_by: Sequence[str], empty: DataFrame, checkpoint: str,
                   timeout_s: int = DEFAULT_TIMEOUT_S) -> DataFrame:
-    """K1 of every micro-batch into ``table``; returns the final table."""
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        if table.version() is not None and table.version() >= batch_id + 1:
-            return  # replayed batch, already committed
-        batch = batch.persist()  # one micro-batch, read by several actions
-        try:
-            current = table.current()
-            target = current if current is not None else empty
-            table.commit(upsert(target, batch, keys, order_by), version=batch_id + 1)
-        finally:
-            batch.unpersist()
+    """K1 of every micro-batch into ``table``; returns the table with all of them applied.
+
+    ``empty`` has the table's schema, which must hold the order columns, so
+    that a late, older row never replaces a newer one.
+    """
+    missing = [c for c in order_by if c not in empty.columns]
+    if missing:
+        raise ValueError(f"the table must store its order columns: {missing}")
+    log = Batches(table, CHANGES)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        rows = placed(batch) if "snapshot_pos" in batch.columns else batch
+        log.append(one_per_key(rows.select(*empty.columns), list(keys), order_by), batch_id)
 
     _bind(table, checkpoint)
-    _run(positions, merge_batch, checkpoint, timeout_s)
-    result = table.current()
-    return result if result is not None else empty
+    _run(positions, append, checkpoint, timeout_s)
+    return with_changes(table, keys, order_by, empty)
+
+
+def with_changes(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str],
+                 empty: DataFrame) -> DataFrame:
+    """The table's current version with the appended batches applied."""
+    current = table.current()
+    base = empty if current is None else current.select(*empty.columns)
+    changes = Batches(table, CHANGES).read(empty.schema, after=table.folded())
+    return one_per_key(base.unionByName(changes.drop("batch")), list(keys), order_by)
+
+
+def compact(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str],
+            empty: DataFrame) -> DataFrame:
+    """Fold the appended batches into a new version of the table (run when no stream writes)."""
+    last = Batches(table, CHANGES).last()
+    return table.commit(with_changes(table, keys, order_by, empty), folded=max(last, table.folded()))
+
+
+CHANGES, SIGHTINGS, LEDGER = "changes", "sightings", "ledger"
+SEEN = T.StructType([T.StructField("knr_fx4pd", T.StringType()), T.StructField("takt", T.StringType())])
+ENTRY = T.StructType([*SEEN.fields, T.StructField("partnumber", T.StringType()),
+                      T.StructField("usage", T.DoubleType())])
 
 
 def consume_once_stream(positions: DataFrame, forecast: DataFrame, fx4pd: DataFrame,
-                        table: VersionedTable, checkpoint: str, watermark: str = "1 hour",
+                        table: VersionedTable, checkpoint: str,
                         timeout_s: int = DEFAULT_TIMEOUT_S) -> DataFrame:
-    """Decrement ``lb_balance`` once per (car, station) sighting; returns the final table.
+    """Decrement ``lb_balance`` once per (car, station, part); returns the table with that applied.
 
-    Per batch: the newly seen (car, station) pairs select the forecast rows
-    of parts fed at that station; each (car, part) contributes its summed
-    demand from ``fx4pd`` once, and the stored table's balance of every
-    control cycle of the part drops by the total.
+    Per batch: the (car, station) pairs not seen before select the forecast
+    rows of parts fed at that station; each (car, station, part) enters the
+    ledger with the car's summed demand from ``fx4pd``.  The result does not
+    depend on how files fall into batches.
     """
-    sightings = (positions.select("knr_fx4pd", "takt", "snapshot_ts")
-                          .filter(F.col("knr_fx4pd").isNotNull())
-                          .withWatermark("snapshot_ts", watermark)
-                          .dropDuplicatesWithinWatermark(["knr_fx4pd", "takt"]))
+    sightings, ledger = Batches(table, SIGHTINGS), Batches(table, LEDGER)
 
     def consume_batch(batch: DataFrame, batch_id: int) -> None:
-        if table.version() is not None and table.version() >= batch_id + 1:
-            return
-        seen = batch.select("knr_fx4pd", "takt").distinct().persist()
-        present = (join_dimension(forecast.select("knr_fx4pd", "takt", "partnumber"), seen,
-                                  ["knr_fx4pd", "takt"], range_prune=["knr_fx4pd"])
-                   .select("knr_fx4pd", "partnumber").distinct())
-        cars = seen.select("knr_fx4pd").distinct()
-        demand = join_dimension(fx4pd.select("knr_fx4pd", "partnumber", "qty_usage"), cars,
-                                "knr_fx4pd", "left_semi", range_prune=["knr_fx4pd"])
-        usage = (demand.groupBy("knr_fx4pd", "partnumber")
-                       .agg(F.sum(F.coalesce(F.col("qty_usage"), F.lit(0.0))).alias("usage")))
-        consumed = (present.join(usage, ["knr_fx4pd", "partnumber"])
-                           .groupBy("partnumber").agg(F.sum("usage").alias("consumed")))
-        current = table.current()
-        updated = (current.join(consumed, "partnumber", "left")
-                          .withColumn("lb_balance",
-                                      F.when(F.col("consumed").isNotNull(),
-                                             F.col("lb_balance") - F.col("consumed"))
-                                       .otherwise(F.col("lb_balance")))
-                          .select(*current.columns))
-        try:
-            table.commit(updated, version=batch_id + 1)
-        finally:
-            seen.unpersist()
+        seen = batch.select("knr_fx4pd", "takt").dropna().distinct()
+        earlier = sightings.read(SEEN, before=batch_id).drop("batch")
+        new = sightings.append(seen.join(earlier, ["knr_fx4pd", "takt"], "left_anti"), batch_id)
+        ledger.append(station_usage(forecast, new, fx4pd), batch_id)
 
     _bind(table, checkpoint)
-    _run(sightings, consume_batch, checkpoint, timeout_s)
-    return table.current()
+    _run(positions.select("knr_fx4pd", "takt"), consume_batch, checkpoint, timeout_s)
+    return with_ledger(table)
+
+
+def with_ledger(table: VersionedTable) -> DataFrame:
+    """The table's current version minus what the ledger holds since."""
+    entries = Batches(table, LEDGER).read(ENTRY, after=table.folded())
+    consumed = entries.groupBy("partnumber").agg(F.sum("usage").alias("consumed"))
+    return subtract(table.current(), consumed)
+
+
+def settle(table: VersionedTable) -> DataFrame:
+    """Fold the ledger into a new version of the table (run when no stream writes)."""
+    last = Batches(table, LEDGER).last()
+    return table.commit(with_ledger(table), folded=max(last, table.folded()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from linefeed import queries as Q
+from linefeed.queries import QUERIES
 from tests.harness import compare, duck_connection
 
 
@@ -15,7 +16,7 @@ def duck(sf_small):
     return duck_connection(sf_small)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, sf_small, name):
     df = E.queries()[name](spark, sf_small)
     oracle = E.oracle_sql().get(name)

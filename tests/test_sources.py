@@ -51,13 +51,27 @@ def test_excel_reader_shared_and_inline_strings(spark):
     assert sheet_rows(data)[0] == ["Material", "Quantidade Kanban", "Posição de armazenamento"]
     schema = T.StructType([T.StructField("Material", T.StringType()),
                            T.StructField("Quantidade Kanban", T.LongType()),
-                           T.StructField("Posição de armazenamento", T.StringType()),
-                           T.StructField("absent", T.StringType())])
+                           T.StructField("Posição de armazenamento", T.StringType())])
     got = [tuple(r) for r in read_excel(spark, d, schema).collect()]
-    assert got == [(" p.1 ", 12, "MAX: 12", None), ("P2", None, None, None)]
+    assert got == [(" p.1 ", 12, "MAX: 12"), ("P2", None, None)]
     assert load_table(spark, os.path.join(d, "pkmc.xlsx"), schema).count() == 2
 
 
+def test_excel_reader_loses_nothing_unnoticed(spark):
+    d = scratch()
+    with open(os.path.join(d, "a.xlsx"), "wb") as f:
+        f.write(X.workbook_bytes(["Material"], [("P1",)]))
+    renamed = T.StructType([T.StructField("Material", T.StringType()), T.StructField("absent", T.StringType())])
+    with pytest.raises(Exception, match="no column"):
+        read_excel(spark, d, renamed).collect()
+    with open(os.path.join(d, "b.xls"), "wb") as f:
+        f.write(b"legacy")
+    with pytest.raises(Exception, match="legacy"):
+        read_excel(spark, d, T.StructType(renamed.fields[:1])).collect()
+    with pytest.raises(ValueError, match="legacy"):
+        load_table(spark, os.path.join(d, "b.xls"))
+
+
 def test_snapshots_lines_and_whole_files(spark):
     d = scratch()
     doc = {"reception": {"fb": {"s": {"CAR": {"KNR": "1"}, "TACT": "T1"}}}}
