@@ -27,8 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+#: Spark's limit on an Arrow batch, its default, and what takes its place where it is not set.
+BATCH_CONF, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
 def ship(spark: SparkSession) -> None:
     """Give the workers this package, once per application, through Spark's own file server."""
+    # a task holds a batch in the JVM, in Arrow and as Python strings: smaller ones than Spark's default
+    if spark.conf.get(BATCH_CONF, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_linefeed_shipped", False):
         return
@@ -84,6 +91,27 @@ def slices(batch: pa.RecordBatch, text_col: str, most: int = 8 << 20) -> Iterato
         yield batch.slice(a, b - a)
 
 
+#: Parts that a text with very many copies is dealt into when its copies are marked.
+SALT = 16
+
+
+def firsts(marks: DataFrame) -> DataFrame:
+    """``marks`` (``doc_id``, ``digest``, more) with ``first``: the smallest id with the same text.
+
+    Only texts on several rows meet their first id by a join; they are
+    salted, and both sides are plain shuffles, so a text with a third of
+    all rows is spread over tasks.  ``first`` of other rows, and of rows
+    without an id, is their own id.
+    """
+    several = (marks.where("doc_id is not null").groupBy("digest")
+               .agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+               .select("digest", "least", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
+    salted = marks.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
+    return (salted.join(several, ["digest", "salt"], "left")
+            .withColumn("first", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")))
+            .drop("salt", "least"))
+
+
 # --- hashing of words, inside tasks -------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

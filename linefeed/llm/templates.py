@@ -17,14 +17,17 @@ none fills one task.  What comes back is a list of lines to drop.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linefeed.llm import fingerprints as fp
-from linefeed.llm.common import named, saved, ship
+from linefeed.llm.common import firsts, named, saved, ship
 
 #: Leading words of a leaf, and of a leaf with very many texts.
 DEPTH, DEEPER = 3, 8
@@ -33,35 +36,28 @@ SIMILAR = 0.7
 #: Different texts a template must be in, and words a line must have, to be boilerplate.
 LEAST_DOCS, LEAST_WORDS = 5, 3
 #: What stands for a variable field.
-FIELD = "<*>"
-
-_DIGITS = frozenset("0123456789")
-
-
-def masked(line: str) -> list[str]:
-    """The line's words (runs free of ASCII white space); words with a digit are variable."""
-    return [FIELD if not _DIGITS.isdisjoint(w) else w for w in line.translate(_WHITE).split(" ") if w]
+FIELD = b"<*>"
 
+_DIGIT = re.compile(rb"[0-9]").search
 
-_WHITE = {c: " " for c in range(0x09, 0x0E)}
 
+def masked(words: list[bytes]) -> list[bytes]:
+    """The words, those with a digit as variable fields."""
+    if not _DIGIT(b"".join(words)):
+        return words
+    return [FIELD if _DIGIT(w) else w for w in words]
 
-def _hash(text: str) -> int:
-    """A 64-bit hash of a string, the same in every process."""
-    import xxhash
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
+def leaf(words: list[bytes], depth: int = DEPTH) -> int:
+    """The leaf of a line, as a 64-bit hash: its length and leading words."""
+    return xxhash.xxh64_intdigest(b"%d " % len(words) + b" ".join(masked(words[:depth])))
 
-def leaf(words: list[str], depth: int = DEPTH) -> int:
-    """The leaf of a line: its length and leading words."""
-    return _hash(f"{len(words)} {' '.join(words[:depth])}")
 
-
-def grown(lines: list[tuple[str, list[int]]], similar: float = SIMILAR) -> list[int]:
+def grown(lines: list[tuple[bytes, list[int]]], similar: float = SIMILAR) -> list[int]:
     """The template of each line of one leaf.  Lines of many documents come first, then by their words."""
     order = sorted(range(len(lines)), key=lambda i: (-len(lines[i][1]), lines[i][0]))
-    names: dict[str, int] = {FIELD: 0}
-    rows = np.array([[names.setdefault(w, len(names)) for w in lines[i][0].split(" ")] for i in order], np.int64)
+    names: dict[bytes, int] = {FIELD: 0}
+    rows = np.array([[names.setdefault(w, len(names)) for w in lines[i][0].split(b" ")] for i in order], np.int64)
     need = int(np.ceil(similar * rows.shape[1]))
     templates = np.empty_like(rows)
     count, out = 0, [0] * len(lines)
@@ -84,10 +80,11 @@ def grown(lines: list[tuple[str, list[int]]], similar: float = SIMILAR) -> list[
 
 
 class _Chunk:
-    """A chunk's lines: for each row, the masked lines long enough to be templates."""
+    """A chunk's rows and their lines, as bytes; words are the runs free of ASCII white space."""
 
     def __init__(self, table: pa.Table, side: pa.Table, least_words: int):
-        self.ids, self.texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
+        self.ids = table.column("doc_id").to_pylist()
+        self.texts = table.column("text").cast(pa.binary()).to_pylist()
         copy = np.array([k == 0 for k in side.column("kind").to_pylist()], dtype=bool)
         told = side.filter(pa.array(copy))
         first = {(i, h): f for i, h, f in zip(*(told.column(c).to_pylist() for c in ("doc_id", "h", "first")),
@@ -96,17 +93,14 @@ class _Chunk:
         self.holder = [first.get((i, h), i) for i, h in zip(self.ids, table.column("h").to_pylist(), strict=True)]
         self.counts = [i is not None and i == f for i, f in zip(self.ids, self.holder, strict=True)]
         self.rest = side.filter(pa.array(~copy))
-        self.lines = []
-        for text in self.texts:
-            lines = []
-            for line in (text or "").split("\n"):
-                words = masked(line)
-                lines.append((leaf(words), words) if len(words) >= least_words else None)
-            self.lines.append(lines)
+        #: Lines of each row, and the leaf of each line that is long enough for a template.
+        self.lines = [(t or b"").split(b"\n") for t in self.texts]
+        self.leaves = [[leaf(w) if len(w) >= least_words else None for w in map(bytes.split, lines)]
+                       for lines in self.lines]
 
     def tally(self) -> tuple[np.ndarray, np.ndarray]:
         """All leaves, and in how many texts each is; copies and rows without an id count for none."""
-        leaves = [{x[0] for x in lines if x} for lines in self.lines]
+        leaves = [{x for x in own if x is not None} for own in self.leaves]
         every = np.unique(np.array([x for own in leaves for x in own], np.uint64) >> np.uint64(64 - fp.KEPT_BITS))
         owner = [(x, k) for k, own in enumerate(leaves) if self.counts[k] for x in own]
         cut, n = fp.tally(np.array([x for x, _ in owner], np.uint64), np.array([k for _, k in owner], np.int64))
@@ -115,16 +109,17 @@ class _Chunk:
         return every, docs
 
     def recurring(self, answer: pa.Table, buckets: int, least_docs: int):
-        """Row, line number, leaf and words of each line whose leaf has enough texts."""
+        """Row, line number, leaf and masked words of each line whose leaf has enough texts."""
         cut, _ = self.tally()
         count = fp.counts(cut, answer, buckets)
-        known = dict(zip(cut.tolist(), count.tolist(), strict=True))
+        known = set(cut[count >= least_docs].tolist())
+        deeper = set(cut[count >= fp.MOST].tolist())
         shift = 64 - fp.KEPT_BITS
-        for k, lines in enumerate(self.lines):
-            for n, x in enumerate(lines):
-                docs = known.get(x[0] >> shift, 0) if x else 0
-                if docs >= least_docs:
-                    yield k, n, leaf(x[1], DEEPER) if docs >= fp.MOST else x[0], " ".join(x[1])
+        for k, leaves in enumerate(self.leaves):
+            for n, x in enumerate(leaves):
+                if x is not None and x >> shift in known:
+                    words = self.lines[k][n].split()
+                    yield k, n, leaf(words, DEEPER) if x >> shift in deeper else x, b" ".join(masked(words))
 
 
 def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int = LEAST_WORDS,
@@ -143,8 +138,9 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
     spark = docs.sparkSession
     ship(spark)
     key = F.coalesce(named(text_col), F.lit(""))
-    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), named(id_col).cast("long").alias("doc_id"),
-                       named(text_col).alias("text"))
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select((F.struct(*map(named, others)) if others else F.struct(F.lit(0).alias("none"))).alias("row"),
+                       named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"))
     marks = saved(docs.select(named(id_col).cast("long").alias("doc_id"), F.octet_length(key).cast("long").alias("n"),
                               F.xxhash64(key).alias("h"), F.unhex(F.sha2(key, 256)).alias("digest")))
     total = marks.agg(F.sum("n")).first()[0] or 0
@@ -153,9 +149,8 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
     n_bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // (32 << 20)))
     chunk = F.pmod(F.xxhash64(F.col("doc_id"), F.col("h")), F.lit(n_chunks)).cast("int")
     dealt = rows.withColumn("h", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).withColumn("chunk", chunk)
-    first = marks.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
     empty = F.lit(None).cast("binary")
-    side = (marks.join(first, "digest").where("doc_id > first").select(
+    side = (firsts(marks).where("doc_id > first").select(
         chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id", "h", "first",
         empty.alias("items")).distinct())
 
@@ -164,7 +159,7 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
 
     def second_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         own = _Chunk(left, right, least_words)
-        held: dict[tuple[int, str], set[int]] = {}
+        held: dict[tuple[int, bytes], set[int]] = {}
         for k, _, leaf_, line in own.recurring(own.rest, buckets, least_docs):
             ids = held.setdefault((leaf_, line), set())
             if own.counts[k]:
@@ -174,17 +169,17 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
             "bin": pa.array([leaf_ % n_bins for leaf_, _ in held], pa.int32()),
             "chunk": pa.array([key[0].as_py()] * len(held), pa.int32()),
             "leaf": pa.array(np.array([leaf_ for leaf_, _ in held], np.uint64).view(np.int64)),
-            "line": pa.array([line for _, line in held], pa.string()),
+            "line": pa.array([line for _, line in held], pa.binary()),
             "ids": pa.array([sorted(v)[:least_docs] for v in held.values()], pa.list_(pa.int64()))})
 
     def cluster(table: pa.Table) -> pa.Table:
-        leaves: dict[int, dict[str, tuple[set[int], list[int]]]] = {}
+        leaves: dict[int, dict[bytes, tuple[set[int], list[int]]]] = {}
         for leaf_, line, ids, at in zip(*(table.column(c).to_pylist() for c in ("leaf", "line", "ids", "chunk")),
                                         strict=True):
             held = leaves.setdefault(leaf_, {}).setdefault(line, (set(), []))
             held[0].update(ids)
             held[1].append(at)
-        chunks, names, keepers = [], [], []
+        chunks, names, shallow, keepers = [], [], [], []
         for held in leaves.values():
             lines = [(line, sorted(ids)[:least_docs]) for line, (ids, _) in held.items()]
             if len({i for _, ids in lines for i in ids}) < least_docs:
@@ -197,7 +192,8 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
                 if len(docs_of[t]) >= least_docs:
                     for at in held[line][1]:
                         chunks.append(at)
-                        names.append(_hash(line))
+                        names.append(xxhash.xxh64_intdigest(line))
+                        shallow.append(leaf(line.split(b" ")))
                         keepers.append(min(docs_of[t]))
         # one row for each chunk: the lines to drop, and who keeps them
         order = sorted(range(len(chunks)), key=chunks.__getitem__)
@@ -208,33 +204,36 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
         return pa.table({
             "chunk": pa.array(list(rows), pa.int32()), "bucket": pa.array([number] * len(rows), pa.int32()),
             "items": pa.array([np.array([names[i] for i in r], np.uint64).tobytes()
+                               + np.array([shallow[i] for i in r], np.uint64).tobytes()
                                + np.array([keepers[i] for i in r], np.int64).tobytes() for r in rows.values()],
                               pa.binary())})
 
-    out_type = T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), T.StructField("text", T.StringType()),
+    out_type = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("text", T.StringType()),
                              T.StructField("dropped_lines", T.LongType())])
 
     def last_pass(left: pa.Table, right: pa.Table) -> pa.Table:
         own = _Chunk(left, right, least_words)
         kind = np.array(own.rest.column("kind").to_pylist(), dtype=np.int64)
         drop: dict[int, int] = {}
+        touched: set[int] = set()
         for data in own.rest.filter(pa.array(kind == 2)).column("items").to_pylist():
-            names = np.frombuffer(data, np.uint64, len(data) // 16)
-            drop.update(zip(names.tolist(), np.frombuffer(data, np.int64)[len(names):].tolist(), strict=True))
+            names, shallow, keepers = np.frombuffer(data, np.uint64).reshape(3, -1)
+            drop.update(zip(names.tolist(), keepers.view(np.int64).tolist(), strict=True))
+            touched.update(shallow.tolist())
         texts, dropped = [], []
-        for i, holder, text, lines in zip(own.ids, own.holder, own.texts, own.lines, strict=True):
-            keep = [not x or i is None or drop.get(_hash(" ".join(x[1])), holder) == holder for x in lines] \
-                if drop else [True] * len(lines)
+        for i, holder, text, lines, leaves in zip(own.ids, own.holder, own.texts, own.lines, own.leaves, strict=True):
+            keep = [x not in touched or i is None
+                    or drop.get(xxhash.xxh64_intdigest(b" ".join(masked(line.split()))), holder) == holder
+                    for x, line in zip(leaves, lines, strict=True)]
             dropped.append(len(keep) - sum(keep))
-            texts.append(text if all(keep) else
-                         "\n".join(line for line, k in zip(text.split("\n"), keep, strict=True) if k))
-        return pa.table({"row": left.column("row"), "text": pa.array(texts, pa.string()),
+            texts.append(text if all(keep) else b"\n".join(x for x, k in zip(lines, keep, strict=True) if k))
+        return pa.table({"row": left.column("row"), "text": pa.array(texts, pa.binary()).cast(pa.string()),
                          "dropped_lines": pa.array(dropped, pa.int64())})
 
     counted = fp.answers(dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(first_pass, fp.SENT))
     side = side.unionAll(_as_side(counted, 1))
     lines = dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
-        second_pass, "bin int, chunk int, leaf long, line string, ids array<long>")
+        second_pass, "bin int, chunk int, leaf long, line binary, ids array<long>")
     told = lines.groupBy("bin").applyInArrow(cluster, fp.ANSWER)
     side = side.where("kind = 0").unionAll(_as_side(told, 2))
     done = dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(last_pass, out_type)
@@ -255,13 +254,17 @@ def brute_force(rows: list[tuple], least_docs: int = LEAST_DOCS, least_words: in
     for i, text in rows:
         if i is not None:
             first[text or ""] = min(first.get(text or "", i), i)
-    held: dict[int, dict[str, set[int]]] = {}
+
+    def name(line: str) -> bytes:
+        return b" ".join(masked(line.encode().split()))
+
+    held: dict[int, dict[bytes, set[int]]] = {}
     for i, text in rows:
         for line in (text or "").split("\n"):
-            words = masked(line)
+            words = line.encode().split()
             if i is not None and len(words) >= least_words:
-                held.setdefault(leaf(words), {}).setdefault(" ".join(words), set()).add(first[text or ""])
-    keeper: dict[str, int] = {}
+                held.setdefault(leaf(words), {}).setdefault(name(line), set()).add(first[text or ""])
+    keeper: dict[bytes, int] = {}
     for lines in held.values():
         known = [(line, sorted(ids)[:least_docs]) for line, ids in lines.items()]
         docs_of: dict[int, set[int]] = {}
@@ -274,6 +277,6 @@ def brute_force(rows: list[tuple], least_docs: int = LEAST_DOCS, least_words: in
     out = []
     for i, text in rows:
         parts = (text or "").split("\n")
-        keep = [p for p in parts if i is None or keeper.get(" ".join(masked(p)), first[text or ""]) == first[text or ""]]
+        keep = [p for p in parts if i is None or keeper.get(name(p), first[text or ""]) == first[text or ""]]
         out.append((i, text if len(keep) == len(parts) else "\n".join(keep), len(parts) - len(keep)))
     return out

@@ -8,8 +8,8 @@ from linefeed.llm import templates
 
 
 def test_templates_generalise_variable_words():
-    lines = [("dear ann your order <*> has been sent today", [1]), ("dear bob your order <*> has been sent today", [2]),
-             ("dear ann nothing here is like the other one", [3])]
+    lines = [(b"dear ann your order <*> has been sent today", [1]), (b"dear bob your order <*> has been sent today", [2]),
+             (b"dear ann nothing here is like the other one", [3])]
     assert templates.grown(lines) == [0, 0, 1] or templates.grown(lines) == [1, 1, 0]
 
 
