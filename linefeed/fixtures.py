@@ -35,7 +35,7 @@ SELECT CASE p_partkey % 4 WHEN 0 THEN 'p.' || CAST(p_partkey AS STRING)
        CASE WHEN p_partkey % 6 = 0 THEN 'B02' ELSE 'B01' END AS deposit_type,
        p_type AS deposit_position, p_brand AS container, p_name AS description,
        'N' || CAST(p_size AS STRING) AS pack_standard,
-       CAST(p_size AS BIGINT) AS qty_per_box,
+       CASE WHEN p_partkey % 40 = 1 THEN CAST(0 AS BIGINT) ELSE CAST(p_size AS BIGINT) END AS qty_per_box,
        CASE p_partkey % 5 WHEN 0 THEN 'MAX: 12' WHEN 1 THEN 'max 5' WHEN 2 THEN '8'
                           WHEN 3 THEN 'n/a' END AS qty_max_box,
        p_partkey
@@ -55,7 +55,7 @@ FROM {supplier}
 # Columns 0, 1, 5 and 6 are the ones the job keeps; 2-4 are carried filler.
 FX4PD_RAW_SQL = """
 SELECT '38' || '1' || lpad(CAST(l_orderkey AS STRING), 7, '0') AS knr_fx4pd,
-       ' P' || CAST(l_partkey AS STRING) AS partnumber,
+       CASE WHEN l_linenumber = 3 THEN ' p.' ELSE ' P' END || CAST(l_partkey AS STRING) AS partnumber,
        CAST(l_suppkey AS STRING) AS supplier,
        CAST(l_linenumber AS STRING) AS line,
        l_returnflag AS flag,
@@ -82,7 +82,7 @@ STOCK_SQL = """
 SELECT 'P' || CAST(p_partkey AS STRING) AS partnumber,
        CASE WHEN p_partkey % 11 = 0 THEN 'SEM AREA'
             ELSE 'LB P' || CAST(p_partkey % 50 + 1 AS STRING) || 'A' END AS supply_area,
-       CAST((p_partkey * 37) % 200 AS DOUBLE) AS lb_balance
+       CAST(CASE WHEN p_partkey % 40 = 1 THEN -5 ELSE (p_partkey * 37) % 200 END AS DOUBLE) AS lb_balance
 FROM {part}
 """
 
@@ -289,8 +289,7 @@ def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = ROWS_PE
 
     order_by = list(order_by or [])
     header = [c for c in df.columns if c not in order_by]
-    n = df.count()
-    parts = max(1, math.ceil(n / rows_per_workbook))
+    parts = max(1, math.ceil(df.count() / rows_per_workbook))
     folder = folder.rstrip("/")
 
     def write(batches):

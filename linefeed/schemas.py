@@ -1,8 +1,4 @@
-"""Declared schemas of every table the engine reads or writes.
-
-No production path infers a schema: sources are read with these
-``StructType`` objects and every plan ends in a fixed column list.
-"""
+"""Declared schemas and fixed column lists of the tables the engine reads or writes."""
 
 from __future__ import annotations
 
@@ -46,40 +42,13 @@ PKMC_RAW = T.StructType(
     + [T.StructField("qty_per_box", T.LongType(), True),
        T.StructField("qty_max_box", T.StringType(), True)])
 
-PKMC = T.StructType(
-    _strings("partnumber", "supply_area", "num_reg_circ", "deposit_type", "deposit_position",
-             "container", "description", "pack_standard")
-    + [T.StructField("qty_per_box", T.LongType(), True),
-       T.StructField("qty_max_box", T.LongType(), False),
-       T.StructField("total_theoretical_qty", T.LongType(), True),
-       T.StructField("qty_for_restock", T.LongType(), True),
-       T.StructField("rack", T.StringType(), True)])
-
-PK05_RAW = T.StructType(_strings("supply_area", "deposit", "responsible", "discharge_point",
-                                 "description"))
-
-PK05 = T.StructType(PK05_RAW.fields + _strings("takt"))
-
-FX4PD = T.StructType(_strings("knr_fx4pd", "partnumber") + [
-    T.StructField("qty_usage", T.DoubleType(), True),
-    T.StructField("qty_unit", T.IntegerType(), False)])
-
 ASSEMBLY_LINE = T.StructType(_strings("knr", "model", "lfdnr_sequence", "werk", "spj", "lane",
                                       "takt", "knr_fx4pd"))
 
+# The columns of the two results that leave the system.
 FORECAST_COLUMNS = ["knr_fx4pd", "partnumber", "qty_usage", "qty_unit", "num_reg_circ", "takt",
                     "rack", "lb_balance", "total_theoretical_qty", "qty_for_restock",
                     "qty_per_box", "qty_max_box"]
 
 RESTOCK_COLUMNS = ["partnumber", "num_reg_circ", "takt", "rack", "lb_balance",
                    "total_theoretical_qty", "qty_for_restock", "qty_per_box", "qty_max_box"]
-
-STOCK = T.StructType(_strings("partnumber", "supply_area")
-                     + [T.StructField("lb_balance", T.DoubleType(), True)])
-
-TRANSFER_ORDERS = T.StructType(_strings("order_no", "warehouse", "storage_type") + [
-    T.StructField("is_open", T.BooleanType(), True),
-    T.StructField("created", T.DateType(), True)])
-
-SPOOL_JOBS = T.StructType(_strings("group") + [T.StructField("idx", T.LongType(), True)]
-                          + _strings("name", "hour"))
