@@ -50,8 +50,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: the token ids of every text, and digests of them and of the text decoded from them."""
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path())
-    return bpe.decode(ids, vocabulary_path()).select(
+    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), decoded_col="text")
+    return ids.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))

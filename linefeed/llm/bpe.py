@@ -38,7 +38,7 @@ from linefeed.llm.common import named, ship, slices
 SPLIT_PATTERN = r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
 #: Pieces remembered per worker, and the longest piece worth remembering.
-CACHE_PIECES, CACHE_CHARS = 600_000, 48
+CACHE_PIECES, CACHE_CHARS = 300_000, 48
 
 
 def byte_symbols() -> dict[str, int]:
@@ -103,7 +103,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._may_follow.get(key)
         if known is None:
-            if len(self._may_follow) >= 2_000_000:
+            if len(self._may_follow) >= 500_000:
                 self._may_follow.clear()
             known = self._may_follow[key] = self._compatible(left, right)
         return known
@@ -209,18 +209,24 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids",
+           decoded_col: str | None = None) -> DataFrame:
     """``docs`` with its text column replaced by ``ids_col``, the token ids of the whole text.
 
+    With ``decoded_col``, also the text decoded from these ids, in the same
+    pass: one Python worker a task instead of two, and no ids sent back.
+
     A null or empty text has no tokens.  All other columns are kept as
-    they are, but one that is named like ``ids_col`` gives way to it; one
+    they are, but those named like the new ones give way to them; one
     row comes out per row, repeated rows too.  One task holds a batch of
     rows at a time, at least one whole text.
     """
-    rest = [c for c in docs.columns if c.lower() not in (text_col.lower(), ids_col.lower())]
+    new = [ids_col, *([decoded_col] if decoded_col else [])]
+    rest = [c for c in docs.columns if c.lower() not in {x.lower() for x in (text_col, *new)}]
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField(ids_col, T.ArrayType(T.IntegerType())),
+                           *([T.StructField(decoded_col, T.StringType())] if decoded_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared.value)
@@ -229,8 +235,12 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
                 ids = [vocabulary.encode(t or "") for t in part.column(text_col).to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), column], names=[*rest, ids_col])
+                columns = [*(part.column(c) for c in rest),
+                           pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                if decoded_col:
+                    columns.append(pa.array([vocabulary.decode(flat[a:b]) for a, b in
+                                             zip(ends[:-1], ends[1:], strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*rest, *new])
 
     return docs.select(*map(named, rest), named(text_col)).mapInArrow(run, schema)
 
@@ -263,8 +273,9 @@ def decode(tokens: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_c
 
 def token_digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """Per document: token count, and SHA-256 of the ids written in decimal and of the text decoded from them."""
-    ids = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), vocabulary_path)
-    return decode(ids, vocabulary_path).select(
+    ids = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), vocabulary_path,
+                 decoded_col="text")
+    return ids.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("text"), 256).alias("decoded_sha256"))

@@ -194,9 +194,9 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), text_col: str =
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 for p in _patterns(text):
                     held.setdefault(p, [0, 0])[1 if label else 0] += 1
-            if len(held) > 300_000:
-                yield _counted(held)
-                held = {}
+                if len(held) > 100_000:
+                    yield _counted(held)
+                    held = {}
         yield _counted(held)
 
     toxic_rows = rows.where("label = 1")
