@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.llm import fingerprints as fp
-from linefeed.llm.common import _BYTE_CODE, _M1, _M2, mix, saved, texts
+from linefeed.llm.common import _BYTE_CODE, _M1, _M2, firsts, mix, saved, texts
 from linefeed.llm.suffixes import Suffixes
 
 #: Length of the strings whose hashes choose the minimiser.
@@ -83,7 +83,9 @@ class _Chunk:
             h = h[:-width] * _M1 + h[width:]
         eight = h
         h = (eight[:-8] ^ (eight[:-8] >> np.uint64(29))) * _M2 + eight[8:]
-        h = mix(h[:len(data) - GRAM + 1] * _M1 + eight[16:16 + len(data) - GRAM + 1])
+        h = h[:len(data) - GRAM + 1] * _M1 + eight[16:16 + len(data) - GRAM + 1]
+        h ^= h >> np.uint64(32)
+        h *= _M2
         # smallest of the grams inside each window
         low, width = h, 1
         while width * 2 <= grams:
@@ -91,20 +93,26 @@ class _Chunk:
             width *= 2
         if width < grams:
             low = np.minimum(low[:count], low[grams - width:grams - width + count])
+        low = low[:count]
         # windows that lie in one document, of documents that take part
-        at = np.arange(first, last)
-        doc = np.searchsorted(self.ends, at, side="right")
-        keep = self.taken[doc] & (at + size <= self.ends[doc])
-        at, doc, key = at[keep], doc[keep], low[:count][keep]
-        if not len(at):
-            return at, at, key, doc
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+        valid = np.ones(count, dtype=bool)
+        for d in range(int(np.searchsorted(self.ends, first, side="right")), len(self.ends)):
+            begin, end = int(self.starts[d]) - first, int(self.ends[d]) - first
+            if begin >= count:
+                break
+            valid[max(0, begin if not self.taken[d] else max(begin, end - size + 1)):max(0, end)] = False
+        new = valid.copy()
+        new[1:] &= (low[1:] != low[:-1]) | ~valid[:-1]
         begin = np.flatnonzero(new)
-        place = np.arange(len(at)) - np.repeat(begin, np.diff(np.concatenate((begin, [len(at)]))))
-        new |= place % grams == 0  # no run is longer than the windows one gram can lie in
-        begin = np.flatnonzero(new)
-        return at[begin], at[np.concatenate((begin[1:], [len(at)])) - 1] + size, key[begin], doc[begin]
+        stop = np.flatnonzero(new | ~valid)
+        end = np.append(stop, count)[np.searchsorted(stop, begin, side="right")]
+        # a gram that repeats makes longer runs: no run is longer than the windows one gram can lie in
+        many = -(-(end - begin) // grams)
+        if len(many) and many.max() > 1:
+            begin, end = np.repeat(begin, many), np.repeat(end, many)
+            begin = begin + grams * (np.arange(len(begin)) - np.repeat(np.cumsum(many) - many, many))
+            end = np.minimum(end, begin + grams)
+        return begin + first, end + first + size - 1, low[begin], np.searchsorted(self.ends, begin + first, side="right")
 
     def tally(self) -> tuple[np.ndarray, np.ndarray]:
         return fp.tally(self.run_key, np.array([_NONE if i is None else i for i in self.ids],
@@ -241,9 +249,8 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
     total = marks.agg(F.sum("n")).first()[0] or 0
     dealt, n_chunks = fp.dealt(base, total, chunk_bytes=chunk_bytes)
     dealt = dealt.withColumn("h", F.xxhash64("text"))
-    first = marks.where(F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("least"))
     chunk = F.pmod(F.xxhash64(F.col("doc_id"), F.col("h")), F.lit(n_chunks)).cast("int")
-    copies = (marks.where(F.col("n") >= size).join(first, "digest").where("doc_id > least")
+    copies = (firsts(marks.where(F.col("n") >= size)).where("doc_id > first")
               .select(chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id", "h",
                       F.lit(None).cast("binary").alias("items")).distinct())
     by_gram = fp.buckets_for(total * 2 / (size - GRAM + 2))
