@@ -8,6 +8,7 @@ name are never read, so their names cannot clash with its own.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -112,6 +113,13 @@ def firsts(marks: DataFrame) -> DataFrame:
             .drop("salt", "least"))
 
 
+def release() -> None:
+    """Hand the memory a chunk's arrays have freed back to the system; workers live for many chunks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 # --- hashing of words, inside tasks -------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

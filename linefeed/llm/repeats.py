@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.llm import fingerprints as fp
-from linefeed.llm.common import _BYTE_CODE, _M1, _M2, firsts, mix, saved, texts
+from linefeed.llm.common import _BYTE_CODE, _M1, _M2, firsts, mix, release, saved, texts
 from linefeed.llm.suffixes import Suffixes
 
 #: Length of the strings whose hashes choose the minimiser.
@@ -220,6 +220,7 @@ def _smallest(table: pa.Table, size: int) -> pa.Table:
     for a, b in zip(ends[:-1], ends[1:], strict=True):
         p = place[a:b]
         out.append(_gather(per, begin[p], window_of[p]).tobytes())
+    release()
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
                      "items": pa.array(out, pa.binary())})
 
@@ -234,7 +235,8 @@ def _split(side: pa.Table) -> tuple[set, pa.Table, pa.Table]:
 
 def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text",
                    chunk_bytes: int = fp.CHUNK_BYTES) -> DataFrame:
-    """Per row: ``doc_id, text, starts, ends`` - the byte spans to remove, ascending and not touching.
+    """Per row: ``doc_id, kept, starts, ends`` - the byte spans to remove, ascending and not touching,
+    and the text's remaining bytes, joined.
 
     ``size`` is at least 32 and less than 1000.  A null id is smaller and larger
     than no other: its row keeps every byte and takes none from others.
@@ -258,6 +260,7 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
 
     def first_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         cut, n_docs = _Chunk(left, _split(right)[0], size).tally()
+        release()
         return fp.sent(key[0].as_py(), cut, n_docs, by_gram)
 
     def cut_out(left: pa.Table, right: pa.Table) -> tuple[_Chunk, pa.Table]:
@@ -301,7 +304,9 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
             edge = np.flatnonzero(np.diff(np.concatenate(([False], part, [False])).astype(np.int8)))
             starts.append(edge[0::2].tolist())
             ends.append(edge[1::2].tolist())
-        return _spans_table(chunk.ids, [r.decode("utf-8") for r in chunk.raw], starts, ends)
+        kept = [_without(r, a, b) for r, a, b in zip(chunk.raw, starts, ends, strict=True)]
+        release()
+        return _spans_table(chunk.ids, kept, starts, ends)
 
     side = copies
     counted = fp.answers(dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(first_pass, fp.SENT))
@@ -311,7 +316,7 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
     windows = sent.groupBy("bucket").applyInArrow(lambda t: _smallest(t, size), fp.ANSWER)
     side = side.unionAll(_as_side(windows, 2))
     return dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
-        last_pass, "doc_id long, text string, starts array<long>, ends array<long>")
+        last_pass, "doc_id long, kept binary, starts array<long>, ends array<long>")
 
 
 def _as_side(answers: DataFrame, kind: int) -> DataFrame:
@@ -319,34 +324,23 @@ def _as_side(answers: DataFrame, kind: int) -> DataFrame:
                           F.lit(None).cast("long").alias("h"), "items")
 
 
-def _spans_table(ids: list, texts_: list, starts: list, ends: list) -> pa.Table:
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts_, pa.string()),
+def _spans_table(ids: list, kept: list, starts: list, ends: list) -> pa.Table:
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "kept": pa.array(kept, pa.binary()),
                      "starts": pa.array(starts, pa.list_(pa.int64())), "ends": pa.array(ends, pa.list_(pa.int64()))})
 
 
-def without_spans(spans: DataFrame) -> DataFrame:
-    """``repeated_spans`` with ``kept`` in place of the text: the remaining bytes, joined (binary)."""
-    def cut(batches: fp.Rows) -> fp.Rows:
-        for batch in batches:
-            kept = []
-            for text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "ends")),
-                                          strict=True):
-                raw, at, parts = text.encode("utf-8"), 0, []
-                for a, b in zip(starts, ends, strict=True):
-                    parts.append(raw[at:a])
-                    at = b
-                kept.append(b"".join([*parts, raw[at:]]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(kept, pa.binary()), batch.column("starts"), batch.column("ends")],
-                names=["doc_id", "kept", "starts", "ends"])
-
-    return spans.mapInArrow(cut, "doc_id long, kept binary, starts array<long>, ends array<long>")
+def _without(raw: bytes, starts: list[int], ends: list[int]) -> bytes:
+    at, parts = 0, []
+    for a, b in zip(starts, ends, strict=True):
+        parts.append(raw[at:a])
+        at = b
+    return b"".join([*parts, raw[at:]])
 
 
 def repeats_digest(docs: DataFrame, size: int = 50, chunk_bytes: int = fp.CHUNK_BYTES) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     gone = F.expr("aggregate(zip_with(ends, starts, (e, s) -> e - s), 0L, (a, x) -> a + x)")
-    kept = without_spans(repeated_spans(docs, size, chunk_bytes=chunk_bytes))
+    kept = repeated_spans(docs, size, chunk_bytes=chunk_bytes)
     return kept.select("doc_id", (F.octet_length("kept") + gone).cast("long").alias("n_bytes"),
                        gone.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
                        F.sha2("kept", 256).alias("kept_sha256"))
