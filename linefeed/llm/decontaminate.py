@@ -10,10 +10,14 @@ places of the embedding; windows with equal samples are candidates.
 
 Each repeat has its own walk, its own places and, for every item, its
 own starting word, so an edit spoils some repeats only; the number of
-repeats follows from the recall wanted.  A repeat's first sampled place
-is the window's first word, so on the document side only windows that
-begin with the starting word of some item have to be walked at all, and
-most of them end at the second place.  Windows are as long as the item.
+repeats follows from the recall wanted and the item's length.  A repeat's
+first sampled place is the window's first word, so on the document side
+only windows that begin with the starting word of some item have to be
+walked at all, and most of them end at the second place.
+
+Windows are as long as what is left of the item after its starting word,
+rounded down to one of ``SIZES``: items and documents are walked to the
+same end, and places are drawn within it.
 
 Candidates are verified exactly: the least number of word edits that
 turn the item into some stretch of the document around the window must
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,13 @@ EDITS, RECALL = 0.2, 0.99
 PLACES = 2
 #: Words of a window that are walked at most: places are sampled from these.
 WALKED = 24
+#: Window lengths in words, and item lengths that get repeats of their own.
+SIZES = np.array([1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, WALKED])
+LENGTHS = np.array([1, 5, 6, 7, 8, 9, 10, 12, 15, 20, 25, 30, 40, 60])
+#: Simulated items, and walks of each, behind the number of repeats; the most repeats of any item.
+TRIALS, WALKS, MOST_REPEATS = 400, 150, 400
+#: Part of the items allowed to be missed that simulated ones may miss: one in so many.
+MARGIN = 8
 #: Items that are searched for in one pass over the documents.
 BLOCK_ITEMS = 20_000
 
@@ -59,46 +71,103 @@ def word_codes(text: str) -> np.ndarray:
     return codes(words_of(text))
 
 
-def repeats_for(recall: float, edits: float, places: int) -> int:
-    """Repeats that reach the recall when that part of the words is edited.
+@lru_cache(maxsize=1000)
+def repeats_for(recall: float, edits: float, length: int) -> int:
+    """Repeats that reach the recall for items of so many words when that part of the words is edited.
 
-    A sampled place agrees if its word is unedited and the walks are in
-    step; an edit keeps them out of step for a few places, which costs
-    about twice the edits.  The first word only has to be unedited.
+    Items of distinct words are edited at random and walked; what share
+    of an item's repeats agrees with its edited copy depends on where the
+    edits are, so the share found is averaged over the items.  Real items
+    repeat words and share one draw of places, which ``MARGIN`` is for.
     """
-    hit = (1 - edits) * max(0.05, 1 - 2.5 * edits) ** places
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - hit)))
+    rng = np.random.default_rng(length)
+    part = range(max(1, 2 * length // 3))
+    item = np.arange(length)
+    hits = np.zeros(TRIALS)
+    for _ in range(3):
+        old, new, at, here, sizes, trial = [], [], [], [], [], []
+        begin = 0
+        for t in range(TRIALS):
+            own = mix(rng.integers(1, 1 << 62, length, dtype=np.uint64))
+            words, place = own.tolist(), item.tolist()
+            for p in rng.integers(0, length, int(edits * length)).tolist():
+                p = min(p, len(words) - 1)
+                kind, other = rng.integers(3), int(rng.integers(1, 1 << 62))
+                words[p:p + 1] = [[], [other], [words[p], other]][kind] if len(words) > 1 else [other]
+                place[p:p + 1] = [[], [-1], [place[p], -1]][kind] if len(place) > 1 else [-1]
+            fit = rng.permutation(part)[:len(part) // 3 + 1]
+            for start in rng.choice(fit, WALKS // 3).tolist():
+                at.append(t * length + start)
+                here.append(begin + place.index(start) if start in place else -1)
+                sizes.append(length - start)
+                trial.append(t)
+            old.append(own)
+            after = mix(rng.integers(1, 1 << 62, WALKED, dtype=np.uint64))
+            new.append(np.concatenate([np.array(words, np.uint64), after]))
+            begin += len(new[-1])
+        old, new = np.concatenate(old), np.concatenate(new)
+        at, here, trial, size = np.array(at), np.array(here), np.array(trial), SIZES[size_class(np.array(sizes))]
+        for w in range(WALKS // 3):
+            # one walk and one draw of places for the w-th window of every item
+            pick = np.arange(w, len(at), WALKS // 3)
+            pick = pick[here[pick] >= 0]
+            for n in np.unique(size[pick]).tolist():
+                same = pick[size[pick] == n]
+                places, walk = drawn(rng, n), int(rng.integers(1 << 20))
+                _, left, _ = samples(old, at[same], at[same] + n, places, walk)
+                _, right, _ = samples(new, here[same], here[same] + n, places, walk)
+                np.add.at(hits, trial[same], left == right)
+    miss = 1 - hits / (WALKS // 3 * 3)
+    need = np.arange(1, MOST_REPEATS + 1)
+    found = 1 - (miss[None, :] ** need[:, None]).mean(1)
+    return int(need[min(np.searchsorted(found, 1 - (1 - recall) / MARGIN), MOST_REPEATS - 1)])
+
+
+def size_class(words: np.ndarray) -> np.ndarray:
+    """Which of ``SIZES`` windows of so many words at most have."""
+    return np.maximum(0, np.searchsorted(SIZES, words, side="right") - 1)
+
+
+def drawn(rng: np.random.Generator, size: int) -> np.ndarray:
+    """Places of a repeat: steps of the walk in which it is likely to be within so many words."""
+    return np.sort(rng.choice(np.arange(1, max(2 * size, PLACES + 1)), PLACES, replace=False))
 
 
 class Items:
     """A block of items, given by ids and texts, and the hash tables of all repeats."""
 
-    def __init__(self, ids: list, texts: list[str], edits: float = EDITS, recall: float = RECALL, seed: int = 7):
+    def __init__(self, ids: list, texts: list[str], edits: float = EDITS, recall: float = RECALL, seed: int = 7,
+                 repeats: dict[int, int] | None = None):
         self.ids, self.texts, self.edits, self.recall = ids, texts, edits, recall
         spelled = [words_of(t) for t in texts]
         self.words = [codes(w) for w in spelled]
-        self.repeats = repeats_for(recall, edits, PLACES)
+        lengths = LENGTHS[np.searchsorted(LENGTHS, [len(w) for w in spelled], side="right") - 1]
+        #: Repeats of each length of items; worked out once, on the driver.
+        self.repeats = repeats or {n: repeats_for(recall, edits, n) for n in np.unique(lengths).tolist()}
+        wanted = np.array([self.repeats[n] if w else 0 for n, w in zip(lengths.tolist(), spelled, strict=True)], np.int64)
         rng = np.random.default_rng(seed)
-        self.places = [np.sort(rng.choice(np.arange(1, 2 * WALKED), PLACES, replace=False))
-                       for _ in range(self.repeats)]
         joined = np.concatenate([*self.words, np.zeros(0, np.uint64)])
         begin = np.cumsum([0, *map(len, self.words)])
-        self.tables: list[dict[int, list[tuple[int, int]]]] = []
-        self.partial: list[np.ndarray] = []
+        #: Per repeat and window length: the repeat, the length, places, hashes up to the first place, and items by hash.
+        self.tables: list[tuple[int, int, np.ndarray, np.ndarray, dict[int, list[tuple[int, int]]]]] = []
         first: list[np.ndarray] = []
-        for r in range(self.repeats):
-            offset = np.array([_start(w, r) for w in spelled], np.int64)
-            at, end = begin[:-1] + offset, begin[1:]
-            kept, keys, early = samples(joined, at, end, self.places[r], r)
-            table: dict[int, list[tuple[int, int]]] = {}
-            for i, key in zip(kept.tolist(), keys.tolist(), strict=True):
-                table.setdefault(key, []).append((i, int(offset[i])))
-            self.tables.append(table)
-            self.partial.append(np.unique(early))
-            first.append(joined[at])
+        for r in range(int(wanted.max(initial=0))):
+            places = [drawn(rng, n) for n in SIZES.tolist()]
+            use = np.flatnonzero(wanted > r)
+            offset = np.array([_start(spelled[i], r) for i in use.tolist()], np.int64)
+            at = begin[use] + offset
+            size = size_class(begin[use + 1] - at)
+            for c in np.unique(size).tolist():
+                same, n = np.flatnonzero(size == c), int(SIZES[c])
+                kept, keys, early = samples(joined, at[same], at[same] + n, places[c], r)
+                table: dict[int, list[tuple[int, int]]] = {}
+                for k, key in zip(same[kept].tolist(), keys.tolist(), strict=True):
+                    table.setdefault(key, []).append((int(use[k]), int(offset[k])))
+                self.tables.append((r, n, places[c], np.unique(early), table))
+                first.append(np.unique(joined[at[same]]))
         self.starts = np.unique(np.concatenate([*first, np.empty(0, np.uint64)]))
-        #: Which repeats begin with each starting word.
-        self.begins = np.array([np.isin(self.starts, f) for f in first]).reshape(self.repeats, -1)
+        #: Starting words of each table.
+        self.begins = [np.searchsorted(self.starts, f) for f in first]
         self.filter = np.zeros(1 << 20, dtype=bool)
         self.filter[(self.starts >> np.uint64(44)).astype(np.int64)] = True
 
@@ -114,13 +183,15 @@ class Items:
         which = np.minimum(np.searchsorted(self.starts, words[maybe]), len(self.starts) - 1)
         real = self.starts[which] == words[maybe]
         maybe, which = maybe[real], which[real]
+        order = np.argsort(which, kind="stable")
+        maybe = maybe[order]
+        begin = np.searchsorted(which[order], np.arange(len(self.starts) + 1))
         text_of = np.searchsorted(ends, maybe, side="right")
         seen: set[tuple[int, int]] = set()
-        for r in range(self.repeats):
-            use = self.begins[r][which]
+        for (r, n, places, known, table), starts in zip(self.tables, self.begins, strict=True):
+            use = np.concatenate([np.arange(begin[s], begin[s + 1]) for s in starts.tolist()])
             at, text = maybe[use], text_of[use]
-            kept, keys, _ = samples(words, at, ends[text], self.places[r], r, self.partial[r])
-            table = self.tables[r]
+            kept, keys, _ = samples(words, at, np.minimum(at + n, ends[text]), places, r, known)
             for k, key in zip(kept.tolist(), keys.tolist(), strict=True):
                 for item, offset in table.get(key, ()):
                     p, t = int(at[k]) - offset, int(text[k])
@@ -231,10 +302,12 @@ def leaks(docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: float
     ship(docs.sparkSession)
     out = None
     for block in item_blocks(items, edits=edits, recall=recall, block_items=block_items):
-        shared = docs.sparkSession.sparkContext.broadcast((block.ids, block.texts, block.edits, block.recall))
+        shared = docs.sparkSession.sparkContext.broadcast(
+            (block.ids, block.texts, block.edits, block.recall, block.repeats))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = Items(*shared.value)
+            ids, texts, edits, recall, repeats = shared.value
+            own = Items(ids, texts, edits, recall, repeats=repeats)
             for batch in batches:
                 rows = []
                 for part in slices(batch, "text"):
@@ -260,10 +333,12 @@ def without_leaks(docs: DataFrame, items: DataFrame, edits: float = EDITS, recal
     """``docs``, all columns, without the rows that hold an item.  Rows with a null text stay."""
     ship(docs.sparkSession)
     for block in item_blocks(items, edits=edits, recall=recall, block_items=block_items):
-        shared = docs.sparkSession.sparkContext.broadcast((block.ids, block.texts, block.edits, block.recall))
+        shared = docs.sparkSession.sparkContext.broadcast(
+            (block.ids, block.texts, block.edits, block.recall, block.repeats))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = Items(*shared.value)
+            ids, texts, edits, recall, repeats = shared.value
+            own = Items(ids, texts, edits, recall, repeats=repeats)
             for batch in batches:
                 for part in slices(batch, text_col):
                     yield part.filter(pa.array([not f for f in own.find(part.column(text_col).to_pylist())], pa.bool_()))

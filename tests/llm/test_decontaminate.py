@@ -69,3 +69,26 @@ def test_edge_rows(spark, edge, empty):
     assert dc.leaks(edge, none).count() == 0 and dc.without_leaks(edge, none).count() == edge.count()
     left = dc.without_leaks(edge, items)
     assert left.columns == edge.columns and {r["doc_id"] for r in left.collect()} == {3, 4, 5, 6, 7, 8}
+
+
+@pytest.mark.parametrize("size", [5, 6, 8, 10, 15, 20, 40])
+def test_recall_in_mid_document_at_every_length(rows, size):
+    rng = random.Random(size)
+    texts = [w for w in (dc.words_of(t or "") for _, t in rows) if len(w) > 60]
+
+    def stretch(n):
+        own = rng.choice(texts)
+        at = rng.randrange(len(own) - n)
+        return [w.decode() for w in own[at:at + n]]
+
+    items = [stretch(size) for _ in range(200)]
+    held = dc.Items(list(range(200)), [" ".join(i) for i in items])
+    for edits, least in ((0.0, 1.0), (0.1, 0.98), (0.2, 0.96)):
+        docs = []
+        for item in items:
+            own = list(item)
+            for _ in range(int(edits * size)):
+                p = rng.randrange(len(own))
+                own[p:p + 1] = rng.choice([[], ["zq%d" % rng.randint(0, 9999)], [own[p], "zz"]])
+            docs.append(" ".join(stretch(40) + own + stretch(40)))
+        assert sum(i in found for i, found in enumerate(held.find(docs))) >= least * 200
