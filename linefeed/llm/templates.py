@@ -11,8 +11,9 @@ in the document with the smallest id (and its copies), which keeps them.
 The texts are dealt into chunks once (see ``fingerprints``).  First the
 chunks learn how many texts each leaf has; only lines of leaves with
 enough of them are sent on, each distinct line once per chunk with a few
-of its ids.  Leaves of very many texts go two levels deeper, so that
-none fills one task.  What comes back is a list of lines to drop.
+of its ids.  A leaf stays whole, however many texts it has; its lines
+find their templates through an index, not by trying each.  What comes
+back is a list of lines to drop.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from pyspark.sql import types as T
 from linefeed.llm import fingerprints as fp
 from linefeed.llm.common import firsts, named, saved, ship
 
-#: Leading words of a leaf, and of a leaf with very many texts.
-DEPTH, DEEPER = 3, 8
+#: Leading words of a leaf.
+DEPTH = 3
 #: Part of the words in which a line must agree with a template.
 SIMILAR = 0.7
 #: Different texts a template must be in, and words a line must have, to be boilerplate.
@@ -48,33 +49,47 @@ def masked(words: list[bytes]) -> list[bytes]:
     return [FIELD if _DIGIT(w) else w for w in words]
 
 
-def leaf(words: list[bytes], depth: int = DEPTH) -> int:
+def leaf(words: list[bytes]) -> int:
     """The leaf of a line, as a 64-bit hash: its length and leading words."""
-    return xxhash.xxh64_intdigest(b"%d " % len(words) + b" ".join(masked(words[:depth])))
+    return xxhash.xxh64_intdigest(b"%d " % len(words) + b" ".join(masked(words[:DEPTH])))
 
 
 def grown(lines: list[tuple[bytes, list[int]]], similar: float = SIMILAR) -> list[int]:
-    """The template of each line of one leaf.  Lines of many documents come first, then by their words."""
+    """The template of each line of one leaf.  Lines of many documents come first, then by their words.
+
+    A line may differ from its template in ``differ`` words at most.  Of
+    ``differ + 1`` blocks of words one is then equal in both, so only
+    templates that share a block with the line are compared with it.
+    """
     order = sorted(range(len(lines)), key=lambda i: (-len(lines[i][1]), lines[i][0]))
     names: dict[bytes, int] = {FIELD: 0}
-    rows = np.array([[names.setdefault(w, len(names)) for w in lines[i][0].split(b" ")] for i in order], np.int64)
+    rows = np.array([[names.setdefault(w, len(names)) for w in lines[i][0].split(b" ")] for i in order], np.int32)
     need = int(np.ceil(similar * rows.shape[1]))
+    blocks = np.array_split(np.flatnonzero((rows != rows[0]).any(0)), max(0, rows.shape[1] - need) + 1)
+    index: list[dict[bytes, list[int]]] = [{} for _ in blocks]
     templates = np.empty_like(rows)
     count, out = 0, [0] * len(lines)
     for place, i in enumerate(order):
-        best = -1
-        if count:
-            same = ((templates[:count] == rows[place]) & (rows[place] > 0)).sum(1)
-            free = (templates[:count] == 0).sum(1)
-            fits = same + np.where(rows[place] == 0, templates[:count] == 0, False).sum(1)
-            ok = fits >= need
-            if ok.any():
-                best = int(np.lexsort((free, -np.where(ok, fits, -1)))[0])
+        row, best = rows[place], -1
+        parts = [row[b].tobytes() for b in blocks]
+        near = np.array(sorted(set().union(*(x.get(p, ()) for x, p in zip(index, parts, strict=True)))), np.int64)
+        if len(near):
+            fits = (templates[near] == row).sum(1)
+            if fits.max() >= need:
+                near = near[fits == fits.max()]
+                best = int(near[(templates[near] == 0).sum(1).argmin()])
         if best < 0:
             best, count = count, count + 1
-            templates[best] = rows[place]
+            templates[best] = row
+            changed = range(len(blocks))
         else:
-            templates[best][templates[best] != rows[place]] = 0
+            wide = templates[best] != row
+            templates[best][wide] = 0
+            changed = [k for k, b in enumerate(blocks) if wide[b].any()] if wide.any() else []
+        for k in changed:
+            held = index[k].setdefault(templates[best][blocks[k]].tobytes(), [])
+            if best not in held[-1:]:
+                held.append(best)
         out[i] = best
     return out
 
@@ -113,13 +128,11 @@ class _Chunk:
         cut, _ = self.tally()
         count = fp.counts(cut, answer, buckets)
         known = set(cut[count >= least_docs].tolist())
-        deeper = set(cut[count >= fp.MOST].tolist())
         shift = 64 - fp.KEPT_BITS
         for k, leaves in enumerate(self.leaves):
             for n, x in enumerate(leaves):
                 if x is not None and x >> shift in known:
-                    words = self.lines[k][n].split()
-                    yield k, n, leaf(words, DEEPER) if x >> shift in deeper else x, b" ".join(masked(words))
+                    yield k, n, x, b" ".join(masked(self.lines[k][n].split()))
 
 
 def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int = LEAST_WORDS,

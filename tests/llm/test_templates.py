@@ -36,3 +36,37 @@ def test_edge_rows(edge, empty):
     assert sorted(got.columns) == sorted(edge.columns) and got.count() == edge.count()
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {r["doc_id"]: r["text"] for r in edge.collect()}
     assert templates.drop_lines(empty).count() == 0
+
+
+def test_templates_of_very_many_texts(spark):
+    rng = random.Random(7)
+    data = [(i, f"As you asked, name{chr(97 + i % 26)}{'xyz'[i // 26 % 3]}{'pqrst'[i // 78]}, order {i} has been sent today\nown {rng.random()}")
+            for i in range(300)]
+    data += [(400 + i, "As you asked, " + " ".join(rng.choice("abcdefgh") for _ in range(7))) for i in range(300)]
+    got = templates.drop_lines(spark.createDataFrame(data, "doc_id long, text string"), chunk_bytes=4_000).collect()
+    assert sorted(map(tuple, got)) == sorted(templates.brute_force(data))
+    assert sum("has been sent" in r["text"] for r in got) == 1
+
+
+def test_templates_found_by_index_are_those_of_trying_each():
+    def each(lines, similar=templates.SIMILAR):
+        held, out = [], [0] * len(lines)
+        for i in sorted(range(len(lines)), key=lambda i: (-len(lines[i][1]), lines[i][0])):
+            words = lines[i][0].split(b" ")
+            fits = [(-sum(a == b for a, b in zip(t, words)), t.count(templates.FIELD), k) for k, t in enumerate(held)]
+            best = min(fits, default=(0, 0, 0))
+            if -best[0] >= similar * len(words):
+                held[best[2]] = [a if a == b else templates.FIELD for a, b in zip(held[best[2]], words)]
+                out[i] = best[2]
+            else:
+                out[i] = len(held)
+                held.append(words)
+        return out
+
+    rng = random.Random(8)
+    for _ in range(200):
+        n, kinds = rng.randint(3, 14), rng.randint(2, 6)
+        lines = {b" ".join(rng.choice([b"<*>", *(b"%c" % (97 + k) for k in range(kinds))]) for _ in range(n))
+                 for _ in range(rng.randint(1, 80))}
+        lines = [(x, list(range(rng.randint(1, 5)))) for x in sorted(lines)]
+        assert templates.grown(lines) == each(lines)
