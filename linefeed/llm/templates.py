@@ -5,8 +5,9 @@ from the start.  A tree of fixed depth sorts lines by their number of
 words and their first ``DEPTH`` words into leaves; in a leaf, lines that
 agree in at least ``SIMILAR`` of their words share a template, and the
 words they differ in become variable fields too.  A template found in at
-least ``LEAST_DOCS`` different texts is boilerplate: its lines go, except
-in the document with the smallest id (and its copies), which keeps them.
+least ``LEAST_DOCS`` different texts (``LONG_DOCS`` if it is long) is
+boilerplate: its lines go, except in the document with the smallest id
+(and its copies), which keeps them.
 
 The texts are dealt into chunks once (see ``fingerprints``).  First the
 chunks learn how many texts each leaf has; only lines of leaves with
@@ -36,6 +37,8 @@ DEPTH = 3
 SIMILAR = 0.7
 #: Different texts a template must be in, and words a line must have, to be boilerplate.
 LEAST_DOCS, LEAST_WORDS = 5, 3
+#: The same for templates of so many words, which do not recur by chance.
+LONG_DOCS, LONG_WORDS = 2, 15
 #: What stands for a variable field.
 FIELD = b"<*>"
 
@@ -94,6 +97,11 @@ def grown(lines: list[tuple[bytes, list[int]]], similar: float = SIMILAR) -> lis
     return out
 
 
+def texts_for(words: int, least_docs: int, long_docs: int, long_words: int) -> int:
+    """Different texts that a template of so many words must be in."""
+    return min(least_docs, long_docs) if words >= long_words else least_docs
+
+
 class _Chunk:
     """A chunk's rows and their lines, as bytes; words are the runs free of ASCII white space."""
 
@@ -123,30 +131,35 @@ class _Chunk:
         docs[np.searchsorted(every, cut)] = n
         return every, docs
 
-    def recurring(self, answer: pa.Table, buckets: int, least_docs: int):
+    def recurring(self, answer: pa.Table, buckets: int, least_docs: int, long_docs: int, long_words: int):
         """Row, line number, leaf and masked words of each line whose leaf has enough texts."""
         cut, _ = self.tally()
         count = fp.counts(cut, answer, buckets)
-        known = set(cut[count >= least_docs].tolist())
+        few = count >= min(least_docs, long_docs)
+        known = dict(zip(cut[few].tolist(), count[few].tolist(), strict=True))
         shift = 64 - fp.KEPT_BITS
         for k, leaves in enumerate(self.leaves):
             for n, x in enumerate(leaves):
                 if x is not None and x >> shift in known:
-                    yield k, n, x, b" ".join(masked(self.lines[k][n].split()))
+                    words = self.lines[k][n].split()
+                    if known[x >> shift] >= texts_for(len(words), least_docs, long_docs, long_words):
+                        yield k, n, x, b" ".join(masked(words))
 
 
 def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int = LEAST_WORDS,
                similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text",
-               count_col: str = "dropped_lines", chunk_bytes: int = fp.CHUNK_BYTES) -> DataFrame:
+               count_col: str = "dropped_lines", chunk_bytes: int = fp.CHUNK_BYTES, long_docs: int = LONG_DOCS,
+               long_words: int = LONG_WORDS) -> DataFrame:
     """``docs``, every column and row, with ``text_col`` cleaned and a column ``count_col`` added.
 
     A null text stays null.  A row with a null id keeps its lines and
     counts for no template.  Copies of a text count once.  Rows of one
     id and different texts count once too.  ``least_docs`` is at most
-    255.  A column that is named like ``count_col`` gives way to it.
+    255; for templates of ``long_words`` words ``long_docs`` takes its
+    place where that is less.  A column that is named like ``count_col`` gives way to it.
     """
-    if not 2 <= least_docs <= fp.MOST:
-        raise ValueError("least_docs is from 2 to 255")
+    if not 2 <= least_docs <= fp.MOST or long_docs < 2:
+        raise ValueError("least_docs is from 2 to 255, long_docs 2 at least")
     docs = docs.select(*(named(c) for c in docs.columns if c.lower() != count_col.lower()))
     spark = docs.sparkSession
     ship(spark)
@@ -173,7 +186,7 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
     def second_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         own = _Chunk(left, right, least_words)
         held: dict[tuple[int, bytes], set[int]] = {}
-        for k, _, leaf_, line in own.recurring(own.rest, buckets, least_docs):
+        for k, _, leaf_, line in own.recurring(own.rest, buckets, least_docs, long_docs, long_words):
             ids = held.setdefault((leaf_, line), set())
             if own.counts[k]:
                 ids.add(own.ids[k])
@@ -195,14 +208,15 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
         chunks, names, shallow, keepers = [], [], [], []
         for held in leaves.values():
             lines = [(line, sorted(ids)[:least_docs]) for line, (ids, _) in held.items()]
-            if len({i for _, ids in lines for i in ids}) < least_docs:
+            need = texts_for(lines[0][0].count(b" ") + 1, least_docs, long_docs, long_words)
+            if len({i for _, ids in lines for i in ids}) < need:
                 continue
             of = grown(lines, similar)
             docs_of: dict[int, set[int]] = {}
             for (_, ids), t in zip(lines, of, strict=True):
                 docs_of.setdefault(t, set()).update(ids)
             for (line, _), t in zip(lines, of, strict=True):
-                if len(docs_of[t]) >= least_docs:
+                if len(docs_of[t]) >= need:
                     for at in held[line][1]:
                         chunks.append(at)
                         names.append(xxhash.xxh64_intdigest(line))
@@ -261,7 +275,7 @@ def _as_side(answers: DataFrame, kind: int) -> DataFrame:
 
 
 def brute_force(rows: list[tuple], least_docs: int = LEAST_DOCS, least_words: int = LEAST_WORDS,
-                similar: float = SIMILAR) -> list[tuple]:
+                similar: float = SIMILAR, long_docs: int = LONG_DOCS, long_words: int = LONG_WORDS) -> list[tuple]:
     """``(id, text, dropped)`` of a few documents with distinct ids, on one machine; for tests."""
     first: dict[str, int] = {}
     for i, text in rows:
@@ -285,7 +299,7 @@ def brute_force(rows: list[tuple], least_docs: int = LEAST_DOCS, least_words: in
         for (line, _), t in zip(known, of, strict=True):
             docs_of.setdefault(t, set()).update(lines[line])
         for (line, _), t in zip(known, of, strict=True):
-            if len(docs_of[t]) >= least_docs:
+            if len(docs_of[t]) >= texts_for(line.count(b" ") + 1, least_docs, long_docs, long_words):
                 keeper[line] = min(docs_of[t])
     out = []
     for i, text in rows:

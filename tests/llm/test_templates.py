@@ -70,3 +70,14 @@ def test_templates_found_by_index_are_those_of_trying_each():
                  for _ in range(rng.randint(1, 80))}
         lines = [(x, list(range(rng.randint(1, 5)))) for x in sorted(lines)]
         assert templates.grown(lines) == each(lines)
+
+
+def test_long_lines_go_from_two_texts_on(spark):
+    def passage(n):
+        return " ".join(f"{w}{'abcdefgh'[n]}" for w in ("many", "words", "that", "stand", "in", "one", "line") * 8)
+
+    data = [(10 * n + k, f"own{n}{k} line\n{passage(n)}\n{'abcdefgh'[n]} short line") for n in (2, 3, 4) for k in range(n)]
+    got = templates.drop_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["dropped_lines"] for r in got} == {
+        10 * n + k: int(k > 0) for n in (2, 3, 4) for k in range(n)}
+    assert sorted(map(tuple, got)) == sorted(templates.brute_force(data))
