@@ -192,22 +192,19 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
                 ids.add(own.ids[k])
         # the smallest few ids of a line say all: whether there are enough, and which is first
         return pa.table({
-            "bin": pa.array([leaf_ % n_bins for leaf_, _ in held], pa.int32()),
             "chunk": pa.array([key[0].as_py()] * len(held), pa.int32()),
             "leaf": pa.array(np.array([leaf_ for leaf_, _ in held], np.uint64).view(np.int64)),
             "line": pa.array([line for _, line in held], pa.binary()),
             "ids": pa.array([sorted(v)[:least_docs] for v in held.values()], pa.list_(pa.int64()))})
 
     def cluster(table: pa.Table) -> pa.Table:
-        leaves: dict[int, dict[bytes, tuple[set[int], list[int]]]] = {}
-        for leaf_, line, ids, at in zip(*(table.column(c).to_pylist() for c in ("leaf", "line", "ids", "chunk")),
+        leaves: dict[int, dict[bytes, tuple[list[int], list[int]]]] = {}
+        for leaf_, line, ids, at in zip(*(table.column(c).to_pylist() for c in ("leaf", "line", "ids", "chunks")),
                                         strict=True):
-            held = leaves.setdefault(leaf_, {}).setdefault(line, (set(), []))
-            held[0].update(ids)
-            held[1].append(at)
+            leaves.setdefault(leaf_, {})[line] = (ids, at)
         chunks, names, shallow, keepers = [], [], [], []
         for held in leaves.values():
-            lines = [(line, sorted(ids)[:least_docs]) for line, (ids, _) in held.items()]
+            lines = [(line, ids) for line, (ids, _) in held.items()]
             need = texts_for(lines[0][0].count(b" ") + 1, least_docs, long_docs, long_words)
             if len({i for _, ids in lines for i in ids}) < need:
                 continue
@@ -260,7 +257,11 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_words: int =
     counted = fp.answers(dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(first_pass, fp.SENT))
     side = side.unionAll(_as_side(counted, 1))
     lines = dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
-        second_pass, "bin int, chunk int, leaf long, line binary, ids array<long>")
+        second_pass, "chunk int, leaf long, line binary, ids array<long>")
+    # a line of many chunks is one row before its leaf meets in a task
+    lines = lines.groupBy("leaf", "line").agg(
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, least_docs).alias("ids"),
+        F.collect_list("chunk").alias("chunks")).withColumn("bin", F.pmod("leaf", F.lit(n_bins)).cast("int"))
     told = lines.groupBy("bin").applyInArrow(cluster, fp.ANSWER)
     side = side.where("kind = 0").unionAll(_as_side(told, 2))
     done = dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(last_pass, out_type)
