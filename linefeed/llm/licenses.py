@@ -7,10 +7,13 @@ anchors are aligned the same way, after equal words at their ends are
 matched off.  The part of the template's words that finds a partner is
 its coverage; a license is found where coverage reaches ``COVERAGE``.
 
-Only stretches that can reach it are aligned.  If a text lacks more than
-1 - COVERAGE of a template's distinct words, it cannot.  Otherwise any
-passage that does reach it holds one of the template's rarest words, so
-windows of the template's size are laid around their places.
+Only windows that can reach it are aligned.  A window has the template's
+size and some slack on both sides.  No alignment matches more words than
+a window and the template have in common, each counted as often as in
+both, so a window with fewer than coverage asks for is left out; this
+is exact.  If a text may lack k of the template's words, the rarest ones
+whose counts exceed k cannot all be missing from a passage that is
+found, so only windows that hold one of those are counted at all.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -112,8 +116,11 @@ class Templates:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
         self.coverage = coverage
         self.words = {name: words_of(t) for name, t in sorted(templates.items()) if words_of(t)}
-        self.distinct = {name: frozenset(w) for name, w in self.words.items()}
-        self.all = frozenset().union(*self.distinct.values()) if self.distinct else frozenset()
+        self.counts = {name: Counter(w) for name, w in self.words.items()}
+        #: Fewest words matched that are the coverage wanted.
+        self.need = {name: next((k for k in range(len(w)) if k / len(w) >= coverage), len(w))
+                     for name, w in self.words.items()}
+        self.all = frozenset().union(*self.counts.values()) if self.counts else frozenset()
 
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
         """Name, coverage and words spanned of each license found; best passage each, first of equals."""
@@ -121,32 +128,49 @@ class Templates:
         held = self.all.intersection(words)
         found = []
         places: dict[bytes, list[int]] | None = None
-        for name, own in self.words.items():
-            distinct = self.distinct[name]
-            if len(distinct & held) < self.coverage * len(distinct):
+        for name, counts in self.counts.items():
+            missing = sum(n for w, n in counts.items() if w not in held)
+            if missing > len(self.words[name]) - self.need[name]:
                 continue
             if places is None:
                 places = {}
                 for i, w in enumerate(words):
                     if w in held:
                         places.setdefault(w, []).append(i)
-            best = self._best(words, own, distinct, places)
+            best = self._best(words, name, places)
             if best and best[0] >= self.coverage:
                 found.append((name, *best))
         return found
 
-    def _best(self, words, own, distinct, places) -> tuple[float, int, int] | None:
-        n = len(own)
-        rare = sorted(distinct, key=lambda w: (len(places.get(w, ())), w))
-        rare = rare[:int((1 - self.coverage) * len(rare)) + 1]
-        slack = n // 4 + 2
-        windows = sorted({(max(0, p - q - slack), p - q + n + slack)
-                          for q, w in enumerate(own) if w in rare for p in places.get(w, ())})
-        best = None
-        for low, high in windows:
+    def windows(self, length: int, name: str, places: dict[bytes, list[int]]) -> list[tuple[int, int]]:
+        """The windows of a text with enough words in common with a template, ascending."""
+        counts, n, need = self.counts[name], len(self.words[name]), self.need[name]
+        size = n + 2 * (n // 4 + 2)
+        here = {w: np.array(places[w]) for w in counts if w in places}
+        left = n - need - sum(k for w, k in counts.items() if w not in here)
+        rare: list[np.ndarray] = []
+        for w in sorted(here, key=lambda w: (len(here[w]), w)):
+            if left < 0:
+                break
+            rare.append(here[w])
+            left -= counts[w]
+        # windows that hold a rare word: those that begin up to a window's size before it
+        edge = np.zeros(size + length + 1, np.int64)
+        for p in rare:
+            np.add.at(edge, p, 1)
+            np.add.at(edge, p + size, -1)
+        low = np.flatnonzero(np.cumsum(edge)) - size + 1
+        common = np.zeros(len(low), np.int64)
+        for w, p in here.items():
+            common += np.minimum(np.searchsorted(p, low + size) - np.searchsorted(p, low), counts[w])
+        return [(max(0, a), a + size) for a in low[common >= need].tolist()]
+
+    def _best(self, words, name, places) -> tuple[float, int, int] | None:
+        own, best = self.words[name], None
+        for low, high in self.windows(len(words), name, places):
             matched = align(words[low:high], own)
             if matched:
-                cover = len(matched) / n
+                cover = len(matched) / len(own)
                 if best is None or cover > best[0]:
                     best = (cover, low + matched[0][0], low + matched[-1][0] + 1)
                     if cover == 1.0:

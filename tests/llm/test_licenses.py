@@ -46,3 +46,23 @@ def test_edge_rows(spark, edge, empty):
     assert sorted(((r["doc_id"] or 0), r["license"], r["first_word"]) for r in lic.scan(more).collect()) == [
         (0, "all-rights-reserved", 0), (1, "mit", 1), (1, "mit", 1)]
     assert lic.scan(more, {}).count() == 0
+
+
+def test_pruned_windows_lose_no_license():
+    known, rng = lic.Templates(lic.TEMPLATES | {"ten": "one two three four five one two three four six"}), random.Random(4)
+    for text in ("Licensed under the MIT License", "x y Distributed under the MIT License. z released"):
+        assert ("mit", 0.8) in {f[:2] for f in known.find(text)}
+    for _ in range(60):
+        name = rng.choice(sorted(known.words))
+        own = list(known.words[name])
+        for _ in range(rng.randint(0, len(own) // 4 + 1)):
+            own[rng.randrange(len(own))] = rng.choice([b"changed", rng.choice(own)])
+        around = [rng.choice([b"the", b"of", b"other", rng.choice(own)]) for _ in range(40)]
+        words = around[:20] + own + around[20:]
+        found = {f[0] for f in known.find(b" ".join(words).decode())}
+        for name, template in known.words.items():
+            n = len(template)
+            slack = n // 4 + 2
+            size = n + 2 * slack
+            best = max(len(lic.align(words[max(0, a):a + size], template)) for a in range(1 - size, len(words)))
+            assert (best / n >= lic.COVERAGE) == (name in found)
