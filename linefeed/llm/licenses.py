@@ -5,7 +5,8 @@ Words that occur once in both are anchors; their longest run in the same
 order (longest increasing subsequence) is fixed, and the gaps between
 anchors are aligned the same way, after equal words at their ends are
 matched off.  The part of the template's words that finds a partner is
-its coverage; a license is found where coverage reaches ``COVERAGE``.
+its coverage; a license is found where coverage reaches ``COVERAGE``,
+at every passage that overlaps no better one of the same license.
 
 Only windows that can reach it are aligned.  A window has the template's
 size and some slack on both sides.  No alignment matches more words than
@@ -123,7 +124,7 @@ class Templates:
         self.all = frozenset().union(*self.counts.values()) if self.counts else frozenset()
 
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
-        """Name, coverage and words spanned of each license found; best passage each, first of equals."""
+        """Name, coverage and words spanned of each license notice found, passages of a license in order."""
         words = words_of(text)
         held = self.all.intersection(words)
         found = []
@@ -137,9 +138,7 @@ class Templates:
                 for i, w in enumerate(words):
                     if w in held:
                         places.setdefault(w, []).append(i)
-            best = self._best(words, name, places)
-            if best and best[0] >= self.coverage:
-                found.append((name, *best))
+            found.extend((name, *p) for p in self._passages(words, name, places))
         return found
 
     def windows(self, length: int, name: str, places: dict[bytes, list[int]]) -> list[tuple[int, int]]:
@@ -165,24 +164,26 @@ class Templates:
             common += np.minimum(np.searchsorted(p, low + size) - np.searchsorted(p, low), counts[w])
         return [(max(0, a), a + size) for a in low[common >= need].tolist()]
 
-    def _best(self, words, name, places) -> tuple[float, int, int] | None:
-        own, best = self.words[name], None
+    def _passages(self, words, name, places) -> list[tuple[float, int, int]]:
+        own, reached = self.words[name], set()
         for low, high in self.windows(len(words), name, places):
             matched = align(words[low:high], own)
-            if matched:
-                cover = len(matched) / len(own)
-                if best is None or cover > best[0]:
-                    best = (cover, low + matched[0][0], low + matched[-1][0] + 1)
-                    if cover == 1.0:
-                        break
-        return best
+            if matched and len(matched) >= self.need[name]:
+                reached.add((len(matched) / len(own), low + matched[0][0], low + matched[-1][0] + 1))
+        # the best first, then the shortest, then the first; none that overlaps one taken
+        taken: list[tuple[int, int, float]] = []
+        for cover, a, b in sorted(reached, key=lambda p: (-p[0], p[2] - p[1], p[1])):
+            k = bisect_left(taken, (a,))
+            if (not k or taken[k - 1][1] <= a) and (k == len(taken) or b <= taken[k][0]):
+                taken.insert(k, (a, b, cover))
+        return [(cover, a, b) for a, b, cover in taken]
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row and license found: ``doc_id, license, coverage, first_word, end_word``.
+    """Per row and license notice found: ``doc_id, license, coverage, first_word, end_word``.
 
-    Words are counted from 0, the end is not included.  Null, empty or
+    A notice that a text holds several times has a row each.  Words are counted from 0, the end is not included.  Null, empty or
     other texts without a license have no rows; repeated rows repeat theirs.
     """
     ship(docs.sparkSession)

@@ -66,3 +66,12 @@ def test_pruned_windows_lose_no_license():
             size = n + 2 * slack
             best = max(len(lic.align(words[max(0, a):a + size], template)) for a in range(1 - size, len(words)))
             assert (best / n >= lic.COVERAGE) == (name in found)
+
+
+def test_every_notice_of_a_text_is_found():
+    known = lic.Templates(lic.TEMPLATES)
+    text = "All rights reserved. " * 2 + "some words between them " * 9 + lic.TEMPLATES["isc"] + " x " * 40 + lic.TEMPLATES["isc"]
+    found = known.find(text + " All rights reserved.")
+    assert [f[2:] for f in found if f[0] == "all-rights-reserved"] == [(0, 3), (3, 6), (len(lic.words_of(text)), len(lic.words_of(text)) + 3)]
+    n = len(lic.words_of(lic.TEMPLATES["isc"]))
+    assert [f[1:] for f in found if f[0] == "isc"] == [(1.0, 42, 42 + n), (1.0, 82 + n, 82 + 2 * n)]
