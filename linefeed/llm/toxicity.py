@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -53,6 +54,18 @@ LEAST_DOCS, LEAST_WEIGHT, EVIDENCE = 3, 1.5, 2.0
 PREFIXES = (4, 5, 6, 7, 8)
 
 
+@lru_cache(maxsize=1)
+def _styled() -> dict[int, str]:
+    """Code points from letterlike signs on that stand for ASCII letters or digits: mathematical, circled and others."""
+    out = {}
+    for c in range(0x2100, sys.maxunicode + 1):
+        if unicodedata.decomposition(chr(c)):
+            plain = "".join(x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x))
+            if plain.isascii() and plain.isalnum():
+                out[c] = plain.lower()
+    return out
+
+
 @lru_cache(maxsize=2)
 def _fold_table(accents: bool) -> dict[int, str]:
     """Code point to letters: lower case, homoglyphs replaced, accents kept if so asked."""
@@ -63,6 +76,7 @@ def _fold_table(accents: bool) -> dict[int, str]:
         plain = "".join(HOMOGLYPHS.get(x, x) for x in plain)
         keep = accents and c < 0x250 and low.isalpha() and low not in HOMOGLYPHS
         out[c] = low if keep else plain if plain.isalnum() else " "
+    out |= _styled()
     for c in range(0x300, 0x370):  # combining marks alone
         out[c] = ""
     for c in range(0xFF01, 0xFF5F):  # full-width forms

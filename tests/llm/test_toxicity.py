@@ -53,3 +53,10 @@ def test_edge_rows(edge, empty):
 def test_nothing_to_learn(spark, edge):
     rows = edge.select("text", F.lit(None).cast("int").alias("label"))
     assert toxicity.learn(rows).weights == {}
+
+
+def test_folding_finds_styled_letters():
+    lexicon = toxicity.Lexicon({" idiot ": 5.0})
+    for text in ("\U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d", "ⓘⓓⓘⓞⓣ", "ⒾⒹⒾⓄⓉ", "ℐdiot", "\U0001f138\U0001f133IOT",
+                 "\U0001d7cfd\U0001d7cf\U0001d7d8t"):
+        assert lexicon.found(text)[1] == 1, text
