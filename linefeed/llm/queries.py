@@ -12,18 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefeed.llm import (bpe, chat, decontaminate, licenses, ngram_join, pii, quality, repeats, templates,
-                          toxicity)
+from linefeed.llm import (bpe, chat, decontaminate, licenses, ngram_join, packing, pii, quality, repeats,
+                          templates, toxicity)
 from linefeed.llm.common import table
 
-#: Where the vocabulary of operator 3 lies; a parameter of the operator.
-VOCABULARY = "byte_bpe_50k.json"
+#: The vocabularies of operators 3 and 11; parameters of the operators.
+VOCABULARY, PACKED_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
-def vocabulary_path() -> str:
-    """The vocabulary file of the installed package of public tokenizers."""
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """A vocabulary file of the installed package of public tokenizers."""
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +83,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: every document's pieces of at most 2048 tokens and their places in packed sequences."""
+    return packing.packed_digest(table(spark, sf_dir, "documents"), vocabulary_path(PACKED_VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -94,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_suffix_array": op9_suffix_array,
     "op10_pii": op10_pii,
+    "op11_packing": op11_packing,
 }
