@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefeed.llm import (bpe, chat, decontaminate, licenses, ngram_join, packing, pii, quality, repeats,
-                          templates, toxicity)
+from linefeed.llm import (bpe, chat, decontaminate, filter_audit, licenses, ngram_join, packing, pii,
+                          prefix_trie, quality, repeats, templates, toxicity)
 from linefeed.llm.common import table
 
 #: The vocabularies of operators 3 and 11; parameters of the operators.
@@ -88,6 +88,16 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(table(spark, sf_dir, "documents"), vocabulary_path(PACKED_VOCABULARY))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: per source, order of five filters and step, what the step's filter does."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -100,4 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array": op9_suffix_array,
     "op10_pii": op10_pii,
     "op11_packing": op11_packing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_filter_audit": op13_filter_audit,
 }
