@@ -21,14 +21,15 @@ No piece is compared with another, and no task sees more than its rows.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,68 +39,133 @@ from linefeed.llm.common import fresh, named, saved, ship, slices, texts
 
 #: Tokens per sequence, and the id that ends every document.
 CAPACITY, END_ID = 2048, 0
-#: Chunks (runs without ASCII blanks) remembered per worker, and the longest worth remembering.
-CACHE_CHUNKS, CACHE_BYTES = 300_000, 48
-#: Fixed value: marks that often end a chunk; the splitter parts them from letters.
-END_MARKS = b".,;:!?"
+#: Words remembered per worker, and the longest worth remembering.
+CACHE_WORDS, CACHE_CHARS = 300_000, 48
+#: Fixed value: a word of Latin-1 letters and the ASCII marks after it, without the apostrophe; the
+#: splitter parts the two and cuts neither.
+WORD_AND_MARKS = ("^(?P<word>[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)"
+                  r"(?P<marks>[!-&(-/:-@\[-`{-~]*)$")
+#: New words that are encoded together, and bytes of text whose chunks are looked up together.
+WORDS_AT_ONCE, TEXT_BYTES = 200, 4 << 20
 
 
 # --- tokens ----------------------------------------------------------------------
 
-class _Known(dict):
-    """Token ids of byte strings; bounded: of two generations the older one goes when the newer is full."""
+class _Recent(dict):
+    """What was looked up lately: of two generations, the older one goes when the newer one is full."""
 
-    def __init__(self, find):
+    def __init__(self):
         super().__init__()
-        self.find, self.older = find, {}
+        self.older: dict = {}
 
-    def __missing__(self, chunk: bytes) -> list[int]:
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = self.find(chunk)
-        if len(chunk) <= CACHE_BYTES:
-            if 2 * len(self) >= CACHE_CHUNKS:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = ids
-        return ids
+    def missing(self, keys: set) -> set:
+        """Those of ``keys`` that are not known; the others are taken over into the newer generation."""
+        new = keys.difference(self)
+        again = new.intersection(self.older)
+        self.update((k, self.older[k]) for k in again)
+        return new - again
 
+    def turn(self, most: int, longest: int) -> None:
+        """Start a new generation, without long keys, if this one holds half of ``most``."""
+        if 2 * len(self) > most:
+            self.older = {k: v for k, v in self.items() if len(k) <= longest}
+            self.clear()
 
-class _Chunks:
-    """Token ids of texts, chunk by chunk.
+
+class _Pool:
+    """Token ids of strings, one after the other in one array."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray):
+        self.flat, self.size = flat, size
+        self.start = np.cumsum(size) - size
+
+    def take(self, at: np.ndarray) -> _Pool:
+        """The strings at these places, in this order."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        where = np.arange(int(ends[-1]) if len(ends) else 0)
+        where += np.repeat(self.start[at] - (ends - size), size)
+        return _Pool(self.flat[where], size)
+
+
+class _Tokens:
+    """Token ids of texts, by their chunks.
 
     The vocabulary's normalizer and splitter never look across a blank and
-    drop it, so the chunks between blanks are encoded one by one.  A chunk
-    of ASCII letters and end marks is a word and marks, and upper case
-    does not matter to it, so it is put together from these.
+    drop it, so each distinct chunk between blanks is encoded once.  Most
+    chunks are a word and marks after it, and upper case does not matter to
+    them; new words are encoded many at a time, and the tokens that end a
+    word part them again.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.parts, self.chunks = _Known(self._by_library), _Known(self._chunk)
-
-    def _by_library(self, chunk: bytes) -> list[int]:
-        return self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-
-    def _chunk(self, chunk: bytes) -> list[int]:
-        word = chunk.rstrip(END_MARKS)
-        if not word.isalpha():
-            return self._by_library(chunk)
-        ids = self.parts[word.lower()]
-        return ids if len(word) == len(chunk) else ids + self.parts[chunk[len(word):]]
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text."""
-        return np.fromiter(chain.from_iterable(map(self.chunks.__getitem__, text.encode().split())), dtype=np.uint32)
+        # words in lower case need neither normalizer nor splitter
+        self.plain = Tokenizer.from_str(spec)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = json.loads(spec)["model"]["end_of_word_suffix"]
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.words, self.others = _Recent(), _Recent()
+
+    def _whole(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return ((c, np.array(e.ids, dtype="<u4").tobytes()) for c, e in zip(chunks, found, strict=True))
+
+    def _plain_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at:at + WORDS_AT_ONCE]
+            found, = self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            yield from ((w, raw[a:b]) for w, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True))
+
+    def _pool(self, strings: pa.Array, known: _Recent, find) -> _Pool:
+        keys = strings.to_pylist()
+        new = known.missing(set(keys))
+        if new:
+            known.update(find(list(new)))
+        packed = list(map(known.__getitem__, keys))
+        known.turn(CACHE_WORDS, CACHE_CHARS)
+        return _Pool(np.frombuffer(b"".join(packed), dtype="<u4"),
+                     np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4)
+
+    def encode(self, texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, one after the other, and where each text's begin (one more than texts)."""
+        split = pc.ascii_split_whitespace(texts_)
+        chunks = split.flatten().dictionary_encode()
+        parts = pc.extract_regex(chunks.dictionary, WORD_AND_MARKS)
+        is_word = parts.is_valid().to_numpy(zero_copy_only=False)
+        parts = parts.drop_null()
+        words = pc.utf8_lower(pc.struct_field(parts, "word")).dictionary_encode()
+        marks = pc.struct_field(parts, "marks").dictionary_encode()
+        pools = [self._pool(words.dictionary, self.words, self._plain_words),
+                 self._pool(marks.dictionary, self.others, self._whole),
+                 self._pool(chunks.dictionary.filter(pa.array(~is_word)), self.others, self._whole)]
+        first_mark, first_other = len(pools[0].size), len(pools[0].size) + len(pools[1].size)
+        pool = _Pool(np.concatenate([p.flat for p in pools]), np.concatenate([p.size for p in pools]))
+        # a distinct chunk is two strings of the pool: word and marks, or itself and nothing
+        pair = np.full((len(is_word), 2), len(pool.size), dtype=np.int64)
+        pair[is_word, 0] = words.indices.to_numpy()
+        pair[is_word, 1] = first_mark + marks.indices.to_numpy()
+        pair[~is_word, 0] = first_other + np.arange(len(is_word) - is_word.sum())
+        pool = _Pool(pool.flat, np.append(pool.size, 0)).take(pair.ravel())
+        each = _Pool(pool.flat, pool.size.reshape(-1, 2).sum(axis=1)).take(chunks.indices.to_numpy())
+        ends = np.concatenate(([0], np.cumsum(each.size)))
+        return each.flat, ends[split.offsets.to_numpy()]
 
 
 @lru_cache(maxsize=2)
-def _chunks(spec: str) -> _Chunks:
-    return _Chunks(spec)
+def _tokens(spec: str) -> _Tokens:
+    return _Tokens(spec)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -120,19 +186,21 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, end_
         spec = base.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = _chunks(spec.value)
+        tokens, end = _tokens(spec.value), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 doc, number, start, length, ids = [], [], [], [], []
-                for i, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    all_ids = np.append(chunks.encode(text), np.uint32(end_id)).astype("<u4")
-                    for n, at in enumerate(range(0, len(all_ids), capacity)):
-                        cut = all_ids[at:at + capacity]
+                flat, bounds = tokens.encode(part.column("text"))
+                for i, a, b in zip(part.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(),
+                                   strict=True):
+                    all_ids = flat[a:b].tobytes() + end
+                    for n, at in enumerate(range(0, len(all_ids), 4 * capacity)):
+                        cut = all_ids[at:at + 4 * capacity]
                         doc.append(i)
                         number.append(n)
-                        start.append(at)
-                        length.append(len(cut))
-                        ids.append(cut.tobytes())
+                        start.append(at // 4)
+                        length.append(len(cut) // 4)
+                        ids.append(cut)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc, pa.int64()), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(ids, pa.binary())],

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -29,6 +30,11 @@ def expected(rows):
     return out
 
 
+def ids_of(tokens, texts):
+    flat, ends = tokens.encode(pa.array(texts, pa.string()))
+    return [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def check_places(got, capacity=2048):
     """Every sequence is filled from 0 on without gaps, and no sequence is too long."""
     by = defaultdict(list)
@@ -59,24 +65,24 @@ def test_edge_rows_and_clashing_columns(spark, edge):
 
 
 def test_blanks_of_all_kinds_split_alike():
-    library, chunks = Tokenizer.from_file(VOCABULARY), packing._Chunks(open(VOCABULARY, encoding="utf-8").read())
+    library, chunks = Tokenizer.from_file(VOCABULARY), packing._tokens(open(VOCABULARY, encoding="utf-8").read())
     marks = [chr(c) for c in (*range(0x21), 0x7F, 0x85, 0xA0, 0x300, 0x301, 0x1680, 0x2000, 0x2001, 0x2028, 0x3000,
                               0x200B, 0xFEFF)]
     for m in marks:
         for text in (f"Caf{m}e x", f"don{m}'t {m}{m} 's", f"é{m} ́a{m}", f"<|endoftext|>{m}end", f"ΣΑΣ{m}ΣΑΣ {m}한글",
                      f"\n{m}\r 12{m}3", f"{m} ̧́z"):
-            assert chunks.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, (m, text)
+            assert ids_of(chunks, [text])[0] == library.encode(text, add_special_tokens=False).ids, (m, text)
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(text):
-    library, chunks = Tokenizer.from_file(VOCABULARY), packing._chunks(open(VOCABULARY, encoding="utf-8").read())
+    library, chunks = Tokenizer.from_file(VOCABULARY), packing._tokens(open(VOCABULARY, encoding="utf-8").read())
     try:
         text.encode()
     except UnicodeEncodeError:
         return  # Spark has no such strings
-    assert chunks.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert ids_of(chunks, [text])[0] == library.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=200, deadline=None)
@@ -121,3 +127,12 @@ def test_no_rows_and_wrong_lengths(spark, empty):
         packing.best_fit_decreasing({2049: 1})
     with pytest.raises(Exception, match="lengths must be"):
         packing.place(spark.createDataFrame([(0,)], "length long")).count()
+
+
+def test_latin_words_and_marks_are_put_together_rightly():
+    library, chunks = Tokenizer.from_file(VOCABULARY), packing._tokens(open(VOCABULARY, encoding="utf-8").read())
+    letters = [chr(c) for c in (*range(0x21, 0x250), 0x1E9E, 0x212A, 0x212B, 0xFB01, 0x2028, 0x3A3, 0x1C80)
+               if not chr(c).isspace()]
+    texts = [f"{c} a{c} {c}b A{c}B {c}{c}. {c}'s {c}#$ x{c}!_ {c}́" for c in letters]
+    for text, ids in zip(texts, ids_of(chunks, texts), strict=True):
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
