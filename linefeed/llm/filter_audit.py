@@ -9,8 +9,8 @@ orders are worked out from at most 32 counts a part.
    bits of the filters that look at the text alone (A to D).
 2. Duplicates (E) are found by an existential self-join: a left-semi join
    on the hash, the exact text and a smaller id.  Only texts whose hash
-   several ids have take part, and their other side is one row per text,
-   its smallest id.  A text with more than 1/``SHARES`` of all rows is
+   several ids have take part (these hashes are broadcast behind a size
+   check), and their other side is one row per text, its smallest id.  A text with more than 1/``SHARES`` of all rows is
    dealt over salts in proportion; there are at most ``SHARES`` such
    texts, so the list of them is broadcast.
 3. The ids that E fails are united with the others; a bitwise or per
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.llm.common import named, saved
+from linefeed.operators.joins import join_dimension
 
 FILTERS = "ABCDE"
 #: A text is hot from this share of the rows on (1/SHARES), and a salt holds about so many.
@@ -73,7 +74,8 @@ def duplicates(rows: DataFrame, marks: DataFrame) -> DataFrame:
     salted = (rows.where("doc_id is not null").join(F.broadcast(hot), "h", "left")
               .withColumn("salt", F.when(F.col("salts").isNull(), 0)
                           .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("salts"))).cast("int")).drop("salts"))
-    several_rows = salted.join(over_salts(several), ["h", "salt"], "left_semi")
+    # broadcast if its size check passes, so that texts on one row are not shuffled; else a salted shuffle
+    several_rows = join_dimension(salted, over_salts(several), ["h", "salt"], "left_semi")
     earliest = (several_rows.groupBy("h", "salt", "text").agg(F.min("doc_id").alias("least"))
                 .groupBy("h", "text").agg(F.min("least").alias("least"))
                 .join(F.broadcast(hot), "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1))))

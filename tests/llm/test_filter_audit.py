@@ -42,6 +42,16 @@ def test_many_copies_over_sources_and_salts(spark):
     assert sum(r[4] for r in e) == 220
 
 
+def test_shuffle_path_gives_the_same(spark, edge):
+    labels = [(1, 1, 0), (2, 1, 1)]
+    small = got(spark, edge, labels)
+    spark.conf.set("spark.linefeed.broadcast.maxRows", "0")
+    try:
+        assert got(spark, edge, labels) == small
+    finally:
+        spark.conf.unset("spark.linefeed.broadcast.maxRows")
+
+
 def test_equal_hashes_are_not_equal_texts(spark):
     rows = spark.createDataFrame([(1, "a", "one", 7), (2, "a", "two", 7), (3, "b", "two", 7), (3, "a", "two", 7)],
                                  "doc_id long, part string, text string, h long")
