@@ -77,6 +77,16 @@ SELECT lpad(CAST(o_orderkey AS STRING), 7, '0') AS knr, o_orderpriority AS model
 FROM {orders}
 """
 
+# A later poll of the cars whose order is finished: each is one station further on.
+ASSEMBLY_MOVED_SQL = """
+SELECT lpad(CAST(o_orderkey AS STRING), 7, '0') AS knr, o_orderpriority AS model,
+       o_orderkey AS lfdnr_sequence, '38' AS werk, '1' AS spj,
+       'lane_' || CAST(o_custkey % 5 AS STRING) AS lane,
+       'T' || CAST((o_custkey + 1) % 25 AS STRING) AS takt,
+       o_orderkey AS slot_no
+FROM {orders} WHERE o_orderstatus = 'F'
+"""
+
 # Current line-side stock per control cycle (lives only in the stored table).
 STOCK_SQL = """
 SELECT 'P' || CAST(p_partkey AS STRING) AS partnumber,
@@ -102,6 +112,7 @@ FIXTURE_SQL = {
     "pk05_raw": (PK05_RAW_SQL, ("supplier",)),
     "fx4pd_raw": (FX4PD_RAW_SQL, ("lineitem",)),
     "assembly_flat": (ASSEMBLY_FLAT_SQL, ("orders",)),
+    "assembly_moved": (ASSEMBLY_MOVED_SQL, ("orders",)),
     "stock": (STOCK_SQL, ("part",)),
     "transfer_orders": (TRANSFER_ORDERS_SQL, ("orders",)),
 }
@@ -160,17 +171,17 @@ def _json_object(entries: F.Column) -> F.Column:
 
 
 def assembly_snapshots(spark: SparkSession, sf_dir: str,
-                       cars_per_snapshot: int = CARS_PER_SNAPSHOT) -> DataFrame:
+                       cars_per_snapshot: int = CARS_PER_SNAPSHOT, positions: str = "assembly_flat") -> DataFrame:
     """Assembly-line snapshot documents (one JSON text per row, column ``value``).
 
-    Positions of ``assembly_flat`` are folded into documents of at most
+    The positions of a fixture are folded into documents of at most
     ``cars_per_snapshot`` cars: ``{lane: {fb: {slot: {CAR, LANE, TACT}}}}``.
     Line slots carry ``LANE``; reception slots leave it out.  Every feeder
     also holds one slot with an empty ``CAR``, and every document a
     non-lane ``meta`` key, as in the documented snapshot shape
     (FIXTURES.md §1.4).
     """
-    flat = fixture(spark, sf_dir, "assembly_flat")
+    flat = fixture(spark, sf_dir, positions)
     car = F.to_json(F.struct(F.col("knr").alias("KNR"), F.col("model").alias("MODELL"),
                              F.col("lfdnr_sequence").alias("LFDNR"),
                              F.col("werk").alias("WERK"), F.col("spj").alias("SPJ")))
@@ -325,7 +336,20 @@ def land_csv(df: DataFrame, folder: str) -> str:
     return path
 
 
-def land_snapshots(docs: DataFrame, folder: str, files: int = 4) -> str:
-    """Land snapshot documents as text files, one document per line."""
-    docs.select("value").repartition(files).write.mode("overwrite").text(folder)
+def land_snapshots(docs: DataFrame, folder: str, files: int = 4, polled: str | None = None) -> str:
+    """Land snapshot documents as text files, one document per line.
+
+    ``polled`` (``20260101T050000``) is the time of the poll that the files'
+    names then carry; without it only their modification time tells it.
+    """
+    target = f"{folder.rstrip('/')}/.landing" if polled else folder
+    docs.select("value").repartition(files).write.mode("overwrite").text(target)
+    if polled:
+        jvm, conf = docs.sparkSession._jvm, docs.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        fs = path.getFileSystem(conf)
+        parts = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")]
+        for i, part in enumerate(parts):
+            fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/line{i}_{polled}.json"))
+        fs.delete(path, True)
     return folder

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from linefeed.operators.joins import join_dimension, measured_copy
 
 _TABLE_NAME = re.compile(r"^[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*$")
-_SRC = "__in_source"
+_SRC, _TGT = "__in_source", "__in_target"
+#: What a merge did with a row of its result; see ``flag``.
+INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 
 
 def _c(name: str) -> Column:
@@ -73,9 +75,23 @@ def _order_only(order_by, target: DataFrame) -> list[str]:
     return [o for o in (order_by or []) if isinstance(o, str) and o not in target.columns]
 
 
-def one_per_key(source: DataFrame, keys: Sequence[str],
-                order_by: Sequence[str | Column] | None) -> DataFrame:
-    """The last row per key in ``order_by``, or in the order of all other columns."""
+_WHOLE = "__whole_key"
+
+
+def _whole_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with its key as one struct, which is never NULL and equals another where all parts, NULLs too, are equal."""
+    return df.withColumn(_WHOLE, F.struct(*[_c(k) for k in keys]))
+
+
+def one_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None,
+                null_safe: bool = False) -> DataFrame:
+    """The last row per key in ``order_by``, or in the order of all other columns.
+
+    Rows with a NULL in the key are kept as they are, or, with
+    ``null_safe``, count as equal where their NULLs stand in the same places.
+    """
+    if null_safe:
+        return one_per_key(_whole_key(source, keys), [_WHOLE], order_by).drop(_WHOLE)
     rest = [c for c in source.columns if c not in keys]
     if not order_by and not rest:
         null_key = _any_null(source, keys)
@@ -85,7 +101,8 @@ def one_per_key(source: DataFrame, keys: Sequence[str],
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
            order_by: Sequence[str | Column] | None = None,
-           broadcast_max_rows: int | None = None, null_keys: str = "insert") -> DataFrame:
+           broadcast_max_rows: int | None = None, null_keys: str = "insert",
+           flag: str | None = None) -> DataFrame:
     """K1: ``INSERT ... ON DUPLICATE KEY UPDATE`` on every source column.
 
     * a matched key takes all source columns, NULLs included;
@@ -97,8 +114,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
       columns the target lacks (e.g. a file's line number) only rank rows;
     * order columns the target has (e.g. a snapshot time) also protect it:
       a source row that ranks before the stored one changes nothing;
-    * a source row with a NULL key is inserted (``null_keys="insert"``),
-      left out (``"skip"``) or refused (``"error"``, one small job).
+    * a source row with a NULL key is inserted (``null_keys="insert"``), left
+      out (``"skip"``), refused (``"error"``, one small job), or matched like
+      any other, a NULL being equal to a NULL (``"match"``), so that a reload
+      changes nothing;
+    * ``flag`` names a column to add that says of every row of the result
+      whether it was inserted, updated or left unchanged.
 
     Plan: when the deduplicated source passes the broadcast size check (the
     usual case: a load is small next to its table), the target is never
@@ -114,8 +135,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     missing = [k for k in keys if k not in source.columns or k not in target.columns]
     if missing:
         raise ValueError(f"key columns missing: {missing}")
-    if null_keys not in ("insert", "skip", "error"):
-        raise ValueError("null_keys must be insert, skip or error")
+    if null_keys not in ("insert", "skip", "error", "match"):
+        raise ValueError("null_keys must be insert, skip, error or match")
+    if null_keys == "match":
+        merged = upsert(_whole_key(target, keys), _whole_key(source, keys), _WHOLE, order_by, broadcast_max_rows,
+                        flag=flag)
+        return merged.drop(_WHOLE)
     if null_keys != "insert":
         without = source.filter(_any_null(source, keys))
         if null_keys == "error" and without.limit(1).count():
@@ -149,36 +174,44 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                 out.append(_c(c))
         return out
 
+    def flagged(what: Column | str) -> list[Column]:
+        return [] if flag is None else [(F.lit(what) if isinstance(what, str) else what).alias(flag)]
+
     def as_inserted(df: DataFrame) -> DataFrame:
         return df.select(*[(_c(c) if c in keys else _c(_SRC + c).alias(c)) if c in source_cols
                            else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                           for c in target.columns])
+                           for c in target.columns], *flagged(INSERTED))
+
+    did = F.when(matched, F.lit(UPDATED)).otherwise(F.lit(UNCHANGED))
 
     materialized, fits = measured_copy(s_side, max_rows=broadcast_max_rows)
     if fits:
         small = materialized
-        updated = tgt_keyed.join(F.broadcast(small), keys, "left").select(*merged_columns())
+        updated = tgt_keyed.join(F.broadcast(small), keys, "left").select(
+            *merged_columns(), *flagged(did))
         hit = tgt_keyed.select(*keys).join(F.broadcast(small.select(*keys)), keys, "left_semi")
         inserted = as_inserted(small.join(hit, keys, "left_anti"))
         merged = updated.unionByName(inserted)
     else:
         # a source key the target lacks has all-NULL order columns, which rank first
-        joined = tgt_keyed.join(materialized, keys, "full_outer")
-        merged = joined.select(*merged_columns())
+        joined = tgt_keyed.withColumn(_TGT, F.lit(True)).join(materialized, keys, "full_outer")
+        merged = joined.select(*merged_columns(), *flagged(
+            F.when(F.col(_TGT).isNull(), F.lit(INSERTED)).otherwise(did)))
     unkeyed = src_unkeyed.select(*[_c(c) if c in source_cols
                                    else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                                   for c in target.columns])
-    return merged.unionByName(tgt_unkeyed).unionByName(unkeyed)
+                                   for c in target.columns], *flagged(INSERTED))
+    return merged.unionByName(tgt_unkeyed.select("*", *flagged(UNCHANGED))).unionByName(unkeyed)
 
 
 def update_by_key(target: DataFrame, source: DataFrame, key: str,
-                  order_by: Sequence[str | Column] | None = None) -> DataFrame:
+                  order_by: Sequence[str | Column] | None = None, flag: str | None = None) -> DataFrame:
     """K2: ``UPDATE target SET <source columns> WHERE key = ?`` for each source row.
 
     Every target row with a matching key is updated (one source row may
     hit many); unknown and NULL keys change nothing; nothing is inserted,
     so the target keeps its row count.  The last source row per key in
     ``order_by`` wins, or, without it, in the order of all source columns.
+    ``flag`` adds a column that says which rows were updated.
     """
     if key not in source.columns:
         raise ValueError(f"key column '{key}' does not exist in the source")
@@ -207,4 +240,7 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str,
             out.append(F.when(matched, _c(_SRC + c)).otherwise(_c(c)).alias(c))
         else:
             out.append(_c(c))
+    if flag is not None:
+        out.append(F.when(matched, F.lit(UPDATED)).otherwise(F.lit(UNCHANGED)).alias(flag))
+        tgt_unkeyed = tgt_unkeyed.withColumn(flag, F.lit(UNCHANGED))
     return joined.select(*out).unionByName(tgt_unkeyed)

@@ -286,9 +286,84 @@ ORACLE["set_balances"] = with_ctes(["pkmc_t"], f"""
 SELECT {', '.join('k.' + c.strip() for c in PKMC_COLS.split(','))}, b.lb_balance
 FROM pkmc k LEFT JOIN (SELECT partnumber, max(lb_balance) AS lb_balance FROM stock GROUP BY partnumber) b
   ON b.partnumber = k.partnumber""")
-ORACLE["write_result"] = with_ctes(["fx4pd"], """
-SELECT 'fx4pd' AS table_name, count(*) AS "rows"
-FROM (SELECT DISTINCT knr_fx4pd, partnumber FROM fx4pd), range(2) GROUP BY range""")
+# the demand as it is stored: one line per car and part
+_DEMAND = """
+demand AS (SELECT knr_fx4pd, partnumber, sum(qty_usage) AS qty_usage, max(qty_unit) AS qty_unit
+           FROM fx4pd GROUP BY knr_fx4pd, partnumber)"""
+ORACLE["write_result"] = with_ctes(["fx4pd", "pkmc_t", "pk05", "assembly"], f"""
+, {_DEMAND.strip()},
+present AS (
+  SELECT d.knr_fx4pd, d.partnumber, a.takt FROM demand d JOIN pkmc_t k ON k.partnumber = d.partnumber
+  JOIN pk05 a ON a.supply_area = k.supply_area
+  JOIN assembly al ON al.knr_fx4pd = d.knr_fx4pd AND al.takt = a.takt)
+SELECT 0 AS step, 'fx4pd' AS table_name, count(*) AS "rows" FROM demand
+UNION ALL SELECT 1, 'fx4pd', count(*) FROM demand
+UNION ALL SELECT 2, 'pkmc', count(*) FROM stock
+UNION ALL SELECT 3, 'pkmc', count(*) FROM present p JOIN pkmc_t k ON k.partnumber = p.partnumber
+UNION ALL SELECT 4, 'pkmc', count(DISTINCT partnumber) FROM present""")
+_FIRST_AND_SECOND = """
+lines AS (SELECT flag, replace(knr_fx4pd, ' ', '') AS knr_fx4pd, replace(partnumber, ' ', '') AS partnumber,
+                 TRY_CAST(replace(qty_usage, ' ', '') AS DOUBLE) AS qty_usage,
+                 COALESCE(CASE WHEN regexp_full_match(replace(qty_unit, ' ', ''), '[+-]?\\d+')
+                               THEN TRY_CAST(replace(qty_unit, ' ', '') AS INTEGER) END, 0) AS qty_unit
+          FROM fx4pd_raw WHERE TRY_CAST(replace(qty_usage, ' ', '') AS DOUBLE) IS NOT NULL),
+first_file AS (SELECT knr_fx4pd, partnumber, sum(qty_usage) AS qty_usage, max(qty_unit) AS qty_unit
+               FROM lines WHERE flag <> 'N' GROUP BY knr_fx4pd, partnumber),
+second_file AS (SELECT knr_fx4pd, partnumber, sum(qty_usage) AS qty_usage, max(qty_unit) AS qty_unit
+                FROM lines WHERE {second} GROUP BY knr_fx4pd, partnumber)"""
+ORACLE["merge_report"] = f"""
+WITH fx4pd_raw AS ({X.duck('fx4pd_raw')}),
+{_FIRST_AND_SECOND.format(second="flag <> 'R'").strip()},
+shared AS (SELECT count(*) AS n FROM first_file JOIN second_file USING (knr_fx4pd, partnumber)),
+f AS (SELECT count(*) AS n FROM first_file), s AS (SELECT count(*) AS n FROM second_file),
+{CTE['pkmc'].strip()},
+low AS (SELECT DISTINCT partnumber FROM ({X.duck('stock')}) WHERE lb_balance < 100)
+SELECT 0 AS step, 'fx4pd' AS table_name, f.n AS given, f.n AS inserted, 0 AS updated, 0 AS unchanged FROM f
+UNION ALL SELECT 1, 'fx4pd', s.n, s.n - shared.n, shared.n, f.n - shared.n FROM f, s, shared
+UNION ALL SELECT 2, 'pkmc', count(*), count(*), 0, 0 FROM pkmc
+UNION ALL SELECT 3, 'pkmc', (SELECT count(*) FROM low), 0, count(*) FILTER (WHERE partnumber IN (FROM low)),
+          count(*) FILTER (WHERE partnumber NOT IN (FROM low)) FROM pkmc"""
+ORACLE["forecast_incremental"] = f"""
+WITH fx4pd_raw AS ({X.duck('fx4pd_raw')}),
+{_FIRST_AND_SECOND.format(second="flag = 'N'").strip()},
+demand AS (SELECT * FROM second_file UNION ALL
+           SELECT * FROM first_file ANTI JOIN second_file USING (knr_fx4pd, partnumber)),
+{CTE['pkmc'].strip().replace("pkmc_raw AS (", "pkmc_src AS (", 1).replace("pkmc_b01 AS (",
+    "pkmc_raw AS (SELECT * REPLACE (CASE WHEN qty_max_box = '8' THEN '9' ELSE qty_max_box END AS qty_max_box) "
+    "FROM pkmc_src)," + chr(10) + "pkmc_b01 AS (", 1)},
+{CTE['pkmc_t'].strip()},
+{CTE['pk05'].strip()}
+SELECT f.knr_fx4pd, f.partnumber, f.qty_usage, f.qty_unit, k.num_reg_circ, a.takt, k.rack, k.lb_balance,
+       k.total_theoretical_qty, k.qty_for_restock, k.qty_per_box, k.qty_max_box
+FROM demand f JOIN pkmc_t k ON k.partnumber = f.partnumber
+JOIN pk05 a ON a.supply_area = k.supply_area WHERE a.takt <> 'T3'"""
+ORACLE["pk05_reload"] = f"""
+WITH pk05_src AS ({X.duck('pk05_raw')}),
+pk05_raw AS (SELECT DISTINCT supply_area, deposit, CAST(NULL AS VARCHAR) AS responsible,
+                    nullif(discharge_point, 'DP7') AS discharge_point, description FROM pk05_src),
+{CTE['pk05'].split('),', 1)[1].strip()}
+SELECT * FROM pk05"""
+# a later poll of some cars, and an older one of all that lands last: the later one holds
+_MOVED = f"""
+moved_flat AS ({X.duck('assembly_moved')}),
+moved AS (SELECT knr, model, CAST(lfdnr_sequence AS VARCHAR) AS lfdnr_sequence, werk, spj,
+                 regexp_replace(lane, 'lane_', '') AS lane, takt, werk || spj || knr AS knr_fx4pd FROM moved_flat)"""
+ORACLE["assembly_stream_buckets"] = with_ctes(["assembly"], f"""
+, {_MOVED.strip()}
+SELECT * FROM moved UNION ALL SELECT * FROM assembly WHERE knr NOT IN (SELECT knr FROM moved)""")
+ORACLE["consume_once_moves"] = with_ctes(["forecast", "assembly"], f"""
+, {_MOVED.strip()},
+seen AS (SELECT knr_fx4pd, takt FROM assembly UNION SELECT knr_fx4pd, takt FROM moved),
+present AS (SELECT DISTINCT fc.knr_fx4pd, fc.takt, fc.partnumber FROM forecast fc
+            JOIN seen s ON fc.knr_fx4pd = s.knr_fx4pd AND fc.takt = s.takt),
+usage AS (SELECT knr_fx4pd, partnumber, sum(COALESCE(qty_usage, 0)) AS usage
+          FROM fx4pd GROUP BY knr_fx4pd, partnumber),
+consumed AS (SELECT p.partnumber, sum(u.usage) AS consumed FROM present p
+             JOIN usage u ON u.knr_fx4pd = p.knr_fx4pd AND u.partnumber = p.partnumber
+             GROUP BY p.partnumber)
+SELECT {PKMC_COLS.replace('partnumber,', 'k.partnumber,', 1)},
+       CASE WHEN c.consumed IS NOT NULL THEN k.lb_balance - c.consumed ELSE k.lb_balance END AS lb_balance
+FROM pkmc_t k LEFT JOIN consumed c ON c.partnumber = k.partnumber""")
 ORACLE["parquet_scan"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000"
 ORACLE["sql_select"] = """
 SELECT n_name, count(*) AS customers, max(c_acctbal) AS highest

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linefeed.operators.merge import check_table_name
+from linefeed.operators.merge import INSERTED, UNCHANGED, UPDATED, check_table_name
 
 POINTER = "_current"
 
@@ -59,6 +59,16 @@ def counted_source(rows: DataFrame) -> tuple[DataFrame, Observation]:
     return rows.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+DID = "__did"
+
+
+def counted_merge(merged: DataFrame, did: str = DID) -> tuple[DataFrame, Observation]:
+    """A flagged merge result without its flag; the rows of each kind are observed while it is written."""
+    obs = Observation("merged_rows")
+    kinds = [F.count(F.when(F.col(did) == kind, 1)).alias(kind) for kind in (INSERTED, UPDATED, UNCHANGED)]
+    return merged.observe(obs, *kinds).drop(did), obs
+
+
 class VersionedTable:
     """A parquet table whose versions live in ``<root>/v=<n>`` behind a pointer file.
 
@@ -162,7 +172,7 @@ class Batches:
     """Rows that a stream appends beside a table, one folder per micro-batch."""
 
     def __init__(self, table: VersionedTable, name: str):
-        self.table, self.path = table, f"{table.root}/{name}"
+        self.table, self.name, self.path = table, name, f"{table.root}/{name}"
 
     def append(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Write a batch; written again, it replaces itself.  Returns the rows written."""
@@ -183,6 +193,14 @@ class Batches:
         rows = rows.filter(F.col("batch") > after)
         return rows if before is None else rows.filter(F.col("batch") < before)
 
+    def expire(self, upto: int) -> None:
+        """Remove the batches up to this one; they are folded into a version that no reader goes behind."""
+        fs, path, _ = self.table._hadoop(self.name)
+        for status in fs.listStatus(path) if fs.exists(path) else []:
+            number = status.getPath().getName().removeprefix("batch=")
+            if number.isdigit() and int(number) <= upto:
+                fs.delete(status.getPath(), True)
+
     def last(self) -> int:
         """The largest batch number present (-1: none)."""
         found = self.read(T.StructType([])).agg(F.max("batch")).first()[0]

@@ -18,14 +18,16 @@ from linefeed.operators.merge import last_per_key, update_by_key, upsert
 from linefeed.operators.ordered import first_match_in_list
 from linefeed.plans import cleaning, consumption, forecast, jobs, restock
 from linefeed.plans.assembly import assembly_records
+from linefeed.plans.buckets import BucketedTable
 from linefeed.plans.sinks import VersionedTable, count_rows, stored
 from linefeed.plans.transfer import pending_orders
-from linefeed.schemas import ASSEMBLY_LINE, PKMC_HEADERS, PKMC_RAW
+from linefeed.schemas import ASSEMBLY_LINE, PK05_HEADERS, PKMC_HEADERS, PKMC_RAW
 from linefeed.session import staging_path
 from linefeed.sources.excel import read_excel
 from linefeed.sources.loader import load_table, select_sql
 from linefeed.sources.snapshots import read_snapshots, stream_snapshots
-from linefeed.streaming.ingest import car_positions, consume_once_stream, upsert_stream
+from linefeed.streaming.ingest import (car_positions, compact, consume_once_stream, settle, upsert_stream,
+                                       with_changes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -328,6 +330,76 @@ def q_consume_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                                spark.read.parquet(fx4pd_path), table, f"{base}/checkpoint")
 
 
+#: Polls of the line: all cars, later the cars that have moved on, and a copy of the first poll that lands last.
+POLLS = (("assembly_flat", "20260101T050000"), ("assembly_moved", "20260101T060000"),
+         ("assembly_flat", "20260101T040000"))
+
+
+def q_assembly_stream_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + K1 by buckets: cars move, an older poll lands late; the table is folded in between and at the end."""
+    base = staging_path(spark, "assembly-buckets")
+    table = BucketedTable(spark, f"{base}/assembly_line", "assembly_line", ["knr"], buckets=32)
+    keys, order = ["knr"], ["snapshot_ts", "snapshot_pos"]
+    for n, (poll, polled) in enumerate(POLLS):
+        X.land_snapshots(X.assembly_snapshots(spark, sf_dir, positions=poll), f"{base}/landing/{n}", 2, polled)
+        positions = car_positions(stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=1))
+        empty = positions_table(spark, positions)
+        upsert_stream(positions, table, keys, order, empty, f"{base}/checkpoint")
+        if n != 1:
+            compact(table, keys, order, empty)
+    return with_changes(table, keys, order, empty).drop(*order)
+
+
+def q_consume_once_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cars move on and are polled again late; each car, station and part is consumed once over three runs.
+
+    Every run restarts the stream from its checkpoint; the ledger is settled
+    between them.
+    """
+    base = staging_path(spark, "consume-moves")
+    t = Inputs(spark, sf_dir, store=("pkmc", "fx4pd"))
+    table = VersionedTable(spark, f"{base}/pkmc", "pkmc")
+    table.commit(t.pkmc())
+    forecast_path, fx4pd_path = f"{base}/forecast", f"{base}/fx4pd"
+    forecast.store_by_car(t.forecast().select("knr_fx4pd", "takt", "partnumber"), forecast_path)
+    forecast.store_by_car(t.fx4pd().select("knr_fx4pd", "partnumber", "qty_usage"), fx4pd_path)
+    for n, (poll, polled) in enumerate(POLLS):
+        X.land_snapshots(X.assembly_snapshots(spark, sf_dir, positions=poll), f"{base}/landing/{n}", 2, polled)
+        positions = car_positions(stream_snapshots(spark, f"{base}/landing/*", max_files_per_trigger=1))
+        out = consume_once_stream(positions, spark.read.parquet(forecast_path), spark.read.parquet(fx4pd_path), table,
+                                  f"{base}/checkpoint")
+        if n == 0:
+            settle(table)
+    return out
+
+
+def q_forecast_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL5 kept up to date: returned lines first, then new ones, other box sizes and a station less.
+
+    The demand comes in two files, the second with keys of the first among
+    new ones; between them the control cycles are loaded again with other
+    quantities and the areas of a station are taken out.
+    """
+    base = staging_path(spark, "forecast-incremental")
+    store, at = jobs.TableStore(spark, f"{base}/tables"), {"base": base}
+    cycles = X.pkmc_workbook(spark, sf_dir)
+    quantity = next(h for h, n in PKMC_HEADERS.items() if n == "qty_max_box")
+    lines = X.fx4pd_file(spark, sf_dir)
+    X.write_workbooks(cycles, f"{base}/first/pkmc.xlsx")
+    X.write_workbooks(cycles.replace({"8": "9"}, subset=[f"`{quantity}`"]), f"{base}/second/pkmc.xlsx")
+    X.write_workbooks(X.pk05_workbook(spark, sf_dir), f"{base}/first/pk05.xlsx")
+    X.land_csv(lines.where("Kennz <> 'N'"), f"{base}/first/fx4pd")
+    X.land_csv(lines.where("Kennz = 'N'"), f"{base}/second/fx4pd")
+    jobs.load_pkmc(store, "{base}/first/pkmc.xlsx", at)
+    jobs.set_balances(store, X.fixture(spark, sf_dir, "stock").select("partnumber", "lb_balance"))
+    jobs.load_pk05(store, "{base}/first/pk05.xlsx", at)
+    jobs.refresh_forecast(store, "{base}/first/fx4pd/export.csv", at)
+    jobs.load_pkmc(store, "{base}/second/pkmc.xlsx", at)
+    store.table("pk05").commit(store.read("pk05").where("takt <> 'T3'"))
+    jobs.refresh_forecast(store, "{base}/second/fx4pd/export.csv", at)
+    return store.read("forecast")
+
+
 def q_store_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: landed exports and snapshots -> load jobs -> stored tables -> consumption.
 
@@ -370,6 +442,45 @@ def q_pkmc_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("pkmc").drop("id", "lb_balance")
 
 
+def q_pk05_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 in the load job with NULLs in the key: areas without a responsible, loaded three times, stay one row each."""
+    base = staging_path(spark, "pk05-reload")
+    responsible = next(h for h, n in PK05_HEADERS.items() if n == "responsible")
+    discharge = next(h for h, n in PK05_HEADERS.items() if n == "discharge_point")
+    areas = X.pk05_workbook(spark, sf_dir).withColumns({
+        responsible: F.lit(None).cast("string"),
+        discharge: F.when(F.col(f"`{discharge}`") != "DP7", F.col(f"`{discharge}`"))})
+    X.write_workbooks(areas, f"{base}/pk05.xlsx")
+    store = jobs.TableStore(spark, f"{base}/tables")
+    for _ in range(3):
+        jobs.load_pk05(store, "{base}/pk05.xlsx", {"base": base})
+    return store.read("pk05").drop("id")
+
+
+def q_merge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K2: what each write did, by the rows it gave, inserted, updated and left alone.
+
+    Demand is loaded in two files that share keys; a count sets balances of
+    parts of which some have no control cycle.
+    """
+    base = staging_path(spark, "merge-report")
+    lines = X.fx4pd_file(spark, sf_dir)
+    X.land_csv(lines.where("Kennz <> 'N'"), f"{base}/first")
+    X.land_csv(lines.where("Kennz <> 'R'"), f"{base}/second")
+    X.write_workbooks(X.pkmc_workbook(spark, sf_dir), f"{base}/pkmc.xlsx")
+    store, at = jobs.TableStore(spark, f"{base}/tables"), {"base": base}
+    out = []
+    for n, step in enumerate((
+            lambda: jobs.load_fx4pd(store, "{base}/first/export.csv", at),
+            lambda: jobs.load_fx4pd(store, "{base}/second/export.csv", at),
+            lambda: jobs.load_pkmc(store, "{base}/pkmc.xlsx", at),
+            lambda: jobs.set_balances(store, X.fixture(spark, sf_dir, "stock").where("lb_balance < 100").select(
+                "partnumber", "lb_balance")))):
+        name = step().first()["table_name"]
+        out.append(store.report(name).withColumn("step", F.lit(n)))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 def q_set_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 in the balance job: a count that lists parts several times; the largest count is last.
 
@@ -387,12 +498,23 @@ def q_set_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: what the demand job reports, the source rows of a first load and of a reload."""
+    """K6: what the jobs report, the source rows of a first load, a reload, a stock count and two consumptions."""
     base = staging_path(spark, "write-result")
     X.land_csv(X.fx4pd_file(spark, sf_dir), f"{base}/in")
-    store = jobs.TableStore(spark, f"{base}/tables")
-    out = [jobs.load_fx4pd(store, "{base}/in/export.csv", {"base": base}) for _ in range(2)]
-    return out[0].unionByName(out[1])
+    t = Inputs(spark, sf_dir, store=("pkmc", "pk05"))
+    store, at = jobs.TableStore(spark, f"{base}/tables"), {"base": base}
+    stock = X.fixture(spark, sf_dir, "stock").select("partnumber", "lb_balance")
+    store.table("pkmc").commit(t.pkmc())
+    store.table("pk05").commit(t.pk05())
+    store.table("assembly_line").commit(t.assembly())
+    out = [jobs.load_fx4pd(store, "{base}/in/export.csv", at) for _ in range(2)]
+    out.append(jobs.set_balances(store, stock))
+    store.table("forecast").commit(forecast.by_car(forecast.forecast(store.read("fx4pd"), t.pkmc(), t.pk05())))
+    out += [jobs.consume(store, mode) for mode in ("last", "sum")]
+    result = out[0].withColumn("step", F.lit(0))
+    for n, more in enumerate(out[1:], 1):
+        result = result.unionByName(more.withColumn("step", F.lit(n)))
+    return result
 
 
 def q_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,9 +571,14 @@ QUERIES: dict[str, Query] = {
     "assembly_files": q_assembly_files,
     "assembly_stream_upsert": q_assembly_stream_upsert,
     "consume_once_stream": q_consume_once_stream,
+    "assembly_stream_buckets": q_assembly_stream_buckets,
+    "consume_once_moves": q_consume_once_moves,
+    "forecast_incremental": q_forecast_incremental,
     "store_consume": q_store_consume,
     "pkmc_reload": q_pkmc_reload,
+    "pk05_reload": q_pk05_reload,
     "set_balances": q_set_balances,
+    "merge_report": q_merge_report,
     "write_result": q_write_result,
     "parquet_scan": q_parquet_scan,
     "sql_select": q_sql_select,

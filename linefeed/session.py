@@ -33,8 +33,8 @@ DEFAULT_CONF = {
 # Settings for the production cluster (~100 TB, ~1000 executors).  Shuffles
 # start from many partitions and AQE coalesces them to ~256 MB each, so a
 # 100 TB shuffle never runs with partitions that do not fit an executor;
-# skew splitting starts at 512 MB; scans read 512 MB splits; the dedup state
-# of the consume-once stream lives in RocksDB; stragglers are re-launched.
+# skew splitting starts at 512 MB; scans read 512 MB splits; stragglers are
+# re-launched.  (Streams set their state store themselves.)
 CLUSTER_CONF = {
     **{k: v for k, v in DEFAULT_CONF.items() if not k.startswith("spark.ui.")},
     "spark.sql.shuffle.partitions": "20000",
@@ -43,8 +43,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.files.maxPartitionBytes": "512m",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.speculation": "true",
 }
 

@@ -4,15 +4,20 @@
 * T2 ``upsert_stream``: every micro-batch appends its last row per key;
   the table is its current version with these rows applied, and
   ``compact`` folds them in.  What a batch writes follows the batch, not
-  the table, and the newest snapshot of a key wins across batches.
-* T3 ``consume_once_stream``: the (car, station) pairs already seen are
-  kept as a table, so a pair is consumed once, however often, however late
-  and in whatever batches it arrives; there is no watermark behind which
-  data could be lost.  A batch appends what its new pairs consume to a
-  ledger; balances are the stored table minus the ledger.
+  the table, and the newest snapshot of a key wins across batches.  On a
+  ``BucketedTable`` the fold rewrites only the buckets of the changed keys.
+* T3 ``consume_once_stream``: the engine keeps the (car, station) pairs
+  already seen in a RocksDB state store (``dropDuplicates`` without a
+  watermark), so a pair is consumed once, however often, however late and
+  in whatever batches it arrives, and a batch reads its own rows only.
+  A batch appends what its new pairs consume to a ledger; balances are
+  the stored table minus the ledger.
 
-A batch the engine replays after a failure overwrites its own folders and
-reads only earlier ones, so replays have no effect.
+Batches that are folded in are removed a fold later, so folders beside a
+table do not pile up.
+
+A batch the engine replays after a failure starts from the state before it
+and overwrites its own folders, so replays have no effect.
 
 All runs use ``trigger(availableNow=True)`` and a checkpoint folder under
 the shared checkpoint location; they stop when the landed files are done.
@@ -25,14 +30,16 @@ that feeds it, and a stream started on another checkpoint is refused.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linefeed.operators.merge import one_per_key
 from linefeed.plans.assembly import assembly_records
+from linefeed.plans.buckets import BucketedTable
 from linefeed.plans.consumption import station_usage, subtract
 from linefeed.plans.sinks import Batches, VersionedTable
 from linefeed.sources.snapshots import placed
@@ -53,6 +60,30 @@ def _bind(table: VersionedTable, checkpoint: str) -> None:
                          f"a stream on {checkpoint} would skip its first batches")
 
 
+#: State of keyed streaming operators: on local disk, its changes written to the checkpoint per batch.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _with_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """The settings while a stream starts and runs; the session's own come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def _run(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
          timeout_s: int) -> None:
     query = (stream.writeStream.foreachBatch(handler)
@@ -104,9 +135,22 @@ def with_changes(table: VersionedTable, keys: Sequence[str], order_by: Sequence[
 
 def compact(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str],
             empty: DataFrame) -> DataFrame:
-    """Fold the appended batches into a new version of the table (run when no stream writes)."""
-    last = Batches(table, CHANGES).last()
-    return table.commit(with_changes(table, keys, order_by, empty), folded=max(last, table.folded()))
+    """Fold the appended batches into the table (run when no stream writes).
+
+    A versioned table gets a new version; the batches its kept older version
+    still needs stay until the next fold.  A bucketed table rewrites the
+    buckets of the changed keys.
+    """
+    log, before = Batches(table, CHANGES), table.folded()
+    last = max(log.last(), before)
+    if isinstance(table, BucketedTable):
+        changes = log.read(empty.schema, after=before).drop("batch")
+        result = table.merge(changes, order_by, null_keys="insert", folded=last)
+        log.expire(last)
+        return result
+    result = table.commit(with_changes(table, keys, order_by, empty), folded=last)
+    log.expire(before)
+    return result
 
 
 CHANGES, SIGHTINGS, LEDGER = "changes", "sightings", "ledger"
@@ -125,16 +169,19 @@ def consume_once_stream(positions: DataFrame, forecast: DataFrame, fx4pd: DataFr
     ledger with the car's summed demand from ``fx4pd``.  The result does not
     depend on how files fall into batches.
     """
+    spark = positions.sparkSession
     sightings, ledger = Batches(table, SIGHTINGS), Batches(table, LEDGER)
 
-    def consume_batch(batch: DataFrame, batch_id: int) -> None:
-        seen = batch.select("knr_fx4pd", "takt").dropna().distinct()
-        earlier = sightings.read(SEEN, before=batch_id).drop("batch")
-        new = sightings.append(seen.join(earlier, ["knr_fx4pd", "takt"], "left_anti"), batch_id)
-        ledger.append(station_usage(forecast, new, fx4pd), batch_id)
+    def consume_batch(new: DataFrame, batch_id: int) -> None:
+        # the stateful plan runs once: what follows reads the pairs it let through
+        pairs = sightings.append(new, batch_id)
+        ledger.append(station_usage(forecast, pairs, fx4pd), batch_id)
+        sightings.expire(batch_id)
 
     _bind(table, checkpoint)
-    _run(positions.select("knr_fx4pd", "takt"), consume_batch, checkpoint, timeout_s)
+    pairs = positions.select(*SEEN.fieldNames()).dropna().dropDuplicates(SEEN.fieldNames())
+    with _with_conf(spark, STATE_CONF):
+        _run(pairs, consume_batch, checkpoint, timeout_s)
     return with_ledger(table)
 
 
@@ -146,6 +193,11 @@ def with_ledger(table: VersionedTable) -> DataFrame:
 
 
 def settle(table: VersionedTable) -> DataFrame:
-    """Fold the ledger into a new version of the table (run when no stream writes)."""
-    last = Batches(table, LEDGER).last()
-    return table.commit(with_ledger(table), folded=max(last, table.folded()))
+    """Fold the ledger into a new version of the table (run when no stream writes).
+
+    Entries that the kept older version still needs stay until the next fold.
+    """
+    ledger, before = Batches(table, LEDGER), table.folded()
+    result = table.commit(with_ledger(table), folded=max(ledger.last(), before))
+    ledger.expire(before)
+    return result

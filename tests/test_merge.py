@@ -30,6 +30,28 @@ def test_upsert_rules(spark, bmax):
                           ("n", 5, "s5", None), (None, 6, "s6", None)], key=repr)
 
 
+@pytest.mark.parametrize("bmax", [0, 100])
+def test_upsert_null_safe_and_flagged(spark, bmax):
+    schema = "k string, n long, v string"
+    target = spark.createDataFrame([("a", 1, "t"), (None, 1, "t"), ("b", None, "t"), ("c", 2, "t")], schema)
+    source = spark.createDataFrame([(None, 1, "x"), (None, 1, "y"), ("b", None, "z"), (None, None, "w"), ("a", 1, "u")],
+                                   schema)
+    merged = upsert(target, source, ["k", "n"], broadcast_max_rows=bmax, null_keys="match", flag="did")
+    assert rows(merged) == sorted([("a", 1, "u", "updated"), (None, 1, "y", "updated"), ("b", None, "z", "updated"),
+                                   ("c", 2, "t", "unchanged"), (None, None, "w", "inserted")], key=repr)
+    again = upsert(merged.drop("did"), source, ["k", "n"], broadcast_max_rows=bmax, null_keys="match")
+    assert rows(again) == rows(merged.drop("did"))
+    kept = upsert(target, source, ["k", "n"], broadcast_max_rows=bmax, flag="did")
+    assert sorted(r["did"] for r in kept.collect()) == ["inserted"] * 4 + ["unchanged"] * 3 + ["updated"]
+
+
+def test_update_by_key_flags_rows(spark):
+    target = spark.createDataFrame([("p1", 1.0), ("p1", 2.0), ("p2", 3.0), (None, 4.0)], "part string, bal double")
+    source = spark.createDataFrame([("p1", 9.0), ("zz", 5.0), (None, 7.0)], "part string, bal double")
+    assert rows(update_by_key(target, source, "part", flag="did")) == sorted(
+        [("p1", 9.0, "updated"), ("p1", 9.0, "updated"), ("p2", 3.0, "unchanged"), (None, 4.0, "unchanged")], key=repr)
+
+
 def test_upsert_empty_source_and_errors(spark):
     target = spark.createDataFrame([("x", 1, "t1", 9.0)], TARGET)
     empty = spark.createDataFrame([], "k string, a long")
