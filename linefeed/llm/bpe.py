@@ -26,7 +26,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,10 +37,66 @@ from linefeed.llm.common import named, ship, slices
 #: frequent one may stand first, and none ever needs to give a character back.
 SPLIT_PATTERN = r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
+#: The classes of characters in the pattern, and a character of the two that versions of Unicode add to.
+CLASSES, MEMBER = {"L": r"\p{L}", "N": r"\p{N}", "other": r"[^\s\p{L}\p{N}]"}, {"L": "a", "N": "1"}
+#: Code points that letters and numbers are among (the planes with characters), and how many are tested together.
+PLANES, TESTED_AT_ONCE = (range(0xD800), range(0xE000, 0x40000), range(0xE0000, 0xE1000)), 20_000
+
 #: Pieces remembered per worker, and the longest piece worth remembering.
 CACHE_PIECES, CACHE_CHARS = 300_000, 48
 
 
+def _ranges(code_points: list[int]) -> str:
+    """Ascending code points as the inside of a character class."""
+    out, at = [], 0
+    while at < len(code_points):
+        end = at
+        while end + 1 < len(code_points) and code_points[end + 1] == code_points[end] + 1:
+            end += 1
+        out.append(f"\\U{code_points[at]:08x}-\\U{code_points[end]:08x}")
+        at = end + 1
+    return "".join(out)
+
+
+@lru_cache(maxsize=2)
+def differing_classes(spec: str) -> dict[str, tuple[str, str]]:
+    """Where the vocabulary's own splitter and the pattern's classes part, as (left out, added) ranges of each class.
+
+    The two follow different versions of Unicode.  Every code point is put
+    behind a letter and a digit: it is of the class with which the splitter
+    keeps it in one piece.  A second or so, on the driver.
+    """
+    from tokenizers import Tokenizer
+    splitter = Tokenizer.from_str(spec).pre_tokenizer
+    every = [*chain.from_iterable(PLANES)]
+    less, more = {}, {}
+    for name, before in MEMBER.items():
+        theirs = set()
+        for at in range(0, len(every), TESTED_AT_ONCE):
+            some = every[at:at + TESTED_AT_ONCE]
+            starts = {a for _, (a, _) in splitter.pre_tokenize_str("".join(f"{before}{chr(c)}\n" for c in some))}
+            theirs.update(c for i, c in enumerate(some) if 3 * i + 1 not in starts)
+        own = {ord(c) for c in regex.findall(CLASSES[name], "".join(map(chr, every)))}
+        less[name], more[name] = own - theirs, theirs - own
+    gone, new = set.union(*less.values()), set.union(*more.values())
+    less["other"], more["other"] = new - gone, gone - new
+    return {name: (_ranges(sorted(less[name])), _ranges(sorted(more[name]))) for name in CLASSES}
+
+
+def exact_pattern(differing: dict[str, tuple[str, str]]) -> str:
+    """``SPLIT_PATTERN`` with the classes of the vocabulary's own splitter (of ``regex``'s version 1 sets)."""
+    def class_(name: str) -> str:
+        left_out, added = differing[name]
+        base = CLASSES[name]
+        base = f"[{base}--[{left_out}]]" if left_out else base
+        return f"[{base}||[{added}]]" if added else f"[{base}]"
+
+    letter, number, other = map(class_, CLASSES)
+    space = f"[^{letter}{number}{other}]"
+    return (rf" ?{letter}++|'(?:[stmd]|re|ve|ll)| ?{number}++| ?{other}++"
+            rf"|{space}+(?=\Z|{space})|{space}+")
+
+
 def byte_symbols() -> dict[str, int]:
     """The printable character that stands for each byte in vocabulary files.
 
@@ -55,7 +111,7 @@ def byte_symbols() -> dict[str, int]:
 class Vocabulary:
     """The tables of one vocabulary file, built once per Python worker."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, differing: dict[str, tuple[str, str]]):
         model = json.loads(spec)
         symbols = byte_symbols()
         special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
@@ -87,7 +143,10 @@ class Vocabulary:
         for t, i in known.items():
             self.match.add_word(t.decode("latin-1"), i)
         self.match.make_automaton()
-        self.split = regex.compile(SPLIT_PATTERN).findall
+        self.usual = regex.compile(SPLIT_PATTERN).findall
+        odd = "".join(map("".join, differing.values()))
+        self.odd = regex.compile(f"[{odd}]").search if odd else None
+        self.exact = regex.compile(exact_pattern(differing), regex.V1).findall if odd else None
         self.special = special
         self.special_split = (regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True)))
                                             + ")").split if special else None)
@@ -98,6 +157,12 @@ class Vocabulary:
         self._may_follow: dict[int, bool] = {}
         self.pieces = _Pieces(self)
 
+    def split(self, text: str) -> list[str]:
+        """The pieces of a text, as the vocabulary's own splitter cuts it."""
+        if self.odd is None or text.isascii() or not self.odd(text):
+            return self.usual(text)
+        return self.exact(text)
+
     def may_follow(self, left: int, right: int) -> bool:
         """Whether merging would leave these two tokens as they stand, side by side."""
         key = left << 32 | right
@@ -199,8 +264,14 @@ class _Pieces(dict):
 
 
 @lru_cache(maxsize=2)
-def _vocabulary(spec: str) -> Vocabulary:
-    return Vocabulary(spec)
+def _vocabulary(spec: str, differing: tuple) -> Vocabulary:
+    return Vocabulary(spec, dict(differing))
+
+
+def _shared(spark: SparkSession, vocabulary_path: str):
+    """What workers build their tables from, broadcast."""
+    spec = read_vocabulary(vocabulary_path)
+    return spark.sparkContext.broadcast((spec, tuple(differing_classes(spec).items())))
 
 
 def read_vocabulary(path: str) -> str:
@@ -224,12 +295,12 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
     new = [ids_col, *([decoded_col] if decoded_col else [])]
     rest = [c for c in docs.columns if c.lower() not in {x.lower() for x in (text_col, *new)}]
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    shared = _shared(docs.sparkSession, vocabulary_path)
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField(ids_col, T.ArrayType(T.IntegerType())),
                            *([T.StructField(decoded_col, T.StringType())] if decoded_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(shared.value)
+        vocabulary = _vocabulary(*shared.value)
         for batch in batches:
             for part in slices(batch, text_col):
                 ids = [vocabulary.encode(t or "") for t in part.column(text_col).to_pylist()]
@@ -254,11 +325,11 @@ def decode(tokens: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_c
     """
     tokens = tokens.select(*(named(c) for c in tokens.columns if c.lower() != text_col.lower()))
     ship(tokens.sparkSession)
-    shared = tokens.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    shared = _shared(tokens.sparkSession, vocabulary_path)
     schema = T.StructType([*tokens.schema.fields, T.StructField(text_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(shared.value)
+        vocabulary = _vocabulary(*shared.value)
         for batch in batches:
             column = batch.column(ids_col)
             ends, flat = column.offsets.to_numpy(), column.values.to_numpy()

@@ -14,7 +14,8 @@ from linefeed.llm.queries import vocabulary_path
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return bpe.Vocabulary(bpe.read_vocabulary(vocabulary_path()))
+    spec = bpe.read_vocabulary(vocabulary_path())
+    return bpe.Vocabulary(spec, bpe.differing_classes(spec))
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,19 @@ def test_random_strings_encode_as_the_library_does(vocabulary, library):
         assert vocabulary.encode(text) == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_every_code_point_is_split_as_the_library_does(vocabulary, library):
+    """Behind a letter, a digit and a mark, before an ending and between blanks; letters differ between Unicode versions."""
+    every = [*range(0xD800), *range(0xE000, 0x110000)]
+    for at in range(0, len(every), 5000):
+        text = "".join(f"{chr(c)}'d 1{chr(c)}'d a{chr(c)}! {chr(c)} !{chr(c)}  {chr(c)}\n" for c in every[at:at + 5000])
+        assert vocabulary.split(text) == [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def test_letters_of_other_unicode_versions_encode_as_the_library_does(vocabulary, library):
+    for text in ("\U00032568'd", "\U00018fa4't", "\U0003eb48\u8b6e", "\u0558'd1\u0558'd", "a\ua7cfb \u088f\u088f  \u0c5c"):
+        assert vocabulary.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_a_long_run_stays_linear_and_right(vocabulary, library):
     for text in ("a" * 20000, "ab" * 7000, "=" * 9999):
         assert list(vocabulary.encode_piece(text)) == library.encode(text, add_special_tokens=False).ids
