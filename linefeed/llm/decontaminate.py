@@ -1,6 +1,7 @@
 """Benchmark decontamination by embedding and bit sampling (operator 1).
 
-An item is a sequence of words (lower case, letters and digits only).
+An item is a sequence of words (lower case, letters and digits only); in
+scripts that set no blanks between words every character is one.
 The CGK embedding walks over the words of a window with random bits: at
 every step it writes the current word and moves on or stays, as a random
 function of step and word says.  Two windows at a small edit distance
@@ -23,23 +24,30 @@ Candidates are verified exactly: the least number of word edits that
 turn the item into some stretch of the document around the window must
 be at most ``edits`` of its words.
 
-The items are broadcast in blocks of at most ``BLOCK_ITEMS``; every block
-is a pass over the documents.
+Items of fewer than five words may have no edit at 20 percent, so they are
+found as they are; an item of a single common word is found wherever that
+word is, which ``least_words`` can rule out.
+
+The items are broadcast in blocks of at most ``BLOCK_ITEMS`` items and
+``BLOCK_BYTES`` of text; every block is a pass over the documents, and the
+tables of a block are built once per worker.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefeed.llm.common import _M1, _WORD_BASE, codes, mix, named, ship, slices
+from linefeed.llm.common import _M1, _WORD_BASE, codes, mix, named, saved, ship, slices
 
 #: Part of an item's words that may be edited, and the recall wanted at that distance.
 EDITS, RECALL = 0.2, 0.99
@@ -54,16 +62,26 @@ LENGTHS = np.array([1, 5, 6, 7, 8, 9, 10, 12, 15, 20, 25, 30, 40, 60])
 TRIALS, WALKS, MOST_REPEATS = 400, 150, 400
 #: Part of the items allowed to be missed that simulated ones may miss: one in so many.
 MARGIN = 8
-#: Items that are searched for in one pass over the documents.
-BLOCK_ITEMS = 20_000
+#: Items, and bytes of their texts, that are searched for in one pass over the documents.
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 
 _FOLD = bytes(c if 0x30 <= c < 0x3A or 0x61 <= c < 0x7B or c >= 0x80 else c + 32 if 0x41 <= c < 0x5B else 0x20
               for c in range(256))
 
 
+#: Fixed value: characters of scripts that are written without blanks (Thai to Myanmar, Khmer, kana, ideographs),
+#: each a word, and marks of these scripts and general punctuation, which part words.
+_UNSPACED = re.compile("([\u0E01-\u0E3A\u0E40-\u0E4E\u0E80-\u0EFF\u1000-\u109F\u1780-\u17D3\u3005-\u3007\u3040-\u30FA"
+                       "\u30FC-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF])")
+_MARKS = re.compile("[\u00A0-\u00A9\u00AB-\u00B1\u00B4\u00B6-\u00B8\u00BB\u00BF\u2000-\u206F\u3000-\u3004\u3008-\u303F\u30FB"
+                    "\uFF00-\uFF0F\uFF1A-\uFF20\uFF3B-\uFF40\uFF5B-\uFF65]")
+
+
 def words_of(text: str) -> list[bytes]:
-    """The words of a text: lower case, parted by anything ASCII that is no letter or digit."""
-    return (text if text.isascii() else text.lower()).encode("utf-8", "surrogatepass").translate(_FOLD).split()
+    """The words of a text: lower case, parted by anything that is no letter or digit; unspaced characters are words."""
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \1 ", _MARKS.sub(" ", text.lower()))
+    return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
 def word_codes(text: str) -> np.ndarray:
@@ -277,12 +295,13 @@ def fewest_edits(item: list, text: list) -> tuple[int, int]:
 
 
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", edits: float = EDITS,
-                recall: float = RECALL, block_items: int = BLOCK_ITEMS, least_words: int = 5) -> Iterator[Items]:
-    """The items in blocks of bounded size; items of fewer than ``least_words`` words are no benchmark text."""
+                recall: float = RECALL, block_items: int = BLOCK_ITEMS, least_words: int = 1,
+                block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
+    """The items in blocks of bounded size; items of fewer than ``least_words`` words are not searched for."""
     rows = items.select(named(id_col).cast("long").alias("i"), named(text_col).alias("t")).where(
         F.col("i").isNotNull() & F.col("t").isNotNull())
-    count = rows.count()
-    blocks = max(1, -(-count // block_items))
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
+    blocks = max(1, -(-count // block_items), -(-size // block_bytes))
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b) if blocks > 1 else rows
         held = [(i, t) for i, t in sorted((r["i"], r["t"]) for r in part.distinct().collect())
@@ -290,24 +309,41 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         yield Items([i for i, _ in held], [t for _, t in held], edits, recall)
 
 
+_BLOCKS: dict[str, Items] = {}
+
+
+def _block(shared) -> Items:
+    """The tables of a broadcast block, built once per worker; a worker holds those of two blocks at most."""
+    name, ids, texts, edits, recall, repeats = shared.value
+    if name not in _BLOCKS:
+        if len(_BLOCKS) > 1:
+            _BLOCKS.clear()
+        _BLOCKS[name] = Items(ids, texts, edits, recall, repeats=repeats)
+    return _BLOCKS[name]
+
+
+def _send(spark: SparkSession, block: Items):
+    return spark.sparkContext.broadcast(
+        (uuid.uuid4().hex, block.ids, block.texts, block.edits, block.recall, block.repeats))
+
+
 def leaks(docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: float = RECALL, id_col: str = "doc_id",
-          text_col: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
+          text_col: str = "text", block_items: int = BLOCK_ITEMS, least_words: int = 1) -> DataFrame:
     """Per row and item found in it: ``doc_id, item_id, edits, first_word, end_word``.
 
     ``edits`` is the fewest word edits, the words are counted from 0, the
-    end not included.  Null or empty texts have no leaks, null items or
-    items without a text are not searched for; of items with one id and
-    several texts each is.  Repeated rows give repeated results.
+    end not included.  Null or empty texts have no leaks, null items, items
+    without a text and those of fewer than ``least_words`` words (none by
+    default) are not searched for; of items with one id and several texts
+    each is.  Repeated rows give repeated results.
     """
     ship(docs.sparkSession)
     out = None
-    for block in item_blocks(items, edits=edits, recall=recall, block_items=block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(
-            (block.ids, block.texts, block.edits, block.recall, block.repeats))
+    for block in item_blocks(items, edits=edits, recall=recall, block_items=block_items, least_words=least_words):
+        shared = _send(docs.sparkSession, block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, texts, edits, recall, repeats = shared.value
-            own = Items(ids, texts, edits, recall, repeats=repeats)
+            own = _block(shared)
             for batch in batches:
                 rows = []
                 for part in slices(batch, "text"):
@@ -329,16 +365,20 @@ _LEAK = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: float = RECALL,
-                  text_col: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """``docs``, all columns, without the rows that hold an item.  Rows with a null text stay."""
+                  text_col: str = "text", block_items: int = BLOCK_ITEMS, least_words: int = 1) -> DataFrame:
+    """``docs``, all columns, without the rows that hold an item.  Rows with a null text stay.
+
+    Between two blocks of items the rows left are saved, so that a task
+    holds the tables of one block.
+    """
     ship(docs.sparkSession)
-    for block in item_blocks(items, edits=edits, recall=recall, block_items=block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(
-            (block.ids, block.texts, block.edits, block.recall, block.repeats))
+    first = True
+    for block in item_blocks(items, edits=edits, recall=recall, block_items=block_items, least_words=least_words):
+        docs = docs if first else saved(docs)
+        first, shared = False, _send(docs.sparkSession, block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, texts, edits, recall, repeats = shared.value
-            own = Items(ids, texts, edits, recall, repeats=repeats)
+            own = _block(shared)
             for batch in batches:
                 for part in slices(batch, text_col):
                     yield part.filter(pa.array([not f for f in own.find(part.column(text_col).to_pylist())], pa.bool_()))
@@ -355,6 +395,6 @@ def brute_force(rows: list[tuple], items: list[tuple], edits: float = EDITS) ->
         for item, t in items:
             own = word_codes(t or "").tolist()
             n = fewest_edits(own, words)[0]
-            if len(own) >= 5 and n <= int(edits * len(own)):
+            if own and n <= int(edits * len(own)):
                 out.add((i, item, n))
     return out
