@@ -2,24 +2,33 @@
 
 The base patterns find e-mail addresses, IP addresses, card and phone
 numbers.  The field then looks at whole stretches of words with a digit
-or an at sign.  It scores every segment of at most ``MOST_WORDS`` words
-as a whole (shape, length, checksums, the word before) for every kind,
-and one dynamic program chooses boundaries and kinds together.  A
-segment it names that touches no base span is added; base spans stay.
+or an at sign, spelled ``(at)`` or ``[at]`` too.  It scores every segment
+of at most ``MOST_WORDS`` words as a whole (shape, length, checksums, the
+word before) for every kind, and one dynamic program chooses boundaries
+and kinds together.  A segment it names that touches no base span is
+added; base spans stay.
+
+Words stream through the program: scores are kept for the last
+``MOST_WORDS`` words, and what was chosen is given out wherever no segment
+of a positive score goes on.  A long text of numbers is thus never held
+as a lattice.
 
 The field's weights are trained here, on at most ``TRAIN_REGIONS``
 stretches of a sample of the documents, by the gradient of the
 conditional likelihood.  Its labels are the base spans that fill their
-segment, and quoted or assigned hexadecimal keys of 32 or more digits.
+segment, quoted or assigned hexadecimal keys of 32 or more digits, and
+what the base cannot name: to every labelled stretch that has one, the
+same address, number or key written another way is added (``respelled``).
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +42,8 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 MOST_WORDS = 6
 #: Documents sampled for training, about, and stretches trained on at most.
 TRAIN_DOCS, TRAIN_REGIONS, EPOCHS = 3000, 500, 6
+#: Words of a stretch, and code points of it, that are trained on at most; finding has no such bound.
+TRAIN_WORDS, TRAIN_CHARS = 64, 2000
 
 # The patterns of the contract.  A match can only begin where a run of its first
 # characters begins, and greedy runs never give back; saying so keeps them linear.
@@ -95,29 +106,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-_HOT = re.compile(r"[0-9@]")
+_HOT = re.compile(r"[0-9@]|[(\[]at[)\]]")
 _OPEN, _SHUT = "\"'[{<=:;,", "\"']}>,;:!?.%#*&$|"
 _SPACES = frozenset(" \t\n\r\x0b\x0c")
 
 
-def regions(text: str) -> list[list[tuple[int, int]]]:
-    """Stretches of neighbouring words with a digit or an at sign: the words' bounds, trimmed of punctuation."""
-    words: list[tuple[int, int]] = []
-    n, done = len(text), 0
+def hot_words(text: str) -> Iterator[tuple[int, int, bool]]:
+    """Bounds of the words with a digit or an at sign, and whether each goes on a stretch: one blank after the last."""
+    n, done = len(text), -2
     m = _HOT.search(text)
     while m:
         a = m.start()
-        while a > done and text[a - 1] not in _SPACES:
+        while a > max(done, 0) and text[a - 1] not in _SPACES:
             a -= 1
         b = m.end()
         while b < n and text[b] not in _SPACES:
             b += 1
-        words.append((a, b))
+        yield a, b, a - done == 1 and text[a - 1] == " "
         done = b
         m = _HOT.search(text, b)
+
+
+def regions(text: str) -> list[list[tuple[int, int]]]:
+    """Stretches of neighbouring words with a digit or an at sign: the words' bounds."""
     out: list[list[tuple[int, int]]] = []
-    for a, b in words:
-        if out and a - out[-1][-1][1] == 1 and text[a - 1] == " ":
+    for a, b, goes_on in hot_words(text):
+        if goes_on:
             out[-1].append((a, b))
         else:
             out.append([(a, b)])
@@ -137,30 +151,47 @@ _HEX = re.compile(r"[0-9a-fA-F]+")
 _KEYWORD = re.compile(r"(?i)(?:token|key|secret|password|passwd|pwd|apikey)\W*$")
 
 
-def features(text: str, start: int, end: int) -> list[str]:
-    """What a whole segment looks like; the same for every kind."""
+_DIGITS, _LETTERS = re.compile("[0-9]+"), re.compile("[A-Za-z]+")
+_PLAIN, _FOUR = re.compile(r"[0-9 -]+"), re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+_SPELLED_AT = re.compile(r"[(\[]at[)\]]")
+
+
+def context(text: str, start: int) -> list[str]:
+    """What stands before a segment; the same for all segments that begin at one word."""
+    while start < len(text) and text[start] in _OPEN:
+        start += 1
+    before = text[max(0, start - 24):start]
+    return (["keyword"] if _KEYWORD.search(before) else []) + (["assigned"] if before[-1:] in ("=", ":", '"', "'") else [])
+
+
+def features(text: str, start: int, end: int, before: list[str] | None = None) -> list[str]:
+    """What a whole segment looks like, and its context; the same for every kind."""
     a, b = trimmed(text, start, end)
     span = text[a:b]
     digits = _NO_DIGIT.sub("", span)
-    shape = re.sub("[A-Za-z]+", "a", re.sub("[0-9]+", "9", span))
-    before = text[max(0, a - 24):a]
+    shape = _LETTERS.sub("a", _DIGITS.sub("9", span)) if len(span) <= 64 else "long"
     out = ["bias", f"digits={min(len(digits), 24)}", f"words={span.count(' ') + 1}",
            "shape=" + (shape if len(shape) <= 14 else "long")]
     if "@" in span:
         out.append(f"at={span.count('@')} dots={min(3, span.rpartition('@')[2].count('.'))}")
-    if span.startswith("+"):
-        out.append("plus")
-    if re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", span):
-        out.append("four" if all(len(p) < 4 and int(p) < 256 for p in span.split(".")) else "four, too large")
-    if digits and re.fullmatch(r"[0-9 -]+", span):
-        out.append(f"plain digits, checked={len(digits) in range(12, 20) and luhn(digits)}")
-    if len(span) >= 16 and _HEX.fullmatch(span):
-        out.append("hex" if len(span) >= 32 else "short hex")
-    if _KEYWORD.search(before):
-        out.append("keyword")
-    if before[-1:] in ("=", ":", '"', "'"):
-        out.append("assigned")
-    return out
+    elif "at" in span and _SPELLED_AT.search(span):
+        out.append(f"spelled at, dots={min(3, _SPELLED_AT.split(span)[-1].count('.'))}")
+    if digits:
+        if span[0] == "+":
+            out.append("plus")
+        if span[0] in "+(0" and 9 <= len(digits) <= 15 and "." not in span:
+            out.append("as a number to dial")
+        if _PLAIN.fullmatch(span):
+            out.append(f"plain digits, checked={len(digits) in range(12, 20) and luhn(digits)}")
+        elif 12 <= len(digits) <= 19 and not _LETTERS.search(span):
+            out.append(f"digits and marks, checked={luhn(digits)}")
+        if _FOUR.fullmatch(span):
+            out.append("four" if all(len(p) < 4 and int(p) < 256 for p in span.split(".")) else "four, too large")
+    if len(span) >= 16:
+        bare = span.replace("-", "").replace(" ", "")
+        if len(bare) >= 16 and _HEX.fullmatch(bare):
+            out.append(("hex" if len(bare) >= 32 else "short hex") + (" in parts" if len(bare) < len(span) else ""))
+    return out + (context(text, start) if before is None else before)
 
 
 class Field:
@@ -168,6 +199,7 @@ class Field:
 
     def __init__(self, weights: dict[tuple[int, str], float] | None = None):
         self.weights = dict(weights or {})
+        self._known: dict[tuple[str, ...], list[float]] = {}
 
     def _lattice(self, text: str, words: list[tuple[int, int]]):
         """Per last word and length: the segment's features and its scores by kind."""
@@ -175,30 +207,62 @@ class Field:
         for j in range(len(words)):
             for size in range(1, min(MOST_WORDS, j + 1) + 1):
                 f = features(text, words[j - size + 1][0], words[j][1])
-                cells[j, size] = f, [sum(self.weights.get((k, x), 0.0) for x in f) for k in range(len(KINDS))]
+                cells[j, size] = f, self._scores(f)
         return cells
 
-    def best(self, text: str, words: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-        """``(first word, last word, kind)`` of the entities of the best segmentation."""
-        if not self.weights:
-            return []
-        cells = self._lattice(text, words)
+    def best(self, text: str, words: Iterable[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+        """``(first word's start, last word's end, kind)`` of the entities of the best segmentation of a stretch.
+
+        Only the last words are held, and the choices since the last word
+        at which no segment of a positive score was open: up to there the
+        best segmentation is settled, as words outside score 0.
+        """
+        held: list[tuple[int, int, list[str]]] = []  # words since the choices before were settled, and their contexts
         best, back = [0.0], [None]
-        for j in range(len(words)):
+        open_to = 0  # a segment of a positive score reaches this far into the held words
+        for word in words:
+            held.append((*word, context(text, word[0])))
+            j = len(held) - 1
             top, how = best[j], None
             for size in range(1, min(MOST_WORDS, j + 1) + 1):
-                for kind, score in enumerate(cells[j, size][1]):
+                first = held[j - size + 1]
+                scores = self._remembered(features(text, first[0], word[1], first[2]))
+                for kind, score in enumerate(scores):
                     if best[j + 1 - size] + score > top:
                         top, how = best[j + 1 - size] + score, (size, kind)
+                if max(scores) > 0:
+                    open_to = j + 1
             best.append(top)
             back.append(how)
+            # no segment that matters can begin before the last words and go on after them
+            if len(held) - open_to >= MOST_WORDS:
+                yield from self._chosen(held, back)
+                keep = held[1 - MOST_WORDS:]
+                held, best, back, open_to = keep, [0.0] * (len(keep) + 1), [None] * (len(keep) + 1), 0
+        yield from self._chosen(held, back)
+
+    def _scores(self, found: list[str]) -> list[float]:
+        return [sum(self.weights.get((k, x), 0.0) for x in found) for k in range(len(KINDS))]
+
+    def _remembered(self, found: list[str]) -> list[float]:
+        """``_scores`` of features seen before, as most are; bounded, and emptied when full."""
+        key = tuple(found)
+        scores = self._known.get(key)
+        if scores is None:
+            if len(self._known) >= 50_000:
+                self._known.clear()
+            scores = self._known[key] = self._scores(found)
+        return scores
+
+    @staticmethod
+    def _chosen(words: list[tuple], back: list) -> list[tuple[int, int, int]]:
         out, j = [], len(words)
         while j:
             if back[j] is None:
                 j -= 1
             else:
                 size, kind = back[j]
-                out.append((j - size, j - 1, kind))
+                out.append((words[j - size][0], words[j - 1][1], kind))
                 j -= size
         return out[::-1]
 
@@ -256,8 +320,42 @@ def gold(text: str, words: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def respelled(text: str, words: list[tuple[int, int]], labels: list[tuple[int, int, int]],
+              rng: random.Random) -> tuple[str, list, list] | None:
+    """The stretch with one labelled span written as the base patterns do not know it, and its label there."""
+    for first, last, kind in labels:
+        a, b = trimmed(text, words[first][0], words[last][1])
+        span = text[a:b]
+        digits = _NO_DIGIT.sub("", span)
+        if kind == 0:
+            new = span.replace("@", rng.choice((" (at) ", "(at)", "[at]")).strip(), 1)
+        elif kind == 2:
+            step = rng.choice((4, 4, 3))
+            new = rng.choice((".", "/", " . ")).strip().join(digits[i:i + step] for i in range(0, len(digits), step))
+        elif kind == 3:
+            new = rng.choice(("0{} {}", "(0{}) {}", "00{} {}", "0{}/{}")).format(digits[:3], digits[3:])
+        elif kind == 4:
+            step = rng.choice((8, 16))
+            new = "-".join(span[i:i + step] for i in range(0, len(span), step))
+        else:
+            continue
+        changed = text[:a] + new + text[b:]
+        for words_ in regions(changed):
+            for i in range(len(words_)):
+                for j in range(i, min(len(words_), i + MOST_WORDS)):
+                    if trimmed(changed, words_[i][0], words_[j][1]) == (a, a + len(new)):
+                        rest = [g for g in gold(changed, words_) if g[1] < i or g[0] > j]
+                        return changed, words_, sorted([*rest, (i, j, kind)])
+    return None
+
+
 def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field trained on a bounded sample; untrained, finding nothing, where no stretch has a label."""
+    """A field trained on a bounded sample; untrained, finding nothing, where no stretch has a label.
+
+    About ``TRAIN_DOCS`` documents are looked at, the first ``TRAIN_WORDS``
+    words of each of their stretches, and of these ``TRAIN_REGIONS`` of at
+    most ``TRAIN_CHARS`` code points.  Null and empty texts have none.
+    """
     ship(docs.sparkSession)
     every = max(1, docs.count() // TRAIN_DOCS)
     sample = texts(docs, id_col, text_col).where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(every)) == 0)
@@ -266,17 +364,27 @@ def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for batch in batches:
             found = []
             for text in batch.column("text").to_pylist():
-                for words in regions(text):
-                    a, b = max(0, words[0][0] - 40), words[:64][-1][1] + 8
-                    found.append(text[a:b])
+                start = end = size = 0
+                for a, b, goes_on in chain(hot_words(text), [(0, 0, False)]):
+                    if goes_on:
+                        size += 1
+                        end = b if size <= TRAIN_WORDS else end
+                        continue
+                    if size:
+                        found.append(text[max(0, start - 40):end + 8])
+                    start, end, size = a, b, 1
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["text"])
 
-    held = (sample.select("text").mapInArrow(cut, "text string").where(F.length("text") < 2000).distinct()
+    held = (sample.select("text").mapInArrow(cut, "text string").where(F.length("text") < TRAIN_CHARS).distinct()
             .orderBy(F.xxhash64("text"), "text").limit(TRAIN_REGIONS).collect())
-    data = []
+    data, rng = [], random.Random(5)
     for row in held:
         for words in regions(row["text"]):
-            data.append((row["text"], words, gold(row["text"], words)))
+            labels = gold(row["text"], words)
+            data.append((row["text"], words, labels))
+            more = respelled(row["text"], words, labels, rng)
+            if more:
+                data.append(more)
     field = Field()
     if any(g for _, _, g in data):
         field.train(data)
@@ -284,18 +392,37 @@ def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return field
 
 
+class _Stretch:
+    """The words of one stretch, as they come; ``next`` is then the first word of the next one."""
+
+    def __init__(self, first: tuple[int, int, bool], rest: Iterator[tuple[int, int, bool]]):
+        self.first, self.rest, self.next = first, rest, None
+
+    def __iter__(self) -> Iterator[tuple[int, int]]:
+        yield self.first[:2]
+        for word in self.rest:
+            if not word[2]:
+                self.next = word
+                return
+            yield word[:2]
+
+
 def spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans, as sorted ``(start, kind, end)``."""
     base = base_spans(text)
     starts = [a for a, _, _ in base]
     reach = list(accumulate((b for _, _, b in base), max))
     added = []
-    for words in regions(text):
-        for first, last, kind in field.best(text, words):
-            a, b = trimmed(text, words[first][0], words[last][1])
+    words = hot_words(text)
+    word = next(words, None) if field.weights else None
+    while word:
+        stretch = _Stretch(word, words)
+        for start, end, kind in field.best(text, stretch):
+            a, b = trimmed(text, start, end)
             before = bisect_left(starts, b)  # base spans that begin before the segment ends
             if a < b and not (before and reach[before - 1] > a):
                 added.append((a, kind, b))
+        word = stretch.next
     return base, sorted(base + added)
 
 
@@ -321,7 +448,12 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """Per row: counts of the base kinds, SHA-256 of the base spans, and all spans as text."""
+    """Per row: counts of the base kinds, SHA-256 of the base spans, and all spans as text.
+
+    Null and empty texts have counts of 0, the digest of nothing and no
+    spans; spans of one start stand in the order of ``KINDS``; repeated rows
+    repeat theirs, and columns but id and text are not read.
+    """
     def joined(column: str):
         return F.array_join(F.transform(column, lambda x: F.concat_ws(
             ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")

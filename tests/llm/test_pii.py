@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 from itertools import product
 
 import pytest
@@ -42,7 +44,7 @@ def test_long_runs_stay_linear():
 def test_dynamic_program_finds_the_best_segmentation():
     rng = random.Random(3)
     for _ in range(40):
-        text = " ".join(rng.choice(["12", "a1", "9.9", "+1", "x@y"]) for _ in range(rng.randint(1, 4)))
+        text = " ".join(rng.choice(["12", "a1", "9.9", "+1", "x@y", "(at)"]) for _ in range(rng.randint(1, 4)))
         words = pii.regions(text)[0]
         names = {x for i in range(len(words)) for j in range(i, len(words))
                  for x in pii.features(text, words[i][0], words[j][1])}
@@ -62,7 +64,85 @@ def test_dynamic_program_finds_the_best_segmentation():
                 for rest in all_of(n, end + 1):
                     yield [(at, end, kind), *rest]
 
-        assert score(field.best(text, words)) == pytest.approx(max(map(score, all_of(len(words)))))
+        at, end = {a: i for i, (a, _) in enumerate(words)}, {b: i for i, (_, b) in enumerate(words)}
+        found = [(at[a], end[b], k) for a, b, k in field.best(text, words)]
+        assert score(found) == pytest.approx(max(map(score, all_of(len(words)))))
+
+
+def whole(field, text, words):
+    """The segmentation by one program over all words, nothing settled on the way."""
+    cells = field._lattice(text, words)
+    best, back = [0.0], [None]
+    for j in range(len(words)):
+        top, how = best[j], None
+        for size in range(1, min(pii.MOST_WORDS, j + 1) + 1):
+            for kind, x in enumerate(cells[j, size][1]):
+                if best[j + 1 - size] + x > top:
+                    top, how = best[j + 1 - size] + x, (size, kind)
+        best.append(top)
+        back.append(how)
+    return field._chosen(words, back)
+
+
+def test_settling_on_the_way_changes_nothing():
+    rng = random.Random(6)
+    for _ in range(60):
+        text = " ".join(rng.choice(["12", "a1", "9.9", "+1", "x@y", "7", "key=1"]) for _ in range(rng.randint(1, 60)))
+        words = pii.regions(text)[0]
+        names = sorted({x for i in range(len(words)) for j in range(i, min(len(words), i + 6))
+                        for x in pii.features(text, words[i][0], words[j][1])})
+        field = pii.Field({(k, x): rng.uniform(-1, .35) for k in range(5) for x in names if rng.random() < .7})
+        assert list(field.best(text, words)) == whole(field, text, words)
+
+
+def test_long_numeric_texts_take_bounded_memory_and_linear_time():
+    rng = random.Random(7)
+    field = pii.Field({(1, "four"): 5.0, (1, "bias"): -3.0, (2, "bias"): -4.0, (2, "plain digits, checked=True"): 5.0})
+    took = []
+    for n in (200_000, 800_000):
+        text = " ".join(str(rng.randrange(10 ** rng.randint(1, 9))) for _ in range(n // 6))
+        began = time.process_time()
+        tracemalloc.start()
+        pii.spans(text, field)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        took.append(time.process_time() - began)
+        assert peak < 20 << 20 and peak < 30 * len(text)
+    assert took[1] < 8 * took[0]
+
+
+def test_near_variants_are_found(spark):
+    """Addresses, numbers and keys the base patterns do not know, planted in texts the field was not trained on."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    field, rng = pii.learned(docs), random.Random(11)
+    plain_words = ["the", "order", "of", "them", "and", "when", "a", "house", "12", "3", "2024"]
+
+    def digits(n):
+        return "".join(str(rng.randrange(10)) for _ in range(n))
+
+    def card():
+        body = digits(15)
+        return next(body + d for d in "0123456789" if pii.luhn(body + d))
+
+    kinds = {
+        "email": lambda: f"{rng.choice(['ann', 'bob.k', 'z_9'])}{rng.choice(['(at)', '[at]'])}site{rng.randrange(9)}.example.com",
+        "card": lambda: rng.choice("./").join(re.findall("....", card())),
+        "phone": lambda: rng.choice(["0{} {}", "(0{}) {}", "00{} {}"]).format(digits(3), digits(8)),
+        "secret": lambda: "key=" + "-".join(re.findall("." * 8, "".join(rng.choice("0123456789abcdef") for _ in range(32))))}
+    found = dict.fromkeys(kinds, 0)
+    for kind, make in kinds.items():
+        planted = 0
+        while planted < 100:
+            span = make()
+            text = " ".join([*rng.choices(plain_words, k=12), span, *rng.choices(plain_words[:8], k=12)])
+            a = text.index(span) + 4 * (kind == "secret")
+            if any(x < a + len(span) and y > a for x, _, y in pii.base_spans(text)):
+                continue  # its digits pass the checksum together with their neighbours'
+            planted += 1
+            found[kind] += any(pii.KINDS[k] == kind and x <= a + 6 and y >= text.index(span) + len(span) - 6
+                               for x, k, y in pii.spans(text, field)[1])
+    print(found)
+    assert min(found.values()) >= 60, found
 
 
 def test_query(spark):
