@@ -12,14 +12,16 @@ length of the text and turned into a probability.
 The lexicon is learned from labelled rows by Spark: how many toxic and
 how many other documents hold each folded word, as a whole or by its
 first letters.  It keeps at most ``MOST_ENTRIES`` entries, whatever the
-size of the corpus, and is therefore safe to broadcast.
+size of the corpus, and is therefore safe to broadcast.  Exception
+phrases are learned as well: two words, one of them with an entry, that
+stand together in several other documents and in no toxic one, more often
+than the word's own share among toxic documents lets chance do.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,8 +46,8 @@ HOMOGLYPHS = {
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 
 #: At most so many lexicon entries, learned from at most so many labelled rows
-#: (those with the smallest hashes of their ids).
-MOST_ENTRIES, LEARN_ROWS = 4000, 40_000
+#: (those with the smallest hashes of their ids), and at most so many learned exceptions.
+MOST_ENTRIES, MOST_EXCEPTIONS, LEARN_ROWS = 4000, 1000, 40_000
 #: A word or beginning becomes an entry if this many toxic training documents hold it, its
 #: weight, a log-likelihood ratio, is at least this, and chance would not find it so
 #: unevenly spread: its evidence in nats exceeds the log of the number of candidates by this.
@@ -58,7 +60,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 def _styled() -> dict[int, str]:
     """Code points from letterlike signs on that stand for ASCII letters or digits: mathematical, circled and others."""
     out = {}
-    for c in range(0x2100, sys.maxunicode + 1):
+    for c in range(0x2100, 0x20000):  # the planes after these have ideographs and private characters alone
         if unicodedata.decomposition(chr(c)):
             plain = "".join(x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x))
             if plain.isascii() and plain.isalnum():
@@ -146,7 +148,26 @@ class Lexicon:
             best = max(best, self._matched(fold(text, accents=False)))
         return *best, n_words
 
+    def phrases(self, text: str) -> set[tuple[str, str]]:
+        """Words with an entry outside exceptions, each alone ("", word) and with its neighbours (phrase, word)."""
+        folded = fold(text)
+        out: set[tuple[str, str]] = set()
+        for at in self._places(folded) if len(self.prepared().automaton) else ():
+            end = folded.index(" ", at + 1)
+            word = folded[at + 1:end]
+            out.add(("", word))
+            if at:
+                out.add((f"{folded[folded.rindex(' ', 0, at) + 1:at]} {word}", word))
+            if end + 1 < len(folded):
+                out.add((f"{word} {folded[end + 1:folded.index(' ', end + 1)]}", word))
+        return out
+
     def _matched(self, folded: str) -> tuple[float, int]:
+        best = self._places(folded)
+        return sum(best.values()), len(best)
+
+    def _places(self, folded: str) -> dict[int, float]:
+        """Where a word begins that has an entry outside exceptions, and its heaviest entry's weight."""
         shields: list[tuple[int, int]] = []
         best: dict[int, float] = {}
         for end, (size, weight) in self.automaton.iter(folded):
@@ -157,7 +178,7 @@ class Lexicon:
                 best[start] = weight
         if shields:
             best = {at: w for at, w in best.items() if not any(s <= at < e for s, e in shields)}
-        return sum(best.values()), len(best)
+        return best
 
     def features(self, text: str) -> tuple[float, float]:
         """What the curve takes: log(1 + sum of weights), and weight per word (in hundreds, at most 1)."""
@@ -242,7 +263,7 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), text_col: str =
         if w >= LEAST_WEIGHT and evidence >= math.log(len(candidates)) + EVIDENCE:
             weights[p] = round(w, 4)
     best = sorted(weights.items(), key=lambda x: (-candidates[x[0]] * x[1], x[0]))[:MOST_ENTRIES]
-    lexicon = Lexicon(dict(best), exceptions)
+    lexicon = Lexicon(dict(best), (*exceptions, *_learned_exceptions(rows, Lexicon(dict(best), exceptions))))
     held = _features(rows, lexicon, ["label"]).select("label", "a", "b").collect()
     x = np.array([[1.0, r["a"], r["b"]] for r in held])
     lexicon.curve = _fit(x, np.array([r["label"] for r in held], dtype=float))
@@ -250,6 +271,38 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), text_col: str =
     return lexicon
 
 
+def _learned_exceptions(rows: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
+    """Phrases around entries that ``LEAST_DOCS`` other documents hold and no toxic one, and that chance does not explain."""
+    if not lexicon.weights:
+        return ()
+    shared = rows.sparkSession.sparkContext.broadcast((lexicon.weights, lexicon.exceptions))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = Lexicon(*shared.value), {}
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                for p in own.phrases(text):
+                    held.setdefault(p, [0, 0])[1 if label else 0] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in held], pa.string()), pa.array([w for _, w in held], pa.string()),
+             pa.array([v[0] for v in held.values()], pa.int64()), pa.array([v[1] for v in held.values()], pa.int64())],
+            names=["phrase", "word", "clean", "toxic"])
+
+    counts = rows.mapInArrow(count, "phrase string, word string, clean long, toxic long").groupBy("phrase", "word").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("clean") >= LEAST_DOCS)
+    # only words that several clean documents hold are left, and of their phrases the most frequent
+    told = counts.where((F.col("phrase") == "") | (F.col("toxic") == 0)).orderBy(
+        F.desc(F.col("phrase") == ""), F.desc("clean"), "phrase").limit(10 * (MOST_ENTRIES + MOST_EXCEPTIONS)).collect()
+    words = {r["word"]: (r["clean"], r["toxic"]) for r in told if not r["phrase"]}
+    found = [r for r in told if r["phrase"]]
+    out = []
+    for r in found:
+        clean, toxic = words[r["word"]]
+        if toxic and -r["clean"] * math.log(clean / (clean + toxic)) >= math.log(len(found)) + EVIDENCE:
+            out.append(r["phrase"])
+    return tuple(out[:MOST_EXCEPTIONS])
+
+
 def _counted(held: dict[str, list[int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()),
                                        pa.array([v[0] for v in held.values()], pa.int64()),

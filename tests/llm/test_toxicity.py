@@ -60,3 +60,25 @@ def test_folding_finds_styled_letters():
     for text in ("\U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d", "ⓘⓓⓘⓞⓣ", "ⒾⒹⒾⓄⓉ", "ℐdiot", "\U0001f138\U0001f133IOT",
                  "\U0001d7cfd\U0001d7cf\U0001d7d8t"):
         assert lexicon.found(text)[1] == 1, text
+
+
+def test_exceptions_are_learned_from_clean_rows(spark):
+    """A word that insults alone and is harmless in one phrase: the phrase becomes an exception, on held-out rows too."""
+    import random
+    rng = random.Random(4)
+    plain = [f"w{i}ord" for i in range(200)]
+
+    def text(*own):
+        words = rng.choices(plain, k=30)
+        at = rng.randrange(len(words))
+        return " ".join([*words[:at], *own, *words[at:]])
+
+    rows = [(text("you", "Clown"), 1) for _ in range(80)] + [(text("clown", "fish"), 0) for _ in range(20)]
+    rows += [(text(), 0) for _ in range(300)] + [(text("clown", rng.choice(plain)), 0) for _ in range(2)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, label int"))
+    assert "clown fish" in lexicon.exceptions and " clown " in lexicon.weights
+    assert not any(e.startswith("you ") for e in lexicon.exceptions)
+    held = [(i, text("cl0wn", "fish")) for i in range(50)] + [(100 + i, text("you", "clown")) for i in range(50)]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(
+        spark.createDataFrame(held, "doc_id long, text string"), lexicon).collect()}
+    assert all((got[i] >= 0.5) == (i >= 100) for i in got)
