@@ -46,6 +46,14 @@ PLANES, TESTED_AT_ONCE = (range(0xD800), range(0xE000, 0x40000), range(0xE0000,
 CACHE_PIECES, CACHE_CHARS = 300_000, 48
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _ranges(code_points: list[int]) -> str:
     """Ascending code points as the inside of a character class."""
     out, at = [], 0
@@ -145,7 +153,8 @@ class Vocabulary:
         self.match.make_automaton()
         self.usual = regex.compile(SPLIT_PATTERN).findall
         odd = "".join(map("".join, differing.values()))
-        self.odd = regex.compile(f"[{odd}]").search if odd else None
+        #: Characters whose class differs; those of Latin-1 are the same in every version.
+        self.odd = frozenset(regex.findall(f"[{odd}]", "".join(map(chr, chain.from_iterable(PLANES))))) if odd else None
         self.exact = regex.compile(exact_pattern(differing), regex.V1).findall if odd else None
         self.special = special
         self.special_split = (regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True)))
@@ -159,7 +168,7 @@ class Vocabulary:
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text, as the vocabulary's own splitter cuts it."""
-        if self.odd is None or text.isascii() or not self.odd(text):
+        if self.odd is None or _latin(text) or self.odd.isdisjoint(text):
             return self.usual(text)
         return self.exact(text)
 
