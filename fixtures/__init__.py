@@ -12,18 +12,13 @@ plain table names (``{part}`` -> ``part``).
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtures.workbooks import workbook_bytes, write_workbooks  # noqa: F401
 from linefeed.schemas import FX4PD_POSITIONS, PK05_HEADERS, PKMC_HEADERS
 from linefeed.sources.loader import spread
 
-# the workbook writer runs in Python workers: ship this module's code by value
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 PKMC_RAW_SQL = """
 SELECT CASE p_partkey % 4 WHEN 0 THEN 'p.' || CAST(p_partkey AS STRING)
                           WHEN 1 THEN ' P ' || CAST(p_partkey AS STRING) || ' '
@@ -96,6 +91,14 @@ SELECT 'P' || CAST(p_partkey AS STRING) AS partnumber,
 FROM {part}
 """
 
+# Landed documents that are no snapshots: an array, a text cut off, a number.
+BAD_DOCS_SQL = """
+SELECT CASE o_orderpriority WHEN '1-URGENT' THEN '[' || CAST(o_orderkey AS STRING) || ']'
+                            WHEN '2-HIGH' THEN '{{"lane_1": {{"fb1": ' || CAST(o_orderkey AS STRING)
+                            ELSE CAST(o_orderkey AS STRING) END AS value
+FROM {orders} WHERE o_orderstatus = 'P'
+"""
+
 # Transfer orders for the open-order selection.
 TRANSFER_ORDERS_SQL = """
 SELECT CAST(o_orderkey AS STRING) AS order_no,
@@ -113,6 +116,7 @@ FIXTURE_SQL = {
     "fx4pd_raw": (FX4PD_RAW_SQL, ("lineitem",)),
     "assembly_flat": (ASSEMBLY_FLAT_SQL, ("orders",)),
     "assembly_moved": (ASSEMBLY_MOVED_SQL, ("orders",)),
+    "bad_docs": (BAD_DOCS_SQL, ("orders",)),
     "stock": (STOCK_SQL, ("part",)),
     "transfer_orders": (TRANSFER_ORDERS_SQL, ("orders",)),
 }
@@ -210,124 +214,6 @@ def assembly_snapshots(spark: SparkSession, sf_dir: str,
 
 # --- landed files ------------------------------------------------------------
 
-ROWS_PER_WORKBOOK = 50_000
-
-
-def _xml_escape(text: str) -> str:
-    return (text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-                .replace('"', "&quot;"))
-
-
-def _column_letters(i: int) -> str:
-    out = ""
-    i += 1
-    while i:
-        i, r = divmod(i - 1, 26)
-        out = chr(65 + r) + out
-    return out
-
-
-def workbook_bytes(header: list[str], rows: list[tuple]) -> bytes:
-    """A one-sheet .xlsx (shared strings for text, numeric cells for numbers)."""
-    import io
-    import zipfile
-
-    strings: dict[str, int] = {}
-
-    def cell(ref: str, v) -> str:
-        if v is None:
-            return ""
-        if isinstance(v, bool) or not isinstance(v, (int, float)):
-            idx = strings.setdefault(str(v), len(strings))
-            return f'<c r="{ref}" t="s"><v>{idx}</v></c>'
-        return f'<c r="{ref}"><v>{v}</v></c>'
-
-    lines = []
-    for r, values in enumerate([tuple(header)] + list(rows), start=1):
-        cells = "".join(cell(f"{_column_letters(c)}{r}", v) for c, v in enumerate(values))
-        lines.append(f'<row r="{r}">{cells}</row>')
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    pkg = "http://schemas.openxmlformats.org/package/2006/relationships"
-    sheet = f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}"><sheetData>' \
-            + "".join(lines) + "</sheetData></worksheet>"
-    sst = f'<?xml version="1.0" encoding="UTF-8"?><sst xmlns="{main}" count="{len(strings)}">' \
-          + "".join(f"<si><t xml:space=\"preserve\">{_xml_escape(s)}</t></si>" for s in strings) \
-          + "</sst>"
-    files = {
-        "[Content_Types].xml":
-            '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/'
-            'package/2006/content-types"><Default Extension="rels" ContentType="application/'
-            'vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" '
-            'ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType='
-            '"application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-            '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/'
-            'vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/><Override '
-            'PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-'
-            'officedocument.spreadsheetml.sharedStrings+xml"/></Types>',
-        "_rels/.rels":
-            f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{pkg}"><Relationship '
-            f'Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml":
-            f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{main}" xmlns:r="{rel}">'
-            '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels":
-            f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{pkg}">'
-            f'<Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/>'
-            f'<Relationship Id="rId2" Type="{rel}/sharedStrings" Target="sharedStrings.xml"/>'
-            '</Relationships>',
-        "xl/worksheets/sheet1.xml": sheet,
-        "xl/sharedStrings.xml": sst,
-    }
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-        for name, text in files.items():
-            zf.writestr(name, text)
-    return buf.getvalue()
-
-
-def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = ROWS_PER_WORKBOOK,
-                    order_by: list[str] | None = None) -> int:
-    """Land ``df`` as .xlsx workbooks (one per partition); returns the rows written.
-
-    With ``order_by`` the lines are laid out in that order across
-    ``part-00000.xlsx``, ``part-00001.xlsx``, ... and within each sheet;
-    the order columns themselves are not written.
-    """
-    import math
-
-    import pandas as pd
-
-    order_by = list(order_by or [])
-    header = [c for c in df.columns if c not in order_by]
-    parts = max(1, math.ceil(df.count() / rows_per_workbook))
-    folder = folder.rstrip("/")
-
-    def write(batches):
-        import pyarrow.fs as pafs
-        from pyspark import TaskContext
-
-        rows: list[tuple] = []
-        for b in batches:
-            rows.extend(tuple(None if pd.isna(v) else (v.item() if hasattr(v, "item") else v)
-                              for v in t) for t in b.itertuples(index=False, name=None))
-        fs, base = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
-        name = f"{base}/part-{TaskContext.get().partitionId():05d}.xlsx"
-        with fs.open_output_stream(name) as out:
-            out.write(workbook_bytes(header, rows))
-        yield pd.DataFrame({"file": [name], "rows": [len(rows)]})
-
-    if order_by:
-        arranged = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
-    else:
-        arranged = df.repartition(parts)
-    plain = arranged.select(*[F.col(f"`{c}`") for c in header]) \
-        .toDF(*[f"c{i}" for i in range(len(header))])  # headers may hold dots
-    written = plain.mapInPandas(write, "file string, rows bigint")
-    return int(written.agg(F.sum("rows")).first()[0] or 0)
-
-
 def land_csv(df: DataFrame, folder: str) -> str:
     """Land ``df`` as a header CSV export; returns the ``.csv`` path to read."""
     path = folder.rstrip("/") + "/export.csv"
@@ -336,6 +222,22 @@ def land_csv(df: DataFrame, folder: str) -> str:
     return path
 
 
+def land_ragged_csv(df: DataFrame, folder: str, fields: F.Column, files: int = 8) -> str:
+    """Land ``df`` as a CSV export whose lines have so many fields: cut short, or with more at the end.
+
+    Values hold no commas.  A file is put together from its lines in one row.
+    """
+    path = folder.rstrip("/") + "/export.csv"
+    values = F.concat(F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]),
+                      F.array_repeat(F.lit("more"), 9))
+    lines = df.select(F.array_join(F.slice(values, F.lit(1), fields), ",").alias("line"))
+    header = ",".join(df.columns)
+    (lines.groupBy(F.pmod(F.xxhash64("line"), F.lit(files)).alias("file")).agg(F.collect_list("line").alias("lines"))
+          .select(F.concat(F.lit(header + "\n"), F.array_join("lines", "\n")).alias("value"))
+          .write.option("maxRecordsPerFile", 1).mode("overwrite").text(path))
+    return path
+
+
 def land_snapshots(docs: DataFrame, folder: str, files: int = 4, polled: str | None = None) -> str:
     """Land snapshot documents as text files, one document per line.
 

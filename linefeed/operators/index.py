@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +65,10 @@ def number_rows(tagged: DataFrame, offsets: Sequence[tuple[int, int]], name: str
     one hash lookup, however many partitions there are.
     """
     part = F.shiftright(F.col("__mid"), _POS_BITS)
-    starts = tagged.sparkSession.createDataFrame(list(offsets), "__part long, __start long")
+    # an Arrow table becomes a local relation: no Python rows, and nothing to run before it is broadcast
+    numbers = list(zip(*offsets)) or [(), ()]
+    starts = tagged.sparkSession.createDataFrame(pa.table(
+        {n: pa.array(v, pa.int64()) for n, v in zip(("__part", "__start"), numbers)}))
     pos = F.col("__mid") - F.shiftleft(part, _POS_BITS)
     # an empty frame has no partitions and no offsets: nothing to join
     return (tagged.join(F.broadcast(starts), part == F.col("__part"), "left")

@@ -107,10 +107,11 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
                    range_prune: Sequence[str] = ()) -> DataFrame:
     """Equi-join ``fact`` with ``dim``; broadcast ``dim`` only if it is proven small.
 
-    ``range_prune`` names join keys whose [min, max] on the small side is
-    applied to ``fact`` as a filter before an inner or semi join (rows
-    outside the range cannot match).  On a stored table laid out by that
-    key, parquet skips every row group outside the range.
+    ``range_prune`` names join keys whose values on the small side (their
+    list, or their range if there are many) are applied to ``fact`` as a
+    filter before an inner or semi join: other rows cannot match.  On a
+    stored table with that key's layout and bloom filters, parquet skips
+    the row groups without them.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         # the build side of a broadcast join must be the non-preserved side
@@ -123,21 +124,29 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     return fact.join(F.broadcast(copy), on, how)
 
 
-def key_range(small: DataFrame, cols: Sequence[str]) -> F.Column:
-    """``lo <= col <= hi`` for each column, from the min/max of a small frame.
+#: So many keys of a small side are looked for one by one in a stored table; more only by their range.
+PROBED_KEYS = 1000
 
-    Only the two bounds per column reach the driver.  An empty frame gives
+
+def key_range(small: DataFrame, cols: Sequence[str], probed: int = PROBED_KEYS) -> F.Column:
+    """What the keys of a small frame say about matching rows: ``col IN (...)``, or ``lo <= col <= hi`` if there are many.
+
+    At most ``probed`` + 1 keys per column reach the driver.  A Parquet
+    reader skips the row groups whose column bloom filter holds none of the
+    listed keys, so keys that are scattered over a table cost the groups
+    they are in; a range skips what lies outside it.  An empty frame gives
     a predicate that is always false.
     """
-    aggs = [f(F.col(c)).alias(f"{n}_{i}") for i, c in enumerate(cols)
-            for n, f in (("lo", F.min), ("hi", F.max))]
-    bounds = small.agg(*aggs).first()
     cond = F.lit(True)
-    for i, c in enumerate(cols):
-        lo, hi = bounds[f"lo_{i}"], bounds[f"hi_{i}"]
-        if lo is None:
+    for c in cols:
+        keys = [r[0] for r in small.select(c).where(F.col(c).isNotNull()).distinct().limit(probed + 1).collect()]
+        if not keys:
             return F.lit(False)
-        cond = cond & F.col(c).between(F.lit(lo), F.lit(hi))
+        if len(keys) <= probed:
+            cond = cond & F.col(c).isin(keys)
+        else:
+            lo, hi = small.agg(F.min(c), F.max(c)).first()
+            cond = cond & F.col(c).between(F.lit(lo), F.lit(hi))
     return cond
 
 

@@ -27,11 +27,16 @@ def select_renamed(df: DataFrame, mapping: Mapping[str, str],
                      + [quoted(k) for k in keep])
 
 
-def select_positions(df: DataFrame, positions: Mapping[int, str]) -> DataFrame:
-    """Keep columns by 0-based position, renamed, in position order."""
-    cols = df.columns
+def select_positions(df: DataFrame, positions: Mapping[int, str], keep: Sequence[str] = ()) -> DataFrame:
+    """Keep columns by 0-based position, renamed, in position order.
+
+    ``keep`` names columns that count for no position and are carried along
+    after them.
+    """
+    cols = [c for c in df.columns if c not in keep]
     if len(cols) <= max(positions):
         raise ValueError(f"need at least {max(positions) + 1} columns, got {len(cols)}")
     if len(set(cols)) != len(cols):
         raise ValueError("duplicate column headers make positional selection ambiguous")
-    return df.select([quoted(cols[i]).alias(name) for i, name in sorted(positions.items())])
+    return df.select([quoted(cols[i]).alias(name) for i, name in sorted(positions.items())]
+                     + [quoted(k) for k in keep])

@@ -1,6 +1,6 @@
 """DuckDB SQL for every registered query: an independent statement of the result.
 
-The fixture views are the same text Spark runs (``linefeed.fixtures``);
+The fixture views are the same text Spark runs (``fixtures``);
 everything after them is written here directly in SQL.  Engine notes:
 DuckDB's ``regexp_extract`` returns '' on no match (hence ``nullif``),
 ``regexp_replace`` replaces only the first match unless given 'g', RE2
@@ -10,7 +10,7 @@ double stays double (cast to BIGINT).
 
 from __future__ import annotations
 
-from linefeed import fixtures as X
+import fixtures as X
 
 PART_CHARS = r"[^\p{L}\p{M}\p{Nd}\p{Pc}-]"
 FLOAT_RE = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
@@ -254,6 +254,7 @@ SELECT order_no, warehouse, storage_type, is_open, strftime(created, '%Y-%m-%d')
 WHERE warehouse = 'ANC' AND storage_type = 'B01' AND is_open
   AND created BETWEEN DATE '1996-06-01' AND DATE '1996-06-30'""",
 })
+ORACLE["consume_rows_colocated"] = ORACLE["consume_rows"]
 ORACLE["fx4pd_csv"] = ORACLE["fx4pd_clean"]
 ORACLE["pkmc_xlsx"] = ORACLE["pkmc_clean"]
 ORACLE["assembly_files"] = ORACLE["assembly_flatten"]
@@ -343,6 +344,18 @@ pk05_raw AS (SELECT DISTINCT supply_area, deposit, CAST(NULL AS VARCHAR) AS resp
                     nullif(discharge_point, 'DP7') AS discharge_point, description FROM pk05_src),
 {CTE['pk05'].split('),', 1)[1].strip()}
 SELECT * FROM pk05"""
+ORACLE["fx4pd_rejects"] = f"""
+WITH fx4pd_raw AS ({X.duck('fx4pd_raw')}),
+cut AS (SELECT *, line = '5' AND flag = 'R' AS short FROM fx4pd_raw)
+SELECT replace(knr_fx4pd, ' ', '') AS knr_fx4pd, replace(partnumber, ' ', '') AS partnumber,
+       CASE WHEN NOT short THEN replace(qty_usage, ' ', '') END AS qty_usage,
+       CASE WHEN NOT short THEN replace(qty_unit, ' ', '') END AS qty_unit,
+       CASE WHEN short THEN 'line cut short' ELSE 'usage is no number' END AS reason
+FROM cut WHERE short OR NOT regexp_matches(replace(qty_usage, ' ', ''), '{FLOAT_RE}')"""
+ORACLE["snapshot_quarantine"] = with_ctes(["assembly"], f"""
+, bad AS ({X.duck('bad_docs')})
+SELECT 'cars' AS what, knr_fx4pd AS value FROM assembly
+UNION ALL SELECT CASE WHEN starts_with(value, '{{') THEN 'not JSON' ELSE 'not an object' END, value FROM bad""")
 # a later poll of some cars, and an older one of all that lands last: the later one holds
 _MOVED = f"""
 moved_flat AS ({X.duck('assembly_moved')}),

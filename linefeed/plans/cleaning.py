@@ -114,9 +114,31 @@ def select_fx4pd(df: DataFrame) -> DataFrame:
     return select_positions(df, FX4PD_POSITIONS)
 
 
+#: Why a demand line is not loaded.
+CUT_SHORT, NO_USAGE, NOT_A_NUMBER = "line cut short", "no usage", "usage is no number"
+
+
+def judged_fx4pd(raw: DataFrame, ragged_col: str | None = None) -> DataFrame:
+    """P2 and F5 with ``reason``: why a line is not loaded (P5, F6), NULL for those that are.
+
+    ``ragged_col`` is the column of ``raw`` that holds ragged lines; a line
+    with too many fields is cut and loaded like any other.
+    """
+    stripped = C.strip_string_columns(select_positions(raw, FX4PD_POSITIONS, [ragged_col] if ragged_col else []))
+    usage = F.col("qty_usage")
+    missing = usage.isNull() | (usage == "")
+    cut = F.col(ragged_col).isNotNull() if ragged_col else F.lit(False)
+    return stripped.withColumn("reason", F.when(missing, F.when(cut, CUT_SHORT).otherwise(NO_USAGE))
+                               .when(C.lenient_double("qty_usage").isNull(), NOT_A_NUMBER))
+
+
 def clean_fx4pd(raw: DataFrame) -> DataFrame:
     """PL3: positional select, strip spaces (F5), keep parsable usage (P5), cast."""
-    stripped = C.strip_string_columns(select_fx4pd(raw))
+    return loaded_fx4pd(C.strip_string_columns(select_fx4pd(raw)))
+
+
+def loaded_fx4pd(stripped: DataFrame) -> DataFrame:
+    """P5, F6 and F7 of stripped lines: those with a parsable usage, cast."""
     usage = C.lenient_double("qty_usage")
     return (stripped.filter(usage.isNotNull())
                     .withColumns({"qty_usage": usage,

@@ -14,6 +14,8 @@ separate compaction folds them into a new version.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +46,11 @@ def count_rows(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_observed(df: DataFrame, path: str, table: str, mode: str = "errorifexists",
-                   fmt: str = "parquet") -> DataFrame:
+                   fmt: str = "parquet", options: Mapping[str, str] | None = None) -> DataFrame:
     """Write ``df`` and return K6's one-row result ``(table_name, rows)``."""
     check_table_name(table)
     obs = Observation(f"write_{table}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).save(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).options(**(options or {})).mode(mode).save(path)
     rows = obs.get.get("rows", 0)
     return df.sparkSession.createDataFrame([(table, int(rows))], "table_name string, rows bigint")
 
@@ -127,12 +129,14 @@ class VersionedTable:
         return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
 
     def commit(self, df: DataFrame, version: int | None = None,
-               source: Observation | None = None, folded: int | None = None) -> DataFrame:
+               source: Observation | None = None, folded: int | None = None,
+               options: Mapping[str, str] | None = None) -> DataFrame:
         """Write ``df`` as the next version (or ``version``), then move the pointer.
 
         Returns K6's ``(table_name, rows)``: the rows of ``source``, if given
         (what the merge was asked to write), else those of the whole table.
-        ``folded`` notes the last appended batch that ``df`` includes.
+        ``folded`` notes the last appended batch that ``df`` includes,
+        ``options`` are the Parquet writer's.
         """
         current = self.version()
         new = version if version is not None else (current + 1 if current is not None else 0)
@@ -140,7 +144,7 @@ class VersionedTable:
             # replaying an already committed batch: nothing to do (idempotent)
             return self.spark.createDataFrame([(self.name, 0)], "table_name string, rows bigint")
         before = self.folded()
-        metrics = write_observed(df, f"{self.root}/v={new}", self.name, mode="overwrite")
+        metrics = write_observed(df, f"{self.root}/v={new}", self.name, mode="overwrite", options=options)
         self.write_note(f"{FOLDED}{new}", str(before if folded is None else folded))
         self.write_note(POINTER, str(new))
         self._expire(new)

@@ -1,6 +1,6 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-Inputs are the stand-in views of ``linefeed.fixtures`` over the whole
+Inputs are the stand-in views of ``fixtures`` over the whole
 test tables; every step named in a query's name runs through the
 library's own plans.
 """
@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linefeed import fixtures as X
+import fixtures as X
 from linefeed.operators.merge import last_per_key, update_by_key, upsert
 from linefeed.operators.ordered import first_match_in_list
-from linefeed.plans import cleaning, consumption, forecast, jobs, restock
+from linefeed.plans import cleaning, colocated, consumption, forecast, jobs, restock
 from linefeed.plans.assembly import assembly_records
 from linefeed.plans.buckets import BucketedTable
 from linefeed.plans.sinks import VersionedTable, count_rows, stored
@@ -26,8 +26,8 @@ from linefeed.session import staging_path
 from linefeed.sources.excel import read_excel
 from linefeed.sources.loader import load_table, select_sql
 from linefeed.sources.snapshots import read_snapshots, stream_snapshots
-from linefeed.streaming.ingest import (car_positions, compact, consume_once_stream, settle, upsert_stream,
-                                       with_changes)
+from linefeed.streaming.ingest import (car_positions, compact, consume_once_stream, quarantined, settle,
+                                       upsert_snapshots, upsert_stream, with_changes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +129,18 @@ def q_consume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consumption.consumption_rows(t.forecast(), t.assembly(), t.pkmc())
 
 
+def q_consume_rows_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL6 rows with the forecast and the line stored in buckets of car and station: J2 joins bucket by bucket."""
+    base = staging_path(spark, "colocated")
+    t = Inputs(spark, sf_dir, store=("pkmc",))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    colocated.store_in_buckets(t.forecast(), f"{base}/forecast", buckets)
+    colocated.store_in_buckets(t.assembly(), f"{base}/assembly_line", buckets)
+    present = colocated.present_demand(*(colocated.read_in_buckets(spark, f"{base}/{name}")
+                                         for name in ("forecast", "assembly_line")))
+    return consumption.new_balances(present, t.pkmc())
+
+
 def q_consume_apply_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL6 + K2, summed usage per part."""
     t = Inputs(spark, sf_dir, store=("pkmc", "fx4pd", "assembly"))
@@ -442,6 +454,34 @@ def q_pkmc_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("pkmc").drop("id", "lb_balance")
 
 
+def q_fx4pd_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + F6 + P5: demand lines that are not loaded, with the reason, from an export with ragged lines.
+
+    Lines at position 5 of returned items are cut after five fields, those at
+    position 4 have two more; of the others some have a usage that is no number.
+    """
+    base = staging_path(spark, "rejects")
+    ragged = (F.when((F.col("Position") == "5") & (F.col("Kennz") == "R"), 5)
+              .when(F.col("Position") == "4", 9).otherwise(7))
+    X.land_ragged_csv(X.fx4pd_file(spark, sf_dir), f"{base}/in", ragged)
+    store = jobs.TableStore(spark, f"{base}/tables")
+    jobs.load_fx4pd_judged(store, "{base}/in/export.csv", {"base": base})
+    return store.read(jobs.REJECTS)
+
+
+def q_snapshot_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + T1: landed documents that are no snapshots, by reason; the others feed the line, and files are archived."""
+    base = staging_path(spark, "quarantine")
+    docs = X.assembly_snapshots(spark, sf_dir).select("value").unionAll(X.fixture(spark, sf_dir, "bad_docs"))
+    X.land_snapshots(docs, f"{base}/landing", 3, "20260101T050000")
+    snapshots = stream_snapshots(spark, f"{base}/landing", max_files_per_trigger=1, archive=f"{base}/archive")
+    table = BucketedTable(spark, f"{base}/assembly_line", "assembly_line", ["knr"], buckets=32)
+    empty = positions_table(spark, car_positions(snapshots))
+    line = upsert_snapshots(snapshots, table, ["knr"], ["snapshot_ts", "snapshot_pos"], empty, f"{base}/checkpoint")
+    cars = line.select(F.lit("cars").alias("what"), F.col("knr_fx4pd").alias("value"))
+    return cars.unionAll(quarantined(table).select("reason", "value"))
+
+
 def q_pk05_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 in the load job with NULLs in the key: areas without a responsible, loaded three times, stay one row each."""
     base = staging_path(spark, "pk05-reload")
@@ -552,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "restock_candidates": q_restock_candidates,
     "kanban_calls": q_kanban_calls,
     "consume_rows": q_consume_rows,
+    "consume_rows_colocated": q_consume_rows_colocated,
     "consume_apply_sum": q_consume_apply_sum,
     "consume_apply_last": q_consume_apply_last,
     "restock_one_call": q_restock_one_call,
@@ -576,6 +617,8 @@ QUERIES: dict[str, Query] = {
     "forecast_incremental": q_forecast_incremental,
     "store_consume": q_store_consume,
     "pkmc_reload": q_pkmc_reload,
+    "fx4pd_rejects": q_fx4pd_rejects,
+    "snapshot_quarantine": q_snapshot_quarantine,
     "pk05_reload": q_pk05_reload,
     "set_balances": q_set_balances,
     "merge_report": q_merge_report,

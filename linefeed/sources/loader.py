@@ -82,13 +82,21 @@ def is_workbook(path: str) -> bool:
     return ext in EXCEL_SUFFIXES
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             ragged_col: str | None = None) -> DataFrame:
     """Header line, comma separated, ragged lines cut or null-filled, bad UTF-8 replaced.
 
     Without a schema every column is read as string (no inference pass).
+    ``ragged_col`` names a column to add that holds the whole text of a line
+    whose number of fields is not the header's, NULL for all others.
     """
     reader = (spark.read.option("header", True).option("sep", ",")
                    .option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
+    if ragged_col:
+        columns = schema or reader.option("inferSchema", False).csv(path).schema
+        # all fields are split, also of columns nobody reads, or no line would be seen to be ragged
+        return (reader.option("columnNameOfCorruptRecord", ragged_col).option("columnPruning", False)
+                      .schema(T.StructType([*columns.fields, T.StructField(ragged_col, T.StringType())])).csv(path))
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", False).csv(path)

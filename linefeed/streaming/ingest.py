@@ -42,7 +42,7 @@ from linefeed.plans.assembly import assembly_records
 from linefeed.plans.buckets import BucketedTable
 from linefeed.plans.consumption import station_usage, subtract
 from linefeed.plans.sinks import Batches, VersionedTable
-from linefeed.sources.snapshots import placed
+from linefeed.sources.snapshots import judged, placed
 
 DEFAULT_TIMEOUT_S = 600
 
@@ -124,6 +124,39 @@ def upsert_stream(positions: DataFrame, table: VersionedTable, keys: Sequence[st
     return with_changes(table, keys, order_by, empty)
 
 
+def upsert_snapshots(snapshots: DataFrame, table: VersionedTable, keys: Sequence[str], order_by: Sequence[str],
+                     empty: DataFrame, checkpoint: str, timeout_s: int = DEFAULT_TIMEOUT_S) -> DataFrame:
+    """T1 + T2 of streamed snapshot documents, with a quarantine; returns the table with all batches applied.
+
+    A batch's documents that are no JSON object are appended to
+    ``quarantine`` beside the table, with the reason and where they came
+    from; :func:`quarantined` reads them.
+    """
+    log, bad = Batches(table, CHANGES), Batches(table, QUARANTINE)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        docs = judged(placed(batch))
+        rejected = docs.where("reason IS NOT NULL")
+        bad.append(rejected.select(*QUARANTINED.fieldNames()), batch_id)
+        rows = car_positions(docs.where("reason IS NULL"))
+        log.append(one_per_key(rows.select(*empty.columns), list(keys), order_by), batch_id)
+
+    _bind(table, checkpoint)
+    _run(snapshots, append, checkpoint, timeout_s)
+    return with_changes(table, keys, order_by, empty)
+
+
+def quarantined(table: VersionedTable) -> DataFrame:
+    """Documents that were no snapshots: ``value, reason, source_file, snapshot_ts, batch``."""
+    return Batches(table, QUARANTINE).read(QUARANTINED)
+
+
+QUARANTINE = "quarantine"
+QUARANTINED = T.StructType([T.StructField("value", T.StringType()), T.StructField("reason", T.StringType()),
+                            T.StructField("source_file", T.StringType()),
+                            T.StructField("snapshot_ts", T.TimestampType())])
+
+
 def with_changes(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str],
                  empty: DataFrame) -> DataFrame:
     """The table's current version with the appended batches applied."""

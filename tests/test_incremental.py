@@ -8,7 +8,7 @@ import tempfile
 
 import pytest
 
-from linefeed import fixtures as X
+import fixtures as X
 from linefeed.plans import forecast, incremental, jobs
 
 DEMAND = "knr_fx4pd string, partnumber string, qty_usage double, qty_unit int"

@@ -9,7 +9,7 @@ import tempfile
 import pytest
 from pyspark.sql import types as T
 
-from linefeed import fixtures as X
+import fixtures as X
 from linefeed.plans.sinks import VersionedTable, count_rows, write_observed
 from linefeed.sources.excel import read_excel, sheet_rows
 from linefeed.sources.loader import load_table, resolve_path, suffix_of
@@ -193,3 +193,23 @@ def test_excel_type_inference(spark):
         ["string", "bigint", "double", "string"]
     assert sorted(tuple(r) for r in inferred.collect())[0] == ("p1", 3, 1.5, "x")
     assert all(f.dataType.simpleString() == "string" for f in read_excel(spark, d).schema.fields)
+
+
+def test_ragged_and_unparsable_demand_lines_are_judged(spark, tmp_path):
+    from linefeed.plans import cleaning, jobs
+    header = "Fahrzeug,Sachnummer,Lieferant,Position,Kennz,Menge,Einheit"
+    lines = ["381 1,P1,s,1,N, 1.5,2", "3812,P1,s,1,N", "3813,P2,s,1,N,2.5,3,more,more", "3814,P2,s,1,N,abc,3",
+             "3815,P2,s,1,N,,3", "3816,P2", "3817,P3,s,1,N,nan,x", '3818,"P4, x",s,1,N,4,1']
+    (tmp_path / "export.csv").write_text("\n".join([header, *lines]) + "\n")
+    store = jobs.TableStore(spark, str(tmp_path / "tables"))
+    result = {r["table_name"]: r["rows"] for r in jobs.load_fx4pd_judged(
+        store, str(tmp_path / "export.csv"), {}).collect()}
+    assert result == {"fx4pd": 4, "fx4pd_rejects": 4}
+    reasons = {r["knr_fx4pd"]: r["reason"] for r in store.read("fx4pd_rejects").collect()}
+    assert reasons == {"3812": cleaning.CUT_SHORT, "3816": cleaning.CUT_SHORT, "3814": cleaning.NOT_A_NUMBER,
+                       "3815": cleaning.NO_USAGE}
+    done = store.done["fx4pd"]
+    assert (done[cleaning.CUT_SHORT], done[cleaning.NO_USAGE], done[cleaning.NOT_A_NUMBER]) == (2, 1, 1)
+    plain = jobs.TableStore(spark, str(tmp_path / "plain"))
+    jobs.load_fx4pd(plain, str(tmp_path / "export.csv"), {})
+    assert sorted(map(str, plain.read("fx4pd").collect())) == sorted(map(str, store.read("fx4pd").collect()))
