@@ -110,9 +110,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
+def _staging_folder(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     if not base:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; staging needs a shared folder")
-    return f"{base}/linefeed-staging/{name}-{uuid.uuid4().hex[:12]}"
+    sc = _context(spark)
+    return f"{base}/linefeed-staging/{sc.applicationId if sc is not None else 'connect'}"
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder of this application under the shared checkpoint location."""
+    return f"{_staging_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_staging(spark: SparkSession) -> None:
+    """Delete what this application has staged; call it when none of its DataFrames is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_staging_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 import fixtures as X
 from linefeed.plans.sinks import VersionedTable, count_rows, write_observed
-from linefeed.sources.excel import read_excel, sheet_rows
+from linefeed.sources.excel import iter_sheet_rows, read_excel
 from linefeed.sources.loader import load_table, resolve_path, suffix_of
 from linefeed.sources.snapshots import read_snapshots
 
@@ -48,7 +48,7 @@ def test_excel_reader_shared_and_inline_strings(spark):
                             [(" p.1 ", 12, "MAX: 12"), ("P2", None, None)])
     with open(os.path.join(d, "pkmc.xlsx"), "wb") as f:
         f.write(data)
-    assert sheet_rows(data)[0] == ["Material", "Quantidade Kanban", "Posição de armazenamento"]
+    assert next(iter_sheet_rows(data)) == ["Material", "Quantidade Kanban", "Posição de armazenamento"]
     schema = T.StructType([T.StructField("Material", T.StringType()),
                            T.StructField("Quantidade Kanban", T.LongType()),
                            T.StructField("Posição de armazenamento", T.StringType())])
