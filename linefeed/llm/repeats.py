@@ -5,17 +5,21 @@ also starts in a document with a smaller id.  The windows of all texts
 are far too many to sort in one place, so they are split by their
 minimiser, the smallest hash among the 24-byte strings inside:
 
-1. ``fingerprints`` counts in how many documents each minimiser occurs.
-   A window whose minimiser is in one document only repeats nowhere.
+1. ``fingerprints`` counts in how many documents, and how often, each
+   minimiser occurs.  A window whose minimiser is in one document only
+   repeats nowhere.
 2. Runs of windows with one shared minimiser are cut out as short
    strings.  A chunk sends each distinct one once, with the smallest id
    that has it, to the bucket of its minimiser.  Every occurrence of a
-   window meets there.  Minimisers of very many documents send window by
-   window, each to its own bucket, so none fills one task.
-3. The bucket builds the suffix array of its strings by two-stage sorting
-   (``suffixes``).  Neighbours with a common prefix of ``size`` bytes are
-   the same window; the smallest id of each group goes back to the chunks.
+   window meets there.  Minimisers of very many documents or occurrences
+   send window by window, each to its own bucket, so none fills one task.
+3. Where a minimiser's strings are all equal, their smallest id holds for
+   each of their windows.  Of the others the bucket builds the suffix array
+   by two-stage sorting (``suffixes``).  Neighbours with a common prefix of
+   ``size`` bytes are the same window; the smallest id of each group goes
+   back to the chunks.
 4. The chunks cut the windows out whose smallest id is below their own.
+   Where the strings lie, they noted for themselves when they sent them.
 
 Copies of a whole text are settled before by a digest of the text, as
 one row per distinct text, and take no part in this.
@@ -32,25 +36,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefeed.llm import fingerprints as fp
-from linefeed.llm.common import _BYTE_CODE, _M1, _M2, firsts, mix, release, saved, texts
+from linefeed.llm.common import _BYTE_CODE, _M1, _M2, firsts, mix, parts_for, release, saved, texts
 from linefeed.llm.suffixes import Suffixes
 
 #: Length of the strings whose hashes choose the minimiser.
 GRAM = 24
-#: A minimiser in more documents than this sends its windows one by one.
-HOT_DOCS = 200
+#: A minimiser in more documents than this sends its windows one by one; so many of its runs in a chunk count as
+#: a document more.
+HOT_DOCS, RUNS_A_DOC = 200, 64
 #: Bytes of cut-out strings per bucket, aimed at.
 BUCKET_BYTES = 4 << 20
-#: Windows whose minimisers are found at once.
-SLAB = 1 << 19
+#: Windows whose minimisers are found at once, and minimisers that are counted together.
+SLAB, GRAMS = 1 << 18, 250_000
 
 _NONE = np.iinfo(np.int64).max
 
+#: Powers of an odd number and of its inverse modulo 2^64, for hashes of stretches by differences of running sums.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS, _INVERSES = (np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(SLAB + 2048, b, np.uint64))))
+                      for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the strings at these places; starts ascend, no string is longer than 1000 bytes."""
+    out = np.empty(len(start), dtype=np.uint64)
+    at = 0
+    while at < len(start):
+        base = int(start[at])
+        to = int(np.searchsorted(start, base + SLAB))
+        part = data[base:int(end[at:to].max())]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODE[part] * _POWERS[:len(part)], out=sums[1:])
+        a, b = start[at:to] - base, end[at:to] - base
+        out[at:to] = mix((sums[b] - sums[a]) * _INVERSES[a] ^ (b - a).astype(np.uint64) * _M1)
+        at = to
+    return out
+
 
 class _Chunk:
     """The texts of a chunk in one byte array, with their windows and minimisers."""
 
-    def __init__(self, table: pa.Table, copies: set, size: int):
+    def __init__(self, table: pa.Table, copies: set, size: int, cut_up: bool = True):
         ids, texts_ = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
         rows = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts_[i]))
         self.ids = [ids[i] for i in rows]
@@ -63,7 +89,8 @@ class _Chunk:
         names = table.column("h").to_pylist()
         self.copy = [(ids[i], names[i]) in copies for i in rows]
         self.taken = np.array([i is not None and not c for i, c in zip(self.ids, self.copy, strict=True)], dtype=bool)
-        self._windows()
+        if cut_up:
+            self._windows()
 
     def _windows(self) -> None:
         """Runs of windows with one minimiser, found slab by slab so that long texts need no more memory."""
@@ -115,8 +142,20 @@ class _Chunk:
         return begin + first, end + first + size - 1, low[begin], np.searchsorted(self.ends, begin + first, side="right")
 
     def tally(self) -> tuple[np.ndarray, np.ndarray]:
-        return fp.tally(self.run_key, np.array([_NONE if i is None else i for i in self.ids],
-                                               dtype=np.int64)[self.run_doc] if len(self.run_doc) else self.run_doc)
+        """Distinct minimisers, and the weight of each: its documents, and one for so many runs."""
+        cut = self.run_key >> np.uint64(64 - fp.KEPT_BITS)
+        order = np.lexsort((self.run_doc, cut))
+        cut, doc = cut[order], self._ids()[self.run_doc[order]]
+        head = np.ones(len(cut), dtype=bool)
+        head[1:] = cut[1:] != cut[:-1]
+        other = head.copy()
+        other[1:] |= doc[1:] != doc[:-1]
+        start = np.flatnonzero(head)
+        runs = np.diff(np.append(start, len(cut)))
+        return cut[start], np.add.reduceat(other.astype(np.int64), start) + runs // RUNS_A_DOC if len(start) else runs
+
+    def _ids(self) -> np.ndarray:
+        return np.array([_NONE if i is None else i for i in self.ids], dtype=np.int64)
 
     def pieces(self, cut: np.ndarray, count: np.ndarray, buckets: int) -> None:
         """The distinct strings to send: their bounds, buckets and smallest ids; ``of`` leads runs to them."""
@@ -125,54 +164,86 @@ class _Chunk:
         shared = docs >= 2
         start, end = self.run_start[shared], self.run_end[shared]
         key, doc, hot = self.run_key[shared], self.run_doc[shared], docs[shared] > HOT_DOCS
+        raw = self.data.tobytes()  # these names are compared within the chunk alone
+        name = np.fromiter((xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)),
+                           np.uint64, len(start))
         if hot.any():  # one string per window there
             many = end[hot] - start[hot] - self.size + 1
             first = np.repeat(start[hot], many)
             first += np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)
+            single = names(self.data, first, first + self.size)
             start = np.concatenate((start[~hot], first))
             end = np.concatenate((end[~hot], first + self.size))
             doc = np.concatenate((doc[~hot], np.repeat(doc[hot], many)))
-            key = np.concatenate((key[~hot], np.zeros(len(first), np.uint64)))
-            single = np.concatenate((np.zeros(int((~hot).sum()), bool), np.ones(len(first), bool)))
-        else:
-            single = np.zeros(len(start), dtype=bool)
-        name = self._names(start, end)
-        key = np.where(single, name, key)
+            key, name = np.concatenate((key[~hot], single)), np.concatenate((name[~hot], single))
         turn = np.lexsort((doc, name))
         start, end, doc, name, key = start[turn], end[turn], doc[turn], name[turn], key[turn]
         new = np.ones(len(name), dtype=bool)
         new[1:] = name[1:] != name[:-1]
         head = np.flatnonzero(new)
-        self.at, self.at_doc, self.at_end = start, doc, end
-        bucket = (mix(key[head] + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+        self.at = start
+        key = mix(key[head] + np.uint64(1))
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.of = rank[np.cumsum(new) - 1] if len(name) else np.empty(0, np.int64)
         head = head[order]
         self.bucket, self.piece_start, self.piece_end = bucket[order], start[head], end[head]
-        ids = np.array([_NONE if i is None else i for i in self.ids], dtype=np.int64)
-        self.piece_doc = ids[doc[head]]
-
-    def _names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of strings of the array."""
-        raw = self.data.tobytes()
-        return np.fromiter((xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)),
-                           np.uint64, len(start))
+        # what is left of the key tells minimisers of one bucket apart
+        self.piece_key = ((key[order] // np.uint64(buckets)) & np.uint64((1 << 24) - 1)).astype(np.uint32)
+        self.piece_doc = self._ids()[doc[head]]
 
     def sent(self, chunk: int) -> pa.Table:
+        """A row per bucket, and one that comes back to the chunk as it is: where its strings lie."""
         edge = np.flatnonzero(np.concatenate(([True], self.bucket[1:] != self.bucket[:-1], [True]))) \
             if len(self.bucket) else np.zeros(1, np.int64)
         size = self.piece_end - self.piece_start
-        rows = {"bucket": [], "chunk": [], "bytes": [], "sizes": [], "ids": []}
+        rows = {name: [] for name in _STRINGS.names}
         for a, b in zip(edge[:-1], edge[1:], strict=True):
             rows["bucket"].append(int(self.bucket[a]))
             rows["chunk"].append(chunk)
             rows["bytes"].append(_gather(self.data, self.piece_start[a:b], size[a:b]).tobytes())
-            rows["sizes"].append(size[a:b].astype(np.uint16).tobytes())
-            rows["ids"].append(self.piece_doc[a:b].tobytes())
-        return pa.table(rows, schema=pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("bytes", pa.binary()),
-                                                ("sizes", pa.binary()), ("ids", pa.binary())]))
+            rows["sizes"].append(planes(size[a:b], np.uint16))
+            rows["ids"].append(planes(self.piece_doc[a:b], np.int64))
+            rows["keys"].append(planes(self.piece_key[a:b], np.uint32))
+        # occurrences in the order of their strings, so that a count per string tells whose they are
+        order = np.argsort(self.of, kind="stable")
+        noted = (planes(np.array([len(size), len(order)]), np.int64), planes(size, np.uint16),
+                 planes(np.bincount(self.of, minlength=len(size)), np.uint32), planes(self.at[order], np.uint32))
+        for name, value in zip(_STRINGS.names, (-1 - chunk, chunk, b"".join(noted), b"", b"", b""), strict=True):
+            rows[name].append(value)
+        return pa.table(rows, schema=_STRINGS)
+
+
+_STRINGS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("bytes", pa.binary()), ("sizes", pa.binary()),
+                      ("ids", pa.binary()), ("keys", pa.binary())])
+
+
+def planes(values: np.ndarray, kind: type) -> bytes:
+    """Numbers as bytes, all lowest bytes first, so that shuffles compress the higher ones away."""
+    raw = np.ascontiguousarray(values, dtype=kind).view(np.uint8)
+    return np.ascontiguousarray(raw.reshape(-1, np.dtype(kind).itemsize).T).tobytes()
+
+
+def joined_planes(data: bytes, kind: type) -> np.ndarray:
+    """What ``planes`` took apart."""
+    raw = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+
+def _noted(data: bytes) -> tuple[np.ndarray, ...]:
+    """What a chunk noted for itself: its strings' lengths, how often it has each, and the places of all, string by string."""
+    strings, many = joined_planes(data[:16], np.int64).tolist()
+    a, b = 16 + 2 * strings, 16 + 6 * strings
+    return tuple(joined_planes(x, kind).astype(np.int64) for x, kind in (
+        (data[16:a], np.uint16), (data[a:b], np.uint32), (data[b:b + 4 * many], np.uint32)))
+
+
+def _tidy() -> None:
+    """Hand back what Arrow and the arrays of a pass have freed: a worker lives for many passes."""
+    pa.default_memory_pool().release_unused()
+    release()
 
 
 def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -184,47 +255,59 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 
 def _smallest(table: pa.Table, size: int) -> pa.Table:
     """The bucket's work: for every window of every string, the smallest id that has it."""
-    data = [np.frombuffer(x, np.uint8) for x in table.column("bytes").to_pylist()]
-    sizes = [np.frombuffer(x, np.uint16).astype(np.int64) for x in table.column("sizes").to_pylist()]
-    ids = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("ids").to_pylist()])
-    length, joined = np.concatenate(sizes), np.concatenate(data)
-    # the same string may come from many chunks: it is sorted once, with the smallest id
+    sizes, ids, key = ([joined_planes(x, kind) for x in table.column(c).to_pylist()]
+                       for c, kind in (("sizes", np.uint16), ("ids", np.int64), ("keys", np.uint32)))
+    length, ids, key = np.concatenate(sizes).astype(np.int64), np.concatenate(ids), np.concatenate(key)
+    joined = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
     start = np.cumsum(length) - length
-    strings = [joined[a:a + n].tobytes() for a, n in zip(start.tolist(), length.tolist(), strict=True)]
-    known: dict[bytes, int] = {}
-    place = np.fromiter((known.setdefault(s, len(known)) for s in strings), np.int64, len(strings))
-    least = np.full(len(known), _NONE)
-    np.minimum.at(least, place, ids)
-    distinct = np.frombuffer(b"\x00".join(known) + b"\x00", np.uint8)
-    length_of = np.array([len(s) for s in known], np.int64)
-    text = np.where(distinct == 0, 0, distinct + 1).astype(np.uint8)
-    owner = np.repeat(np.arange(len(known)), length_of + 1)
-    if (distinct == 0).sum() != len(known):  # bytes of value 0 inside: mark the ends by place instead
-        ends = np.cumsum(length_of + 1) - 1
-        text = (distinct + 1).astype(np.uint8)
-        text[ends] = 0
-    array = Suffixes(text)
-    order = array.order[array.left[array.order] >= size]
-    common = array.common_prefixes(order, size)
-    group = np.cumsum(common < size) - 1
-    head = np.flatnonzero(common < size)
-    lowest = np.minimum.reduceat(least[owner[order]], head) if len(head) else np.empty(0, np.int64)
-    answer = np.full(len(text), _NONE)
-    answer[order] = lowest[group]
-    window_of = length_of - size + 1
-    first = np.cumsum(length_of + 1) - length_of - 1
-    per = _gather(answer, first, window_of)
+    # the same string may come from many chunks: it counts once, with the smallest id
+    name = names(joined, start, start + length)
+    order = np.lexsort((name, key))
+    name, sorted_key = name[order], key[order]
+    new_key = np.ones(len(order), dtype=bool)
+    new_key[1:] = sorted_key[1:] != sorted_key[:-1]
+    new = new_key.copy()
+    new[1:] |= name[1:] != name[:-1]
+    head = np.flatnonzero(new)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    least = np.minimum.reduceat(ids[order], head) if len(head) else np.empty(0, np.int64)
+    start, window_of = start[order[head]], length[order[head]] - size + 1
     begin = np.cumsum(window_of) - window_of
+    per = np.repeat(least, window_of)
+    # a minimiser with one string is settled; the strings of the others are sorted
+    of_key = np.cumsum(new_key)[head] - 1
+    several = np.flatnonzero(np.bincount(of_key)[of_key] > 1) if len(head) else np.empty(0, np.int64)
+    if len(several):
+        owner, at, found = _sorted_windows(joined, start[several], window_of[several] + size - 1, least[several], size)
+        per[begin[several][owner] + at] = found
     # back to the chunks, string by string as they sent them
     out, ends = [], np.cumsum([0, *map(len, sizes)])
     for a, b in zip(ends[:-1], ends[1:], strict=True):
         p = place[a:b]
         out.append(_gather(per, begin[p], window_of[p]).tobytes())
-    release()
+    _tidy()
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
                      "items": pa.array(out, pa.binary())})
 
 
+def _sorted_windows(joined: np.ndarray, start: np.ndarray, length: np.ndarray, least: np.ndarray,
+                    size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of some strings: the string, the place in it, and the smallest id of a string that has the window."""
+    ends = np.cumsum(length + 1)
+    first = ends - length - 1
+    text = np.zeros(int(ends[-1]), dtype=np.uint8)  # every string ends with a 0; UTF-8 has no byte 255
+    text[np.arange(int(length.sum())) + np.repeat(first - (np.cumsum(length) - length), length)] = _gather(
+        joined, start, length) + 1
+    owner = np.repeat(np.arange(len(length)), length + 1)
+    array = Suffixes(text, size)
+    order = array.order[array.left[array.order] >= size]
+    common = array.common_prefixes(order, size)
+    head = np.flatnonzero(common < size)
+    lowest = np.minimum.reduceat(least[owner[order]], head)
+    return owner[order], order - first[owner[order]], lowest[np.cumsum(common < size) - 1]
+
+
 def _split(side: pa.Table) -> tuple[set, pa.Table, pa.Table]:
     """Copies, answers about minimisers and answers about windows, out of a chunk's other side."""
     kind = np.array(side.column("kind").to_pylist(), dtype=np.int64)
@@ -255,37 +338,46 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
     copies = (firsts(marks.where(F.col("n") >= size)).where("doc_id > first")
               .select(chunk.alias("chunk"), F.lit(-1).alias("bucket"), F.lit(0).alias("kind"), "doc_id", "h",
                       F.lit(None).cast("binary").alias("items")).distinct())
-    by_gram = fp.buckets_for(total * 2 / (size - GRAM + 2))
-    by_bytes = max(1, -(-total * 5 // BUCKET_BYTES))
+    by_gram = fp.buckets_for(total * 2 / (size - GRAM + 2), GRAMS)
+    by_bytes = max(-(-total * 5 // BUCKET_BYTES), 4 * parts_for(docs.sparkSession) if total > BUCKET_BYTES else 1)
 
     def first_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        cut, n_docs = _Chunk(left, _split(right)[0], size).tally()
-        release()
-        return fp.sent(key[0].as_py(), cut, n_docs, by_gram)
+        out = fp.sent(key[0].as_py(), *_Chunk(left, _split(right)[0], size).tally(), by_gram)
+        _tidy()
+        return out
 
-    def cut_out(left: pa.Table, right: pa.Table) -> tuple[_Chunk, pa.Table]:
-        gone, counts, windows = _split(right)
+    def second_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        gone, counts, _ = _split(right)
         chunk = _Chunk(left, gone, size)
         cut, _ = chunk.tally()
         chunk.pieces(cut, fp.counts(cut, counts, by_gram), by_bytes)
-        return chunk, windows
+        out = chunk.sent(key[0].as_py())
+        _tidy()
+        return out
 
-    def second_pass(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return cut_out(left, right)[0].sent(key[0].as_py())
+    def bucket_pass(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:
+            return _smallest(table, size)
+        # what a chunk noted for itself
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
+                         "items": table.column("bytes")})
 
     def last_pass(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return _spans_table([], [], [], [])
-        chunk, windows = cut_out(left, right)
+        gone, _, windows = _split(right)
+        chunk = _Chunk(left, gone, size, cut_up=False)
         answer = dict(zip(windows.column("bucket").to_pylist(), windows.column("items").to_pylist(), strict=True))
+        piece_length, often, at = _noted(answer.pop(min(answer)))
         least = np.frombuffer(b"".join(answer[b] for b in sorted(answer)), np.int64)
-        per_piece = chunk.piece_end - chunk.piece_start - size + 1
+        per_piece = piece_length - size + 1
         begin = np.cumsum(per_piece) - per_piece
-        many = chunk.at_end - chunk.at - size + 1
-        window = np.repeat(chunk.at, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-        smallest = _gather(least, begin[chunk.of], many)
-        ids = np.array([_NONE if i is None else i for i in chunk.ids], dtype=np.int64)
-        window = window[smallest < np.repeat(ids[chunk.at_doc], many)]
+        of = np.repeat(np.arange(len(often)), often)
+        many = per_piece[of]
+        window = np.repeat(at, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        smallest = _gather(least, begin[of], many)
+        doc = np.searchsorted(chunk.ends, at, side="right")
+        window = window[smallest < np.repeat(chunk._ids()[doc], many)]
         cover = np.zeros(len(chunk.data) + 1, dtype=np.int32)
         np.add.at(cover, window, 1)
         np.subtract.at(cover, window + size, 1)
@@ -305,15 +397,15 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
             starts.append(edge[0::2].tolist())
             ends.append(edge[1::2].tolist())
         kept = [_without(r, a, b) for r, a, b in zip(chunk.raw, starts, ends, strict=True)]
-        release()
+        _tidy()
         return _spans_table(chunk.ids, kept, starts, ends)
 
     side = copies
     counted = fp.answers(dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(first_pass, fp.SENT))
     side = side.unionAll(_as_side(counted, 1))
     sent = dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
-        second_pass, "bucket int, chunk int, bytes binary, sizes binary, ids binary")
-    windows = sent.groupBy("bucket").applyInArrow(lambda t: _smallest(t, size), fp.ANSWER)
+        second_pass, "bucket int, chunk int, bytes binary, sizes binary, ids binary, keys binary")
+    windows = sent.groupBy("bucket").applyInArrow(bucket_pass, fp.ANSWER)
     side = side.unionAll(_as_side(windows, 2))
     return dealt.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
         last_pass, "doc_id long, kept binary, starts array<long>, ends array<long>")

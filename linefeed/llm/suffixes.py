@@ -18,9 +18,13 @@ class Suffixes:
     ``data`` holds the strings' bytes, none of them 0, each string ended
     by a 0.  Equal suffixes of different strings stand in the order of
     the strings.
+
+    With ``least``, only suffixes of at least so many bytes are wanted.  Of
+    the shorter ones just those are placed from which a wanted one is
+    induced: up to the first that is smaller than its successor.
     """
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, least: int = 0):
         self.data = data
         n = len(data)
         ends = np.flatnonzero(data == 0)
@@ -33,7 +37,9 @@ class Suffixes:
             byte = padded[j:n + j]
             alive &= byte != 0
             self.key = (self.key << np.uint64(8)) | np.where(alive, byte, 0).astype(np.uint64)
-        self.order = self._induced(self._direct()) if n else np.empty(0, np.int64)
+        small = self.smaller_than_next() if n else np.empty(0, bool)
+        self.needed = self._needed(small, least) if n else small
+        self.order = self._induced(self._direct(small)) if n else np.empty(0, np.int64)
 
     def keys(self, at: np.ndarray, depth: int) -> np.ndarray:
         """The eight bytes that begin ``8 * depth`` bytes into each suffix; 0 past the string's end."""
@@ -52,9 +58,20 @@ class Suffixes:
         rises[data[run_end] == 0] = True
         return np.repeat(rises, size)
 
-    def _direct(self) -> tuple[np.ndarray, np.ndarray]:
-        small = self.smaller_than_next()
-        at = np.flatnonzero(small & (self.data != 0))
+    def _needed(self, small: np.ndarray, least: int) -> np.ndarray:
+        """Positions to place: those wanted, and after the last one of a string those up to a small one."""
+        wanted = self.left >= least
+        last = np.flatnonzero(wanted & ~np.append(wanted[1:], False))
+        until = np.flatnonzero(small)
+        until = until[np.searchsorted(until, last)]  # ends of strings count as small
+        cover = np.zeros(len(small) + 1, dtype=np.int32)
+        np.add.at(cover, last, 1)
+        np.subtract.at(cover, until + 1, 1)
+        return wanted | (np.cumsum(cover)[:-1] > 0)
+
+    def _direct(self, small: np.ndarray) -> np.ndarray:
+        """The small suffixes in order."""
+        at = np.flatnonzero(small & self.needed & (self.data != 0))
         key = self.keys(at, 0)
         turn = np.argsort(key, kind="stable")
         at, key = at[turn], key[turn]
@@ -69,7 +86,7 @@ class Suffixes:
             open_group[group[tied]] = True
             slots = np.flatnonzero(open_group[group]) if len(group) else np.empty(0, np.int64)
             if not len(slots):
-                return small, at
+                return at
             key = self.keys(at[slots], depth)
             turn = np.lexsort((key, group[slots]))
             at[slots] = at[slots][turn]
@@ -78,23 +95,22 @@ class Suffixes:
             new[slots[1:]] |= (key[1:] != key[:-1]) & (grp[1:] == grp[:-1])
             depth += 1
 
-    def _induced(self, direct: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        _, sorted_small = direct
-        data, n = self.data, len(self.data)
+    def _induced(self, sorted_small: np.ndarray) -> np.ndarray:
+        data, needed = self.data, self.needed
         first = data[sorted_small]
         edge = np.searchsorted(first, np.arange(257))
         waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
         out: list[np.ndarray] = []
         for c in range(256):
             if c == 0:
-                placed = np.flatnonzero(data == 0)
+                placed = np.flatnonzero((data == 0) & needed)
             else:
                 larger = waiting[c]
                 batch = np.concatenate(larger) if larger else np.empty(0, np.int64)
                 while len(batch):  # the same byte once more in front: a longer run comes later
                     before = batch - 1
                     before = before[before >= 0]
-                    batch = before[data[before] == c]
+                    batch = before[(data[before] == c) & needed[before]]
                     if len(batch):
                         larger.append(batch)
                 placed = np.concatenate([*larger, sorted_small[edge[c]:edge[c + 1]]])
@@ -105,7 +121,7 @@ class Suffixes:
             before = placed - 1
             before = before[before >= 0]
             chars = data[before]
-            keep = chars > c
+            keep = (chars > c) & needed[before]
             before, chars = before[keep], chars[keep]
             if not len(chars):
                 continue
@@ -114,7 +130,7 @@ class Suffixes:
             cut = np.flatnonzero(np.concatenate(([True], chars[1:] != chars[:-1])))
             for a, b in zip(cut, [*cut[1:], len(chars)], strict=True):
                 waiting[int(chars[a])].append(before[a:b])
-        return np.concatenate(out)
+        return np.concatenate(out) if out else np.empty(0, np.int64)
 
     def common_prefixes(self, at: np.ndarray, most: int) -> np.ndarray:
         """Length of the common prefix of each of these suffixes and the one before it, at most ``most``."""
