@@ -9,6 +9,7 @@ from linefeed.functions.columns import RECEPTION
 from linefeed.functions import columns as C
 from linefeed.operators.joins import join_dimension, prepare_keys
 from linefeed.operators.ordered import preview
+from linefeed.plans.sinks import stored
 from linefeed.schemas import FORECAST_COLUMNS
 
 
@@ -46,11 +47,15 @@ def forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, normalize_keys:
         fx4pd = prepare_keys(fx4pd, ["partnumber"], collation=key_collation)
         pkmc = prepare_keys(pkmc, ["partnumber", "supply_area"], collation=key_collation)
         pk05 = prepare_keys(pk05, ["supply_area"], collation=key_collation)
+    stations = pk05.select("supply_area", "takt")
+    return join_dimension(of_areas(fx4pd, pkmc), stations, "supply_area").select(*FORECAST_COLUMNS)
+
+
+def of_areas(fx4pd: DataFrame, pkmc: DataFrame) -> DataFrame:
+    """J1's first join, demand per car x control cycle with its supply area: the forecast before its fan-out to stations."""
     cycles = pkmc.select("partnumber", "supply_area", "num_reg_circ", "rack", "lb_balance",
                          "total_theoretical_qty", "qty_for_restock", "qty_per_box", "qty_max_box")
-    stations = pk05.select("supply_area", "takt")
-    demand_cycles = join_dimension(fx4pd, cycles, "partnumber")
-    return join_dimension(demand_cycles, stations, "supply_area").select(*FORECAST_COLUMNS)
+    return join_dimension(fx4pd, cycles, "partnumber")
 
 
 #: How many rows of the forecast a row stands for, where equal ones are put together.
@@ -106,3 +111,22 @@ def reception_buffer(assembly_line: DataFrame) -> DataFrame:
 def preview_sorted(df: DataFrame, order_by: list[str], limit: int = 5000) -> DataFrame:
     """PL9: first ``limit`` rows in a given order (limit planned before the action)."""
     return preview(df.orderBy(*[F.col(c).asc_nulls_first() for c in order_by]), limit)
+
+
+def preview_forecast(fx4pd: DataFrame, pkmc: DataFrame, pk05: DataFrame, limit: int = 5000) -> DataFrame:
+    """PL9 of J1: its first ``limit`` rows in the order of its columns, without the rest of it.
+
+    The order begins with the demand's columns, and a demand row fed
+    anywhere has at least one forecast row.  So the first rows come from the
+    first ``limit`` fed demand rows; rows equal in all these columns are
+    interchangeable.
+    """
+    first = fx4pd.columns
+    if first != FORECAST_COLUMNS[:len(first)]:
+        raise ValueError(f"the demand's columns must lead the forecast's: {first}")
+    areas = pk05.select("supply_area").distinct()
+    parts = join_dimension(pkmc.select("partnumber", "supply_area"), areas, "supply_area", "left_semi").select(
+        "partnumber").distinct()
+    top = preview_sorted(join_dimension(fx4pd, parts, "partnumber", "left_semi"), first, limit)
+    rows = forecast(stored(top), pkmc, pk05)
+    return preview_sorted(rows, FORECAST_COLUMNS, limit)

@@ -38,3 +38,19 @@ def test_query_makes_no_forecast(spark, sf_small, monkeypatch, name):
     monkeypatch.setattr(forecast, "forecast", no_forecast)
     r = compare(Q.QUERIES[name](spark, sf_small), duck_connection(sf_small), ORACLE[name])
     assert r["schema_match"] and r["rows_match"] and r["hash_match"], r
+    for table in spark.catalog.listTables():
+        if table.name.startswith("stored_"):
+            spark.sql(f"DROP TABLE {table.name}")
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+@pytest.mark.parametrize("limit", [1, 4, 50])
+def test_preview_takes_the_first_rows_of_few_demand_rows(spark, monkeypatch, seed, limit):
+    demand, cycles, stations = tables(spark, seed)
+    demand = demand.unionAll(demand.limit(5))
+    want = forecast.preview_sorted(forecast.forecast(demand, cycles, stations), forecast.FORECAST_COLUMNS, limit)
+    made, seen = forecast.forecast, []
+    monkeypatch.setattr(forecast, "forecast", lambda fx4pd, *tables: seen.append(fx4pd.count()) or made(fx4pd, *tables))
+    found = forecast.preview_forecast(demand, cycles, stations, limit)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in want.collect()]
+    assert seen and seen[0] <= limit
