@@ -12,7 +12,7 @@ from tests.test_incremental import bag, tables
 
 LINE = "knr_fx4pd string, takt string"
 WITHOUT_FORECAST = ["consume_rows", "consume_apply_last", "consume_apply_sum", "consume_rows_colocated",
-                    "consume_once_stream", "consume_once_moves"]
+                    "consume_once_stream", "consume_once_moves", "store_consume", "write_result"]
 
 
 def line(spark):
@@ -55,3 +55,16 @@ def test_preview_takes_the_first_rows_of_few_demand_rows(spark, monkeypatch, see
     found = forecast.preview_forecast(demand, cycles, stations, limit)
     assert [tuple(r) for r in found.collect()] == [tuple(r) for r in want.collect()]
     assert seen and seen[0] <= limit
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_folded_forecast_is_the_forecast(spark, seed):
+    demand, cycles, stations = tables(spark, seed)
+    stations = stations.unionAll(spark.createDataFrame([("A1", None)], stations.schema))
+    made, kept = forecast.forecast(demand, cycles, stations), forecast.folded(demand, cycles, stations)
+    assert bag(forecast.unfolded(kept)) == bag(made)
+    assert kept.agg(forecast.copies_of(kept)).first()[0] == made.count() > kept.count()
+    assert bag(consumption.consumption_rows(kept, line(spark), cycles)) == bag(
+        consumption.consumption_rows(made, line(spark), cycles))
+    assert bag(consumption.station_usage(kept, line(spark), demand)) == bag(
+        consumption.station_usage(made, line(spark), demand))
