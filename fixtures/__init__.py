@@ -222,19 +222,20 @@ def land_csv(df: DataFrame, folder: str) -> str:
     return path
 
 
-def land_ragged_csv(df: DataFrame, folder: str, fields: F.Column, files: int = 8) -> str:
+def land_ragged_csv(df: DataFrame, folder: str, fields: F.Column) -> str:
     """Land ``df`` as a CSV export whose lines have so many fields: cut short, or with more at the end.
 
-    Values hold no commas.  A file is put together from its lines in one row.
+    Values hold no commas, tabs or quotes.  Each task writes its lines one
+    after another: a line is the one column of a tab-separated file whose
+    header is the export's.
     """
     path = folder.rstrip("/") + "/export.csv"
     values = F.concat(F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]),
                       F.array_repeat(F.lit("more"), 9))
-    lines = df.select(F.array_join(F.slice(values, F.lit(1), fields), ",").alias("line"))
-    header = ",".join(df.columns)
-    (lines.groupBy(F.pmod(F.xxhash64("line"), F.lit(files)).alias("file")).agg(F.collect_list("line").alias("lines"))
-          .select(F.concat(F.lit(header + "\n"), F.array_join("lines", "\n")).alias("value"))
-          .write.option("maxRecordsPerFile", 1).mode("overwrite").text(path))
+    lines = df.select(F.array_join(F.slice(values, F.lit(1), fields), ",").alias(",".join(df.columns)))
+    (lines.write.option("header", True).option("sep", "\t").option("quote", "")
+          .option("escape", "").option("comment", "\u0001").option("ignoreLeadingWhiteSpace", False)
+          .option("ignoreTrailingWhiteSpace", False).mode("overwrite").csv(path))
     return path
 
 
