@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 import fixtures as X
 from linefeed.operators.merge import last_per_key
+from linefeed.plans.buckets import PENDING, BucketedTable, PartedTable
 from linefeed.sources.snapshots import read_snapshots
 
 
@@ -40,3 +43,36 @@ def test_the_time_in_a_name_is_looked_for_once_per_document(spark, tmp_path):
 def test_documents_are_folded_in_one_shuffle(spark, sf_small):
     docs = X.assembly_snapshots(spark, sf_small)
     assert plan(docs, "executedPlan").count("Exchange hashpartitioning") == 1
+
+
+def test_a_merge_shuffles_old_and_new_rows_once_and_moves_the_written_parts(spark, tmp_path, monkeypatch):
+    rows = [(f"k{i}", i, "old") for i in range(200)] + [(None, 1, "old"), (None, 1, "old")]
+    table = BucketedTable(spark, f"{tmp_path}/t", "things", ["k"], 8)
+    plans, write = [], PartedTable.replace
+
+    def seen(self, touched, rows, *args, **kwargs):
+        plans.append(plan(rows, "executedPlan"))
+        return write(self, touched, rows, *args, **kwargs)
+    monkeypatch.setattr(PartedTable, "replace", seen)
+    table.merge(spark.createDataFrame(rows, "k string, n int, v string"), ["n"], null_keys="insert")
+    more = [("k5", 9, "new"), ("k5", 8, "no"), ("k6", 1, "late"), (None, 2, "new"), ("x", 1, "new")]
+    did = table.merge(spark.createDataFrame(more, "k string, n int, v string"), ["n"], null_keys="insert").first()
+    assert (did["rows"], did["inserted"], did["updated"]) == (5, 2, 1)
+    want = [r for r in rows if r[0] != "k5"] + [more[0], more[3], more[4]]
+    got = [(r["k"], r["n"], r["v"]) for r in table.current().collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 1]
+
+
+def test_parts_that_were_moved_before_a_crash_stay(spark, tmp_path, monkeypatch):
+    part = F.concat(F.lit("b"), F.substring("k", 1, 1))
+    table = PartedTable(spark, f"{tmp_path}/t", "bands", part, "first letter")
+    table.replace(["b0", "b1"], spark.createDataFrame([("00",), ("10",)], "k string"))
+    monkeypatch.setattr(PartedTable, "write_note", lambda self, name, text, w=PartedTable.write_note: (
+        None if name == PENDING and not text else w(self, name, text)))     # the note of the change stays
+    monkeypatch.setattr(PartedTable, "_delete", lambda self, name: None)
+    table.replace(["b0", "b1"], spark.createDataFrame([("01",)], "k string"))
+    monkeypatch.undo()
+    assert table.read_note(PENDING)
+    again = PartedTable(spark, f"{tmp_path}/t", "bands", part, "first letter")
+    assert [r["k"] for r in again.current().collect()] == ["01"] and not again.read_note(PENDING)
