@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import fixtures as X
 from linefeed.operators.merge import last_per_key
+from linefeed.plans import jobs
 from linefeed.plans.buckets import PENDING, BucketedTable, PartedTable
 from linefeed.sources.snapshots import read_snapshots
 
@@ -76,3 +77,19 @@ def test_parts_that_were_moved_before_a_crash_stay(spark, tmp_path, monkeypatch)
     assert table.read_note(PENDING)
     again = PartedTable(spark, f"{tmp_path}/t", "bands", part, "first letter")
     assert [r["k"] for r in again.current().collect()] == ["01"] and not again.read_note(PENDING)
+
+
+def test_summed_demand_is_merged_without_a_search_for_repeated_keys(spark, sf_small, tmp_path, monkeypatch):
+    def searched(*_, **__):
+        raise AssertionError("keys are searched again")
+    monkeypatch.setattr("linefeed.plans.jobs.one_per_key", searched)
+    monkeypatch.setattr("linefeed.operators.merge.one_per_key", searched)
+    lines, store = X.fx4pd_file(spark, sf_small), jobs.TableStore(spark, f"{tmp_path}/tables")
+    for n, some in enumerate(("Kennz <> 'N'", "Kennz <> 'R'")):
+        X.land_csv(lines.where(some), f"{tmp_path}/{n}")
+        jobs.load_fx4pd(store, f"{tmp_path}/{n}/export.csv", {})
+    did = store.report("fx4pd").first()
+    stored = store.read("fx4pd")
+    assert did["inserted"] + did["updated"] == did["given"]
+    assert stored.count() == stored.select("knr_fx4pd", "partnumber").distinct().count() == (
+        did["given"] + did["unchanged"])
