@@ -95,3 +95,14 @@ def test_a_days_cars_touch_their_bands_only(spark, sf_small, monkeypatch):
 def test_car_band_is_never_null(spark):
     df = spark.createDataFrame([(None,), ("",), ("12",), ("3810001234",)], "knr_fx4pd string")
     assert [r[0] for r in df.select(incremental.car_band()).collect()] == ["b", "b", "b", "b381000"]
+
+
+def test_the_stored_forecast_grows_with_the_demand_and_not_with_the_lines_of_its_areas(spark, sf_small):
+    plant = Plant(spark, sf_small)
+    store, sizes = plant.store, []
+    pk05 = store.read("pk05")
+    for lines in (pk05, pk05.unionAll(pk05).unionAll(pk05)):
+        store.table("pk05").commit(lines)
+        plant.refresh("Kennz <> 'N'")
+        sizes.append((store.read_folded("forecast").count(), store.read("forecast").count()))
+    assert sizes[0][0] == sizes[1][0] and sizes[1][1] == 3 * sizes[0][1] > 0
