@@ -45,3 +45,8 @@ def test_forecast_of_one_split_is_made_by_all_tasks(spark):
 def test_demand_is_cleaned_before_the_fan_out(spark, sf_small, name):
     plan = last_stage(Q.QUERIES[name](spark, sf_small))
     assert "try_cast(" not in plan and "replace(" not in plan
+
+
+def test_collated_demand_is_finished_before_the_fan_out(spark, sf_small):
+    plan = last_stage(Q.QUERIES["forecast_collated"](spark, sf_small))
+    assert "upper(" not in plan and "lower(" not in plan and "try_cast(" not in plan
