@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linefeed import queries as Q
-from linefeed.plans import forecast
+from linefeed.plans import forecast, restock
 from tests.test_incremental import bag, tables
 
 DEAL = "RoundRobinPartitioning"
@@ -50,3 +50,26 @@ def test_demand_is_cleaned_before_the_fan_out(spark, sf_small, name):
 def test_collated_demand_is_finished_before_the_fan_out(spark, sf_small):
     plan = last_stage(Q.QUERIES["forecast_collated"](spark, sf_small))
     assert "upper(" not in plan and "lower(" not in plan and "try_cast(" not in plan
+
+
+def test_calls_of_one_split_are_made_by_all_tasks(spark):
+    _, cycles, stations = tables(spark, 2)
+    due = (cycles.crossJoin(spark.range(100)).select(cycles.columns).coalesce(1)
+                 .withColumns({"lb_balance": F.lit(0.0), "qty_for_restock": F.lit(30).cast("long"),
+                               "total_theoretical_qty": F.lit(36).cast("long"), "qty_per_box": F.lit(6).cast("long")}))
+    stations = stations.unionAll(stations.limit(3)).unionAll(
+        spark.createDataFrame([("A1", None), ("A1", None), (None, "T1")], stations.schema))
+    plain = restock.restock_candidates(due, stations)
+    listed = due.join(stations, "supply_area").select(*restock.RESTOCK_COLUMNS)
+    assert bag(plain.select(*restock.RESTOCK_COLUMNS)) == bag(listed)
+    calls = restock.kanban_calls(restock.folded_candidates(due, stations))
+    assert bag(calls) == bag(restock.kanban_calls(plain)) == bag(
+        listed.crossJoin(spark.range(1, 7).toDF("call_no")).select(*restock.CALL_COLUMNS))
+    made = rows_per_task(calls)
+    assert len(made) == int(spark.conf.get("spark.sql.shuffle.partitions")) and made[-1] < 0.5 * sum(made)
+
+
+def test_requests_are_worked_out_before_the_fan_out(spark, sf_small):
+    for name in ("kanban_calls", "restock_candidates"):
+        plan = Q.QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert DEAL in plan and "FLOOR(" not in plan.split(DEAL)[0]
