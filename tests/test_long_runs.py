@@ -1,17 +1,29 @@
-"""What larger tables must not meet: casts that fail for every row."""
+"""What larger tables must not meet: casts that fail for every row, documents parsed twice."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from linefeed import queries as Q
 from linefeed.functions import columns as C
+from linefeed.operators.expand import flatten_snapshots
 
 
 def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_slots_and_cars_are_parsed_once(spark):
+    docs = spark.createDataFrame([(json.dumps({"lane_1": {"fb": {
+        "s1": {"CAR": {"KNR": "1"}, "LANE": None, "TACT": "T1"}, "s2": {"CAR": {}}, "s3": {"CAR": 5}, "s4": 7,
+        "s5": {"TACT": "T2"}, "s6": {"CAR": None}, "s7": {"CAR": {"KNR": "2"}}}}}),)], "value string")
+    cars = flatten_snapshots(docs)
+    assert optimized(cars).count("from_json(") == 5  # document, lane, feeder, slot and car
+    assert sorted((r["knr"], r["lane"], r["takt"]) for r in cars.collect()) == [("1", None, "T1"), ("2", "lane_1", None)]
+
+
 def test_a_unit_without_a_digit_is_not_cast(spark, sf_small):
     # no conditional stands round the cast of a unit where it is tried for every row
     clean = optimized(Q.QUERIES["fx4pd_clean"](spark, sf_small)).split("Filter")[0]
