@@ -1,14 +1,20 @@
-"""What larger tables must not meet: casts that fail for every row, documents parsed twice."""
+"""What larger tables must not meet: work done twice, casts that fail for every row, a stream cut off at work."""
 
 from __future__ import annotations
 
 import json
+import os
+import tempfile
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from linefeed import queries as Q
 from linefeed.functions import columns as C
 from linefeed.operators.expand import flatten_snapshots
+from linefeed.sources.snapshots import stream_snapshots
+from linefeed.streaming.ingest import _run
 
 
 def optimized(df) -> str:
@@ -32,3 +38,27 @@ def test_a_unit_without_a_digit_is_not_cast(spark, sf_small):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     found = df.select(C.lenient_int("x", 9).alias("a"), F.coalesce(F.col("x").try_cast("int"), F.lit(9)).alias("b"))
     assert all(r["a"] == r["b"] for r in found.collect())
+
+
+def landed(spark, base):
+    os.makedirs(f"{base}/landing")
+    with open(f"{base}/landing/a.json", "w") as f:
+        f.write("{}\n")
+    return stream_snapshots(spark, f"{base}/landing")
+
+
+def test_a_stream_at_work_is_not_cut_off(spark):
+    base, done = tempfile.mkdtemp(prefix="linefeed-long-"), []
+
+    def slow(batch, batch_id):
+        spark.range(0, 1, 1, 1).foreach(lambda _: time.sleep(15))
+        done.append(batch_id)
+
+    _run(landed(spark, base), slow, f"{base}/checkpoint", 8)
+    assert done == [0]
+
+
+def test_a_stream_that_stands_still_is_an_error(spark):
+    base = tempfile.mkdtemp(prefix="linefeed-still-")
+    with pytest.raises(TimeoutError):
+        _run(landed(spark, base), lambda *_: time.sleep(12), f"{base}/checkpoint", 2)
