@@ -106,3 +106,15 @@ def test_the_stored_forecast_grows_with_the_demand_and_not_with_the_lines_of_its
         plant.refresh("Kennz <> 'N'")
         sizes.append((store.read_folded("forecast").count(), store.read("forecast").count()))
     assert sizes[0][0] == sizes[1][0] and sizes[1][1] == 3 * sizes[0][1] > 0
+
+
+@pytest.mark.parametrize("seed", [4, 7])
+def test_a_change_meets_its_parts_in_one_shuffle(spark, seed):
+    (d0, c0, s0), (d1, c1, s1) = tables(spark, seed), tables(spark, seed + 100)
+    before = forecast.folded(d0, c0, s0, laid_out=False)
+    signed = incremental.folded_change(d1, incremental.change(d0, d1), (c0, c1), (s0, s1))
+    part = incremental.car_band()
+    rows, signed = (df.localCheckpoint().withColumn("_part", part) for df in (before, signed))
+    after = incremental.with_change_by_part(rows, signed, "_part", 3)
+    assert bag(forecast.unfolded(after.drop("_part"))) == bag(forecast.forecast(d1, c1, s1))
+    assert after._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1
