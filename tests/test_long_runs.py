@@ -31,7 +31,7 @@ def test_slots_and_cars_are_parsed_once(spark):
 
 
 def test_a_unit_without_a_digit_is_not_cast(spark, sf_small):
-    # no conditional stands round the cast of a unit where it is tried for every row
+    # the cast of a unit stands behind a look for a digit
     clean = optimized(Q.QUERIES["fx4pd_clean"](spark, sf_small)).split("Filter")[0]
     assert "[0-9])" in clean and "RLIKE" in clean
     values = ["1", "ST", "3.0", None, "", "-7", "+7", "7 ", ".", "5.", "A1", "2147483648", "٥", "-"]
